@@ -17,9 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE_CLASS, WORD_CLASS, let, words_of
-
-SYMBOLS = "#*$%&|<>"
+from .common import WORD_CLASS, let, words_of
 
 #: Frequent function words of the languages served; a real text has many of them.
 STOP_WORDS = (
@@ -44,10 +42,10 @@ RULES = (
     Rule("n_words", low=10, high=1_000_000),
     Rule("mean_word_chars", low=2, high=12),
     Rule("symbol_ratio", high=0.25),
-    Rule("stop_ratio", low=0.02),
+    Rule("stop_ratio", low=0.01),
     Rule("upper_ratio", high=0.30),
     Rule("bang_ratio", high=0.20),
-    Rule("dup_line_ratio", high=0.30),
+    Rule("dup_line_ratio", high=0.60),
     Rule("bullet_line_ratio", high=0.90),
     Rule("ellipsis_line_ratio", high=0.30),
 )
@@ -56,28 +54,31 @@ RULES = (
 def _repeated_words(words: Column, hashes: Column, size: int) -> Column:
     """Words inside windows that occur twice or more.
 
-    Hashes only prove that no window repeats (equal windows hash alike); texts
-    that are not cleared by them are settled on the windows themselves.
+    Equal windows hash alike, so distinct hashes clear a text at once.  In the
+    others, windows are ordered by hash and neighbours compared word by word.
     """
-    windows = F.transform(
-        F.sequence(F.lit(0), F.size(words) - size),
-        lambda i: F.struct(F.concat_ws(" ", F.slice(words, i + 1, size)).alias("w"), i.alias("i")),
-    )
+
+    def window(e: Column) -> Column:
+        return F.slice(words, e["i"] + 1, size)
 
     def positions(ordered: Column) -> Column:
-        same = lambda e, k: F.coalesce(e["w"] == F.get(ordered, k)["w"], F.lit(False))
+        def same(e: Column, k: Column) -> Column:
+            other = F.get(ordered, k)
+            return F.coalesce((e["h"] == other["h"]) & (window(e) == window(other)), F.lit(False))
+
         repeated = F.filter(ordered, lambda e, k: same(e, k - 1) | same(e, k + 1))
-        return F.array_sort(F.transform(repeated, lambda e: e["i"]))
+        return F.sort_array(F.transform(repeated, lambda e: e["i"]))
 
+    pairs = F.sort_array(F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
     start = F.struct(F.lit(-size).alias("last"), F.lit(0).cast("long").alias("n"))
     covered = F.aggregate(
-        let(F.array_sort(windows), positions),
+        let(pairs, positions),
         start,
         lambda acc, p: F.struct(p.alias("last"), (acc["n"] + F.least(F.lit(size), p - acc["last"])).alias("n")),
         lambda acc: acc["n"],
     )
     unique = F.size(F.array_distinct(hashes)) == F.size(hashes)
-    return F.when(F.size(words) < size, F.lit(0).cast("long")).when(unique, F.lit(0).cast("long")).otherwise(covered)
+    return F.when((F.size(words) < size) | unique, F.lit(0).cast("long")).otherwise(covered)
 
 
 def quality_features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 5) -> DataFrame:
@@ -90,6 +91,7 @@ def quality_features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         F.size(words) >= window,
         F.transform(F.sequence(F.lit(0), F.size(words) - window), lambda i: F.xxhash64(*[at(i, k) for k in range(window)])),
     )
+    forms = sorted({*STOP_WORDS, *(w.capitalize() for w in STOP_WORDS)})
     lines = F.filter(F.split(F.col("_text"), "\n"), lambda s: s.rlike(WORD_CLASS))
     staged = base.select(
         id_col,
@@ -98,10 +100,10 @@ def quality_features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         lines.alias("_lines"),
         F.size(words).cast("long").alias("n_words"),
         F.length(F.array_join(words, "")).cast("long").alias("word_chars"),
-        (F.length("_text") - F.length(F.translate(F.col("_text"), SYMBOLS, ""))).cast("long").alias("n_symbols"),
-        F.size(F.filter(words, lambda w: F.lower(w).isin(STOP_WORDS))).cast("long").alias("n_stop"),
-        F.size(F.filter(words, lambda w: w.rlike(r"^\p{Lu}{2,}\P{Ll}*$"))).cast("long").alias("n_upper"),
-        F.size(F.filter(words, lambda w: w.endswith("!!"))).cast("long").alias("n_bang"),
+        F.regexp_count("_text", F.lit("[#*$%&|<>]")).cast("long").alias("n_symbols"),
+        F.size(F.filter(words, lambda w: w.isin(forms))).cast("long").alias("n_stop"),
+        F.regexp_count("_text", F.lit(r"\p{Lu}{2,}")).cast("long").alias("n_upper"),
+        F.regexp_count("_text", F.lit("!!")).cast("long").alias("n_bang"),
     )
     rows = F.col("_lines")
     counted = staged.select(
@@ -155,4 +157,4 @@ def quality_rules(docs: DataFrame, rules: tuple[Rule, ...] = RULES, id_col: str
     return judged.withColumn("kept", ~F.col("base_failed") & (F.size("broken") == 0))
 
 
-__all__ = ["RULES", "Rule", "STOP_WORDS", "SYMBOLS", "SPACE_CLASS", "compile_rules", "quality_features", "quality_rules"]
+__all__ = ["RULES", "Rule", "STOP_WORDS", "compile_rules", "quality_features", "quality_rules"]
