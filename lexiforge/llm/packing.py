@@ -14,6 +14,7 @@ result; extra columns are ignored.
 
 from __future__ import annotations
 
+import json
 import zlib
 from collections.abc import Iterator
 
@@ -27,48 +28,69 @@ PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long,
 PACKED = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
+#: The public byte-level pre-token pattern of this vocabulary (a fixed value).
+PRE_TOKENS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+
+
+def _byte_of() -> dict[str, int]:
+    """The visible character that stands for each byte in a byte-level vocabulary."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in set(shown)]
+    return {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(hidden)}
+
+
 class Encoder:
-    """Ids of whole texts as little-endian 32-bit bytes, with a memory of pieces.
+    """Ids of whole texts as little-endian 32-bit bytes, with a bounded memory of pieces.
 
-    A blank before a visible character always begins a new pre-token, so texts
-    are encoded blank by blank; each distinct piece is encoded once.
+    A blank before a visible character always begins a new pre-token, so a text
+    is encoded blank by blank and each distinct piece of a batch only once.
+    Strings of special tokens are ordinary text.
     """
 
     def __init__(self, tokenizer_path: str, end_id: int = 0, memory: int = 400_000):
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(tokenizer_path)
-        self.tokenizer.encode_special_tokens = True  # their strings are ordinary text
+        import tiktoken
+
+        with open(tokenizer_path, encoding="utf-8") as f:
+            spec = json.load(f)
+        byte_of, special = _byte_of(), {t["content"] for t in spec.get("added_tokens", ())}
+        ranks = {bytes(byte_of[c] for c in t): i for t, i in spec["model"]["vocab"].items() if t not in special}
+        self.encode = tiktoken.Encoding("byte-bpe", pat_str=PRE_TOKENS, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+        self.n_bytes = np.zeros(max(ranks.values()) + 1, "i8")
+        for token, i in ranks.items():
+            self.n_bytes[i] = len(token)
         self.known: dict[str, bytes] = {}
         self.memory, self.end = memory, np.array([end_id], "<u4").tobytes()
 
-    def _whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-
-    def ids(self, text: str | None) -> bytes:
-        if not text:
-            return self.end
-        parts = text.split(" ")
-        if "" in parts[1:] or not all(p[0] > " " and not p[0].isspace() for p in parts[1:]):
-            return self._joined(text) + self.end
+    def _learn(self, new: list[str]) -> None:
+        ids = np.array(self.encode(" " + " ".join(new)), "<u4")
+        ends = np.cumsum([len(p.encode()) + 1 for p in new])
+        cuts = np.searchsorted(np.cumsum(self.n_bytes[ids]), ends, "left") + 1
+        raw, at = ids.tobytes(), 0
+        for p, cut in zip(new, (cuts * 4).tolist(), strict=True):
+            self.known[p] = raw[at:cut]
+            at = cut
+
+    def batch(self, texts: list[str | None]) -> Iterator[bytes]:
+        parted = [t.split(" ") if t else None for t in texts]
+        plain = [p is not None and all([x and not x[0].isspace() for x in p[1:]]) for p in parted]
+        seen: set[str] = set()
+        for parts, ok in zip(parted, plain, strict=True):
+            if ok:
+                seen.update(parts[1:])
+        if new := [p for p in seen if p not in self.known]:
+            if len(self.known) + len(new) > self.memory:
+                self.known.clear()
+                new = list(seen)
+            self._learn(new)
         known = self.known
-        head = self._whole(parts[0]) if parts[0] else b""
-        try:
-            return head + b"".join([known[p] for p in parts[1:]]) + self.end
-        except KeyError:
-            self._learn({p for p in parts[1:] if p not in known})
-            return head + b"".join([known[p] if p in known else self._whole(" " + p) for p in parts[1:]]) + self.end
-
-    def _learn(self, new: set[str]) -> None:
-        if len(self.known) + len(new) > self.memory:
-            self.known.clear()
-        short = [p for p in new if len(p) <= 64]
-        for p, e in zip(short, self.tokenizer.encode_batch([" " + p for p in short], add_special_tokens=False), strict=True):
-            self.known[p] = np.array(e.ids, "<u4").tobytes()
-
-    def _joined(self, text: str) -> bytes:
-        """Texts with runs of white space: as a whole."""
-        return self._whole(text)
+        for text, parts, ok in zip(texts, parted, plain, strict=True):
+            if not text:
+                yield self.end
+            elif ok:
+                head = np.array(self.encode(parts[0]), "<u4").tobytes() if parts[0] else b""
+                yield head + b"".join([known[p] for p in parts[1:]]) + self.end
+            else:  # runs of white space
+                yield np.array(self.encode(text), "<u4").tobytes() + self.end
 
 
 class CapacityTree:
@@ -132,8 +154,8 @@ def pieces(docs: DataFrame, tokenizer_path: str, groups: int, window: int = WIND
         step = 4 * window
         for batch in batches:
             rows = []
-            for doc, text, group in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                ids = encoder.ids(text)
+            docs_, texts, groups_ = (c.to_pylist() for c in batch.columns)
+            for doc, ids, group in zip(docs_, encoder.batch(texts), groups_, strict=True):
                 total = len(ids) // 4
                 for at in range(0, len(ids), step):
                     piece = ids[at : at + step]

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import packing, quality, sharding, sql
+from . import langid, licenses, packing, quality, sharding, sql
 from .common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,12 +22,20 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.op3_packing(documents(spark, sf_dir))
 
 
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.op4_license_scan(documents(spark, sf_dir))
+
+
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.op5_sharding(documents(spark, sf_dir))
 
 
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.op10_language_id(documents(spark, sf_dir))
+
+
 def queries() -> dict[str, Query]:
-    found = [op1_quality_rules, op3_packing, op5_sharding]
+    found = [op1_quality_rules, op3_packing, op4_license_scan, op5_sharding, op10_language_id]
     return {f.__name__: f for f in found}
 
 
