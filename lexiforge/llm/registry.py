@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import langid, licenses, packing, quality, sharding, sql
+from . import decontaminate, langid, licenses, packing, pii, quality, sharding, sql
 from .common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,12 +30,20 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.op5_sharding(documents(spark, sf_dir))
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.op8_decontamination(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.op9_pii(documents(spark, sf_dir))
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.op10_language_id(documents(spark, sf_dir))
 
 
 def queries() -> dict[str, Query]:
-    found = [op1_quality_rules, op3_packing, op4_license_scan, op5_sharding, op10_language_id]
+    found = [op1_quality_rules, op3_packing, op4_license_scan, op5_sharding, op8_decontamination, op9_pii, op10_language_id]
     return {f.__name__: f for f in found}
 
 
