@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, words_of
+from .common import let, materialize, words_of
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -53,8 +53,8 @@ def simhash(words: Column) -> Column:
         ones = F.aggregate(hashes, F.lit(0), lambda a, h: a + F.getbit(h, b).cast("int"))
         return F.when(2 * ones > n, F.call_function("shiftleft", F.lit(1).cast("long"), b)).otherwise(F.lit(0).cast("long"))
 
-    folded = F.transform(F.array(F.transform(words, lambda w: F.xxhash64(w))), lambda hs: F.aggregate(F.sequence(F.lit(0), F.lit(63)), F.lit(0).cast("long"), lambda acc, b: acc.bitwiseOR(bit(hs, b))))
-    return F.get(folded, F.lit(0))
+    every, zero = F.sequence(F.lit(0), F.lit(63)), F.lit(0).cast("long")
+    return let(F.transform(words, lambda w: F.xxhash64(w)), lambda hs: F.aggregate(every, zero, lambda acc, b: acc.bitwiseOR(bit(hs, b))))
 
 
 def _blocks(fp: Column, radius: int) -> Column:
@@ -73,8 +73,16 @@ def weighted_similarity(a: Column, b: Column) -> Column:
     """Multiset Jaccard of two arrays of shingles."""
     count = lambda xs, s: F.size(F.filter(xs, lambda x: x == s))
     zero = F.struct(F.lit(0).alias("lo"), F.lit(0).alias("hi"))
-    step = lambda acc, s: F.struct((acc["lo"] + F.least(count(a, s), count(b, s))).alias("lo"), (acc["hi"] + F.greatest(count(a, s), count(b, s))).alias("hi"))
-    return F.aggregate(F.array_distinct(F.concat(a, b)), zero, step, lambda acc: F.when(acc["hi"] > 0, acc["lo"] / acc["hi"]).otherwise(F.lit(0.0)))
+
+    def of(p: Column) -> Column:
+        def step(acc: Column, s: Column) -> Column:
+            counts = count(p["a"], s), count(p["b"], s)
+            return F.struct((acc["lo"] + F.least(*counts)).alias("lo"), (acc["hi"] + F.greatest(*counts)).alias("hi"))
+
+        ratio = lambda acc: F.when(acc["hi"] > 0, acc["lo"] / acc["hi"]).otherwise(F.lit(0.0))
+        return F.aggregate(F.array_distinct(F.concat(p["a"], p["b"])), zero, step, ratio)
+
+    return let(F.struct(a.alias("a"), b.alias("b")), of)
 
 
 def leaks(
@@ -97,12 +105,13 @@ def leaks(
     small = anchors.count() <= broadcast_rows
     words = docs.select(F.col(id_col).cast("long").alias("doc_id"), normal_words(F.col(text_col)).alias("words"))
     hashed = words.select("doc_id", "words", _hashes(F.col("words")).alias("hs"))
+    # outer explodes: no filter is inferred that would compute the shingles twice; the joins drop nulls
     begin = F.greatest(F.col("pos") - F.col("at"), F.lit(0)).alias("start")
     if small:
-        hit = hashed.select("doc_id", "words", F.posexplode("hs").alias("pos", "h")).join(F.broadcast(anchors), "h")
+        hit = hashed.select("doc_id", "words", F.posexplode_outer("hs").alias("pos", "h")).join(F.broadcast(anchors), "h")
         windows = hit.select("doc_id", begin, "n", F.slice("words", F.greatest(F.col("pos") - F.col("at"), F.lit(0)) + 1, F.col("n")).alias("w"))
     else:
-        hit = hashed.select("doc_id", F.posexplode("hs").alias("pos", "h")).join(anchors, "h").select("doc_id", begin, "n").distinct()
+        hit = hashed.select("doc_id", F.posexplode_outer("hs").alias("pos", "h")).join(anchors, "h").select("doc_id", begin, "n").distinct()
         windows = hit.join(words, "doc_id").select("doc_id", "start", "n", F.slice("words", F.col("start") + 1, F.col("n")).alias("w"))
     windows = windows.select("doc_id", "start", "n", F.array_join("w", " ").alias("w")).distinct()
     windows = materialize(windows, "bench-windows").select("doc_id", "start", "n", F.split("w", " ").alias("w"))
