@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, langid, licenses, packing, pii, quality, sharding, sql
+from . import decontaminate, langid, licenses, packing, pii, quality, scoring, sharding, sql
 from .common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +18,10 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scoring.op2_lm_scoring(documents(spark, sf_dir))
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.op3_packing(documents(spark, sf_dir))
 
@@ -43,7 +47,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    found = [op1_quality_rules, op3_packing, op4_license_scan, op5_sharding, op8_decontamination, op9_pii, op10_language_id]
+    found = [op1_quality_rules, op2_lm_scoring, op3_packing, op4_license_scan, op5_sharding, op8_decontamination, op9_pii, op10_language_id]
     return {f.__name__: f for f in found}
 
 
