@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, langid, licenses, packing, pii, quality, scoring, sharding, sql, suffix
+from . import decontaminate, jaccard, langid, licenses, packing, pii, quality, scoring, sharding, sql, suffix
 from .common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,6 +38,10 @@ def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix.op6_suffix_dedup(documents(spark, sf_dir))
 
 
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.op7_jaccard_join(documents(spark, sf_dir))
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.op8_decontamination(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
@@ -51,7 +55,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    found = [op1_quality_rules, op2_lm_scoring, op3_packing, op4_license_scan, op5_sharding, op6_suffix_dedup, op8_decontamination, op9_pii, op10_language_id]
+    found = [op1_quality_rules, op2_lm_scoring, op3_packing, op4_license_scan, op5_sharding, op6_suffix_dedup, op7_jaccard_join, op8_decontamination, op9_pii, op10_language_id]
     return {f.__name__: f for f in found}
 
 
