@@ -37,6 +37,7 @@ from .blocks import blocked, bucket_count, bucket_of, mix, sorted_docs, split_by
 
 LENGTH = 50
 GRAM = 16
+SLICE = 20_000
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
 
@@ -195,7 +196,7 @@ class Suffixes:
             order = np.array(sorted(range(len(group)), key=lambda i: (group[i], strings[i])))
             real = self._verified(order[:-1], order[1:])
         got = np.where(group[order[1:]] == group[order[:-1]], real, -1)
-        out = np.zeros((len(depths), len(group)), np.int64)
+        out = np.zeros((len(depths), len(group)), np.int32)
         for k, depth in enumerate(depths):
             out[k, order] = np.concatenate(([0], np.cumsum(got < depth)))
         return out
@@ -231,28 +232,41 @@ def smaller_elsewhere(
     order = order[grouped]
     if not len(order):
         return masks
-    h, doc = hashes[order], docs[order]
+    starts = np.cumsum(sizes.astype(np.int64)) - sizes
+    # slices of whole groups keep the working arrays small
+    h = hashes[order]
+    edges = np.append(np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1]))), len(h))
+    at = 0
+    while at < len(edges) - 1:
+        to = max(at + 1, int(np.searchsorted(edges, edges[at] + SLICE, "right")) - 1)
+        part = order[edges[at] : edges[to]]
+        size = sizes[part].astype(np.int64)
+        own = data[np.repeat(starts[part], size) + _ramp(size)]
+        masks[part] = _slice(hashes[part], docs[part], offs[part].astype(np.int64), size, own, length)
+        at = to
+    return masks
+
+
+def _slice(h: np.ndarray, doc: np.ndarray, off: np.ndarray, size: np.ndarray, data: np.ndarray, length: int) -> np.ndarray:
+    """Masks of the segments of whole groups, in order of (hash, document)."""
     group = np.cumsum(np.concatenate(([0], (h[1:] != h[:-1]).astype(np.int64))))
-    start = (np.cumsum(sizes.astype(np.int64)) - sizes)[order]
-    off, size = offs[order].astype(np.int64), sizes[order].astype(np.int64)
-    most = length - GRAM  # bytes before the anchor in a window
-    depths = np.arange(most + 1)
+    start = np.cumsum(size) - size
+    depths = np.arange(length - GRAM + 1)  # bytes before the anchor in a window
     right = Suffixes(data, start + off, size - off).classes(group, length - depths)
     left = Suffixes(data[::-1].copy(), len(data) - start - off, off).classes(group, depths)
     windows = size - length + 1
-    found = np.zeros(len(order), np.uint64)
+    found = np.zeros(len(h), np.uint64)
     for r in depths:
         i = np.flatnonzero((off >= r) & (off - r < windows))
         if len(i) > 1:
-            key = right[r, i] * np.int64(len(order) + 1) + left[r, i]
+            key = right[r, i].astype(np.int64) * (len(h) + 1) + left[r, i]
             by = np.argsort(key, kind="stable")  # documents ascend inside a key
             k = key[by]
             first = np.flatnonzero(np.concatenate(([True], k[1:] != k[:-1])))
             least = np.repeat(doc[i][by][first], np.diff(np.append(first, len(k))))
             more = by[doc[i][by] > least]
             found[i[more]] |= np.uint64(1) << (off[i[more]] - r).astype(np.uint64)
-    masks[order] = found
-    return masks
+    return found
 
 
 @dataclass
