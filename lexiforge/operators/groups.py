@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lexiforge.sources.scratch import cut
+
 from .ordered import running_sum
 
 Normalizer = Callable[[Column], Column]
@@ -66,10 +68,11 @@ def row_groups(all_forms: DataFrame, norm: Normalizer = same) -> DataFrame:
     expression, homograph, has_content.
     """
     roots = entry_groups(all_forms.filter("kind = 'entry'").select("entry_id", "form_id", "expression", "homograph", "has_content"), norm)
+    roots = cut(roots, "roots")
     derived = all_forms.filter("kind <> 'entry'").join(
         roots.select("entry_id", "group_ord", F.col("expression").alias("root_expression"), F.col("homograph").alias("root_homograph"), F.col("has_content").alias("root_full")), "entry_id"
     )
-    subs = subentry_groups(derived, norm)
+    subs = cut(subentry_groups(derived, norm), "subentries")
     kids = children(subs)
     first = roots.groupBy("group_ord").agg(F.min_by("expression", "entry_id").alias("root_expression"), F.sort_array(F.collect_list("form_id")).alias("form_ids"))
     # an empty root shows its derived forms

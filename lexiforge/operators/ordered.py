@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lexiforge.sources.scratch import cut
+
 CHUNK = 1 << 16
 
 
@@ -25,18 +27,11 @@ def running_sum(df: DataFrame, order: str, value: Column, out: str, chunk: int =
 
 
 def number_rows(df: DataFrame, order: list[str], out: str) -> DataFrame:
-    """1, 2, 3 … in the given order: ranges first, then offsets from their counts."""
-    spark = df.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(parts, *order).sortWithinPartitions(*order)
-    return _numbered(ranged, out)
-
-
-def _numbered(ranged: DataFrame, out: str) -> DataFrame:
-    numbered = ranged.withColumn("_id", F.monotonically_increasing_id())
-    split = numbered.withColumn("_p", F.shiftright("_id", 33)).withColumn("_i", F.col("_id").bitwiseAND(F.lit((1 << 33) - 1)))
-    split = split.checkpoint() if ranged.sparkSession.sparkContext.getCheckpointDir() else split
+    """1, 2, 3 … in the given order: sorted ranges, then offsets from their counts."""
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = df.repartitionByRange(parts, *order).sortWithinPartitions(*order).withColumn("_id", F.monotonically_increasing_id())
+    split = cut(ranged.withColumn("_p", F.shiftright("_id", 33)).withColumn("_i", F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))), "ranges")
     counts = split.groupBy("_p").agg(F.count("*").alias("_n"))
     before = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
-    base = counts.select(F.col("_p").alias("_k"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_b"))
+    base = counts.select(F.col("_p").alias("_k"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_b"))  # one row per range
     return split.join(F.broadcast(base), F.col("_p") == F.col("_k")).withColumn(out, F.col("_b") + F.col("_i") + 1).drop("_id", "_p", "_i", "_k", "_b")
