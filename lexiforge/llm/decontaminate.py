@@ -136,4 +136,4 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
 def op8_decontamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     found = leaks(docs, benchmark)
-    return found.select("doc_id", "item_id", F.col("start").cast("long"), F.col("n_words").cast("long"), F.col("hamming").cast("long"), F.round("similarity", 6).alias("similarity"))
+    return found.select("doc_id", "item_id", F.col("start").cast("long"), F.col("n_words").cast("long"), F.round("similarity", 6).alias("similarity"))

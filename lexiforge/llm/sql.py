@@ -2,6 +2,71 @@
 
 from __future__ import annotations
 
+from .quality import RULES, STOP_WORDS
+
+_SPACE = r"[\x20\x09-\x0D]+"
+
+
+def _quality() -> str:
+    forms = sorted({*STOP_WORDS, *(w.capitalize() for w in STOP_WORDS)})
+    stop = ", ".join(f"'{w}'" for w in forms)
+    tests = []
+    for r in RULES:
+        if r.low is not None:
+            tests.append(f"{r.feature} < {r.low}")
+        if r.high is not None:
+            tests.append(f"{r.feature} > {r.high}")
+    return rf"""WITH d AS (SELECT doc_id, coalesce(text, '') AS t, list_filter(string_split_regex(coalesce(text, ''), '{_SPACE}'), lambda x: x <> '') AS w FROM documents),
+w5 AS (SELECT doc_id, i, w[i:i+4] AS win FROM (SELECT doc_id, w, unnest(generate_series(1, len(w) - 4)) AS i FROM d WHERE len(w) >= 5)),
+rep AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, win) AS c FROM w5) WHERE c > 1),
+cov AS (SELECT doc_id, count(DISTINCT i + k) AS n FROM rep, (SELECT unnest([0, 1, 2, 3, 4]) AS k) GROUP BY doc_id),
+ln AS (SELECT doc_id, s FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS s FROM d) WHERE regexp_matches(s, '[^\x20\x09-\x0D]')),
+la AS (SELECT doc_id, count(*) AS n_lines, count(*) - count(DISTINCT s) AS n_dup, count(*) FILTER (regexp_matches(s, '^[\x20\x09]*[-*•]')) AS n_bul, count(*) FILTER (regexp_matches(s, '(\.\.\.|…)[\x20\x09\r]*$')) AS n_ell FROM ln GROUP BY doc_id),
+f AS (SELECT d.doc_id, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars, length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+  coalesce(n_dup, 0) AS n_dup_lines, coalesce(cov.n, 0) AS n_repeat_words, len(list_filter(w, lambda x: x IN ({stop}))) AS n_stop,
+  len(regexp_extract_all(t, '\p{{Lu}}{{2,}}')) AS n_upper, len(regexp_extract_all(t, '!!')) AS n_bang, coalesce(n_lines, 0) AS n_lines, coalesce(n_bul, 0) AS n_bul, coalesce(n_ell, 0) AS n_ell
+  FROM d LEFT JOIN cov USING (doc_id) LEFT JOIN la USING (doc_id)),
+r AS (SELECT *, word_chars / greatest(n_words, 1) AS mean_word_chars, n_symbols / greatest(n_words, 1) AS symbol_ratio, n_stop / greatest(n_words, 1) AS stop_ratio, n_upper / greatest(n_words, 1) AS upper_ratio,
+  n_bang / greatest(n_words, 1) AS bang_ratio, n_dup_lines / greatest(n_lines, 1) AS dup_line_ratio, n_bul / greatest(n_lines, 1) AS bullet_line_ratio, n_ell / greatest(n_lines, 1) AS ellipsis_line_ratio,
+  n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM f)
+SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars, CAST(n_symbols AS BIGINT) AS n_symbols, CAST(n_dup_lines AS BIGINT) AS n_dup_lines,
+  CAST(n_repeat_words AS BIGINT) AS n_repeat_words, base_failed, NOT base_failed AND NOT ({" OR ".join(tests)}) AS kept FROM r"""
+
+
+_SUFFIX = r"""WITH d AS (SELECT doc_id, coalesce(text, '') AS t, hex(encode(coalesce(text, ''))) AS h FROM documents),
+w AS (SELECT doc_id, i, md5(substr(h, 2 * i + 1, 100)) AS g FROM (SELECT doc_id, h, unnest(generate_series(0, length(h) // 2 - 50)) AS i FROM d WHERE length(h) >= 100)),
+m AS (SELECT g, min(doc_id) AS first FROM w GROUP BY g HAVING min(doc_id) < max(doc_id)),
+hit AS (SELECT doc_id, i FROM w JOIN m USING (g) WHERE first < doc_id),
+isl AS (SELECT doc_id, i, sum(n) OVER (PARTITION BY doc_id ORDER BY i) AS k FROM (SELECT doc_id, i, CASE WHEN i - lag(i) OVER (PARTITION BY doc_id ORDER BY i) <= 50 THEN 0 ELSE 1 END AS n FROM hit)),
+sp AS (SELECT doc_id, min(i) AS s, max(i) + 50 AS e FROM isl GROUP BY doc_id, k),
+gap AS (SELECT doc_id, s, e, coalesce(lag(e) OVER (PARTITION BY doc_id ORDER BY s), 0) AS p FROM sp),
+agg AS (SELECT doc_id, sum(e - s) AS n_removed, count(*) AS n_spans, max(e) AS last FROM sp GROUP BY doc_id),
+head AS (SELECT gap.doc_id, string_agg(substr(h, 2 * p + 1, 2 * (s - p)), '' ORDER BY s) AS k FROM gap JOIN d USING (doc_id) GROUP BY gap.doc_id)
+SELECT d.doc_id, CAST(length(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+  sha256(from_hex(CASE WHEN last IS NULL THEN h ELSE k || substr(h, 2 * last + 1) END)) AS kept_sha256
+FROM d LEFT JOIN agg USING (doc_id) LEFT JOIN head USING (doc_id)"""
+
+_JACCARD = r"""WITH RECURSIVE d AS (SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[i:i+2], ' ') AS g FROM (SELECT doc_id, w, unnest(generate_series(1, greatest(len(w) - 2, 1))) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+o AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+l AS (SELECT x, y FROM o JOIN n p ON p.doc_id = x JOIN n q ON q.doc_id = y WHERE 100 * c >= 90 * (p.n + q.n - c)),
+e AS (SELECT x, y FROM l UNION ALL SELECT y, x FROM l),
+r(a, b) AS (SELECT doc_id, doc_id FROM d UNION SELECT r.a, e.y FROM r JOIN e ON e.x = r.b)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, (SELECT min(b) FROM r WHERE r.a = d.doc_id) AS component_id FROM d LEFT JOIN n USING (doc_id)"""
+
+_LEAKS = r"""WITH norm AS (SELECT 0 AS k, doc_id AS id, text FROM documents UNION ALL SELECT 1, item_id, text FROM benchmark),
+w AS (SELECT k, id, list_filter(string_split_regex(regexp_replace(lower(coalesce(text, '')), '[^\p{L}\p{N}\x20\x09-\x0D]+', '', 'g'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM norm),
+s AS (SELECT k, id, w, i - 1 AS i, array_to_string(w[i:i+4], ' ') AS g FROM (SELECT k, id, w, unnest(generate_series(1, len(w) - 4)) AS i FROM w WHERE len(w) >= 5)),
+b AS (SELECT id AS item_id, w AS bw, len(w) AS n, i AS off, g FROM s WHERE k = 1),
+win AS (SELECT DISTINCT s.id AS doc_id, greatest(s.i - off, 0) AS start, n, s.w FROM s JOIN b USING (g) WHERE s.k = 0),
+a AS (SELECT doc_id, start, n, g, count(*) AS c FROM (SELECT doc_id, start, n, x, array_to_string(x[j:j+4], ' ') AS g FROM (SELECT doc_id, start, n, x, unnest(generate_series(1, len(x) - 4)) AS j FROM (SELECT doc_id, start, n, w[start+1:start+n] AS x FROM win))) GROUP BY ALL),
+an AS (SELECT doc_id, start, n, sum(c) AS tot FROM a GROUP BY ALL),
+it AS (SELECT item_id, n, g, count(*) AS c FROM b GROUP BY ALL), itn AS (SELECT item_id, n, sum(c) AS tot FROM it GROUP BY ALL),
+p AS (SELECT doc_id, start, n, item_id, sum(least(a.c, it.c)) AS lo FROM a JOIN it USING (n, g) GROUP BY ALL),
+q AS (SELECT doc_id, item_id, start, n, lo / (an.tot + itn.tot - lo) AS sim FROM p JOIN an USING (doc_id, start, n) JOIN itn USING (item_id, n))
+SELECT doc_id, item_id, CAST(arg_max(start, (sim, -start)) AS BIGINT) AS start, CAST(any_value(n) AS BIGINT) AS n_words, round(max(sim), 6) AS similarity FROM q WHERE sim >= 0.8 GROUP BY doc_id, item_id"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op1_quality_rules": _quality(), "op6_suffix_dedup": _SUFFIX, "op7_jaccard_join": _JACCARD, "op8_decontamination": _LEAKS}
