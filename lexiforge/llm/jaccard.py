@@ -242,7 +242,9 @@ def jaccard_components(docs: DataFrame, *, n: int = 3, p: int = 90, q: int = 100
     """doc_id, n_shingles, component_id: the smallest document reachable by links."""
     spark = docs.sparkSession
     every = materialize(features(docs, n, id_col, text_col), "jaccard-sets")
-    classes = every.filter("n > 0").groupBy("n", "f0", "f1").agg(F.min("doc_id").alias("rep"))
+    # classes of one need no join; the others are written, so the join can be split where a class is hot
+    classes = every.filter("n > 0").groupBy("n", "f0", "f1").agg(F.min("doc_id").alias("rep"), F.count("*").alias("c"))
+    classes = materialize(classes.filter("c > 1").drop("c"), "jaccard-equal")
     member = every.join(classes, ["n", "f0", "f1"], "left").select("doc_id", "n", F.coalesce("rep", "doc_id").alias("rep"), *[f"m{k}" for k in range(WORDS)])
     member = materialize(member, "jaccard-classes")
     reps = member.filter("doc_id = rep and n > 0").dropDuplicates(["doc_id", "n"])
