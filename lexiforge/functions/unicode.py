@@ -7,6 +7,7 @@ import unicodedata
 
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from .text import TRANSLITERATION
 
@@ -19,17 +20,17 @@ def fold(text: str) -> str:
     return re.sub(r"\s+", " ", kept).strip()
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def fold_lookup(s: pd.Series) -> pd.Series:
     return s.map(fold, na_action="ignore")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def casefold(s: pd.Series) -> pd.Series:
     return s.map(str.casefold, na_action="ignore")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def nfc(s: pd.Series) -> pd.Series:
     return s.map(lambda x: unicodedata.normalize("NFC", x), na_action="ignore")
 
