@@ -83,8 +83,11 @@ def base_spans(text: Column) -> Column:
         ).otherwise(none),
         "phone": F.when(text.contains("+") & digit, F.filter(_matches(text, _PHONE), lambda x: F.length(_digits(x["m"])).between(9, 15))).otherwise(none),
     }
-    tagged = [F.transform(spans, lambda x, k=k: F.struct(x["s"].alias("s"), F.lit(k).alias("k"), x["e"].alias("e"))) for k, spans in enumerate(raw.values())]
-    return F.sort_array(F.concat(*tagged))
+
+    def tagged(spans: Column, k: int) -> Column:
+        return F.transform(spans, lambda x: F.struct(x["s"].alias("s"), F.lit(k).alias("k"), x["e"].alias("e")))
+
+    return F.sort_array(F.concat(*[tagged(spans, k) for k, spans in enumerate(raw.values())]))
 
 
 def _shape(value: Column) -> Column:
