@@ -47,7 +47,7 @@ class Encoder:
     Strings of special tokens are ordinary text.
     """
 
-    def __init__(self, tokenizer_path: str, end_id: int = 0, memory: int = 400_000):
+    def __init__(self, tokenizer_path: str, end_id: int = 0, memory: int = 200_000):
         import tiktoken
 
         with open(tokenizer_path, encoding="utf-8") as f:
@@ -152,7 +152,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, groups: int, window: int = WIND
         encoder = _encoders.setdefault(tokenizer_path, None) or Encoder(tokenizer_path)
         _encoders[tokenizer_path] = encoder
         step = 4 * window
-        for batch in batches:
+        for batch in (b.slice(i, 128) for b in batches for i in range(0, b.num_rows, 128)):  # words of few texts at a time
             rows = []
             docs_, texts, groups_ = (c.to_pylist() for c in batch.columns)
             for doc, ids, group in zip(docs_, encoder.batch(texts), groups_, strict=True):
