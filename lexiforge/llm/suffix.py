@@ -314,7 +314,7 @@ class Block:
         return chosen, number, firsts
 
 
-def deduplicate(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, block_bytes: int = 6_000_000) -> DataFrame:
+def deduplicate(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, block_bytes: int = 3_000_000) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept (the remaining bytes)."""
     rows, n_blocks = blocked(docs, id_col, text_col, block_bytes)
     buckets = bucket_count(docs, n_blocks)
