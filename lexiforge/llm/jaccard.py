@@ -137,11 +137,18 @@ def _linked(na: np.ndarray, nb: np.ndarray, common: np.ndarray, p: int, q: int)
     return q * common >= p * (na + nb - common)
 
 
+def _few(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """Slices of batches, so that few texts are in memory as Python strings."""
+    for batch in batches:
+        for i in range(0, batch.num_rows, rows):
+            yield batch.slice(i, rows)
+
+
 def features(docs: DataFrame, n: int, id_col: str, text_col: str) -> DataFrame:
     """doc_id, n, f0, f1 (128 bits of the set) and the bitmap's words."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _few(batches):
             sets = shingle_sets(batch.column(1).to_pylist(), n)
             size = np.array([len(s) for s in sets], np.int64)
             prints = np.array([(np.bitwise_xor.reduce(mix(s)), np.add.reduce(mix(s ^ _BASE))) for s in sets], np.uint64).reshape(-1, 2).view(np.int64)
@@ -167,7 +174,7 @@ def _groups(docs: DataFrame, n: int, p: int, q: int, id_col: str, text_col: str,
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), [pa.int32(), pa.binary(), pa.binary()], strict=True)], ["bucket", "sigs", "docs"])
 
-        for batch in batches:
+        for batch in _few(batches):
             for doc, s in zip(batch.column(0).to_pylist(), shingle_sets(batch.column(1).to_pylist(), n), strict=True):
                 if not len(s) or doc is None:
                     continue
@@ -177,7 +184,7 @@ def _groups(docs: DataFrame, n: int, p: int, q: int, id_col: str, text_col: str,
                 sig = bands.signatures(s)
                 held.append((sig, doc))
                 used += len(sig)
-                if used > 4_000_000:
+                if used > 1_000_000:
                     yield from flush()
                     held, used = [], 0
         yield from flush()
@@ -250,7 +257,7 @@ def jaccard_components(docs: DataFrame, *, n: int = 3, p: int = 90, q: int = 100
     reps = member.filter("doc_id = rep and n > 0").dropDuplicates(["doc_id", "n"])
     to_rep = member.filter("n > 0 and doc_id <> rep").select("doc_id", "rep").distinct()
 
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     groups = _groups(docs, n, p, q, id_col, text_col, buckets).join(to_rep, F.col("doc") == F.col("doc_id"), "left")
     groups = materialize(groups.select("gid", F.coalesce("rep", "doc").alias("doc")).distinct(), "jaccard-groups")
     center = groups.groupBy("gid").agg(F.min("doc").alias("a"))
