@@ -14,7 +14,8 @@ of equal signatures all members are first tested against the smallest; only wher
 the links found leave a group in several components are the pairs across these
 compared, in tiles of at most ``TILE`` members, bitmaps first.
 
-Edge cases: null, empty and blank texts have empty sets and no links; a text of
+Edge cases: null, empty and blank texts have empty sets and no links; a row without
+an id joins only documents with an equal set; a text of
 fewer than ``n`` words has one member, the whole sequence; equal rows are linked;
 an empty table gives an empty result; extra columns are ignored.
 """

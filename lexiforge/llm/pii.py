@@ -9,7 +9,7 @@ rounds of grouped aggregation; instances that confident patterns extract become
 spans of kind ``id``.  Matches and their positions come from ``regexp_extract_all``
 and ``split`` with one pattern; everything is a built-in expression.
 
-Edge cases: a null text is empty; matches of different kinds may overlap and are
+Edge cases: a null text is empty; rows without an id are treated as one more id; matches of different kinds may overlap and are
 all reported; repeated rows of one document get the same spans; a text with
 megabytes of one run of characters is scanned once (no quantifier can backtrack
 over a run twice); an empty table gives an empty result; extra columns are
@@ -161,10 +161,10 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     added = (
         cands.filter(~F.col("in_base"))
         .join(values, "value", "left_semi")
-        .groupBy("doc_id", "_key")
+        .groupBy(F.col("doc_id").alias("_i"), F.col("_key").alias("_k"))
         .agg(F.collect_set(F.struct(F.col("s"), F.lit(len(KINDS) - 1).alias("k"), F.col("e"))).alias("added"))
     )
-    joined = found.select("doc_id", "_key", "base").join(added, ["doc_id", "_key"], "left")
+    joined = found.select("doc_id", "_key", "base").join(added, F.col("doc_id").eqNullSafe(F.col("_i")) & (F.col("_key") == F.col("_k")), "left")
     spans = F.when(F.col("added").isNull(), F.col("base")).otherwise(F.sort_array(F.concat("base", "added")))
     return joined.select("doc_id", "_key", "base", spans.alias("spans"))
 
@@ -193,7 +193,7 @@ def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
 
     clean = docs.filter(~suspect)
     held = docs.filter(suspect).withColumn("_k", F.xxhash64(text))
-    held = held.join(spans.withColumnRenamed("_k", "_k2"), (F.col(id_col) == F.col("_i")) & (F.col("_k") == F.col("_k2")), "left")
+    held = held.join(spans.withColumnRenamed("_k", "_k2"), F.col(id_col).eqNullSafe(F.col("_i")) & (F.col("_k") == F.col("_k2")), "left")
     changed = F.when(F.col("spans").isNull(), text).otherwise(cut(text))
     return clean.unionByName(held.select(*[changed.alias(c) if c == text_col else F.col(c) for c in docs.columns]))
 

@@ -19,7 +19,7 @@ equal offsets, and each window of a document belongs to exactly one anchor.
 
 A passage that is in a third of all documents reaches a reducer once per block.
 
-Edge cases: null texts are empty; texts shorter than ``length`` lose nothing;
+Edge cases: null texts are empty; a null id counts as the largest; texts shorter than ``length`` lose nothing;
 repeated rows with one id keep each other (the id is not smaller); an empty table
 gives an empty result; extra columns are ignored.
 """
@@ -30,6 +30,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -289,7 +290,8 @@ class Block:
         texts = utf8(table)
         stream, starts, found = anchors(texts, length)
         distinct, inverse = np.unique(found.hash, return_inverse=True)
-        return cls(table, texts, table["doc_id"].to_numpy().astype(np.int64), stream, starts, found, distinct, inverse, bucket_of(distinct, buckets))
+        ids = pc.fill_null(table["doc_id"], np.iinfo(np.int64).max).to_numpy()  # without an id: after all others
+        return cls(table, texts, ids, stream, starts, found, distinct, inverse, bucket_of(distinct, buckets))
 
     def local(self) -> np.ndarray:
         """Anchors that occur in two documents of the block."""
@@ -398,7 +400,7 @@ def deduplicate(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
                 np.add.at(edges, first[hit] + w + length, -1)
         gone = np.cumsum(edges[:-1]) > 0
         out: dict[str, list] = {k: [] for k in ("doc_id", "n_bytes", "n_removed", "n_spans", "kept")}
-        for doc, start, text in zip(b.ids.tolist(), b.starts.tolist(), b.texts, strict=True):
+        for doc, start, text in zip(b.table["doc_id"].to_pylist(), b.starts.tolist(), b.texts, strict=True):
             own = gone[start : start + len(text)]
             removed = int(own.sum())
             out["doc_id"].append(doc)

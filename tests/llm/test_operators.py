@@ -378,3 +378,19 @@ def test_licence_classifier_held_out():
     hits = [m.predict(licenses._words(("Our module is " + texts[0]).encode()))[0] == f for f, texts in licenses.TEMPLATES.items()]
     assert sum(hits) >= 0.85 * len(hits)
     assert all(m.predict(licenses._words(t.encode()))[0] == licenses.UNKNOWN for t in licenses.CONFUSERS)
+
+
+def test_rows_without_id(spark):
+    """Nulls in every column: defined, and no crash."""
+    text = "mail a@b.co or " + " ".join(f"word{k}" for k in range(60))
+    rows = [(None, text), (1, text), (2, text + " more"), (None, None)]
+    d = spark.createDataFrame([(i, t, None, None, None, None, None, None) for i, t in rows], SCHEMA)
+    assert quality.quality_rules(d).count() == 4 and sharding.op5_sharding(d).count() == 4
+    assert scoring.score(d).count() == 4 and langid.op10_language_id(d).count() == 4 and licenses.op4_license_scan(d).count() == 4
+    gone = {r["doc_id"]: r["n_removed"] for r in suffix.op6_suffix_dedup(d.filter("text is not null")).collect()}
+    assert gone == {None: len(text), 1: 0, 2: len(text)}
+    comp = {(r["doc_id"], r["n_shingles"]): r["component_id"] for r in jaccard.op7_jaccard_join(d).collect()}
+    assert comp[(None, 61)] == 1 and comp[(2, 62)] == 1 and comp[(None, 0)] is None
+    assert [r["text"] for r in pii.redact(d.filter("doc_id is null and text is not null")).collect()] == [text.replace("a@b.co", "<EMAIL>")]
+    bench = spark.createDataFrame([(None, text)], "item_id long, text string")
+    assert decontaminate.leaks(d, bench).count() == 3
