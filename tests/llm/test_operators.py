@@ -394,3 +394,14 @@ def test_rows_without_id(spark):
     assert [r["text"] for r in pii.redact(d.filter("doc_id is null and text is not null")).collect()] == [text.replace("a@b.co", "<EMAIL>")]
     bench = spark.createDataFrame([(None, text)], "item_id long, text string")
     assert decontaminate.leaks(d, bench).count() == 3
+
+
+def test_pii_bootstrap_from_base_spans(spark):
+    """Seeds with separators teach contexts; what else stands there is found, with its separators, and nowhere else if it is a plain word."""
+    rows = [(i, f"so contact: user{i}@mail{i}.org <now> bye{i}") for i in range(30)] + [(100 + i, f"so contact: user{i}(at)x then") for i in range(2)]
+    rows += [(200, "so contact: someone/else <now> fine"), (201, "a plain someone and else"), (202, f'my token = "{"ab12" * 10}" here'), (203, f"again {'ab12' * 10}"), (204, "token = parser and secret: nothing")]
+    d = frame(spark, rows)
+    out = {r["doc_id"]: r["text"] for r in pii.redact(d).collect()}
+    assert out[0] == "so contact: <EMAIL> <now> bye0" and out[200] == "so contact: <ID> <now> fine"
+    assert out[202] == 'my token = "<ID>" here' and out[203] == "again <ID>"
+    assert out[201] == dict(rows)[201] and out[204] == dict(rows)[204]
