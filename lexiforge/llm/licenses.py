@@ -1,12 +1,18 @@
 """Licence scan: a trained paragraph classifier confirmed by template comparison.
 
-Paragraphs (lines) become sparse word 1- and 2-grams over the vocabulary of the
+Paragraphs (lines, and runs of lines up to a blank one, of a notice that is
+wrapped) become sparse word 1- and 2-grams over the vocabulary of the
 training paragraphs.  A softmax regression names the licence family; an explicit
 unknown class, trained on confusable prose and on a bounded sample of corpus
 lines, and a temperature and threshold fitted on held-out paragraphs calibrate
 it.  A prediction stands only if the paragraph covers enough of the weighted
 words of one of the family's templates.
 
+A wrapped notice is sought in windows of consecutive lines that no single line of
+them settles, up to twice the words of the longest template; the shortest such
+window is reported by its first line.  Comment marks are no words.  ``n_paragraphs``
+counts lines that are not blank.
+
 Lines without any licence word have no features, so they are unknown by the
 model itself; that test is made first, on whole texts.
 
@@ -132,6 +138,30 @@ class Model:
         return max(sum(w for t, w in template.items() if t in own) / sum(template.values()) for template in self.templates[family])
 
 
+def _wrapped(m: Model, lines: list[list[bytes]], settled: set[int]) -> Iterator[tuple[int, str, float]]:
+    """First line, family and confidence of the notices that go over several lines of a paragraph."""
+    most = 2 * max(len(_words(t.encode())) for texts in TEMPLATES.values() for t in texts)
+    own = [not m.triggers.isdisjoint(ws) for ws in lines]
+    i = 0
+    while i < len(lines):
+        found, words = None, list(lines[i])
+        for j in range(i + 1, len(lines) if own[i] and i not in settled else 0):
+            if not lines[j] or j in settled or len(words) + len(lines[j]) > most:
+                break
+            words += lines[j]
+            if own[j] and (found := m.predict(words))[0] != UNKNOWN:
+                break
+        if found is None or found[0] == UNKNOWN:
+            i += 1
+            continue
+        for k in range(i + 1, j):  # the lines before the notice are not part of it
+            shorter = m.predict([w for ws in lines[k : j + 1] for w in ws])
+            if own[k] and shorter[0] == found[0]:
+                i, found = k, shorter
+        yield i, *found
+        i = j + 1
+
+
 def _variants() -> list[tuple[str, list[bytes]]]:
     rows, lead = [], ["", "Notice: ", "# ", "This file is part of the project. ", "Copyright 2021 the authors. "]
     for family, texts in TEMPLATES.items():
@@ -219,6 +249,9 @@ def scan(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", neg
                             family, p = m.predict(words)
                             if family != UNKNOWN:
                                 own.append({"paragraph": i, "family": family, "confidence": p})
+                    wrapped = _wrapped(m, [ln.split() for ln in lines], {h["paragraph"] for h in own})
+                    own += [{"paragraph": i, "family": family, "confidence": p} for i, family, p in wrapped]
+                    own.sort(key=lambda h: h["paragraph"])
                 found.append(own)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(found, hits)], ["doc_id", "n_paragraphs", "hits"])
 

@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import textwrap
 import zlib
 from collections import Counter, defaultdict
 
@@ -405,3 +406,15 @@ def test_pii_bootstrap_from_base_spans(spark):
     assert out[0] == "so contact: <EMAIL> <now> bye0" and out[200] == "so contact: <ID> <now> fine"
     assert out[202] == 'my token = "<ID>" here' and out[203] == "again <ID>"
     assert out[201] == dict(rows)[201] and out[204] == dict(rows)[204]
+
+
+def test_wrapped_licences(spark):
+    """Notices over several lines, with comment marks, are found at their first line; a blank line ends a paragraph."""
+    wrap = lambda t, mark: "\n".join(mark + x for x in textwrap.wrap(t, 34))
+    long = [(f, t) for f in ("MIT", "BSD", "ISC", "GPL") for t in licenses.TEMPLATES[f] if len(t) > 90]
+    rows = [(i, "some prose about a bridge\n\n" + wrap(t, mark) + "\n\nand more of it") for i, (t, mark) in enumerate((t, mark) for _, t in long for mark in ("", " * ", "# "))]
+    rows += [(100, "Permission is hereby granted, free of charge,\n\nto any person obtaining\n\nwithout restriction"), (101, "the general release of the software\nto the public of the city\nin version two")]
+    got = {r["doc_id"]: (r["families"], r["paragraphs"].split(",")) for r in licenses.op4_license_scan(frame(spark, rows)).collect()}
+    for i in range(3 * len(long)):
+        assert got[i][0] == long[i // 3][0] and got[i][1][0].split(":")[0] in ("2", "3"), (rows[i], got[i])
+    assert got[100][0] == got[101][0] == ""
