@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,6 +49,25 @@ def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def tidy() -> None:
+    """Gives freed memory back to the system, so that idle Python workers stay small."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim is not None:
+        trim(0)
+
+
+def tidied(function: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """A function over batches that tidies up after its last one."""
+
+    @functools.wraps(function)
+    def run(batches: Iterator) -> Iterator:
+        yield from function(batches)
+        tidy()
+
+    return run
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """Bind ``value`` once and use it many times inside one expression."""
     return F.get(F.transform(F.array(value), body), F.lit(0))

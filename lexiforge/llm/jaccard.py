@@ -14,16 +14,21 @@ of equal signatures all members are first tested against the smallest; only wher
 the links found leave a group in several components are the pairs across these
 compared, in tiles of at most ``TILE`` members, bitmaps first.
 
+Members are 64-bit hashes; sets count as equal if their sizes and 128 more bits are,
+so among 10^10 distinct sets some pair is taken for equal with odds of 10^-19.
+
 Edge cases: null, empty and blank texts have empty sets and no links; a row without
 an id joins only documents with an equal set; a text of
 fewer than ``n`` words has one member, the whole sequence; equal rows are linked;
-an empty table gives an empty result; extra columns are ignored.
+rows that share an id are one document, linked to all that any of its texts is
+linked to, and kept or dropped together; ties of ids stay, as the smallest id of a
+component stays with all its rows; an empty table gives an empty result; extra
+columns are ignored.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -31,15 +36,52 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .blocks import bucket_of, mix, split_by
-from .common import materialize
+from .common import materialize, tidied, tidy
 from .components import components
 
 TILE = 1024
+LOT = 500_000  # set members that one comparison holds, besides those of its centre
+FLUSH = 300_000  # signatures that a task holds before it sends them
+BUCKET = 1_000_000  # signatures a reducer gets, about
 WORDS = 8  # of 64 bits in a bitmap
 _BREAK = np.zeros(256, bool)
 _BREAK[[32, 9, 10, 11, 12, 13]] = True
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BACK = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
+_FULL = (1 << 64) - 1
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    out = np.full(n, np.uint64(base))
+    out[0] = 1
+    return np.cumprod(out, dtype=np.uint64)
+
+
+PIECE = 1 << 16
+_UP, _DOWN = _powers(int(_BASE), PIECE), _powers(int(_BACK), PIECE)
+
+
+def _word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Start and hash of each word; prefix hashes are held for one piece of the data at a time."""
+    gap = _BREAK[data]
+    start = np.flatnonzero(gap[:-1] & ~gap[1:]) + 1
+    end = np.flatnonzero(~gap[:-1] & gap[1:]) + 1
+    del gap
+    at_start, at_end, back = (np.zeros(len(start), np.uint64) for _ in range(3))
+    carry, up, down = np.uint64(0), 1, 1  # prefix hash, power and inverse power at the piece
+    for o in range(0, len(data), PIECE):
+        own = data[o : o + PIECE]
+        sums = np.zeros(len(own) + 1, np.uint64)
+        np.cumsum((own.astype(np.uint64) + np.uint64(7)) * _UP[: len(own)], out=sums[1:], dtype=np.uint64)
+        sums = sums * np.uint64(up) + carry
+        i, j = np.searchsorted(start, (o, o + PIECE))
+        at_start[i:j] = sums[start[i:j] - o]
+        back[i:j] = _DOWN[start[i:j] - o] * np.uint64(down)
+        i, j = np.searchsorted(end, (o, o + PIECE))
+        at_end[i:j] = sums[end[i:j] - o]
+        carry = sums[-1]
+        up, down = (up * int(_UP[-1]) * int(_BASE)) & _FULL, (down * int(_DOWN[-1]) * int(_BACK)) & _FULL
+    return start, mix((at_end - at_start) * back + (end - start).astype(np.uint64))
 
 
 def shingle_sets(texts: list[str | None], n: int) -> list[np.ndarray]:
@@ -48,20 +90,11 @@ def shingle_sets(texts: list[str | None], n: int) -> list[np.ndarray]:
     i = 0
     while i < len(texts):
         raw, used, j = [], 0, i
-        while j < len(texts) and (not used or used < 1 << 20):
+        while j < len(texts) and (not used or used < 1 << 18):
             raw.append((texts[j] or "").encode("utf-8", "replace").lower() + b" ")
             used += len(raw[-1])
             j += 1
-        data = np.frombuffer(b" " + b"".join(raw), np.uint8)
-        gap = _BREAK[data]
-        start = np.flatnonzero(gap[:-1] & ~gap[1:]) + 1
-        end = np.flatnonzero(~gap[:-1] & gap[1:]) + 1
-        power = np.full(len(data) + 1, _BASE)
-        power[0] = 1
-        sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum((data.astype(np.uint64) + np.uint64(7)) * np.cumprod(power, dtype=np.uint64)[:-1], dtype=np.uint64)))
-        back = np.full(len(data) + 1, _BACK)
-        back[0] = 1
-        word = mix((sums[end] - sums[start]) * np.cumprod(back, dtype=np.uint64)[start] + (end - start).astype(np.uint64))
+        start, word = _word_hashes(np.frombuffer(b" " + b"".join(raw), np.uint8))
         cuts = np.searchsorted(start, 1 + np.cumsum([0] + [len(r) for r in raw]))
         grams = np.zeros(max(len(word) - n + 1, 0), np.uint64)
         for k in range(n):
@@ -73,7 +106,7 @@ def shingle_sets(texts: list[str | None], n: int) -> list[np.ndarray]:
             elif b > a:
                 whole = np.uint64(b - a)
                 for w in word[a:b]:
-                    whole = np.uint64((int(whole) * int(_BASE) + int(w)) & 0xFFFFFFFFFFFFFFFF)
+                    whole = np.uint64((int(whole) * int(_BASE) + int(w)) & _FULL)
                 out.append(mix(np.array([whole])))
             else:
                 out.append(np.zeros(0, np.uint64))
@@ -85,7 +118,7 @@ class Bands:
     """Bands of sizes and the number of parts of each tile, for a threshold p / q."""
 
     def __init__(self, p: int, q: int):
-        self.p, self.q, self.edges = p, q, [1]
+        self.p, self.q, self.edges, self.of = p, q, [1], {}
 
     def _reach(self, n: int) -> None:
         while self.edges[-1] <= n:
@@ -95,17 +128,17 @@ class Bands:
         self._reach(n)
         return int(np.searchsorted(self.edges, n, "right")) - 1
 
-    @lru_cache(maxsize=None)  # noqa: B019  one object per process
     def parts(self, tile: int) -> tuple[int, int]:
         """Number of parts and how many empty parts a set may have without sending them."""
+        if tile in self.of:
+            return self.of[tile]
         while len(self.edges) <= tile + 1:
             self._reach(self.edges[-1])
         most = self.edges[tile + 1] - 1
         differ = (most + most * self.q // self.p) * (self.q - self.p) // (self.q + self.p)
-        if not differ:
-            return 1, 0
-        spare = 1 + differ // 16
-        return differ + 1 + spare, spare
+        spare = 1 + differ // 16 if differ else 0
+        self.of[tile] = (differ + 1 + spare, spare)
+        return self.of[tile]
 
     def signatures(self, s: np.ndarray) -> np.ndarray:
         """Signatures of a set in its two tiles (none where only equal sets link)."""
@@ -123,9 +156,11 @@ class Bands:
         return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
 
-@lru_cache(maxsize=4096)
 def _cuts(k: int) -> np.ndarray:
-    return np.array([(i << 64) // k for i in range(k)] + [(1 << 64) - 1], np.uint64)
+    """Edges of k parts of the hash space."""
+    cuts = np.arange(k + 1, dtype=np.uint64) * np.uint64((1 << 64) // k)
+    cuts[-1] = _FULL
+    return cuts
 
 
 def bitmap(s: np.ndarray) -> np.ndarray:
@@ -148,6 +183,7 @@ def _few(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.Reco
 def features(docs: DataFrame, n: int, id_col: str, text_col: str) -> DataFrame:
     """doc_id, n, f0, f1 (128 bits of the set) and the bitmap's words."""
 
+    @tidied
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _few(batches):
             sets = shingle_sets(batch.column(1).to_pylist(), n)
@@ -163,7 +199,9 @@ def features(docs: DataFrame, n: int, id_col: str, text_col: str) -> DataFrame:
 def _groups(docs: DataFrame, n: int, p: int, q: int, id_col: str, text_col: str, buckets: int) -> DataFrame:
     """(gid, doc): groups of documents that agree in a part of a tile."""
     sent = "bucket int, sigs binary, docs binary"
+    types = [pa.int32(), pa.binary(), pa.binary()]
 
+    @tidied
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bands, seen, held, used = Bands(p, q), {}, [], 0
 
@@ -172,8 +210,8 @@ def _groups(docs: DataFrame, n: int, p: int, q: int, id_col: str, text_col: str,
                 sigs = np.concatenate([s for s, _ in held])
                 ids = np.repeat(np.array([d for _, d in held], np.int64), [len(s) for s, _ in held])
                 rows = [(b, sigs[i].tobytes(), ids[i].tobytes()) for b, i in split_by(bucket_of(sigs, buckets), buckets)]
-                if rows:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), [pa.int32(), pa.binary(), pa.binary()], strict=True)], ["bucket", "sigs", "docs"])
+                for k in range(0, len(rows), 1024):
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows[k : k + 1024], strict=True), types, strict=True)], ["bucket", "sigs", "docs"])
 
         for batch in _few(batches):
             for doc, s in zip(batch.column(0).to_pylist(), shingle_sets(batch.column(1).to_pylist(), n), strict=True):
@@ -185,7 +223,7 @@ def _groups(docs: DataFrame, n: int, p: int, q: int, id_col: str, text_col: str,
                 sig = bands.signatures(s)
                 held.append((sig, doc))
                 used += len(sig)
-                if used > 1_000_000:
+                if used > FLUSH:
                     yield from flush()
                     held, used = [], 0
         yield from flush()
@@ -195,44 +233,63 @@ def _groups(docs: DataFrame, n: int, p: int, q: int, id_col: str, text_col: str,
         ids = np.concatenate([np.frombuffer(x, np.int64) for x in table["docs"].to_pylist()])
         order = np.lexsort((ids, sigs))
         sigs, ids = sigs[order], ids[order]
+        del order
         fresh = np.concatenate(([True], (sigs[1:] != sigs[:-1]) | (ids[1:] != ids[:-1])))
         sigs, ids = sigs[fresh], ids[fresh]
         start = np.flatnonzero(np.concatenate(([True], sigs[1:] != sigs[:-1])))
         size = np.diff(np.append(start, len(sigs)))
+        start, size = start[size > 1], size[size > 1]
         # groups of the same members have the same number
-        name = np.add.reduceat(mix(ids.astype(np.uint64) + _BASE), start) if len(ids) else np.zeros(0, np.uint64)
+        runs = np.repeat(start - np.cumsum(size) + size, size) + np.arange(int(size.sum()))
+        name = np.add.reduceat(mix(ids[runs].astype(np.uint64) + _BASE), np.cumsum(size) - size) if len(size) else np.zeros(0, np.uint64)
         _, kept = np.unique(name, return_index=True)
-        kept = kept[size[kept] > 1]
         pick = np.repeat(start[kept] - np.cumsum(size[kept]) + size[kept], size[kept]) + np.arange(int(size[kept].sum()))
-        return pa.table([pa.array(np.repeat(name[kept], size[kept]).view(np.int64)), pa.array(ids[pick])], names=["gid", "doc"])
+        out = pa.table([pa.array(np.repeat(name[kept], size[kept]).view(np.int64)), pa.array(ids[pick])], names=["gid", "doc"])
+        tidy()
+        return out
 
     slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col))
     return slim.mapInArrow(sign, sent).groupBy("bucket").applyInArrow(meet, "gid long, doc long").distinct()
 
 
+def _sets(docs: DataFrame, wanted: DataFrame, n: int, id_col: str, text_col: str) -> DataFrame:
+    """(d, m, s): the sorted sets of the wanted documents (column w), as bytes of 64-bit hashes."""
+
+    @tidied
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _few(batches, 128):
+            sets = shingle_sets(batch.column(1).to_pylist(), n)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], ["d", "m", "s"])
+
+    slim = docs.select(F.col(id_col).cast("long").alias("d"), F.col(text_col).alias("t"))
+    own = slim.join(wanted, F.col("d") == F.col("w"), "left_semi").mapInArrow(read, "d long, m long, s binary")
+    return own.filter("m > 0").withColumn("f", F.xxhash64("s")).dropDuplicates(["d", "m", "f"]).drop("f")
+
+
 def _verify(pairs: DataFrame, docs: DataFrame, n: int, p: int, q: int, id_col: str, text_col: str) -> DataFrame:
     """The pairs (a, b) that are linked, by intersecting the sorted sets."""
     if pairs.isEmpty():
         return pairs.select("a", "b")
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("_w")).distinct()
-    texts = docs.select(F.col(id_col).cast("long").alias("_d"), F.col(text_col).alias("_t")).join(wanted, F.col("_d") == F.col("_w"), "left_semi").dropDuplicates(["_d"])
-    texts = materialize(texts, "jaccard-texts")
-    # a hot document a is spread: its partners come in lots of about 256
-    lots = pairs.groupBy("a").agg(F.ceil(F.count("*") / 256).cast("long").alias("lots"))
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("w")).distinct()
+    sets = materialize(_sets(docs, wanted, n, id_col, text_col), "jaccard-hashes")
+    # a hot document a is spread: the sets of its partners come in lots of about LOT members
+    size = sets.groupBy("d").agg(F.sum("m").alias("m"))
+    lots = pairs.join(size, F.col("b") == F.col("d")).groupBy("a").agg(F.ceil(F.sum("m") / LOT).cast("long").alias("lots"))
     dealt = pairs.join(lots, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.col("lots")).alias("lot"))
-    left = dealt.join(texts, F.col("b") == F.col("_d")).select("a", "lot", "b", "_t")
-    right = dealt.select("a", "lot").distinct().join(texts, F.col("a") == F.col("_d")).select(F.col("a").alias("c"), F.col("lot").alias("l"), F.col("_t").alias("t"))
+    left = dealt.join(sets, F.col("b") == F.col("d")).select("a", "lot", "b", "s")
+    right = dealt.select("a", "lot").distinct().join(sets, F.col("a") == F.col("d")).select(F.col("a").alias("c"), F.col("lot").alias("l"), F.col("s").alias("t"))
 
     def intersect(members: pa.Table, center: pa.Table) -> pa.Table:
-        own = shingle_sets(center["t"].to_pylist(), n)[0]
-        a, b = [], []
-        for doc, s in zip(members["b"].to_pylist(), shingle_sets(members["_t"].to_pylist(), n), strict=True):
-            if q * min(len(own), len(s)) >= p * max(len(own), len(s)):
-                at = np.minimum(np.searchsorted(own, s), len(own) - 1)
-                if _linked(len(own), len(s), int((own[at] == s).sum()), p, q):
-                    a.append(center["c"][0].as_py())
-                    b.append(doc)
-        return pa.table([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+        found = set()
+        for own in [np.frombuffer(t.as_py(), np.uint64) for t in center["t"]]:
+            for doc, raw in zip(members["b"].to_pylist(), members["s"], strict=True):
+                s = np.frombuffer(raw.as_buffer(), np.uint64)
+                if q * min(len(own), len(s)) >= p * max(len(own), len(s)):
+                    at = np.minimum(np.searchsorted(own, s), len(own) - 1)
+                    if _linked(len(own), len(s), int((own[at] == s).sum()), p, q):
+                        found.add(doc)
+        own_id = center["c"][0].as_py() if center.num_rows else None
+        return pa.table([pa.array([own_id] * len(found), pa.int64()), pa.array(sorted(found), pa.int64())], names=["a", "b"])
 
     return left.groupBy("a", "lot").cogroup(right.groupBy("c", "l")).applyInArrow(intersect, "a long, b long")
 
@@ -243,27 +300,31 @@ def _bounded(pairs: DataFrame, reps: DataFrame, p: int, q: int) -> DataFrame:
     differ = sum((F.bit_count(F.col(f"a_m{k}").bitwiseXOR(F.col(f"b_m{k}"))) for k in range(WORDS)), F.lit(0))
     both = F.col("a_n") + F.col("b_n")
     most = F.floor((both - differ) / 2)  # of the overlap
-    return pairs.join(side("a"), "a").join(side("b"), "b").filter(q * most >= p * (both - most)).select("a", "b")
+    return pairs.join(side("a"), "a").join(side("b"), "b").filter(q * most >= p * (both - most)).select("a", "b").distinct()
 
 
 def jaccard_components(docs: DataFrame, *, n: int = 3, p: int = 90, q: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id: the smallest document reachable by links."""
-    spark = docs.sparkSession
     every = materialize(features(docs, n, id_col, text_col), "jaccard-sets")
     # classes of one need no join; the others are written, so the join can be split where a class is hot
     classes = every.filter("n > 0").groupBy("n", "f0", "f1").agg(F.min("doc_id").alias("rep"), F.count("*").alias("c"))
     classes = materialize(classes.filter("c > 1").drop("c"), "jaccard-equal")
     member = every.join(classes, ["n", "f0", "f1"], "left").select("doc_id", "n", F.coalesce("rep", "doc_id").alias("rep"), *[f"m{k}" for k in range(WORDS)])
     member = materialize(member, "jaccard-classes")
-    reps = member.filter("doc_id = rep and n > 0").dropDuplicates(["doc_id", "n"])
+    reps = member.filter("doc_id = rep and n > 0").distinct()
     to_rep = member.filter("n > 0 and doc_id <> rep").select("doc_id", "rep").distinct()
+    # an id with several texts is one document: the classes of its texts are linked
+    several = member.filter("n > 0 and doc_id is not null").groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("z")).filter("a < z").select("doc_id", "a")
+    several = member.join(several, "doc_id").filter("rep <> a").select("a", F.col("rep").alias("b"))
 
-    buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    members = every.agg(F.sum("n")).first()[0] or 0
+    buckets = 1 + int(members * 2.2 * (1 + q / p) * (q - p) / (q + p)) // BUCKET
     groups = _groups(docs, n, p, q, id_col, text_col, buckets).join(to_rep, F.col("doc") == F.col("doc_id"), "left")
     groups = materialize(groups.select("gid", F.coalesce("rep", "doc").alias("doc")).distinct(), "jaccard-groups")
     center = groups.groupBy("gid").agg(F.min("doc").alias("a"))
     stars = groups.join(center, "gid").filter("doc <> a").select("a", F.col("doc").alias("b")).distinct()
-    links = materialize(_verify(materialize(_bounded(stars, reps, p, q), "jaccard-stars"), docs, n, p, q, id_col, text_col), "jaccard-links")
+    links = _verify(materialize(_bounded(stars, reps, p, q), "jaccard-stars"), docs, n, p, q, id_col, text_col)
+    links = materialize(links.union(several), "jaccard-links")
     comp = materialize(components(links), "jaccard-components")
 
     # groups that the links leave in several components: the pairs across
@@ -290,6 +351,7 @@ def jaccard_components(docs: DataFrame, *, n: int = 3, p: int = 90, q: int = 100
             a.append(np.minimum(doc[i], doc[j]))
             b.append(np.maximum(doc[i], doc[j]))
         join = lambda c: np.concatenate(c) if c else np.zeros(0, np.int64)
+        tidy()
         return pa.table([pa.array(join(a)), pa.array(join(b))], names=["a", "b"])
 
     more = materialize(rest.groupBy("gid", "x", "y").applyInArrow(across, "a long, b long").distinct(), "jaccard-across")
