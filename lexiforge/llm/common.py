@@ -68,6 +68,16 @@ def tidied(function: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Ite
     return run
 
 
+def fresh_names(df: DataFrame, n: int) -> list[str]:
+    """``n`` column names that ``df`` does not have, whatever their case."""
+    taken, found, k = {c.lower() for c in df.columns}, [], 0
+    while len(found) < n:
+        if f"_c{k}" not in taken:
+            found.append(f"_c{k}")
+        k += 1
+    return found
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """Bind ``value`` once and use it many times inside one expression."""
     return F.get(F.transform(F.array(value), body), F.lit(0))

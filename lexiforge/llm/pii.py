@@ -24,10 +24,12 @@ ignored by :func:`find` and pass through :func:`redact`.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import fresh_names, let, materialize
 
 #: A match begins where its run begins, or where the match before ended.
 _EMAIL = r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"
@@ -49,18 +51,28 @@ _KEYS = "(?i)(?:" + "|".join(SEED_KEYS) + r")[\x22']?\s*+[=:]"
 _ASSIGNS = r"^[\x22']?\s*[=:]\s*[\x22']?$"
 
 
+def _running(values: Column, join: Callable[[Column, Column], Column]) -> Column:
+    """Running sums (or maxima) of an array, by doubling: no array is rebuilt for each element."""
+
+    def double(acc: Column, k: Column) -> Column:
+        d = F.call_function("shiftleft", F.lit(1), k.cast("int"))
+        before = F.concat(F.array_repeat(F.lit(0), d), F.slice(acc, F.lit(1), F.size(acc) - d))
+        return F.zip_with(acc, before, join)
+
+    rounds = F.sequence(F.lit(0), F.ceil(F.log2(F.size(values).cast("double"))).cast("int") - 1)
+    return F.when(F.size(values) > 1, F.aggregate(rounds, values, double)).otherwise(values)
+
+
 def _matches(text: Column, pattern: str) -> Column:
     """Start, end and string of every match."""
     zipped = F.arrays_zip(F.split(text, pattern, -1).alias("g"), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("m"))
-    zero = F.struct(F.lit(0).alias("pos"), F.array().cast(_SPANS).alias("out"))
 
-    def step(acc: Column, x: Column) -> Column:
-        start = acc["pos"] + F.length(x["g"])
-        end = start + F.coalesce(F.length(x["m"]), F.lit(0))
-        found = F.when(x["m"].isNull(), acc["out"]).otherwise(F.concat(acc["out"], F.array(F.struct(start.alias("s"), end.alias("e"), x["m"].alias("m")))))
-        return F.struct(end.alias("pos"), found.cast(_SPANS).alias("out"))
+    def place(z: Column) -> Column:
+        ends = _running(F.transform(z, lambda x: F.length(x["g"]) + F.coalesce(F.length(x["m"]), F.lit(0))), lambda x, y: x + y)
+        each = F.zip_with(ends, z, lambda e, x: F.struct((e - F.length(x["m"])).alias("s"), e.alias("e"), x["m"].alias("m")))
+        return F.filter(each, lambda x: x["m"].isNotNull())
 
-    return F.aggregate(zipped, zero, step, lambda acc: acc["out"])
+    return let(zipped, place).cast(_SPANS)
 
 
 def _luhn(digits: Column) -> Column:
@@ -109,14 +121,14 @@ def _shape(value: Column) -> Column:
     )
 
 
-def _tokens(texts: DataFrame, *more: str) -> DataFrame:
-    """All tokens of (doc_id, _key, _t): place, value, its hash ``v``, what stands around it; nothing else is kept but ``more``."""
+def _tokens(texts: DataFrame) -> DataFrame:
+    """All tokens of (doc_id, _key, _t): place, value, its hash ``v``, what stands around it."""
     marked = F.regexp_replace(F.replace("_t", F.lit("\x00"), F.lit("\x01")), F.lit(_TOKEN), F.lit("\x00$0\x00"))
-    parts = texts.select("doc_id", "_key", *more, F.split(marked, "\x00", -1).alias("w"))  # gap, token, gap, ..., gap
+    parts = texts.select("doc_id", "_key", F.split(marked, "\x00", -1).alias("w"))  # gap, token, gap, ..., gap
     before = lambda n: F.concat(F.array_repeat(F.lit(""), n), "w")
     after = lambda n: F.slice("w", F.lit(n + 1), F.size("w"))
     zipped = F.arrays_zip(F.col("w").alias("value"), before(1).alias("before"), before(2).alias("prev"), after(1).alias("after"), after(2).alias("next"))
-    rows = parts.select("doc_id", "_key", *more, F.posexplode(zipped).alias("at", "x")).filter("at % 2 = 1 and x.value is not null").select("doc_id", "_key", *more, "at", "x.*")
+    rows = parts.select("doc_id", "_key", F.posexplode(zipped).alias("at", "x")).filter("at % 2 = 1 and x.value is not null").select("doc_id", "_key", "at", "x.*")
     return rows.withColumn("v", F.xxhash64("value"))
 
 
@@ -129,11 +141,21 @@ def _with_patterns(tokens: DataFrame, *keep: str) -> DataFrame:
     return t.select(*keep, F.explode(F.array(*[F.xxhash64(F.lit(k), *cols) for k, cols in enumerate(kinds)])).alias("p"))
 
 
-def _placed(texts: DataFrame, *more: str) -> DataFrame:
+def _placed(texts: DataFrame) -> DataFrame:
     """Tokens with ``s`` and ``e``; for the few texts where places matter."""
     once = texts.dropDuplicates(["doc_id", "_key"])
     end = F.sum(F.length("before") + F.length("value")).over(Window.partitionBy("doc_id", "_key").orderBy("at"))
-    return _tokens(once, *more).withColumn("e", end.cast("int")).withColumn("s", F.col("e") - F.length("value"))
+    return _tokens(once).withColumn("e", end.cast("int")).withColumn("s", F.col("e") - F.length("value"))
+
+
+def _covered(tokens: DataFrame, spans: DataFrame) -> DataFrame:
+    """``tokens`` with ``covered``: whether one of ``spans`` (doc_id, _key, s, e) of the text overlaps them; one sorted pass."""
+    both = tokens.withColumn("_b", F.lit(False)).unionByName(spans.withColumn("_b", F.lit(True)), allowMissingColumns=True)
+    w = Window.partitionBy("doc_id", "_key").rowsBetween(Window.unboundedPreceding, 0)  # both ways: a frame that ends unbounded is quadratic
+    reach = F.max(F.when(F.col("_b"), F.col("e"))).over(w.orderBy("s", F.desc("_b")))
+    ahead = F.min(F.when(F.col("_b"), F.col("s"))).over(w.orderBy(F.desc("s"), F.desc("_b")))
+    marked = both.withColumn("covered", F.coalesce(reach > F.col("s"), F.lit(False)) | F.coalesce(ahead < F.col("e"), F.lit(False)))
+    return marked.filter(~F.col("_b")).drop("_b")
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -147,10 +169,13 @@ def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("_key"), text.alias("_t"))
 
 
-def _same(rows: DataFrame, texts: DataFrame) -> DataFrame:
-    """The texts of ``rows`` (doc_id, _key and more, distinct)."""
-    rows = rows.withColumnsRenamed({"doc_id": "_i", "_key": "_k"})
-    return texts.join(rows, F.col("doc_id").eqNullSafe(F.col("_i")) & (F.col("_key") == F.col("_k"))).drop("_i", "_k")
+def _same(rows: DataFrame, texts: DataFrame, *more: str) -> DataFrame:
+    """The rows of ``texts`` whose doc_id, _key (and ``more``) are in ``rows``."""
+    rows = rows.select(F.col("doc_id").alias("_i"), F.col("_key").alias("_k"), *[F.col(c).alias(f"_{c}_") for c in more])
+    on = F.col("doc_id").eqNullSafe(F.col("_i")) & (F.col("_key") == F.col("_k"))
+    for c in more:
+        on = on & (F.col(c) == F.col(f"_{c}_"))
+    return texts.join(rows, on, "left_semi")
 
 
 def bootstrap(texts: DataFrame, seeds: DataFrame, rounds: int = 3, min_support: int = 5, min_confidence: float = 0.5) -> tuple[DataFrame, DataFrame]:
@@ -194,20 +219,20 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     """doc_id, _key (hash of the text), base and spans: ordered arrays of struct(s, k, e)."""
     found = materialize(scan(docs, id_col, text_col), "pii-scan")
     texts = _texts(docs, id_col, text_col)
-    sown = _placed(_same(found.filter("seeds").select("doc_id", "_key", "base").dropDuplicates(["doc_id", "_key"]), texts), "base")
-    covered = F.exists("base", lambda b: (b["s"] < F.col("e")) & (F.col("s") < b["e"]))
+    based = found.filter(F.size("base") > 0).dropDuplicates(["doc_id", "_key"]).select("doc_id", "_key", F.explode("base").alias("b")).select("doc_id", "_key", "b.s", "b.e")
+    sown = _covered(_placed(_same(found.filter("seeds").select("doc_id", "_key").distinct(), texts)), based)
     assigned = F.lower("prev").isin(*SEED_KEYS) & F.col("before").rlike(_ASSIGNS) & F.col("value").rlike(_IDENTIFIER)
-    seeds = materialize(_with_patterns(sown.filter(covered | assigned), "v").select("p", "v").distinct(), "pii-sown")
+    seeds = materialize(_with_patterns(sown.filter(F.col("covered") | assigned), "v").select("p", "v").distinct(), "pii-sown")
     patterns, values = bootstrap(texts, seeds)
     # where a confident pattern extracts a token, or an identifier-like value was extracted
     by_pattern = _with_patterns(_tokens(texts), "doc_id", "_key", "at").join(F.broadcast(patterns), "p", "left_semi").select("doc_id", "_key", "at")
     by_value = _tokens(texts.filter(F.col("_t").rlike("[0-9]"))).filter(F.col("value").rlike(_IDENTIFIER)).join(values, "v", "left_semi").select("doc_id", "_key", "at")
-    hits = materialize(by_pattern.unionByName(by_value).groupBy("doc_id", "_key").agg(F.collect_set("at").alias("hits")), "pii-hits")
-    placed = _placed(_same(hits, texts), "hits").filter(F.array_contains("hits", F.col("at")))
-    added = placed.groupBy(F.col("doc_id").alias("_i"), F.col("_key").alias("_k")).agg(F.collect_set(F.struct(F.col("s"), F.lit(len(KINDS) - 1).alias("k"), F.col("e"))).alias("added"))
+    hits = materialize(by_pattern.unionByName(by_value).distinct(), "pii-hits")
+    placed = _same(hits, _placed(_same(hits.select("doc_id", "_key").distinct(), texts)), "at")
+    free = _covered(placed.select("doc_id", "_key", "s", "e"), based).filter(~F.col("covered"))
+    added = free.groupBy(F.col("doc_id").alias("_i"), F.col("_key").alias("_k")).agg(F.collect_set(F.struct(F.col("s"), F.lit(len(KINDS) - 1).alias("k"), F.col("e"))).alias("added"))
     joined = found.select("doc_id", "_key", "base").join(added, F.col("doc_id").eqNullSafe(F.col("_i")) & (F.col("_key") == F.col("_k")), "left")
-    free = F.filter("added", lambda c: ~F.exists("base", lambda b: (b["s"] < c["e"]) & (c["s"] < b["e"])))
-    spans = F.when(F.col("added").isNull(), F.col("base")).otherwise(F.sort_array(F.concat("base", free)))
+    spans = F.when(F.col("added").isNull(), F.col("base")).otherwise(F.sort_array(F.concat("base", "added")))
     return joined.select("doc_id", "_key", "base", spans.alias("spans"))
 
 
@@ -216,28 +241,38 @@ def _digest(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", F.get(kinds, x["k"]), x["s"].cast("string"), x["e"].cast("string"))), ",")
 
 
-def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with every span of the text replaced by its kind in angle brackets."""
-    spans = find(docs, id_col, text_col).filter(F.size("spans") > 0).select(F.col("doc_id").alias("_i"), F.col("_key").alias("_k"), "spans").dropDuplicates(["_i", "_k"])
-    kinds = F.lit([f"<{k.upper()}>" for k in KINDS])
-    text = F.col(text_col)
-    suspect = text.isNotNull()
+def _redacted(text: Column, spans: Column, kinds: Column) -> Column:
+    """``text`` with each run of overlapping spans replaced by the kind of its first; linear in text and spans."""
+    chunk = 256
+
+    def cut(c: Column, a: Column, b: Column) -> Column:
+        i = F.floor(a / chunk).cast("int")
+        near = F.array_join(F.slice(c, i + 1, F.floor(b / chunk).cast("int") - i + 1), "")
+        return F.substring(near, a - i * chunk + 1, b - a)
 
-    def cut(t: Column) -> Column:
-        zero = F.struct(F.lit(0).alias("pos"), F.lit("").alias("out"))
+    def put(p: Column) -> Column:
+        reach = p["reach"]
+        before = F.concat(F.array(F.lit(0)), reach)
+        each = F.arrays_zip(p["spans"].alias("x"), before.alias("from"))
+        marks = F.filter(each, lambda m: m["x"].isNotNull() & (m["x"]["s"] >= m["from"]))
+        pieces = F.transform(marks, lambda m: F.concat(cut(p["c"], m["from"], m["x"]["s"]), F.get(kinds, m["x"]["k"])))
+        return F.concat(F.array_join(pieces, ""), cut(p["c"], F.element_at(reach, -1), p["n"]))
 
-        def step(acc: Column, x: Column) -> Column:
-            fresh = x["s"] >= acc["pos"]
-            mark = F.when(fresh, F.concat(F.substring(t, acc["pos"] + 1, x["s"] - acc["pos"]), F.get(kinds, x["k"]))).otherwise("")
-            return F.struct(F.greatest(acc["pos"], x["e"]).alias("pos"), F.concat(acc["out"], mark).alias("out"))
+    ends = _running(F.transform(spans, lambda x: x["e"]), lambda x, y: F.greatest(x, y))
+    parts = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{chunk}}}"), F.lit(0))
+    return let(F.struct(spans.alias("spans"), ends.alias("reach"), parts.alias("c"), F.length(text).alias("n")), put)
 
-        return F.aggregate("spans", zero, step, lambda acc: F.concat(acc["out"], F.substring(t, acc["pos"] + 1, F.length(t))))
 
-    clean = docs.filter(~suspect)
-    held = docs.filter(suspect).withColumn("_k", F.xxhash64(text))
-    held = held.join(spans.withColumnRenamed("_k", "_k2"), F.col(id_col).eqNullSafe(F.col("_i")) & (F.col("_k") == F.col("_k2")), "left")
-    changed = F.when(F.col("spans").isNull(), text).otherwise(cut(text))
-    return clean.unionByName(held.select(*[changed.alias(c) if c == text_col else F.col(c) for c in docs.columns]))
+def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with every span of the text replaced by its kind in angle brackets."""
+    i, k, own, added = fresh_names(docs, 4)
+    spans = find(docs, id_col, text_col).filter(F.size("spans") > 0).select(F.col("doc_id").alias(i), F.col("_key").alias(k), F.col("spans").alias(added)).dropDuplicates([i, k])
+    kinds = F.lit([f"<{k.upper()}>" for k in KINDS])
+    text = F.col(text_col)
+    held = docs.withColumn(own, F.xxhash64(F.coalesce(text, F.lit(""))))
+    held = held.join(spans, F.col(id_col).eqNullSafe(F.col(i)) & (F.col(own) == F.col(k)), "left")
+    changed = F.when(F.col(added).isNull(), text).otherwise(_redacted(text, F.col(added), kinds))
+    return held.select(*[changed.alias(c) if c == text_col else F.col(c) for c in docs.columns])
 
 
 def op9_pii(docs: DataFrame) -> DataFrame:

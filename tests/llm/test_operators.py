@@ -418,3 +418,19 @@ def test_wrapped_licences(spark):
     for i in range(3 * len(long)):
         assert got[i][0] == long[i // 3][0] and got[i][1][0].split(":")[0] in ("2", "3"), (rows[i], got[i])
     assert got[100][0] == got[101][0] == ""
+
+
+def test_pii_many_matches(spark):
+    """A text of 100,000 matches takes seconds, and clashing names pass through."""
+    import time
+
+    text = " ".join(f"10.{i % 256}.{i // 256 % 256}.7" for i in range(100_000)) + " é😀 tail"
+    d = spark.createDataFrame([(1, text, "spans", 5), (2, "plain", "x", 6), (3, None, None, None)], "doc_id long, text string, spans string, _c0 int")
+    began = time.time()
+    r = {x["doc_id"]: x for x in pii.op9_pii(d).collect()}
+    assert r[1]["n_ip"] == 100_000 and r[2]["spans"] == ""
+    want = ",".join(f"ip:{m.start()}:{m.end()}" for m in FORMS["ip"].finditer(text))
+    assert r[1]["base_sha256"] == hashlib.sha256(want.encode()).hexdigest()
+    out = {x["doc_id"]: (x["text"], x["spans"], x["_c0"]) for x in pii.redact(d).collect()}
+    assert out == {1: ("<IP> " * 100_000 + "é😀 tail", "spans", 5), 2: ("plain", "x", 6), 3: (None, None, None)}
+    assert time.time() - began < 90
