@@ -11,8 +11,10 @@ where a confident pattern extracts it becomes a span of kind ``id``; so does an
 identifier-like value, if extracted once, wherever it stands.
 
 A pattern below ``min_support * min_confidence`` scored instances can't become
-confident, so a pass over the texts only gathers instances of the other patterns;
-passes after the first are made only if a round scored new instances.  Everything
+confident, nor one with far more instances than scored ones, which a sketch of
+distinct instances tells before any are shuffled; a pass over the texts only gathers
+instances of the other patterns, and passes after the first are made only if a
+round scored new instances (dropped patterns are then tried again).  Everything
 is a built-in expression.
 
 Edge cases: a null text is empty; rows without an id are treated as one more id; matches of different kinds may overlap and are
@@ -44,6 +46,10 @@ _TOKEN = rf"(?:\+[0-9]++|\([0-9]++\))(?:[\x20().-]{{1,2}}[0-9]++)*+|[0-9]{{2,}}+
 _IDENTIFIER = r"^(?=.{8})(?:[^0-9]*+[0-9]){4}"
 _OCTET = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
 KINDS = ("email", "ip", "card", "phone", "id")
+#: Rows of (pattern, number) that a broadcast may have.
+BROADCAST_ROWS = 1_000_000
+#: So few patterns are gathered without a pass that drops the hopeless ones.
+FEW_PATTERNS = 1000
 _SPANS = "array<struct<s:int,e:int,m:string>>"
 #: Keys whose assigned identifier-like value seeds the bootstrapping besides the base spans.
 SEED_KEYS = ("password", "passwd", "pwd", "token", "secret", "api_key", "api-key", "apikey", "access_token", "auth_token", "secret_key", "access_key", "client_secret", "private_key")
@@ -132,13 +138,24 @@ def _tokens(texts: DataFrame) -> DataFrame:
     return rows.withColumn("v", F.xxhash64("value"))
 
 
-def _with_patterns(tokens: DataFrame, *keep: str) -> DataFrame:
-    """A row for each pattern (its hash ``p``) of each token."""
+def _small(keys: DataFrame) -> DataFrame:
+    """``keys`` to be broadcast up to ``BROADCAST_ROWS`` (of two longs); beyond that the join shuffles."""
+    return F.broadcast(keys) if keys.count() <= BROADCAST_ROWS else keys
+
+
+def _of_value(v: Column) -> Column:
+    return F.xxhash64(F.lit("value"), v)
+
+
+def _with_patterns(tokens: DataFrame, *keep: str, values: bool = False) -> DataFrame:
+    """A row for each pattern (its hash ``p``) of each token; with ``values`` an identifier-like token is one more."""
     left = F.xxhash64(F.lower("prev"), "before")
     right = F.xxhash64("after", F.lower(F.coalesce("next", F.lit(""))))
-    t = tokens.select(*keep, left.alias("_l"), right.alias("_r"), F.xxhash64(_shape(F.col("value"))).alias("_s"))
+    own = [F.when(F.col("value").rlike(_IDENTIFIER), _of_value(F.col("v"))).alias("_v")] if values else []
+    t = tokens.select(*keep, left.alias("_l"), right.alias("_r"), F.xxhash64(_shape(F.col("value"))).alias("_s"), *own)
     kinds = [("_s",), ("_l",), ("_r",), ("_l", "_s"), ("_s", "_r"), ("_l", "_r")]
-    return t.select(*keep, F.explode(F.array(*[F.xxhash64(F.lit(k), *cols) for k, cols in enumerate(kinds)])).alias("p"))
+    keys = [F.xxhash64(F.lit(k), *cols) for k, cols in enumerate(kinds)] + [F.col("_v")] * values
+    return t.select(*keep, F.explode(F.array(*keys)).alias("p"))
 
 
 def _placed(texts: DataFrame) -> DataFrame:
@@ -193,13 +210,18 @@ def bootstrap(texts: DataFrame, seeds: DataFrame, rounds: int = 3, min_support:
             fresh = scores.join(known, "v", "left_anti").select("v")
             fresh = fresh if fresh.head(1) else None
             if fresh is not None:
-                links = links.unionByName(_with_patterns(_tokens(texts).join(F.broadcast(fresh), "v", "left_semi"), "v").select("p", "v").distinct())
+                links = links.unionByName(_with_patterns(_tokens(texts).join(_small(fresh), "v", "left_semi"), "v").select("p", "v").distinct())
                 links = materialize(links, "pii-links")
         if not i or fresh is not None:
-            able = links.groupBy("p").agg(F.count("*").alias("n")).filter(F.col("n") > min_support * min_confidence).select("p")
+            able = links.groupBy("p").agg(F.count("*").alias("n")).filter(F.col("n") > min_support * min_confidence)
             able = materialize(able if edges is None else able.join(edges.select("p").distinct(), "p", "left_anti"), "pii-able")
+            if able.count() > FEW_PATTERNS:
+                # with n scored instances of N, confidence is at most n / (N + 1); the estimate of N may be off by half
+                seen = _with_patterns(_tokens(texts), "v").join(_small(able), "p").groupBy("p").agg(F.max("n").alias("n"), F.approx_count_distinct("v", 0.1).alias("all"))
+                able = materialize(seen.filter(F.col("all") <= 2 * F.col("n") / min_confidence).select("p", "n"), "pii-able")
+            able = able.select("p")
         if not i or (fresh is not None and able.head(1)):
-            more = _with_patterns(_tokens(texts), "v").join(F.broadcast(able), "p", "left_semi").select("p", "v").distinct()
+            more = _with_patterns(_tokens(texts), "v").join(_small(able), "p", "left_semi").select("p", "v").distinct()
             edges = materialize(more if edges is None else edges.unionByName(more), "pii-graph")
         known = scores
         support = F.count("*")
@@ -225,9 +247,9 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     seeds = materialize(_with_patterns(sown.filter(F.col("covered") | assigned), "v").select("p", "v").distinct(), "pii-sown")
     patterns, values = bootstrap(texts, seeds)
     # where a confident pattern extracts a token, or an identifier-like value was extracted
-    by_pattern = _with_patterns(_tokens(texts), "doc_id", "_key", "at").join(F.broadcast(patterns), "p", "left_semi").select("doc_id", "_key", "at")
-    by_value = _tokens(texts.filter(F.col("_t").rlike("[0-9]"))).filter(F.col("value").rlike(_IDENTIFIER)).join(values, "v", "left_semi").select("doc_id", "_key", "at")
-    hits = materialize(by_pattern.unionByName(by_value).distinct(), "pii-hits")
+    wanted = materialize(patterns.unionByName(values.select(_of_value(F.col("v")).alias("p"))).distinct(), "pii-wanted")
+    hits = _with_patterns(_tokens(texts), "doc_id", "_key", "at", values=True).join(_small(wanted), "p", "left_semi")
+    hits = materialize(hits.select("doc_id", "_key", "at").distinct(), "pii-hits")
     placed = _same(hits, _placed(_same(hits.select("doc_id", "_key").distinct(), texts)), "at")
     free = _covered(placed.select("doc_id", "_key", "s", "e"), based).filter(~F.col("covered"))
     added = free.groupBy(F.col("doc_id").alias("_i"), F.col("_key").alias("_k")).agg(F.collect_set(F.struct(F.col("s"), F.lit(len(KINDS) - 1).alias("k"), F.col("e"))).alias("added"))
