@@ -43,8 +43,8 @@ def blocked(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tar
 
 
 def bucket_count(docs: DataFrame, blocks: int) -> int:
-    """As many buckets as blocks, so that both are of like size, but four a shuffle partition at most."""
-    return max(1, min(blocks, 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    """As many buckets as blocks: both grow with the bytes of all texts, so a reducer's share does not."""
+    return max(1, blocks)
 
 
 def sorted_docs(table: pa.Table) -> pa.Table:

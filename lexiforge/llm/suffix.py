@@ -35,10 +35,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .blocks import blocked, bucket_count, bucket_of, mix, sorted_docs, split_by, utf8
+from .common import tidy
 
 LENGTH = 50
 GRAM = 16
 SLICE = 20_000
+PART = 1 << 18  # bytes hashed at a time
+OFFSET_BITS = 20  # of an offset in a part; the hash has the other bits
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
 
@@ -85,35 +88,34 @@ def _slide_min(v: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(v[:-rest], v[rest:]) if rest else v
 
 
-def anchors(texts: list[bytes], length: int = LENGTH, part: int = 1 << 21) -> tuple[np.ndarray, np.ndarray, Anchors]:
-    """The stream of all texts, the start of each, and the anchors."""
+def anchors(texts: list[bytes], length: int = LENGTH, part: int = PART, keep: int = 64) -> tuple[np.ndarray, np.ndarray, Anchors]:
+    """The stream of all texts, the start of each, and the anchors.
+
+    The stream is taken in parts that overlap by a window less a byte, so long texts
+    need no more memory; a cut only splits an anchor's windows into two segments.
+    ``keep`` (for tests) shortens the hashes to so many high bits.
+    """
     sizes = np.array([len(t) for t in texts], np.int64)
     starts = np.cumsum(sizes) - sizes
     stream = np.frombuffer(b"".join(texts), np.uint8)
+    low = np.uint64((1 << OFFSET_BITS) - 1)  # the same for all parts: the choice depends on the window alone
     found: list[tuple[np.ndarray, ...]] = []
-    i = 0
-    while i < len(texts):
-        j, used = i, 0
-        while j < len(texts) and (used == 0 or used + sizes[j] <= part):
-            used += sizes[j]
-            j += 1
-        if used >= length:
-            base = starts[i]
-            data = stream[base : base + used]
-            grams = mix(PrefixHash(data).grams(GRAM))
-            bits = np.uint64(max(1, int(len(grams)).bit_length()))
-            low = (np.uint64(1) << bits) - np.uint64(1)
-            least = _slide_min((grams & ~low) | np.arange(len(grams), dtype=np.uint64), length - GRAM + 1)
-            at = (least & low).astype(np.int64)
-            doc = np.repeat(np.arange(i, j), sizes[i:j])[: len(at)]
-            whole = np.arange(len(at)) + length <= (starts[doc] + sizes[doc] - base)
-            p = np.flatnonzero(whole)
-            if len(p):
-                new = np.concatenate(([True], (at[p[1:]] != at[p[:-1]]) | (p[1:] != p[:-1] + 1)))
-                first = np.flatnonzero(new)
-                last = np.append(first[1:], len(p)) - 1
-                found.append((doc[p[first]], p[first] + base, p[last] + base, at[p[first]] + base, grams[at[p[first]]]))
-        i = j
+    for base in range(0, len(stream) - length + 1, part):
+        data = stream[base : base + part + length - 1]
+        if len(data) < length:
+            break
+        grams = mix(PrefixHash(data).grams(GRAM))
+        if keep < 64:
+            grams &= ~np.uint64((1 << (64 - keep)) - 1)
+        least = _slide_min((grams & ~low) | np.arange(len(grams), dtype=np.uint64), length - GRAM + 1)
+        at = (least & low).astype(np.int64)
+        doc = np.searchsorted(starts, base + np.arange(len(at)), "right") - 1
+        p = np.flatnonzero(base + np.arange(len(at)) + length <= starts[doc] + sizes[doc])
+        if len(p):
+            new = np.concatenate(([True], (at[p[1:]] != at[p[:-1]]) | (p[1:] != p[:-1] + 1)))
+            first = np.flatnonzero(new)
+            last = np.append(first[1:], len(p)) - 1
+            found.append((doc[p[first]], p[first] + base, p[last] + base, at[p[first]] + base, grams[at[p[first]]]))
     columns = [np.concatenate(c) for c in zip(*found, strict=True)] if found else [np.zeros(0, np.int64)] * 4 + [np.zeros(0, np.uint64)]
     return stream, starts, Anchors(*columns)
 
@@ -317,7 +319,12 @@ class Block:
 
 
 def deduplicate(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, block_bytes: int = 3_000_000) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept (the remaining bytes)."""
+    """doc_id, n_bytes, n_removed, n_spans, kept (the remaining bytes).
+
+    ``length`` is GRAM to GRAM + 63: an anchor's windows are the bits of one mask.
+    """
+    if not GRAM <= length <= GRAM + 63:
+        raise ValueError(f"length must be {GRAM} to {GRAM + 63}")
     rows, n_blocks = blocked(docs, id_col, text_col, block_bytes)
     buckets = bucket_count(docs, n_blocks)
     sent_as = "block int, bucket int, sub int, h binary, d binary, o binary, s binary, data binary"
@@ -325,6 +332,7 @@ def deduplicate(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     names = [f.split()[0] for f in sent_as.split(", ")]
 
     def rows_of(out: list[tuple]) -> pa.Table:
+        tidy()
         return pa.table([pa.array([r[k] for r in out], t) for k, t in enumerate(types)], names=names)
 
     def offer(table: pa.Table) -> pa.Table:
@@ -398,7 +406,8 @@ def deduplicate(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
                 hit = (windows > w) & ((mask >> np.uint64(w)) & np.uint64(1)).astype(bool)
                 np.add.at(edges, first[hit] + w, 1)
                 np.add.at(edges, first[hit] + w + length, -1)
-        gone = np.cumsum(edges[:-1]) > 0
+        gone = np.cumsum(edges[:-1], out=edges[:-1]) > 0
+        del edges
         out: dict[str, list] = {k: [] for k in ("doc_id", "n_bytes", "n_removed", "n_spans", "kept")}
         for doc, start, text in zip(b.table["doc_id"].to_pylist(), b.starts.tolist(), b.texts, strict=True):
             own = gone[start : start + len(text)]
@@ -408,6 +417,7 @@ def deduplicate(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
             out["n_removed"].append(removed)
             out["n_spans"].append(int(own[0]) + int((own[1:] & ~own[:-1]).sum()) if removed else 0)
             out["kept"].append(np.frombuffer(text, np.uint8)[~own].tobytes() if removed else text)
+        tidy()
         return pa.table([pa.array(v, pa.binary() if k == "kept" else pa.int64()) for k, v in out.items()], names=list(out))
 
     offered = rows.groupBy("block").applyInArrow(offer, sent_as)
