@@ -5,14 +5,15 @@ record), so equal texts are neighbours.  A size-weighted sample of keys gives
 quantile boundaries; records are range-partitioned by them, and ranges that turn
 out overfull are subdivided with splitters sampled inside them.  Exact byte and
 row prefix sums over the ranges then cut the order into shards of near equal
-bytes.  Only the sample (a parameter) and one row per range reach the driver or
-a broadcast; both are bounded by ``sample_size`` and ``ranges``.
+bytes.  Only the sample and one row per range reach the driver or a broadcast:
+about ``sample_per_range`` keys for each range of ``range_bytes``.
 
 Edge cases: a null text counts as no bytes (its record still weighs ``overhead``);
 equal texts stay in one shard unless a shard boundary falls inside the group, so
 a hot group of copies is spread over as many shards as its bytes need; identical
 rows are interchangeable; an empty table gives an empty result; extra columns
-pass through, also such with the names of the columns added (these are replaced).
+pass through, also such with the names of the columns added (these are replaced) and any others;
+one record that outweighs a range stands in a range of its own.
 """
 
 from __future__ import annotations
@@ -21,13 +22,19 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 OVERHEAD = 16
+#: Beyond a TB ranges get larger instead of more; a task sorts its range with spilling.
+MOST_RANGES = 16384
 
 
-def _sample(keyed: DataFrame, n: int) -> list[tuple[int, int, float]]:
-    """Size-weighted keys, without replacement: the ``n`` smallest of E/size, E exponential."""
-    u = (F.xxhash64("_h", "_d", F.lit(7)).cast("double") / F.lit(2.0**64)) + F.lit(0.5)
-    draw = -F.log(F.greatest(u, F.lit(1e-300))) / F.greatest(F.col("_size"), F.lit(1))
-    return [(r["_h"], r["_d"]) for r in keyed.select("_h", "_d", draw.alias("_e")).orderBy("_e", "_h", "_d").limit(n).collect()]
+def _sample(keyed: DataFrame, n: int) -> list[tuple[int, int]]:
+    """Size-weighted keys: each is drawn with a chance in proportion to its size, so about ``n`` reach the driver.
+
+    A record that weighs more than ``1 / n`` of all is drawn for sure.
+    """
+    total = keyed.agg(F.sum("size")).first()[0] or 0
+    u = (F.xxhash64("h", "d", F.lit(7)).cast("double") / F.lit(2.0**64)) + F.lit(0.5)
+    drawn = keyed.filter(u * total < F.col("size") * float(n)).select("h", "d").distinct()
+    return [(r["h"], r["d"]) for r in drawn.collect()]
 
 
 def _quantiles(keys: list[tuple[int, int]], ranges: int) -> list[tuple[int, int]]:
@@ -52,7 +59,7 @@ def _range_of(bounds: list[tuple[int, int]]) -> Column:
 
     def step(lo: Column, s: Column) -> Column:
         h, d = F.get(hs, lo + s - 1), F.get(ds, lo + s - 1)
-        below = (h < F.col("_h")) | ((h == F.col("_h")) & (d <= F.col("_d")))
+        below = (h < F.col("h")) | ((h == F.col("h")) & (d <= F.col("d")))
         return F.when(F.coalesce(below, F.lit(False)), lo + s).otherwise(lo)
 
     return F.aggregate(F.lit(steps), F.lit(0), step)
@@ -66,53 +73,54 @@ def shard(
     group: Column | None = None,
     id_col: str = "doc_id",
     text_col: str = "text",
-    sample_size: int = 8192,
-    ranges: int = 256,
+    sample_per_range: int = 16,
+    range_bytes: int = 64 << 20,
+    ranges: int | None = None,
     rounds: int = 2,
 ) -> DataFrame:
     """Adds ``size``, ``shard`` and ``slot`` (gapless from 0 in each shard) to ``records``.
 
-    Law: sizes near equal.  Shards differ by at most the largest record.
+    Law: sizes near equal.  Shards differ by at most the largest record.  The number
+    of ranges follows the bytes (``range_bytes`` each; six a shard at least).
     """
     size = size if size is not None else F.coalesce(F.octet_length(F.col(text_col)), F.lit(0)).cast("long") + OVERHEAD
     group = group if group is not None else F.xxhash64(F.col(text_col))
-    rest = [c for c in records.columns if c not in ("size", "shard", "slot")]
-    keyed = records.select(
-        *rest,
-        size.alias("_size"),
-        group.alias("_h"),
-        F.coalesce(F.col(id_col).cast("long"), F.xxhash64(F.col(id_col).cast("string"))).alias("_d"),
-    )
-    bounds = _quantiles(_sample(keyed, sample_size), ranges)
+    rest = [c for c in records.columns if c.lower() not in ("size", "shard", "slot")]
+    key = F.coalesce(F.col(id_col).cast("long"), F.xxhash64(F.col(id_col).cast("string")))
+    row = F.struct(*[F.col(c).alias(f"r{i}") for i, c in enumerate(rest)])
+    keyed = records.select(row.alias("row"), size.cast("long").alias("size"), group.alias("h"), key.alias("d"))
+    total = keyed.agg(F.sum("size")).first()[0] or 0
+    ranges = ranges or min(max(6 * shards, -(-total // range_bytes)), MOST_RANGES)
+    bounds = _quantiles(_sample(keyed, sample_per_range * ranges), ranges)
     for _ in range(rounds):
-        ranged = keyed.withColumn("_r", _range_of(bounds))
-        weights = ranged.groupBy("_r").agg(F.sum("_size").alias("b"), F.countDistinct("_h", "_d").alias("k")).collect()
-        total = sum(r["b"] for r in weights)
-        overfull = [r["_r"] for r in weights if r["b"] > 2.5 * total / ranges and r["k"] > 1]
+        ranged = keyed.select("size", "h", "d", _range_of(bounds).alias("r"))
+        weights = ranged.groupBy("r").agg(F.sum("size").alias("b"), F.min(F.struct("h", "d")).alias("lo"), F.max(F.struct("h", "d")).alias("hi")).collect()
+        overfull = [r["r"] for r in weights if r["b"] > 2.5 * total / ranges and r["lo"] != r["hi"]]
         if not overfull:
             break
-        inside = ranged.filter(F.col("_r").isin(overfull))
-        bounds = sorted({*bounds, *_quantiles(_sample(inside, sample_size), 4 * len(overfull))})
-    ranged = keyed.withColumn("_r", _range_of(bounds)).repartition("_r")
-    sums = ranged.groupBy("_r").agg(F.sum("_size").alias("b"), F.count("*").alias("n")).collect()
-    spark, at, base, total = records.sparkSession, [0, 0], [], sum(r["b"] for r in sums)
-    for r in sorted(sums, key=lambda r: r["_r"]):  # one row per range
-        base.append((r["_r"], at[0], at[1]))
+        inside = ranged.filter(F.col("r").isin(overfull))
+        bounds = sorted({*bounds, *_quantiles(_sample(inside, sample_per_range * 4 * len(overfull)), 4 * len(overfull))})
+    ranged = keyed.withColumn("r", _range_of(bounds)).repartition("r")
+    sums = ranged.groupBy("r").agg(F.sum("size").alias("b"), F.count("*").alias("n")).collect()
+    spark, at, base = records.sparkSession, [0, 0], []
+    for r in sorted(sums, key=lambda r: r["r"]):  # one row per range
+        base.append((r["r"], at[0], at[1]))
         at = [at[0] + r["b"], at[1] + r["n"]]
+    columns = [F.col(f"row.r{i}").alias(c) for i, c in enumerate(rest)]
     if not base:
-        return keyed.select(*rest, F.col("_size").alias("size"), F.lit(0).alias("shard"), F.lit(0).cast("long").alias("slot"))
-    starts = spark.createDataFrame(base, "_r int, _b long, _n long")
-    order = Window.partitionBy("_r").orderBy("_h", "_d")
+        return keyed.select(*columns, "size", F.lit(0).alias("shard"), F.lit(0).cast("long").alias("slot"))
+    starts = spark.createDataFrame(base, "r int, b long, n long")
+    order = Window.partitionBy("r").orderBy("h", "d")
     placed = (
-        ranged.withColumn("_upto", F.sum("_size").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-        .withColumn("_rank", F.row_number().over(order))
-        .join(F.broadcast(starts), "_r")  # one row per range: at most a few thousand
+        ranged.withColumn("upto", F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+        .withColumn("rank", F.row_number().over(order))
+        .join(F.broadcast(starts) if len(base) <= 100_000 else starts, "r")
     )
-    cut = F.least(F.floor((F.col("_b") + F.col("_upto") - F.col("_size")) * shards / F.lit(total)), F.lit(shards - 1))
-    placed = placed.select(*rest, "_size", cut.cast("int").alias("shard"), (F.col("_n") + F.col("_rank") - 1).alias("_g"))
-    first = placed.groupBy("shard").agg(F.min("_g").alias("_first"))
+    cut = F.least(F.floor((F.col("b") + F.col("upto") - F.col("size")) * shards / F.lit(total)), F.lit(shards - 1))
+    placed = placed.select("row", "size", cut.cast("int").alias("shard"), (F.col("n") + F.col("rank") - 1).alias("g"))
+    first = placed.groupBy("shard").agg(F.min("g").alias("first"))
     return placed.join(F.broadcast(first), "shard").select(  # one row per shard
-        *rest, F.col("_size").alias("size"), "shard", (F.col("_g") - F.col("_first")).cast("long").alias("slot")
+        *columns, "size", "shard", (F.col("g") - F.col("first")).cast("long").alias("slot")
     )
 
 
