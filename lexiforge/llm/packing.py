@@ -9,7 +9,8 @@ tightest remaining capacity, found in a segment tree indexed by capacity.
 
 Edge cases: a null text is empty (one end token); equal lengths are ordered by
 document and start; repeated rows are packed each; an empty table gives an empty
-result; extra columns are ignored.
+result; extra columns are ignored; rows without an id are dealt by their place in
+the input, so their groups, not their pieces, may differ from run to run.
 """
 
 from __future__ import annotations
@@ -23,6 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import tidied, tidy
+
 WINDOW = 1024
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, grp int"
 PACKED = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -43,16 +46,17 @@ class Encoder:
     """Ids of whole texts as little-endian 32-bit bytes, with a bounded memory of pieces.
 
     A blank before a visible character always begins a new pre-token, so a text
-    is encoded blank by blank and each distinct piece of a batch only once.
-    Strings of special tokens are ordinary text.
+    is encoded blank by blank and each distinct piece of a batch only once.  Texts
+    that hold the string of an added token are left to the public library.
     """
 
-    def __init__(self, tokenizer_path: str, end_id: int = 0, memory: int = 200_000):
+    def __init__(self, tokenizer_path: str, end_id: int = 0, memory: int = 50_000):
         import tiktoken
 
         with open(tokenizer_path, encoding="utf-8") as f:
             spec = json.load(f)
         byte_of, special = _byte_of(), {t["content"] for t in spec.get("added_tokens", ())}
+        self.path, self.special, self.library = tokenizer_path, sorted(special), None
         ranks = {bytes(byte_of[c] for c in t): i for t, i in spec["model"]["vocab"].items() if t not in special}
         self.encode = tiktoken.Encoding("byte-bpe", pat_str=PRE_TOKENS, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
         self.n_bytes = np.zeros(max(ranks.values()) + 1, "i8")
@@ -61,6 +65,13 @@ class Encoder:
         self.known: dict[str, bytes] = {}
         self.memory, self.end = memory, np.array([end_id], "<u4").tobytes()
 
+    def _by_library(self, text: str) -> bytes:
+        if self.library is None:
+            from tokenizers import Tokenizer
+
+            self.library = Tokenizer.from_file(self.path)
+        return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
     def _learn(self, new: list[str]) -> None:
         ids = np.array(self.encode(" " + " ".join(new)), "<u4")
         ends = np.cumsum([len(p.encode()) + 1 for p in new])
@@ -73,6 +84,8 @@ class Encoder:
     def batch(self, texts: list[str | None]) -> Iterator[bytes]:
         parted = [t.split(" ") if t else None for t in texts]
         plain = [p is not None and all([x and not x[0].isspace() for x in p[1:]]) for p in parted]
+        added = [bool(t) and any([x in t for x in self.special]) for t in texts]
+        plain = [ok and not a for ok, a in zip(plain, added, strict=True)]
         seen: set[str] = set()
         for parts, ok in zip(parted, plain, strict=True):
             if ok:
@@ -83,9 +96,11 @@ class Encoder:
                 new = list(seen)
             self._learn(new)
         known = self.known
-        for text, parts, ok in zip(texts, parted, plain, strict=True):
+        for text, parts, ok, a in zip(texts, parted, plain, added, strict=True):
             if not text:
                 yield self.end
+            elif a:
+                yield self._by_library(text) + self.end
             elif ok:
                 head = np.array(self.encode(parts[0]), "<u4").tobytes() if parts[0] else b""
                 yield head + b"".join([known[p] for p in parts[1:]]) + self.end
@@ -148,9 +163,11 @@ _encoders: dict[str, Encoder] = {}
 
 
 def pieces(docs: DataFrame, tokenizer_path: str, groups: int, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    @tidied
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoders.setdefault(tokenizer_path, None) or Encoder(tokenizer_path)
         _encoders[tokenizer_path] = encoder
+        encoder.known.clear()
         step = 4 * window
         for batch in (b.slice(i, 128) for b in batches for i in range(0, b.num_rows, 128)):  # words of few texts at a time
             rows = []
@@ -165,7 +182,9 @@ def pieces(docs: DataFrame, tokenizer_path: str, groups: int, window: int = WIND
                 names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "grp"],
             ) if rows else pa.RecordBatch.from_pylist([], schema=pa.schema([(n, pa.int64()) for n in ("doc_id", "start", "length", "ids_crc32", "doc_tokens")] + [("grp", pa.int32())]))
 
-    group = F.pmod(F.xxhash64(F.col(id_col), F.col(text_col)), F.lit(groups)).cast("int")
+    # rows alike (a third may have neither id nor text) are dealt by their place, which only decides the group
+    place = F.when(F.col(id_col).isNull(), F.monotonically_increasing_id())
+    group = F.pmod(F.xxhash64(F.col(id_col), F.col(text_col), place), F.lit(groups)).cast("int")
     return docs.select(F.col(id_col).cast("long"), F.col(text_col), group.alias("grp")).mapInArrow(cut, PIECES)
 
 
@@ -182,6 +201,7 @@ def pack(docs: DataFrame, tokenizer_path: str | None = None, window: int = WINDO
         order = np.lexsort((table["start"].to_numpy(), table["doc_id"].to_numpy(), -length))
         table = table.take(pa.array(order))
         bins, offsets = best_fit_decreasing(table["length"].to_pylist(), window)
+        tidy()
         first = np.int64(table["grp"][0].as_py()) << np.int64(32)
         return pa.table(
             [table[c] for c in ("doc_id", "start", "length", "ids_crc32", "doc_tokens")] + [pa.array(np.array(bins, "i8") + first), pa.array(np.array(offsets, "i8"))],
