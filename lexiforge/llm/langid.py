@@ -5,9 +5,11 @@ per-language byte-trigram models, the language that the markup or metadata
 declares, and a host prior that is smoothed hierarchically (all rows, address
 suffix, host).  Models, reliabilities of the declarations and priors are counts
 over all rows from grouped aggregation; what reaches the driver has one cell per
-language and trigram bucket (at most ``1 / MIN_SHARE`` languages).
+language and trigram bucket, and languages are codes of two or three letters.  Every
+declared language has a model, however rare; one more class, in which all trigrams
+are as likely, stands for the languages that no row declares.
 
-Edge cases: a null, blank or letterless text is rejected (``lang`` null,
+Edge cases: a declaration that is no such code is none; a text in no known language is rejected (``lang`` null); a null, blank or letterless text is rejected (``lang`` null,
 confidence 0); a missing declaration, host or suffix is no evidence; ties go to
 the alphabetically first language; repeated rows are judged each; an empty table
 gives an empty result; extra columns are ignored.
@@ -19,14 +21,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import materialize, tidy
 
 BUCKETS = 1 << 14
-#: A language is modelled if this share of the labelled rows declare it.
-MIN_SHARE = 0.005
+#: What counts as a declared language: two or three letters before any region, so there are at most 26**2 + 26**3.
+CODE = r"^\s*([a-z]{2,3})(?:[^a-z].*)?$"
+UNKNOWN = "unknown"
 #: Trigrams of a text are far from independent; their log-likelihood is tempered.
 TEMPER = 0.2
 SMOOTH = 50.0
@@ -61,27 +64,32 @@ def _chunks(batch: pa.RecordBatch, most: int = 1 << 22) -> Iterator[pa.RecordBat
 
 
 def train(docs: DataFrame) -> tuple[list[str], np.ndarray]:
-    """Languages and log-probabilities [language, bucket], from all labelled rows."""
-    share = docs.filter("declared is not null").groupBy("declared").count().withColumn("all", F.sum("count").over(Window.partitionBy()))
-    langs = sorted(r[0] for r in share.filter(F.col("count") >= F.col("all") * MIN_SHARE).select("declared").collect())
+    """Languages, the unknown one last, and log-probabilities [language, bucket], from all labelled rows."""
+    langs = sorted(r[0] for r in docs.filter("declared is not null").select("declared").distinct().collect())
     index = {v: i for i, v in enumerate(langs)}
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((len(langs), BUCKETS), "i8")
+        total: dict[int, np.ndarray] = {}  # of the languages that this task meets
         for batch in (c for b in batches for c in _chunks(b)):
             of = np.array([index.get(v, -1) for v in batch.column(0).to_pylist()], "i8")
             ids, starts, _ = _trigrams(batch.column(1).to_pylist())
             row = np.repeat(of, np.diff(np.append(starts, len(ids))))
-            for k in range(len(langs)):
-                total[k] += np.bincount(ids[row == k], minlength=BUCKETS)
-        k, b = np.nonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(k.astype("i4")), pa.array(b.astype("i4")), pa.array(total[k, b])], ["k", "b", "n"])
+            for k in np.unique(of[of >= 0]).tolist():
+                total[k] = total.get(k, 0) + np.bincount(ids[row == k], minlength=BUCKETS)
+        for k, n in total.items():
+            b = np.flatnonzero(n)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(b), k, "i4")), pa.array(b.astype("i4")), pa.array(n[b])], ["k", "b", "n"])
+        tidy()
 
     counts = np.full((max(len(langs), 1), BUCKETS), 0.5)
-    found = docs.select("declared", "text").mapInArrow(count, "k int, b int, n long").groupBy("k", "b").agg(F.sum("n").alias("n"))
+    found = docs.filter("declared is not null").select("declared", "text").mapInArrow(count, "k int, b int, n long").groupBy("k", "b").agg(F.sum("n").alias("n"))
     for r in found.toLocalIterator():
         counts[r["k"], r["b"]] += r["n"]
-    return langs, np.log(counts / counts.sum(1, keepdims=True))
+    if not langs:
+        return [], np.zeros((0, BUCKETS))
+    # a text that no model makes likelier than chance is in none of the languages
+    flat = np.full((1, BUCKETS), -np.log(BUCKETS))
+    return [*langs, UNKNOWN], np.concatenate((np.log(counts / counts.sum(1, keepdims=True)), flat))
 
 
 def text_likelihoods(docs: DataFrame, langs: list[str], model: np.ndarray) -> DataFrame:
@@ -98,6 +106,7 @@ def text_likelihoods(docs: DataFrame, langs: list[str], model: np.ndarray) -> Da
                 [batch.column(0), *batch.columns[2:], pa.ListArray.from_arrays(offsets, pa.array(ll.ravel())), pa.array(letters)],
                 ["doc_id", "declared", "host", "suffix", "ll", "letters"],
             )
+        tidy()
 
     return docs.select("doc_id", "text", "declared", "host", "suffix").mapInArrow(
         score, "doc_id long, declared string, host string, suffix string, ll array<double>, letters long"
@@ -110,7 +119,7 @@ def _evidence(docs: DataFrame, id_col: str, text_col: str, declared: Column | No
     return docs.select(
         F.col(id_col).cast("long").alias("doc_id"),
         F.col(text_col).alias("text"),
-        F.lower(pick(declared)).alias("declared"),
+        F.nullif(F.regexp_extract(F.lower(pick(declared)), CODE, 1), F.lit("")).alias("declared"),
         pick(host).alias("host"),
         pick(suffix).alias("suffix"),
     )
@@ -152,13 +161,12 @@ def identify(
     scored = materialize(scored, "langid")
 
     # reliabilities of declarations, and priors of host within suffix within all
-    tally = scored.filter("text_lang is not null").groupBy("suffix", "host", "declared", "text_lang").agg(F.count("*").alias("n")).persist()
+    tally = scored.filter("text_lang is not null").groupBy("suffix", "host", "declared", "text_lang").agg(F.count("*").alias("n"))
+    tally = materialize(tally, "langid-tally")
     sure = {(r["d"], r["t"]): r["n"] for r in tally.filter(F.col("declared").isin(langs)).groupBy(F.col("declared").alias("d"), F.col("text_lang").alias("t")).agg(F.sum("n").alias("n")).collect()}
     seen = {t: sum(sure.get((d, t), 0) for d in langs) for t in langs}
-    declared_ll = F.lit(None).cast("array<double>")
-    for d in langs:
-        ll = [float(np.log((sure.get((d, t), 0) + 1) / (seen[t] + n))) for t in langs]
-        declared_ll = F.when(F.col("declared") == d, F.lit(ll)).otherwise(declared_ll)
+    trust = [(d, [float(np.log((sure.get((d, t), 0) + 1) / (seen[t] + n))) for t in langs]) for d in langs]
+    trust = docs.sparkSession.createDataFrame(trust, "_d string, _dl array<double>")  # one row per language
     total = {r["text_lang"]: r["n"] for r in tally.groupBy("text_lang").agg(F.sum("n").alias("n")).collect()}
     prior = [(total.get(t, 0) + 1) / (sum(total.values()) + n) for t in langs]
 
@@ -175,18 +183,19 @@ def identify(
     hosts = level(["suffix", "host"]).join(by_suffix, F.col("suffix") == F.col("_s"), "left")
     hosts = hosts.select(F.col("suffix").alias("_hs"), F.col("host").alias("_h"), smooth(F.col("c"), F.coalesce("_ps", top)).alias("_ph"))
     joined = scored.join(hosts, (F.col("host") == F.col("_h")) & F.col("suffix").eqNullSafe(F.col("_hs")), "left").join(by_suffix, F.col("suffix") == F.col("_s"), "left")
+    joined = joined.join(F.broadcast(trust), F.col("declared") == F.col("_d"), "left")
     flat = F.array_repeat(F.lit(0.0), n)
     logs = F.zip_with(F.col("ll"), F.transform(F.coalesce("_ph", "_ps", top), lambda p: F.log(p)), lambda a, b: TEMPER * a + b)
-    logs = F.zip_with(logs, F.coalesce(declared_ll, flat), lambda a, b: a + b)
+    logs = F.zip_with(logs, F.coalesce("_dl", flat), lambda a, b: a + b)
     joined = joined.select("doc_id", "letters", "text_lang", logs.alias("lp"))
     weight = F.aggregate(F.transform("lp", lambda x: F.exp(x - F.array_max("lp"))), F.lit(0.0), lambda a, x: a + x)
     lettered = F.col("letters") > 0
     return joined.select(
         "doc_id",
-        F.when(lettered, best(F.col("lp"))).alias("lang"),
-        "text_lang",
+        F.nullif(F.when(lettered, best(F.col("lp"))), F.lit(UNKNOWN)).alias("lang"),
+        F.nullif(F.col("text_lang"), F.lit(UNKNOWN)).alias("text_lang"),
         F.when(lettered, 1 / weight).otherwise(0.0).alias("confidence"),
-        (lettered & (1 / weight >= min_confidence)).alias("kept"),
+        (lettered & (best(F.col("lp")) != UNKNOWN) & (1 / weight >= min_confidence)).alias("kept"),
     )
 
 
@@ -194,3 +203,10 @@ def op10_language_id(docs: DataFrame) -> DataFrame:
     """All documents: text, the declared ``lang`` and the prior of the ``source``."""
     found = identify(docs, declared=F.col("lang"), host=F.col("source"))
     return found.select("doc_id", "lang", "text_lang", F.round("confidence", 6).alias("confidence"), "kept")
+
+
+def language_of_pages(pages: DataFrame) -> DataFrame:
+    """All pages: text, the language their markup declares, host and address suffix."""
+    rows = page_evidence(pages)
+    found = identify(rows, declared=F.col("declared"), host=F.col("host"), suffix=F.col("suffix"))
+    return found.select(F.col("doc_id").alias("page_id"), "lang", "text_lang", F.round("confidence", 6).alias("confidence"), "kept")

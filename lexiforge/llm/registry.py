@@ -54,8 +54,13 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.op10_language_id(documents(spark, sf_dir))
 
 
+def language_of_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 10 on raw web pages: markup language, host and address suffix."""
+    return langid.language_of_pages(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 def queries() -> dict[str, Query]:
-    found = [op1_quality_rules, op2_lm_scoring, op3_packing, op4_license_scan, op5_sharding, op6_suffix_dedup, op7_jaccard_join, op8_decontamination, op9_pii, op10_language_id]
+    found = [op1_quality_rules, op2_lm_scoring, op3_packing, op4_license_scan, op5_sharding, op6_suffix_dedup, op7_jaccard_join, op8_decontamination, op9_pii, op10_language_id, language_of_pages]
     return {f.__name__: f for f in found}
 
 

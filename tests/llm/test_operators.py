@@ -101,12 +101,13 @@ def test_trie_is_a_distribution():
     assert trie.score([b"banana"])[0] > trie.score([b"qwrtzx"])[0]
 
 
-def test_packing(docs, empty, rows):
+def test_packing(spark, docs, empty, rows):
     public = pytest.importorskip("public_tokenizers")
     from tokenizers import Tokenizer
 
     tok = Tokenizer.from_file(public.path("byte_bpe_50k.json"))
-    tok.encode_special_tokens = True
+    rows = [*rows, (900, "a <|endoftext|> b"), (901, "<|endoftext|>"), (902, "x<|endoftext|>  y\n")]
+    docs = frame(spark, rows)
     pieces, bins = defaultdict(list), defaultdict(list)
     for r in packing.pack(docs, group_docs=16).collect():
         pieces[r["doc_id"]].append(r)
@@ -157,9 +158,11 @@ def test_sharding(docs, empty, spark, rows):
     sums = [sum(s for _, s in by.get(k, [])) for k in range(40)]
     assert max(sums) - min(sums) <= 2 * heavy
     same = spark.createDataFrame([(i, "copy") for i in range(3000)], "doc_id long, text string")  # one hot group
-    counts = [r["count"] for r in sharding.shard(same, 8, ranges=16, sample_size=256).groupBy("shard").count().collect()]
+    counts = [r["count"] for r in sharding.shard(same, 8, ranges=16).groupBy("shard").count().collect()]
     assert len(counts) == 8 and max(counts) - min(counts) <= 1
     assert sharding.op5_sharding(empty).count() == 0
+    clash = sharding.shard(spark.createDataFrame([(1, "a", 5, 6, 7)], "doc_id long, text string, _h long, row long, r long"), 2)
+    assert clash.columns == ["doc_id", "text", "_h", "row", "r", "size", "shard", "slot"] and tuple(clash.first())[2:6] == (5, 6, 7, 17)
 
 
 def brute_suffix(rows, length=50):
@@ -185,6 +188,25 @@ def test_suffix(docs, rows, block_bytes):
     assert {r["doc_id"]: tuple(r)[1:] for r in got} == brute_suffix(rows)
 
 
+def test_anchors_depend_on_the_window_alone():
+    """Equal windows have equal anchors at equal offsets, however the parts fall and however short the hashes."""
+    r = random.Random(12)
+    shared = bytes(r.choice(b"abcd") for _ in range(400))
+    texts = [bytes(r.choice(b"abcd") for _ in range(r.randint(0, 700))) + shared for _ in range(6)] + [b"short", b""]
+    for part in (100, 1000, 1 << 18):
+        for keep in (64, 26, 22):
+            stream, starts, a = suffix.anchors(texts, part=part, keep=keep)
+            seen, windows = {}, set()
+            for f, e, at in zip(a.first.tolist(), a.last.tolist(), a.at.tolist(), strict=True):
+                for w in range(f, e + 1):
+                    assert seen.setdefault(stream[w : w + 50].tobytes(), at - w) == at - w
+                    assert w not in windows
+                    windows.add(w)
+            assert len(windows) == sum(max(len(t) - 49, 0) for t in texts)
+    with pytest.raises(ValueError):
+        suffix.deduplicate(None, length=80)
+
+
 def test_suffix_edges(spark, empty):
     assert suffix.op6_suffix_dedup(empty).count() == 0
     twice = [(1, "z" * 60), (1, "z" * 60), (2, "y" + "z" * 50)]
@@ -333,7 +355,9 @@ def test_pii_base(spark, empty):
     assert pii.op9_pii(empty).count() == 0
 
 
-def test_pii_bootstrap_and_redaction(spark):
+@pytest.mark.parametrize("few", [0, 1000])
+def test_pii_bootstrap_and_redaction(spark, few, monkeypatch):
+    monkeypatch.setattr(pii, "FEW_PATTERNS", few)
     h = lambda k: hashlib.md5(str(k).encode()).hexdigest()
     rows = [(i, f"so password={h(i)} here") for i in range(40)] + [(100 + i, f'my token = "{h(i + 900)}" then {i} and word{i}') for i in range(30)] + [(200, "room 12345 of 1999 is clean"), (201, None)]
     d = frame(spark, rows)
@@ -361,6 +385,24 @@ def test_language(spark, empty):
     assert (first["declared"], first["host"], first["suffix"], first["text"].split()) == ("de", "a.b.de", "de", ["Hallo"]) and second["host"] is None
 
 
+def test_language_evidence(spark):
+    """A rare language is modelled, an undeclared one is rejected, and pages fuse markup, host and suffix."""
+    r = random.Random(5)
+    make = lambda parts: " ".join("".join(r.choice(parts) for _ in range(3)) for _ in range(60))
+    en, fi, ru = ["the", "ing", "of", "wh"], ["kka", "yö", "ää", "inen"], ["ство", "ния", "ый", "щи"]
+    rows = [(i, make(en), "en-GB", "h0", 0, 0, "", "") for i in range(400)] + [(900, make(fi), "FI", "h0", 0, 0, "", ""), (901, make(fi), None, "h0", 0, 0, "", "")]
+    rows += [(902, make(ru), None, "h0", 0, 0, "", ""), (903, make(en), "no code", "h0", 0, 0, "", "")]
+    got = {x["doc_id"]: x for x in langid.op10_language_id(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert got[900]["lang"] == got[901]["lang"] == "fi" and got[0]["lang"] == got[903]["lang"] == "en"
+    assert got[902]["lang"] is None and not got[902]["kept"]
+    page = lambda i, k, host, parts: (i, f"https://{host}/p{i}", f'<html{k}><body><p>{make(parts)}</p></body></html>')
+    both = lambda: " ".join([make(en)[:40], make(fi)[:40]])
+    pages = [page(i, ' lang="en"', f"a{i % 3}.example.com", en) for i in range(40)] + [page(100 + i, ' lang="fi"', f"b{i % 3}.example.fi", fi) for i in range(40)]
+    pages += [(200 + k, f"http://x.example.{s}/", f"<p>{both()}</p>") for k, s in enumerate(["fi", "com"])] + [(300, None, None)]
+    found = {x["page_id"]: x["lang"] for x in langid.language_of_pages(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    assert all(found[i] == "en" and found[100 + i] == "fi" for i in range(40)) and found[300] is None and len(found) == 83
+
+
 def test_licenses(spark, docs, empty):
     rows = [(1, "hay\nReleased under the MIT License.\nmore"), (2, "Licensed under CC BY-NC 4.0."), (3, "a driver's license of the city"), (4, None), (5, ""),
             (6, "This work is licensed under the GNU General Public License, version 3.\nReleased under the MIT License."), (7, "LICENSED UNDER THE APACHE LICENSE, VERSION 2.0")]

@@ -36,4 +36,4 @@ def test_like_sql(spark, name):
 
 
 def test_names():
-    assert [n.split("_")[0] for n in registry.queries()] == [f"op{k}" for k in range(1, 11)]
+    assert [n.split("_")[0] for n in registry.queries() if n.startswith("op")] == [f"op{k}" for k in range(1, 11)]
