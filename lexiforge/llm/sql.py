@@ -55,17 +55,20 @@ e AS (SELECT x, y FROM l UNION ALL SELECT y, x FROM l),
 r(a, b) AS (SELECT doc_id, doc_id FROM d UNION SELECT r.a, e.y FROM r JOIN e ON e.x = r.b)
 SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, (SELECT min(b) FROM r WHERE r.a = d.doc_id) AS component_id FROM d LEFT JOIN n USING (doc_id)"""
 
-_LEAKS = r"""WITH norm AS (SELECT 0 AS k, doc_id AS id, text FROM documents UNION ALL SELECT 1, item_id, text FROM benchmark),
-w AS (SELECT k, id, list_filter(string_split_regex(regexp_replace(lower(coalesce(text, '')), '[^\p{L}\p{N}\x20\x09-\x0D]+', '', 'g'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM norm),
-s AS (SELECT k, id, w, i - 1 AS i, array_to_string(w[i:i+4], ' ') AS g FROM (SELECT k, id, w, unnest(generate_series(1, len(w) - 4)) AS i FROM w WHERE len(w) >= 5)),
-b AS (SELECT id AS item_id, w AS bw, len(w) AS n, i AS off, g FROM s WHERE k = 1),
-win AS (SELECT DISTINCT s.id AS doc_id, greatest(s.i - off, 0) AS start, n, s.w FROM s JOIN b USING (g) WHERE s.k = 0),
-a AS (SELECT doc_id, start, n, g, count(*) AS c FROM (SELECT doc_id, start, n, x, array_to_string(x[j:j+4], ' ') AS g FROM (SELECT doc_id, start, n, x, unnest(generate_series(1, len(x) - 4)) AS j FROM (SELECT doc_id, start, n, w[start+1:start+n] AS x FROM win))) GROUP BY ALL),
-an AS (SELECT doc_id, start, n, sum(c) AS tot FROM a GROUP BY ALL),
-it AS (SELECT item_id, n, g, count(*) AS c FROM b GROUP BY ALL), itn AS (SELECT item_id, n, sum(c) AS tot FROM it GROUP BY ALL),
-p AS (SELECT doc_id, start, n, item_id, sum(least(a.c, it.c)) AS lo FROM a JOIN it USING (n, g) GROUP BY ALL),
-q AS (SELECT doc_id, item_id, start, n, lo / (an.tot + itn.tot - lo) AS sim FROM p JOIN an USING (doc_id, start, n) JOIN itn USING (item_id, n))
-SELECT doc_id, item_id, CAST(arg_max(start, (sim, -start)) AS BIGINT) AS start, CAST(any_value(n) AS BIGINT) AS n_words, round(max(sim), 6) AS similarity FROM q WHERE sim >= 0.8 GROUP BY doc_id, item_id"""
+_LEAKS = r"""WITH norm AS (SELECT 0 AS t, doc_id AS id, text FROM documents UNION ALL SELECT 1, item_id, text FROM benchmark),
+w AS (SELECT t, id, list_filter(string_split_regex(regexp_replace(lower(coalesce(text, '')), '[^\p{L}\p{N}\x20\x09-\x0D]+', '', 'g'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM norm),
+bi AS (SELECT DISTINCT id, w, len(w) AS n, least(len(w), 5) AS k FROM w WHERE t = 1 AND len(w) > 0),
+ks AS (SELECT DISTINCT k FROM bi),
+b AS (SELECT id AS item_id, w AS bw, n, k, i - 1 AS off, array_to_string(w[i:i+k-1], ' ') AS g FROM (SELECT *, unnest(generate_series(1, n - k + 1)) AS i FROM bi)),
+s AS (SELECT id, w, k, i - 1 AS i, array_to_string(w[i:i+k-1], ' ') AS g FROM (SELECT id, w, k, unnest(generate_series(1, len(w) - k + 1)) AS i FROM w, ks WHERE t = 0 AND len(w) >= k)),
+win AS (SELECT DISTINCT s.id AS doc_id, item_id, greatest(s.i - off, 0) AS start, n, k, s.w, bw FROM s JOIN b USING (k, g)),
+x AS (SELECT doc_id, item_id, start, n, k, w[start+1:start+n] AS x, bw FROM win),
+a AS (SELECT doc_id, item_id, start, n, bw, g, count(*) AS c FROM (SELECT doc_id, item_id, start, n, bw, array_to_string(x[j:j+k-1], ' ') AS g FROM (SELECT *, unnest(generate_series(1, greatest(len(x) - k + 1, 1))) AS j FROM x)) GROUP BY ALL),
+an AS (SELECT doc_id, item_id, start, n, bw, sum(c) AS tot FROM a GROUP BY ALL),
+it AS (SELECT item_id, bw, g, count(*) AS c FROM b GROUP BY ALL), itn AS (SELECT item_id, bw, sum(c) AS tot FROM it GROUP BY ALL),
+p AS (SELECT doc_id, item_id, start, n, bw, sum(least(a.c, it.c)) AS lo FROM a JOIN it USING (item_id, bw, g) GROUP BY ALL),
+q AS (SELECT doc_id, item_id, start, n, lo / (an.tot + itn.tot - lo) AS sim FROM p JOIN an USING (doc_id, item_id, start, n, bw) JOIN itn USING (item_id, bw))
+SELECT doc_id, item_id, CAST(arg_max(start, (sim, -start)) AS BIGINT) AS start, CAST(arg_max(n, (sim, -start)) AS BIGINT) AS n_words, round(max(sim), 6) AS similarity FROM q WHERE sim >= 0.8 GROUP BY doc_id, item_id"""
 
 
 def oracle_sql() -> dict[str, str]:
