@@ -16,7 +16,10 @@ counts lines that are not blank.
 Lines without any licence word have no features, so they are unknown by the
 model itself; that test is made first, on whole texts.
 
-Edge cases: null and empty texts have no paragraphs; repeated lines are found
+A paragraph that denies or asks (never, not, should ...) is unknown.
+
+Edge cases: ties of families go to the first by name of the table; rows without an
+id are scanned like others; null and empty texts have no paragraphs; repeated lines are found
 each; an empty table gives an empty result; extra columns are ignored.
 """
 
@@ -30,6 +33,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import smallest, tidied
+
 #: Key paragraphs of public licences and usual notices, by family.
 TEMPLATES = {
     "MIT": [
@@ -90,6 +95,22 @@ TEMPLATES = {
     "Unlicense": ["This is free and unencumbered software released into the public domain", "SPDX-License-Identifier: Unlicense"],
     "Proprietary": ["Copyright. All rights reserved", "All rights reserved. Unauthorized copying of this file is strictly prohibited, proprietary and confidential"],
 }
+#: Names by family, for sentences that speak of a licence without granting it.
+NAMES = {
+    "MIT": "the MIT License", "Apache-2.0": "the Apache License, Version 2.0", "GPL": "the GNU General Public License", "LGPL": "the GNU Lesser General Public License",
+    "AGPL": "the GNU Affero General Public License", "BSD": "the BSD 3-Clause License", "MPL-2.0": "the Mozilla Public License, version 2.0", "CC-BY": "a Creative Commons Attribution 4.0 International License",
+    "CC-BY-SA": "a Creative Commons Attribution-ShareAlike 4.0 International License", "CC-BY-NC": "a Creative Commons Attribution-NonCommercial 4.0 International License",
+    "CC0": "the CC0 1.0 Universal public domain dedication", "ISC": "the ISC License", "Unlicense": "the Unlicense",
+}
+DENIALS = [
+    "Never license your software under {} without asking a lawyer first", "This software is not licensed under {}", "It was never released under {}",
+    "We do not distribute this work under {}", "Should you release your program under {}?", "This program is no longer available under {}", "Nothing here is licensed under {}",
+    "The library isn't offered under {}", "That file wasn't released under {}", "Our tool doesn't come under {}", "You cannot use it under {}", "Neither part is licensed under {}",
+]
+#: Words that turn a grant into a denial or a question; the model sees them next to any licence word.
+TURNS = frozenset(b"not never no nothing neither nor without should whether unless instead".split())
+#: Stems of contracted denials count as the plain one.
+CONTRACTED = frozenset(b"isn wasn aren weren doesn don didn hasn haven cannot won".split())
 #: Prose that uses licence words without granting one.
 CONFUSERS = [
     "the driver lost his license near the public library", "a version of the general report was released in may", "work on the new software is free of trouble",
@@ -107,6 +128,7 @@ def _words(paragraph: bytes) -> list[bytes]:
 
 
 def _grams(words: list[bytes]) -> list[bytes]:
+    words = [b"not" if w in CONTRACTED else w for w in words]
     plain = [w for w in words if w.decode("utf-8", "replace") not in STOP]
     return plain + [b"%b %b" % p for p in zip(words, words[1:], strict=False) if p[0] in plain or p[1] in plain]
 
@@ -179,6 +201,8 @@ def fit(negatives: list[str] = (), epochs: int = 400, seed: int = 7) -> Model:
     rows = _variants()
     licence_words = {w for _, ws in rows for w in ws}
     rows += [(UNKNOWN, _words(t.encode())) for t in CONFUSERS] * 3
+    turned = [_words(d.format(name).encode()) for name in NAMES.values() for d in DENIALS]
+    rows += [(UNKNOWN, ws) for ws in turned] * 2
     for text in negatives:
         ws = _words(text.encode())
         if sum(w in licence_words and w.decode("utf-8", "replace") not in STOP for w in ws) < 3:
@@ -189,6 +213,9 @@ def fit(negatives: list[str] = (), epochs: int = 400, seed: int = 7) -> Model:
         if family != UNKNOWN:
             for g in _grams(ws):
                 vocabulary.setdefault(g, len(vocabulary))
+    licensed = len(vocabulary)
+    for w in sorted(TURNS):
+        vocabulary.setdefault(w, len(vocabulary))
     x = np.zeros((len(rows), len(vocabulary)), "f4")
     y = np.array([families.index(f) for f, _ in rows])
     for i, (_, ws) in enumerate(rows):
@@ -222,19 +249,22 @@ def fit(negatives: list[str] = (), epochs: int = 400, seed: int = 7) -> Model:
             counts[u] = counts.get(u, 0) + 1
     weigh = lambda text: {u: 1.0 / counts[u] for u in _words(text.encode()) if u.decode() not in STOP}
     templates = {f: [weigh(text) for text in texts] for f, texts in TEMPLATES.items()}
-    triggers = frozenset(u for g in vocabulary for u in g.split() if u.decode("utf-8", "replace") not in STOP)
+    triggers = frozenset(u for g in list(vocabulary)[:licensed] for u in g.split() if u.decode("utf-8", "replace") not in STOP)
     return Model(families, vocabulary, (w * t).astype("f8"), (b * t).astype("f8"), min(0.9, max(0.5, float(false) + 0.01)), templates, triggers)
 
 
-def scan(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", negative_rows: int = 200) -> DataFrame:
+def scan(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", negative_rows: int = 200, negative_chars: int = 4000, negative_lines: int = 5) -> DataFrame:
     """doc_id, n_paragraphs, and arrays of the paragraphs found: index, family, confidence.
 
     ``negative_rows`` bounds the sample of rows (the first by a hash of the id)
-    whose lines teach the classifier what is no licence.
+    whose lines teach the classifier what is no licence; ``negative_chars`` and
+    ``negative_lines`` bound what is taken of each.  The scan reads whole texts.
     """
-    sample = docs.select(F.substring(F.col(text_col), 1, 4000).alias("t"), F.xxhash64(F.col(id_col), F.lit(11)).alias("h")).orderBy("h").limit(negative_rows).collect()
-    model = docs.sparkSession.sparkContext.broadcast(fit([ln for r in sample if r["t"] for ln in r["t"].split("\n")[:5]]))
+    hashed = docs.select((F.xxhash64(F.col(id_col), F.lit(11)) / F.lit(2.0**64)).alias("h"), F.substring(F.col(text_col), 1, negative_chars).alias("t"))
+    lines = [ln for r in smallest(hashed, "h", negative_rows) if r["t"] for ln in r["t"].split("\n")[:negative_lines]]
+    model = docs.sparkSession.sparkContext.broadcast(fit(lines))
 
+    @tidied
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = model.value
         for batch in batches:

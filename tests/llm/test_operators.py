@@ -307,6 +307,11 @@ def test_decontamination(spark, docs, empty):
     for limit in (1_000_000, 0):  # broadcast, or shuffled on both sides
         got = {(x["doc_id"], x["item_id"], x["start"]): round(x["similarity"], 3) for x in decontaminate.leaks(frame(spark, rows), bench, broadcast_rows=limit).collect()}
         assert got == {(1, 9, 20): 1.0, (2, 9, 0): 1.0, (4, 9, 7): round(34 / 38, 3), (8, 9, 0): 1.0}
+    short = [(50, "Two  words!"), (51, "say two words now"), (52, "two other words"), (53, " ".join([*hay[:9], "two", "words", *item]))]
+    for limit in (1_000_000, 0):  # items of fewer words than a shingle are matched whole
+        more = spark.createDataFrame([(9, " ".join(item)), (10, "two words"), (11, "!"), (12, "two words")], "item_id long, text string")
+        got = {(x["doc_id"], x["item_id"], x["start"], x["similarity"]) for x in decontaminate.leaks(frame(spark, short), more, broadcast_rows=limit).collect()}
+        assert got == {(d, i, s, 1.0) for i in (10, 12) for d, s in ((50, 0), (51, 1), (53, 9))} | {(53, 9, 11, 1.0)}
     left = decontaminate.decontaminate(frame(spark, rows), bench)
     assert left.columns == docs.columns and {x["doc_id"] for x in left.collect()} == {3, 5, 6, 7}
     assert decontaminate.leaks(empty, bench).count() == 0 and decontaminate.leaks(docs, bench.filter("false")).count() == 0
@@ -476,3 +481,48 @@ def test_pii_many_matches(spark):
     out = {x["doc_id"]: (x["text"], x["spans"], x["_c0"]) for x in pii.redact(d).collect()}
     assert out == {1: ("<IP> " * 100_000 + "é😀 tail", "spans", 5), 2: ("plain", "x", 6), 3: (None, None, None)}
     assert time.time() - began < 90
+
+
+def test_licence_recall_and_denials():
+    """Held-out wordings: precision and recall of every family, and sentences that deny or ask."""
+    m = licenses.fit()
+    frames = ["Our code is distributed as follows: {}", "{} - see the file COPYING", "NOTICE {} (all files)", "/* {} */", "Unless stated otherwise: {}"]
+    hit, said, true = Counter(), Counter(), Counter()
+    for family, texts in licenses.TEMPLATES.items():
+        for t in texts:
+            for f in frames:
+                got = m.predict(licenses._words(f.format(t).encode()))[0]
+                true[family] += 1
+                said[got] += 1
+                hit[family] += got == family
+    recall = {f: hit[f] / true[f] for f in true}
+    precision = {f: hit[f] / said[f] for f in true if said[f]}
+    assert min(precision.values()) >= 0.95 and sum(hit.values()) / sum(true.values()) >= 0.9 and min(recall.values()) >= 0.7, (recall, precision)
+    denied = ["I would never put my work under {} today", "this package isn't licensed under {}", "whether to choose {} or not is up to you", "do not assume that {} applies"]
+    wrong = [d.format(n) for d in denied for n in licenses.NAMES.values() if m.predict(licenses._words(d.format(n).encode()))[0] != licenses.UNKNOWN]
+    assert len(wrong) <= 0.05 * len(denied) * len(licenses.NAMES), wrong
+
+
+def test_hamming_blocks_and_radius(spark):
+    """All pairs within the radius pass the blocks, as brute force has them; similar windows are hardly ever further away."""
+    r = random.Random(3)
+    near = []
+    for _ in range(4000):
+        a = r.getrandbits(64)
+        b = a
+        for bit in r.sample(range(64), r.randint(0, 40)):
+            b ^= 1 << bit
+        near.append((a, b))
+    signed = lambda x: x - (1 << 64) if x >> 63 else x
+    for radius in (0, 7, 15, 24):
+        rows = spark.createDataFrame([(signed(a), signed(b)) for a, b in near], "a long, b long")
+        got = [x[0] for x in rows.select(decontaminate.within(F.col("a"), F.col("b"), radius)).collect()]
+        assert got == [(a ^ b).bit_count() <= radius for a, b in near]
+    rng, far, tried = np.random.default_rng(5), 0, 0
+    for n in (14, 20, 30, 40, 60):  # words changed at both ends, where a change costs the fewest shingles
+        lost = max(k for k in range(n) if (n - 4 - k) / (n - 4 + k) >= 0.8)
+        bits = rng.integers(0, 2, (4000, n + lost, 64), dtype=np.int8)
+        one, two = (2 * bits[:, i : i + n].sum(1) > n for i in (0, lost))
+        far += int(((one != two).sum(1) > decontaminate.RADIUS).sum())
+        tried += 4000
+    assert far <= tried / 10_000, far / tried
