@@ -1,21 +1,23 @@
 """Language-model scoring by prediction by partial matching.
 
 The model is a byte-context trie of order 5: for every string of up to six bytes
-the corpus's count.  A byte is coded in the longest context known; if it has not
-followed there, an escape leads to the next shorter context, where the bytes of
-the longer one are excluded from the count.  Escapes are estimated by method D:
-half a count of each distinct successor (and what was pruned) goes to the escape.  At
-the end stands a uniform choice among the bytes not yet excluded.  Every text is
+the training texts' count, however rare.  A byte is coded in the longest context
+known; if it has not followed there, an escape leads to the next shorter context,
+where the bytes of the longer one are excluded from the count.  Escapes are
+estimated by method D: half a count of each distinct successor goes to the escape.
+At the end stands a uniform choice among the bytes not yet excluded.  Every text is
 closed by an end byte that UTF-8 never has.
 
-Training: blocks count their strings, reducers add the counts of all blocks.  The
-trie keeps strings whose share of the training bytes is at least ``MIN_SHARE``
-(and two occurrences), so it has at most ``1 / MIN_SHARE`` strings of each length,
-whatever the corpus.  Pruned successors count as escape mass.  The word base is
-exact: reducers own the counts of all words and answer each block for its words.
+The trie is never in one place.  Strings of up to three bytes are shared (256**3 at
+most, whatever the corpus).  Blocks of documents send their distinct six-byte
+strings with counts to reducers that own the contexts with certain last three
+bytes; a reducer builds these branches and answers each block with the
+log-probabilities of its own strings.  The word base is exact likewise: reducers
+own the counts of all words and answer each block for its words.
 
 Edge cases: a null or blank text has one token, its end; without training rows
-all counts are zero and the model is uniform; repeated rows are scored each;
+all counts are zero and the model is uniform; repeated rows are scored each (and
+rows that share an id are held out together); a row without an id trains;
 an empty table gives an empty result; extra columns are ignored.
 """
 
@@ -23,7 +25,7 @@ from __future__ import annotations
 
 import math
 from collections import Counter
-from dataclasses import dataclass
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -31,17 +33,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .blocks import Table, blocked, bucket_count, bucket_of, mix, sorted_docs, split_by, utf8
-from .common import materialize
+from .common import materialize, tidied, tidy
 
 ORDER = 5
-MIN_SHARE = 5e-7
+SHARED = 3  # bytes of the strings that all reducers know
 END = 255
+PART = 1 << 19
+_PAD = bytes([END]) * ORDER
 _REPLY = "kind string, block int, bucket int, keys binary, counts binary"
 
 
 def _stream(texts: list[bytes]) -> np.ndarray:
-    pad = bytes([END]) * ORDER
-    return np.frombuffer(b"".join(pad + t + pad[:1] for t in texts), np.uint8)
+    return np.frombuffer(b"".join(_PAD + t + _PAD[:1] for t in texts), np.uint8)
 
 
 def _grams(stream: np.ndarray) -> np.ndarray:
@@ -63,87 +66,87 @@ def _coded(texts: list[bytes]) -> np.ndarray:
     return np.flatnonzero(np.cumsum(flags)[:-1])
 
 
-def count_strings(texts: list[bytes]) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Distinct strings and counts, of length 1 to ORDER + 1."""
-    if not texts:
-        return [(np.zeros(0, np.uint64), np.zeros(0, np.int64))] * (ORDER + 1)
-    keys = np.sort(_grams(_stream(texts))[_coded(texts)])
-    first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
-    keys, counts = keys[first], np.diff(np.append(first, len(keys)))
-    out = [(keys, counts)]
-    for k in range(ORDER, 0, -1):
-        short, inverse = np.unique(keys & np.uint64((1 << (8 * k)) - 1), return_inverse=True)
-        keys, counts = short, np.bincount(inverse, counts, len(short)).astype(np.int64)
-        out.append((keys, counts))
-    return out[::-1]
+def count_keys(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in order and how often they occur."""
+    keys = np.sort(keys)
+    first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1]))) if len(keys) else np.zeros(0, np.int64)
+    return keys[first], np.diff(np.append(first, len(keys)))
 
 
-@dataclass
-class Trie:
-    """Per order k: strings of k + 1 bytes (sorted) with counts, contexts with what coding needs."""
+def coded_keys(texts: list[bytes]) -> np.ndarray:
+    """Each coded byte with its ORDER bytes of context as one integer."""
+    return _grams(_stream(texts))[_coded(texts)] if texts else np.zeros(0, np.uint64)
+
+
+def shorter(keys: np.ndarray, counts: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The counts of the last ``size`` bytes of strings."""
+    ends, inverse = np.unique(keys & np.uint64((1 << (8 * size)) - 1), return_inverse=True)
+    return ends, np.bincount(inverse, counts, len(ends)).astype(np.int64)
 
-    keys: list[np.ndarray]
-    log_n: list[np.ndarray]
-    contexts: list[np.ndarray]
-    log_w: list[np.ndarray]  # entered first
-    escape: list[np.ndarray]
-    log_w_below: list[np.ndarray]  # of the shorter context, entered from this one
-    chain: list[np.ndarray]  # escapes of all shorter contexts, entered from this one
-    log_uniform: float
+
+class Trie:
+    """Orders 0, 1, ... as arrays: strings with counts, contexts with what coding needs.
+
+    An order is added from all its strings that end in the contexts at hand, so a
+    reducer that owns some contexts can go on from the orders that all share.
+    """
+
+    def __init__(self) -> None:
+        self.keys: list[np.ndarray] = []
+        self.n: list[np.ndarray] = []
+        self.contexts: list[np.ndarray] = []
+        self.total: list[np.ndarray] = []  # occurrences of each context
+        self.kinds: list[np.ndarray] = []  # its distinct successors
+        self.escape: list[np.ndarray] = []  # from it, if it was entered first
+        self.log_below: list[np.ndarray] = []  # weight left in the shorter context, entered from this one
+        self.chain: list[np.ndarray] = []  # escapes of all shorter contexts, entered from this one
 
     @classmethod
-    def build(cls, nodes: list[tuple[np.ndarray, np.ndarray]], total: int, n_docs: int) -> Trie:
-        keys, ctxs, sums = [], [], []
-        log_n, log_w, escape, log_w_below, chain = [], [], [], [], []
-        for k, (ks, n) in enumerate(nodes):
-            ks, n = ks.astype(np.uint64), n.astype(np.float64)
-            order = np.argsort(ks)
-            ks, n = ks[order], n[order]
-            parent = ks >> np.uint64(8)
-            starts = np.flatnonzero(np.concatenate(([True], parent[1:] != parent[:-1]))) if len(ks) else np.zeros(0, np.int64)
-            ctx = parent[starts]
-            kept = np.add.reduceat(n, starts) if len(ks) else np.zeros(0)
-            d = np.diff(np.append(starts, len(ks))).astype(np.float64)
-            if k == 0:
-                t = np.full(len(ctx), float(total))
-                below = back = np.zeros(len(ctx))
-                w_below = np.zeros(len(ctx))
-            else:
-                at = np.searchsorted(keys[k - 1], ctx)
-                at = np.minimum(at, len(keys[k - 1]) - 1)
-                t = np.where(keys[k - 1][at] == ctx, sums[k - 1][0][at], 0.0)
-                start = ctx == np.uint64((1 << (8 * k)) - 1)  # the beginning of a text
-                t = np.maximum(np.where(start, float(n_docs), t), kept)
-                shorter = np.searchsorted(keys[k - 1], ks & np.uint64((1 << (8 * k)) - 1))
-                excluded = np.add.reduceat(sums[k - 1][0][shorter], starts) if len(ks) else np.zeros(0)
-                up = np.searchsorted(ctxs[k - 1], ctx & np.uint64((1 << (8 * (k - 1))) - 1))
-                pt, pk, pd = (a[up] for a in sums[k - 1][1:4])
-                left, fresh = np.maximum(pt - excluded, 0.0), pd - d
-                w = left
-                with np.errstate(divide="ignore", invalid="ignore"):
-                    w_below = np.where(w > 0, np.log(w), 0.0)
-                    rest = pt - pk + 0.5 * fresh
-                    below = np.where((w > 0) & (rest > 0), np.log(rest) - w_below, 0.0)
-                back = below + (chain[k - 1][up] if k > 1 else 0.0)
+    def build(cls, nodes: list[tuple[np.ndarray, np.ndarray]]) -> Trie:
+        trie = cls()
+        for keys, n in nodes:
+            trie.add(keys, n)
+        return trie
+
+    def copy(self) -> Trie:
+        other = Trie()
+        for name, value in vars(self).items():
+            setattr(other, name, list(value))
+        return other
+
+    def add(self, keys: np.ndarray, n: np.ndarray) -> None:
+        """The next order: sorted strings and their counts."""
+        k, n = len(self.keys), n.astype(np.float64)
+        parent = keys >> np.uint64(8)
+        starts = np.flatnonzero(np.concatenate(([True], parent[1:] != parent[:-1]))) if len(keys) else np.zeros(0, np.int64)
+        ctx = parent[starts]
+        total = np.add.reduceat(n, starts) if len(keys) else np.zeros(0)
+        kinds = np.diff(np.append(starts, len(keys))).astype(np.float64)
+        below, chain = np.zeros(len(ctx)), np.zeros(len(ctx))
+        if k and len(keys):
+            end = np.searchsorted(self.keys[k - 1], keys & np.uint64((1 << (8 * k)) - 1))
+            excluded = np.add.reduceat(self.n[k - 1][end], starts)
+            up = np.searchsorted(self.contexts[k - 1], ctx & np.uint64((1 << (8 * (k - 1))) - 1))
+            left, fresh = self.total[k - 1][up] - excluded, self.kinds[k - 1][up] - kinds
             with np.errstate(divide="ignore"):
-                log_w.append(np.log(t))
-                escape.append(np.log(t - kept + 0.5 * d) - np.log(t))
-            keys.append(ks)
-            ctxs.append(ctx)
-            sums.append((n, t, kept, d))
-            log_n.append(np.log(n - 0.5))
-            log_w_below.append(w_below)
-            chain.append(back)
-        distinct = len(keys[0])
-        return cls(keys, log_n, ctxs, log_w, escape, log_w_below, chain, -math.log(max(256 - distinct, 1)))
+                below = np.where(fresh > 0, np.log(left), 0.0)
+                chain = np.where(fresh > 0, np.log(0.5 * fresh) - below, 0.0) + (self.chain[k - 1][up] if k > 1 else 0.0)
+        self.keys.append(keys)
+        self.n.append(n)
+        self.contexts.append(ctx)
+        self.total.append(total)
+        self.kinds.append(kinds)
+        self.escape.append(np.log(0.5 * kinds) - np.log(total))
+        self.log_below.append(below)
+        self.chain.append(chain)
 
     def log_p(self, grams: np.ndarray) -> np.ndarray:
-        """Natural log-probability of the last byte of each (distinct) string of ORDER + 1 bytes."""
+        """Natural log-probability of the last byte of each string of ORDER + 1 bytes."""
         out = np.full(len(grams), -math.log(256.0))
         todo = np.arange(len(grams))
         entered = np.zeros(len(grams), bool)  # a longer context was there
         cost, above = np.zeros(len(grams)), np.zeros(len(grams), np.int64)
-        for k in range(ORDER, -1, -1):
+        for k in range(len(self.keys) - 1, -1, -1):
             if not len(todo) or not len(self.keys[k]):
                 continue
             g = grams[todo] & np.uint64((1 << (8 * (k + 1))) - 1)
@@ -155,33 +158,21 @@ class Trie:
             first = here & ~entered[todo]
             then = found & ~first
             i = todo[found & first]
-            out[i] = self.log_n[k][node[found & first]] - self.log_w[k][at[found & first]]
+            out[i] = np.log(self.n[k][node[found & first]] - 0.5) - np.log(self.total[k][at[found & first]])
             i = todo[then]
             if len(i):
                 a = above[i]
-                out[i] = cost[i] - self.chain[k + 1][a] + self.log_n[k][node[then]] - self.log_w_below[k + 1][a]
+                out[i] = cost[i] - self.chain[k + 1][a] + np.log(self.n[k][node[then]] - 0.5) - self.log_below[k + 1][a]
             lost = here & ~found
             i = todo[lost & first]
             cost[i] = self.escape[k][at[lost & first]] + self.chain[k][at[lost & first]]
             entered[i] = True
             above[todo[lost]] = at[lost]
             todo = todo[~found]
-        if len(todo):
-            out[todo] = np.where(entered[todo], cost[todo] + self.log_uniform, -math.log(256.0))
+        if len(todo) and len(self.keys) and len(self.keys[0]):
+            out[todo] = np.where(entered[todo], cost[todo] - math.log(max(256 - len(self.keys[0]), 1)), -math.log(256.0))
         return out
 
-    def score(self, texts: list[bytes], part: int = 1 << 20) -> np.ndarray:
-        """log10 probability of each text with its end."""
-        if not texts:
-            return np.zeros(0)
-        keys = _grams(_stream(texts))[_coded(texts)]
-        ordered = np.sort(keys)
-        ordered = ordered[np.concatenate(([True], ordered[1:] != ordered[:-1]))]
-        table, p = Table(ordered), self.log_p(ordered)
-        values = np.concatenate([p[table.find(keys[i : i + part])] for i in range(0, len(keys), part)])
-        starts = np.cumsum([0] + [len(t) + 1 for t in texts[:-1]])
-        return np.add.reduceat(values, starts) / math.log(10)
-
 
 def _deltas(ordered: np.ndarray) -> bytes:
     """Sorted keys as differences, which the shuffle compresses better."""
@@ -207,13 +198,67 @@ def _distinct(words: list[list[bytes]]) -> list[bytes]:
     return sorted(every)
 
 
-def score(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", held_out: str | None = None, min_share: float = MIN_SHARE, block_bytes: int = 6_000_000) -> DataFrame:
+def short_strings(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Strings of SHARED bytes that end at a coded byte of (text, held_out), with counts; not of held-out rows."""
+
+    @tidied
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        for batch in batches:
+            for i in range(0, batch.num_rows, 256):
+                texts = [(t or "").encode("utf-8", "replace").lower() for t in batch.column(0).slice(i, 256).to_pylist()]
+                stream = np.frombuffer(b"".join(_PAD[:SHARED - 1] + t + _PAD[:1] for t in texts), np.uint8)
+                keys = stream[SHARED - 1 :].astype(np.uint32)
+                for k in range(1, SHARED):
+                    keys |= stream[SHARED - 1 - k : len(stream) - k].astype(np.uint32) << np.uint32(8 * k)
+                ends = np.cumsum([len(t) + SHARED for t in texts])  # what ends in the next text's padding is not coded
+                coded = np.ones(len(keys), bool)
+                for k in range(SHARED - 1):
+                    coded[ends[:-1] - SHARED + 1 + k] = False
+                held.append(count_keys(keys[coded]))
+                if len(held) == 64:
+                    held = [_summed(held)]
+        if held:
+            keys, n = _summed(held)
+            for i in range(0, len(keys), 10_000):
+                yield pa.RecordBatch.from_arrays([pa.array(keys[i : i + 10_000].astype(np.int64)), pa.array(n[i : i + 10_000])], ["k", "n"])
+
+    train = rows.filter(~F.col("held_out")).select("text")
+    # at most 256 ** SHARED strings whatever the corpus, and far fewer in UTF-8
+    found = train.mapInArrow(read, "k long, n long").groupBy("k").agg(F.sum("n").alias("n")).orderBy("k").toArrow()
+    return found["k"].to_numpy().astype(np.uint64), found["n"].to_numpy().astype(np.int64)
+
+
+def _summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    keys, inverse = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
+    return keys, np.bincount(inverse, np.concatenate([n for _, n in parts]), len(keys)).astype(np.int64)
+
+
+def _owner(keys: np.ndarray, buckets: int) -> np.ndarray:
+    """The bucket of a string: by its SHARED context bytes, so all longer contexts that end so are in one."""
+    return bucket_of(mix((keys >> np.uint64(8)) & np.uint64((1 << (8 * SHARED)) - 1)), buckets)
+
+
+def score(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", held_out: str | None = None, block_bytes: int = 6_000_000) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
     spark = docs.sparkSession
     held = held_out or "crc32(cast(cast(doc_id as string) as binary)) % 5 = 1"  # an expression over doc_id
     rows, n_blocks = blocked(docs, id_col, text_col, block_bytes)
     rows = rows.withColumn("held_out", F.coalesce(F.expr(held), F.lit(False)))
     buckets = bucket_count(docs, n_blocks)
+    types = [pa.string(), pa.int32(), pa.int32(), pa.binary(), pa.binary()]
+    names = ["kind", "block", "bucket", "keys", "counts"]
+
+    def rows_of(out: list[tuple]) -> pa.Table:
+        tidy()
+        return pa.table([pa.array([r[k] for r in out], t) for k, t in enumerate(types)], names=names)
+
+    keys3, n3 = short_strings(rows)
+    lower = [(keys3, n3)]
+    for size in range(SHARED - 1, 0, -1):
+        lower.insert(0, shorter(*lower[0], size))
+    shared = spark.sparkContext.broadcast(Trie.build(lower))
+    n_docs = int(n3[(keys3 & np.uint64(255)) == END].sum())
 
     def count(table: pa.Table) -> pa.Table:
         table, texts, words = _block(table)
@@ -229,15 +274,15 @@ def score(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", he
             n = np.array([counts.get(w, 0) for w in every], np.int32)
             for b, i in split_by(bucket_of(_hash_words(every), buckets), buckets):
                 out.append(("word", block, b, b"\n".join([every[j] for j in i]), n[i].tobytes()))
-        for k, (keys, n) in enumerate(count_strings([t for t, keep in zip(texts, train, strict=True) if keep])):
-            for b, i in split_by(bucket_of(mix(keys), buckets), buckets):
-                out.append((f"gram{k}", block, b, _deltas(keys[i]), n[i].astype(np.int32).tobytes()))
-        return pa.table([pa.array(c, t) for c, t in zip(zip(*out, strict=True), [pa.string(), pa.int32(), pa.int32(), pa.binary(), pa.binary()], strict=True)], names=["kind", "block", "bucket", "keys", "counts"])
-
-    sent = rows.groupBy("block").applyInArrow(count, _REPLY)
-    known = rows.filter(~F.col("held_out")).agg(F.count("*").alias("n"), F.coalesce(F.sum(F.octet_length("text") + 1), F.lit(0)).alias("b")).first()
-    n_docs, n_bytes = known["n"], known["b"]
-    least = max(2, math.ceil(n_bytes * min_share))
+        del words, every, counts
+        mine, n_mine = count_keys(coded_keys([t for t, keep in zip(texts, train, strict=True) if keep]))
+        others, _ = count_keys(coded_keys([t for t, keep in zip(texts, train, strict=True) if not keep]))
+        keys = np.union1d(mine, others)
+        n = np.zeros(len(keys), np.int32)
+        n[np.searchsorted(keys, mine)] = n_mine
+        for b, i in split_by(_owner(keys, buckets), buckets):
+            out.append(("gram", block, b, _deltas(keys[i]), n[i].tobytes()))
+        return rows_of(out)
 
     def add(table: pa.Table) -> pa.Table:
         kind, bucket, out = table["kind"][0].as_py(), table["bucket"][0].as_py(), []
@@ -250,21 +295,24 @@ def score(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", he
             for block, keys, _ in blobs:
                 out.append(("word", block, bucket, b"", np.array([total[w] for w in keys.split(b"\n")], np.int64).tobytes()))
             out.append(("vocabulary", -1, bucket, b"", np.array([sum(1 for n in total.values() if n), sum(total.values())], np.int64).tobytes()))
-        else:
-            keys = np.concatenate([np.cumsum(np.frombuffer(k, np.uint64), dtype=np.uint64) for _, k, _ in blobs])
-            n = np.concatenate([np.frombuffer(c, np.int32) for _, _, c in blobs])
-            keys, inverse = np.unique(keys, return_inverse=True)
-            n = np.bincount(inverse, n, len(keys)).astype(np.int64)
-            keep = n >= least
-            out.append((kind, -1, bucket, keys[keep].tobytes(), n[keep].tobytes()))
-        return pa.table([pa.array(c, t) for c, t in zip(zip(*out, strict=True), [pa.string(), pa.int32(), pa.int32(), pa.binary(), pa.binary()], strict=True)], names=["kind", "block", "bucket", "keys", "counts"])
+            return rows_of(out)
+        own = [np.cumsum(np.frombuffer(k, np.uint64), dtype=np.uint64) for _, k, _ in blobs]
+        keys, inverse = np.unique(np.concatenate(own), return_inverse=True)
+        n = np.bincount(inverse, np.concatenate([np.frombuffer(c, np.int32) for _, _, c in blobs]), len(keys)).astype(np.int64)
+        nodes = [(keys[n > 0], n[n > 0])]
+        for size in range(ORDER, SHARED, -1):
+            nodes.insert(0, shorter(*nodes[0], size))
+        trie = shared.value.copy()
+        for ks, ns in nodes:
+            trie.add(ks, ns)
+        p, at = trie.log_p(keys).astype(np.float32), 0
+        for (block, _, _), k in zip(blobs, own, strict=True):
+            out.append(("gram", block, bucket, b"", p[inverse[at : at + len(k)]].tobytes()))
+            at += len(k)
+        return rows_of(out)
 
+    sent = rows.groupBy("block").applyInArrow(count, _REPLY)
     added = materialize(sent.groupBy("kind", "bucket").applyInArrow(add, _REPLY), "lm-totals")
-    nodes: list[list[tuple[np.ndarray, np.ndarray]]] = [[] for _ in range(ORDER + 1)]
-    for r in added.filter("kind like 'gram%'").toLocalIterator():  # at most 1 / min_share strings of each length
-        nodes[int(r["kind"][4:])].append((np.frombuffer(r["keys"], np.uint64), np.frombuffer(r["counts"], np.int64)))
-    joined = [(np.concatenate([a for a, _ in p] or [np.zeros(0, np.uint64)]), np.concatenate([c for _, c in p] or [np.zeros(0, np.int64)])) for p in nodes]
-    trie = spark.sparkContext.broadcast(Trie.build(joined, n_bytes, n_docs))
     vocabulary = n_words = 0
     for r in added.filter("kind = 'vocabulary'").select("counts").toLocalIterator():  # two numbers per bucket
         distinct, tokens = np.frombuffer(r["counts"], np.int64).tolist()
@@ -274,19 +322,29 @@ def score(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", he
 
     def judge(table: pa.Table, replies: pa.Table) -> pa.Table:
         table, texts, words = _block(table)
+        answer = {(k, b): c for k, b, c in zip(replies["kind"].to_pylist(), replies["bucket"].to_pylist(), replies["counts"].to_pylist(), strict=True)}
         every = _distinct(words)
         c = np.zeros(len(every) + 1, np.int64)
         if every:
-            answer = dict(zip(replies["bucket"].to_pylist(), replies["counts"].to_pylist(), strict=True))
             for b, i in split_by(bucket_of(_hash_words(every), buckets), buckets):
-                c[i] = np.frombuffer(answer[b], np.int64)
+                c[i] = np.frombuffer(answer["word", b], np.int64)
         c[-1] = n_docs
         index = {w: i for i, w in enumerate(every)}
         logs = np.log10(c + 0.5) - below
         n_tokens = np.array([len(ws) + 1 for ws in words], np.int64)
         ids = np.fromiter((i for ws in words for i in (*map(index.__getitem__, ws), len(every))), np.int64, int(n_tokens.sum()))
+        del words, every, index
         starts = np.cumsum(n_tokens) - n_tokens
-        return pa.table(
+        keys = coded_keys(texts)
+        distinct, _ = count_keys(keys)
+        p = np.zeros(len(distinct), np.float64)
+        for b, i in split_by(_owner(distinct, buckets), buckets):
+            p[i] = np.frombuffer(answer["gram", b], np.float32)
+        find, values = Table(distinct), np.zeros(len(keys))
+        for i in range(0, len(keys), PART):
+            values[i : i + PART] = p[find.find(keys[i : i + PART])]
+        first = np.cumsum([0] + [len(t) + 1 for t in texts[:-1]])
+        out = pa.table(
             {
                 "doc_id": table["doc_id"],
                 "held_out": table["held_out"],
@@ -294,11 +352,14 @@ def score(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", he
                 "n_known": np.add.reduceat((c[ids] > 0).astype(np.int64), starts),
                 "train_tokens": np.full(len(texts), n_train, np.int64),
                 "base_score": np.add.reduceat(logs[ids], starts),
-                "score": trie.value.score(texts),
+                "score": np.add.reduceat(values, first) / math.log(10),
             }
         )
+        del keys, values, ids, find
+        tidy()
+        return out
 
-    replies = added.filter("kind = 'word'").select("block", "bucket", "counts")
+    replies = added.filter("kind <> 'vocabulary'").select("kind", "block", "bucket", "counts")
     return rows.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(
         judge, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     )

@@ -90,15 +90,60 @@ def test_scoring(spark, docs, empty, rows):
     assert scoring.score(empty).count() == 0
 
 
+class PlainPPM:
+    """Prediction by partial matching with dictionaries: method D and exclusion, order 5."""
+
+    def __init__(self, texts):
+        self.follow = defaultdict(Counter)
+        for t in texts:
+            s = b"\xff" * 5 + t + b"\xff"
+            for i in range(5, len(s)):
+                for k in range(6):
+                    self.follow[s[i - k : i]][s[i]] += 1
+
+    def p(self, context, byte):
+        out, excluded = 1.0, set()
+        for k in range(5, -1, -1):
+            after = self.follow.get(context[5 - k :])
+            if not after:
+                continue
+            left = {b: n for b, n in after.items() if b not in excluded}
+            if left:
+                total = sum(left.values())
+                if byte in left:
+                    return out * (left[byte] - 0.5) / total
+                out *= 0.5 * len(left) / total
+            excluded |= set(after)
+        return out / (256 - len(excluded))
+
+    def score(self, t):
+        s = b"\xff" * 5 + t + b"\xff"
+        return sum(math.log10(self.p(s[i - 5 : i], s[i])) for i in range(5, len(s)))
+
+
+def test_score_is_that_of_plain_ppm(spark, rows):
+    """The distributed trie against dictionaries, to the precision of 32-bit logarithms."""
+    some = [r for r in rows if len(r[1] or "") < 400][:45] + [(500, None), (501, "ÀÉ zzz"), (502, "banana bandana")]
+    got = {r["doc_id"]: r for r in scoring.score(frame(spark, some).repartition(3), block_bytes=3000).collect()}
+    texts = {i: (t or "").translate(LOW).encode() for i, t in some}
+    model = PlainPPM([t for i, t in texts.items() if not got[i]["held_out"]])
+    for i, t in texts.items():
+        assert got[i]["score"] == pytest.approx(model.score(t), rel=1e-5), i
+    none = scoring.score(frame(spark, some), held_out="true").collect()
+    assert all(r["score"] == pytest.approx(-(len(texts[r["doc_id"]]) + 1) * math.log10(256), rel=1e-5) for r in none)
+
+
 def test_trie_is_a_distribution():
     texts = [t.encode() for t in ("banana bandana", "ban the banana", "a", "", "cabana")]
-    nodes = [(k[n >= 2], n[n >= 2]) for k, n in scoring.count_strings(texts)]
-    trie = scoring.Trie.build(nodes, sum(len(t) + 1 for t in texts), len(texts))
+    nodes = [scoring.count_keys(scoring.coded_keys(texts))]
+    for size in range(5, 0, -1):
+        nodes.insert(0, scoring.shorter(*nodes[0], size))
+    trie, plain = scoring.Trie.build(nodes), PlainPPM(texts)
     for context in (b"\xff" * 5, b"banan", b"zzzzz", b"\xff\xffban", b"ndana"):
         base = int.from_bytes(context, "big") << 8
         p = np.exp(trie.log_p(np.arange(256, dtype=np.uint64) + np.uint64(base)))
         assert p.sum() == pytest.approx(1.0, abs=1e-9), context
-    assert trie.score([b"banana"])[0] > trie.score([b"qwrtzx"])[0]
+        assert p == pytest.approx([plain.p(context, b) for b in range(256)])
 
 
 def test_packing(spark, docs, empty, rows):
