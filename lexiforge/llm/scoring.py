@@ -26,6 +26,7 @@ from __future__ import annotations
 import math
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -47,23 +48,25 @@ def _stream(texts: list[bytes]) -> np.ndarray:
     return np.frombuffer(b"".join(_PAD + t + _PAD[:1] for t in texts), np.uint8)
 
 
-def _grams(stream: np.ndarray) -> np.ndarray:
-    """For each byte after the first ``ORDER``: it and its context as one integer."""
-    n = len(stream) - ORDER
-    keys = np.zeros(max(n, 0), np.uint64)
-    for i in range(ORDER + 1):
-        keys = (keys << np.uint64(8)) | stream[i : i + n]
-    return keys
-
-
-def _coded(texts: list[bytes]) -> np.ndarray:
-    """Positions (in the array of _grams) of the bytes that are coded: all but the padding."""
-    sizes = np.array([len(t) + 1 for t in texts], np.int64)
-    starts = np.cumsum(sizes + ORDER) - sizes - ORDER
-    flags = np.zeros(int((sizes + ORDER).sum()) + 1 if len(texts) else 1, np.int8)
-    np.add.at(flags, starts, 1)
-    np.add.at(flags, starts + sizes, -1)
-    return np.flatnonzero(np.cumsum(flags)[:-1])
+def coded_keys(texts: list[bytes]) -> np.ndarray:
+    """Each coded byte (those of the texts and their ends) with its ORDER bytes of context as one integer."""
+    if not texts:
+        return np.zeros(0, np.uint64)
+    stream = _stream(texts)
+    sizes = np.array([len(t) + 1 + ORDER for t in texts], np.int64)
+    coded = np.ones(len(stream), bool)
+    coded[((np.cumsum(sizes) - sizes)[:, None] + np.arange(ORDER)).ravel()] = False  # the padding before each text
+    out, at = np.empty(len(stream) - ORDER * len(texts), np.uint64), 0
+    for i in range(ORDER, len(stream), 1 << 16):  # pieces that stay in the cache
+        j = min(i + (1 << 16), len(stream))
+        keys = stream[i - ORDER : j - ORDER].astype(np.uint64)
+        for k in range(ORDER - 1, -1, -1):
+            keys <<= np.uint64(8)
+            keys |= stream[i - k : j - k]
+        keys = keys[coded[i:j]]
+        out[at : at + len(keys)] = keys
+        at += len(keys)
+    return out
 
 
 def count_keys(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -73,11 +76,6 @@ def count_keys(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return keys[first], np.diff(np.append(first, len(keys)))
 
 
-def coded_keys(texts: list[bytes]) -> np.ndarray:
-    """Each coded byte with its ORDER bytes of context as one integer."""
-    return _grams(_stream(texts))[_coded(texts)] if texts else np.zeros(0, np.uint64)
-
-
 def shorter(keys: np.ndarray, counts: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     """The counts of the last ``size`` bytes of strings."""
     ends, inverse = np.unique(keys & np.uint64((1 << (8 * size)) - 1), return_inverse=True)
@@ -192,10 +190,8 @@ def _block(table: pa.Table) -> tuple[pa.Table, list[bytes], list[list[bytes]]]:
 
 
 def _distinct(words: list[list[bytes]]) -> list[bytes]:
-    every: set[bytes] = set()
-    for ws in words:
-        every.update(ws)
-    return sorted(every)
+    """In order of appearance, the same whenever a block is read."""
+    return list(dict.fromkeys(chain.from_iterable(words)))
 
 
 def short_strings(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -264,10 +260,7 @@ def score(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", he
         table, texts, words = _block(table)
         block = table["block"][0].as_py()
         train = [not h for h in table["held_out"].to_pylist()]
-        counts: Counter[bytes] = Counter()
-        for ws, t in zip(words, train, strict=True):
-            if t:
-                counts.update(ws)
+        counts = Counter(chain.from_iterable(ws for ws, t in zip(words, train, strict=True) if t))
         every = _distinct(words)
         out = []
         if every:
@@ -332,9 +325,12 @@ def score(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", he
         index = {w: i for i, w in enumerate(every)}
         logs = np.log10(c + 0.5) - below
         n_tokens = np.array([len(ws) + 1 for ws in words], np.int64)
-        ids = np.fromiter((i for ws in words for i in (*map(index.__getitem__, ws), len(every))), np.int64, int(n_tokens.sum()))
-        del words, every, index
         starts = np.cumsum(n_tokens) - n_tokens
+        ids = np.full(int(n_tokens.sum()), len(every), np.int64)  # every text closes with the end
+        inner = np.ones(len(ids), bool)
+        inner[starts + n_tokens - 1] = False
+        ids[inner] = np.fromiter(map(index.__getitem__, chain.from_iterable(words)), np.int64, len(ids) - len(words))
+        del words, every, index, inner
         keys = coded_keys(texts)
         distinct, _ = count_keys(keys)
         p = np.zeros(len(distinct), np.float64)
