@@ -176,9 +176,9 @@ def _covered(tokens: DataFrame, spans: DataFrame) -> DataFrame:
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: key, base spans, whether it may hold seeds (no text)."""
-    found = _texts(docs, id_col, text_col).select("doc_id", "_key", base_spans(F.col("_t")).alias("base"), F.col("_t").rlike(_KEYS).alias("keys"))
-    return found.select("doc_id", "_key", "base", ((F.size("base") > 0) | F.col("keys")).alias("seeds"))
+    """One row per document: key, base spans, and the text where it may hold seeds."""
+    found = _texts(docs, id_col, text_col).select("doc_id", "_key", "_t", base_spans(F.col("_t")).alias("base"))
+    return found.select("doc_id", "_key", "base", F.when((F.size("base") > 0) | F.col("_t").rlike(_KEYS), F.col("_t")).alias("_t"))
 
 
 def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -188,13 +188,17 @@ def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 def _same(rows: DataFrame, texts: DataFrame, *more: str) -> DataFrame:
     """The rows of ``texts`` whose doc_id, _key (and ``more``) are in ``rows``."""
-    rows = rows.select(F.col("doc_id").alias("_i"), F.col("_key").alias("_k"), *[F.col(c).alias(f"_{c}_") for c in more])
+    rows = _small(rows.select(F.col("doc_id").alias("_i"), F.col("_key").alias("_k"), *[F.col(c).alias(f"_{c}_") for c in more]))
     on = F.col("doc_id").eqNullSafe(F.col("_i")) & (F.col("_key") == F.col("_k"))
     for c in more:
         on = on & (F.col(c) == F.col(f"_{c}_"))
     return texts.join(rows, on, "left_semi")
 
 
+def _hopeful(min_confidence: float) -> Column:
+    return F.col("all") <= 2 * F.col("n") / min_confidence
+
+
 def bootstrap(texts: DataFrame, seeds: DataFrame, rounds: int = 3, min_support: int = 5, min_confidence: float = 0.5) -> tuple[DataFrame, DataFrame]:
     """Confident patterns (p) and scored values (v), from seeds (p, v).
 
@@ -202,7 +206,7 @@ def bootstrap(texts: DataFrame, seeds: DataFrame, rounds: int = 3, min_support:
     instances, damped for few of them, and an instance's score the largest
     confidence of its patterns; seeds keep score 1.
     """
-    links, edges, known, fresh = seeds, None, None, None
+    links, edges, sizes, known, fresh = seeds, None, None, None, None
     given = materialize(seeds.select("v").distinct().withColumn("score", F.lit(1.0)), "pii-seeds")
     scores = given
     for i in range(rounds):
@@ -215,11 +219,19 @@ def bootstrap(texts: DataFrame, seeds: DataFrame, rounds: int = 3, min_support:
         if not i or fresh is not None:
             able = links.groupBy("p").agg(F.count("*").alias("n")).filter(F.col("n") > min_support * min_confidence)
             able = materialize(able if edges is None else able.join(edges.select("p").distinct(), "p", "left_anti"), "pii-able")
-            if able.count() > FEW_PATTERNS:
-                # with n scored instances of N, confidence is at most n / (N + 1); the estimate of N may be off by half
-                seen = _with_patterns(_tokens(texts), "v").join(_small(able), "p").groupBy("p").agg(F.max("n").alias("n"), F.approx_count_distinct("v", 0.1).alias("all"))
-                able = materialize(seen.filter(F.col("all") <= 2 * F.col("n") / min_confidence).select("p", "n"), "pii-able")
-            able = able.select("p")
+            # with n scored instances of N, confidence is at most n / (N + 1); the estimate of N, made once, may be off by half
+            if sizes is not None:
+                new = able.join(sizes, "p", "left_anti")
+                able = able.join(sizes, "p").filter(_hopeful(min_confidence)).select("p", "n")
+            else:
+                new, able = able, None
+            if new.count() > FEW_PATTERNS:
+                seen = _with_patterns(_tokens(texts), "v").join(_small(new), "p").groupBy("p").agg(F.approx_count_distinct("v", 0.1).alias("all"))
+                seen = materialize(seen, "pii-sizes")
+                new = new.join(seen, "p").filter(_hopeful(min_confidence)).select("p", "n")
+                sizes = seen if sizes is None else sizes.unionByName(seen)
+            able = new if able is None else able.unionByName(new)
+            able = materialize(able.select("p"), "pii-able")
         if not i or (fresh is not None and able.head(1)):
             more = _with_patterns(_tokens(texts), "v").join(_small(able), "p", "left_semi").select("p", "v").distinct()
             edges = materialize(more if edges is None else edges.unionByName(more), "pii-graph")
@@ -242,7 +254,7 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     found = materialize(scan(docs, id_col, text_col), "pii-scan")
     texts = _texts(docs, id_col, text_col)
     based = found.filter(F.size("base") > 0).dropDuplicates(["doc_id", "_key"]).select("doc_id", "_key", F.explode("base").alias("b")).select("doc_id", "_key", "b.s", "b.e")
-    sown = _covered(_placed(_same(found.filter("seeds").select("doc_id", "_key").distinct(), texts)), based)
+    sown = _covered(_placed(found.filter("_t is not null").select("doc_id", "_key", "_t")), based)
     assigned = F.lower("prev").isin(*SEED_KEYS) & F.col("before").rlike(_ASSIGNS) & F.col("value").rlike(_IDENTIFIER)
     seeds = materialize(_with_patterns(sown.filter(F.col("covered") | assigned), "v").select("p", "v").distinct(), "pii-sown")
     patterns, values = bootstrap(texts, seeds)
