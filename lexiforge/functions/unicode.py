@@ -2,27 +2,43 @@
 
 from __future__ import annotations
 
-import re
+import sys
 import unicodedata
+from functools import cache
 
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from .text import TRANSLITERATION
 
-_TABLE = str.maketrans(TRANSLITERATION)
 
+@cache
+def _marks() -> str:
+    """Pattern of all combining characters, from the Unicode tables."""
+    found = [i for i in range(sys.maxunicode + 1) if unicodedata.combining(chr(i))]
+    starts = [i for i in found if not unicodedata.combining(chr(i - 1))]
+    ends = [i for i in found if not unicodedata.combining(chr(min(i + 1, sys.maxunicode)))]
+    return "[" + "".join(f"\\x{{{a:x}}}-\\x{{{b:x}}}" for a, b in zip(starts, ends, strict=True)) + "]+"
 
-def fold(text: str) -> str:
-    """Transliterate, decompose (NFKD), drop combining marks, collapse white space."""
-    kept = "".join(c for c in unicodedata.normalize("NFKD", text.translate(_TABLE)) if not unicodedata.combining(c))
-    return re.sub(r"\s+", " ", kept).strip()
+
+#: All that separates words, for an engine whose classes are ASCII.
+_BLANK = r"[\s\p{Z}\x0b\x1c-\x1f\x{85}]+"
+
+
+def fold(texts: pa.Array) -> pa.Array:
+    """Lookup folding of a batch: whole letters transliterated, the others decomposed and bared, blanks collapsed."""
+    for letter, plain in TRANSLITERATION.items():
+        texts = pc.replace_substring(texts, letter, plain)
+    bared = pc.replace_substring_regex(pc.utf8_normalize(texts, "NFKD"), _marks(), "")
+    return pc.utf8_trim(pc.replace_substring_regex(bared, _BLANK, " "), " ")
 
 
 @F.pandas_udf(StringType())
 def fold_lookup(s: pd.Series) -> pd.Series:
-    return s.map(fold, na_action="ignore")
+    return fold(pa.array(s, pa.string(), from_pandas=True)).to_pandas()
 
 
 @F.pandas_udf(StringType())

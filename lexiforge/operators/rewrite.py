@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexiforge.functions.text import LETTER, clean_layout, join_piece
+from lexiforge.sources.markers import HEADERS
 
 EVENT = "struct<kind:string,style:string,value:string,boundary:string>"
 LINE = "struct<marker:string,value:string>"
@@ -103,7 +104,7 @@ def attach_operators(events: DataFrame) -> DataFrame:
         return F.when(F.size(F.array_distinct(found)) == 1, F.get(found, F.lit(0))).otherwise(F.array_join(found, " "))
 
     def rewrite(a: Column) -> Column:
-        zipped = F.zip_with(a, F.slice(a, 2, 1_000_000), lambda x, y: F.struct(x.alias("e"), F.coalesce((y["kind"] == "run") & (y["style"] == "italic"), F.lit(False)).alias("next")))
+        zipped = F.zip_with(a, F.slice(a, F.lit(2), F.size(a)), lambda x, y: F.struct(x.alias("e"), F.coalesce((y["kind"] == "run") & (y["style"] == "italic"), F.lit(False)).alias("next")))
         zipped = F.filter(zipped, lambda z: z["e"].isNotNull())
         event = lambda e, v: F.struct(e["kind"].alias("kind"), e["style"].alias("style"), v.alias("value"), e["boundary"].alias("boundary"))
         start = F.struct(F.array().cast(f"array<{EVENT}>").alias("out"), F.lit("").alias("give"))
@@ -235,9 +236,10 @@ def promote_embedded_senses(lines: DataFrame) -> DataFrame:
 
 
 def sense_boundaries(lines: DataFrame) -> DataFrame:
-    """Keep root senses structural and restarts of inline forms typographic.
+    """One rising series of senses for each form; what counts inside it is set in bold.
 
-    A fold over a form's lines with four fields of state: the last structural
+    Numbers fused into runs are freed first.  A form whose first number is above 1
+    gets a first sense after its variants and homograph number.  A fold over a form's lines with four fields of state: the last structural
     sense, whether a bold form came since, whether numbering is local, and the
     last local number.
     """
@@ -276,4 +278,13 @@ def sense_boundaries(lines: DataFrame) -> DataFrame:
 
         return F.aggregate(a, start, step, lambda s: s["out"])
 
-    return _fold(lines, ["marker", "value"], rewrite)
+    def begun(a: Column) -> Column:
+        numbers = F.transform(F.filter(a, lambda x: x["marker"] == "Sense"), lambda x: x["value"].try_cast("int"))
+        # the header and the lines that describe it
+        body = F.filter(F.transform(a, lambda x, i: F.when((i > 0) & ~x["marker"].isin(*HEADERS), i)), lambda i: i.isNotNull())
+        at = F.coalesce(F.get(body, F.lit(0)), F.size(a))
+        one = F.array(F.struct(F.lit("Sense").alias("marker"), F.lit("1").alias("value")))
+        late = F.coalesce(F.get(numbers, F.lit(0)) > 1, F.lit(False))
+        return F.when(late, F.concat(F.slice(a, F.lit(1), at), one, F.slice(a, at + 1, F.size(a)))).otherwise(a)
+
+    return _fold(promote_embedded_senses(lines), ["marker", "value"], lambda a: rewrite(begun(a)))

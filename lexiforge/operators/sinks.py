@@ -56,6 +56,20 @@ def write_archive(components: DataFrame, index: dict, path: str) -> list[str]:
     return names
 
 
+def check_archive(path: str, limit: int) -> int:
+    """Reads every component back, one at a time; raises if one is no list of eight-field rows below the limit. The number of rows."""
+    n = 0
+    with zipfile.ZipFile(path) as z:
+        for info in z.infolist():
+            if not info.filename.startswith("term_bank_"):
+                continue
+            rows = json.loads(z.read(info))
+            if info.file_size >= limit or not isinstance(rows, list) or any(not isinstance(r, list) or len(r) != 8 for r in rows):
+                raise ValueError(f"{path}: {info.filename} is no valid component")
+            n += len(rows)
+    return n
+
+
 def content_hash(text: Column, normalize_lines: bool = False) -> Column:
     text = F.replace(text, F.lit("\r\n"), F.lit("\n")) if normalize_lines else text
     return F.sha2(text, 256)

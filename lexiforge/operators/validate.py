@@ -34,7 +34,12 @@ def invalid_terms(terms: DataFrame) -> DataFrame:
     return terms.filter(~F.coalesce(ok, F.lit(False)))
 
 
-def hrefs(texts: DataFrame, column: str, pattern: str = r"href=\"([^\"]*)\"") -> DataFrame:
+#: A link as compact JSON and as HTML have it.
+JSON_HREF = r"\"href\":\"((?:[^\"\\\\]|\\\\.)*)\""
+HTML_HREF = r"href=\"([^\"]*)\""
+
+
+def hrefs(texts: DataFrame, column: str, pattern: str = HTML_HREF) -> DataFrame:
     rest = [c for c in texts.columns if c != column]
     return texts.select(*rest, F.explode(F.regexp_extract_all(F.col(column), F.lit(pattern))).alias("href"))
 

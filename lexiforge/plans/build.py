@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lexiforge.functions.text import lookup_candidates
+from lexiforge.functions.unicode import nfc
 from lexiforge.operators import forms as fo
 from lexiforge.operators import groups as gr
 from lexiforge.operators import pack, render, resolve, sinks, validate
@@ -34,7 +35,7 @@ def lexicon(markers: DataFrame, tags: DataFrame, overrides: dict[str, str] | Non
     full = items.select("form_id").distinct().withColumn("has_content", F.lit(True))
     forms = cut(forms.join(full, "form_id", "left").withColumn("has_content", F.coalesce("has_content", F.lit(False))), "forms")
     items = cut(items, "items")
-    groups = cut(gr.row_groups(forms), "groups")
+    groups = cut(gr.row_groups(forms, nfc), "groups")
 
     own = groups.select("sequence", F.posexplode("form_ids").alias("f", "form_id"), F.col("root_expression").alias("root"))
     spelled = own.join(forms, "form_id").withColumn("_s", F.concat(F.array("expression"), "variants"))
@@ -87,13 +88,20 @@ def build(spark: SparkSession, markers_path: str, tags: DataFrame, out: str, nam
     terms = lex.terms.withColumn("payload", sinks.term_json(lex.terms)).withColumn("bytes", F.octet_length("payload"))
     # sequence and alias are dense and small: one ordering column
     terms = terms.withColumn("ord", F.col("sequence") * (1 << 20) + F.col("alias")).persist()
+    blank = F.lit("")
+    rows = terms.select("expression", "reading", blank.alias("definition_tags"), blank.alias("rules"), F.lit(0).alias("score"), "glossary", "sequence", blank.alias("term_tags"))
+    if wrong := validate.invalid_terms(rows).take(1):
+        raise ValueError(f"invalid term row {wrong[0]['sequence']}: {wrong[0]['expression']!r}")
     packed = pack.pack(terms, "ord", "bytes", limit).persist()
     sizes = pack.bank_sizes(packed, "bytes")
     if validate.oversized(sizes, limit).take(1):
         raise ValueError("a component exceeds the limit")
-    links = validate.hrefs(terms.select("glossary"), "glossary")
+    links = validate.hrefs(terms.select("glossary"), "glossary", validate.JSON_HREF)
     if lost := validate.dangling(links, terms).take(20):
         raise ValueError("links without destination: " + ", ".join(r["query"] for r in lost))
     members = sinks.write_archive(sinks.banks(packed, "ord", "payload"), {"title": name, "format": 3, "revision": "1"}, f"{out}/{name}.zip")
+    written = sinks.check_archive(f"{out}/{name}.zip", limit)
+    if written != (n_terms := terms.count()):
+        raise ValueError(f"{written} rows were written of {n_terms}")
     counts = resolve.report(lex.rendered).groupBy("kind").agg(F.sum("n").alias("n")).collect()
-    return {"terms": terms.count(), "groups": lex.groups.count(), "members": members} | {r["kind"]: r["n"] for r in counts}
+    return {"terms": n_terms, "groups": lex.groups.count(), "members": members} | {r["kind"]: r["n"] for r in counts}

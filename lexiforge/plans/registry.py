@@ -88,9 +88,11 @@ def page_spec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.page_selection(spark, "21-30, 70,195-236,25", 200)
 
 
-@query(r"""SELECT doc_id, regexp_matches(substr(text, 1, 1), '[IVXLCDM]') AS starts, regexp_full_match(upper(substr(text, 1, 2)), 'M{0,4}(CM|CD|D?C{0,3})(XC|XL|L?X{0,3})(IX|IV|V?I{0,3})') AS roman FROM documents""")
+@query(r"""WITH w AS (SELECT doc_id, upper(unnest(regexp_extract_all(text, '[A-Za-z]+'))) AS w FROM documents)
+SELECT doc_id, count(*) AS n, count(*) FILTER (regexp_full_match(w, 'M{0,4}(CM|CD|D?C{0,3})(XC|XL|L?X{0,3})(IX|IV|V?I{0,3})')) AS n_roman FROM w GROUP BY 1""")
 def roman_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return t(spark, sf_dir, "documents").select("doc_id", F.substring("text", 1, 1).rlike("[IVXLCDM]").alias("starts"), tx.valid_roman(F.upper(F.substring("text", 1, 2))).alias("roman"))
+    words = t(spark, sf_dir, "documents").select("doc_id", F.explode(F.regexp_extract_all("text", F.lit("[A-Za-z]+"), F.lit(0))).alias("w"))
+    return words.groupBy("doc_id").agg(F.count("*").alias("n"), F.count_if(tx.valid_roman(F.upper("w"))).alias("n_roman"))
 
 
 @query("""SELECT p_partkey, p_name AS expression, CASE WHEN p_partkey % 3 = 0 THEN 'IV' END AS homograph,
@@ -163,10 +165,10 @@ def _turns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Marker lines from conversations: a first turn is an entry, a user's a form."""
     c = t(spark, sf_dir, "conversations")
     marker = F.when(F.col("turn") == 0, "Entry").when(F.col("role") == "user", "Subentry").otherwise("Roman")
-    return c.select((F.col("conv_id") * 1000 + F.col("turn")).alias("line_no"), marker.alias("marker"), F.substring("text", 1, 20).alias("value"))
+    return c.select((F.col("conv_id") * 1000 + F.col("turn")).alias("line_no"), marker.alias("marker"), F.col("text").alias("value"))
 
 
-_TURNS = "SELECT conv_id * 1000 + turn AS line_no, CASE WHEN turn = 0 THEN 'Entry' WHEN role = 'user' THEN 'Subentry' ELSE 'Roman' END AS marker, substr(text, 1, 20) AS value FROM conversations"
+_TURNS = "SELECT conv_id * 1000 + turn AS line_no, CASE WHEN turn = 0 THEN 'Entry' WHEN role = 'user' THEN 'Subentry' ELSE 'Roman' END AS marker, text AS value FROM conversations"
 
 
 @query(f"""SELECT line_no, marker, CAST(sum(CASE WHEN marker = 'Entry' THEN 1 ELSE 0 END) OVER (ORDER BY line_no) AS BIGINT) AS entry_id,
@@ -259,7 +261,7 @@ def embedded_promotion(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sense_boundaries(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = t(spark, sf_dir, "conversations")
     value = F.when(F.col("role") == "user", F.col("turn") % 3 + 1).cast("string")
-    lines = c.select(F.col("conv_id").alias("form_id"), F.col("turn").alias("ord"), F.when(value.isNotNull(), "Sense").otherwise("Bold").alias("marker"), F.coalesce(value, F.substring("text", 1, 9)).alias("value"))
+    lines = c.select(F.col("conv_id").alias("form_id"), F.col("turn").alias("ord"), F.when(value.isNotNull(), "Sense").otherwise("Bold").alias("marker"), F.coalesce(value, F.col("text")).alias("value"))
     return rewrite.sense_boundaries(lines)
 
 
@@ -285,7 +287,7 @@ def _wraps(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, Data
     name = lambda p: F.concat(F.lit(p), F.col("item_id").cast("string"), F.lit("-"), F.col("i").cast("string"))
     pairs = b.select(
         "item_id", "i", name("a").alias("previous_line_id"), name("b").alias("next_line_id"), F.substring("s", 1, 2).alias("left_fragment"),
-        F.concat(F.substring("s", 3, 10_000), F.when(F.col("i") % 5 == 0, "x").otherwise("")).alias("right_fragment"),
+        F.concat(F.expr("substring(s, 3)"), F.when(F.col("i") % 5 == 0, "x").otherwise("")).alias("right_fragment"),
     )
     joined = F.concat("left_fragment", "right_fragment")
     res = pairs.filter("i % 10 = 0").select(
@@ -310,10 +312,10 @@ def line_wrap_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return row.select(F.explode(F.array(*[F.struct(F.lit(a).alias("action"), F.col(f"n_{a}").alias("n")) for a in names])).alias("x")).select("x.*").filter("n > 0")
 
 
-@query(f"WITH {_WRAP} SELECT pl || '|' || nl || '|' || lower(l) || '|' || replace(lower(r), 'ß', 'ss') AS resolution_key FROM a WHERE reviewed AND i % 3 <> 0")
+@query(f"WITH {_WRAP} SELECT pl || '|' || nl || '|' || lower(l) || '|' || replace(lower(r), 'ß', 'ss') AS resolution_key FROM a WHERE reviewed AND action NOT IN ('remove_hyphen', 'preserve_hyphen')")
 def unmatched_resolutions(spark: SparkSession, sf_dir: str) -> DataFrame:
     d, res, _ = _wraps(spark, sf_dir)
-    return linewrap.unmatched(res, d.filter("i % 3 = 0"))
+    return linewrap.unmatched(res, d.filter("action in ('remove_hyphen', 'preserve_hyphen')"))
 
 
 # ---- references -------------------------------------------------------------
@@ -387,7 +389,7 @@ def href_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(r"""WITH l AS (SELECT substr(unnest(regexp_extract_all(html, 'href="(/[^"]*)"', 1)), 2) AS q FROM pages), e AS (SELECT DISTINCT unnest(string_split_regex(text, '[ \n]+')) AS x FROM benchmark)
 SELECT q AS query, count(*) AS n FROM l WHERE q NOT IN (SELECT x FROM e) GROUP BY 1""")
 def link_integrity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    links = validate.hrefs(t(spark, sf_dir, "pages").select("html"), "html", r"href=\"(/[^\"]*)\"").select(F.concat(F.lit("?query="), F.substring("href", 2, 1000), F.lit("&wildcards=off")).alias("href"))
+    links = validate.hrefs(t(spark, sf_dir, "pages").select("html"), "html", r"href=\"(/[^\"]*)\"").select(F.concat(F.lit("?query="), F.expr("substring(href, 2)"), F.lit("&wildcards=off")).alias("href"))
     words = t(spark, sf_dir, "benchmark").select(F.explode(F.split("text", "[ \n]+")).alias("expression"))
     return validate.dangling(links, words)
 
@@ -418,11 +420,17 @@ def fixed_banks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack.fixed_banks(d, "k", 300).select("doc_id", "bank")
 
 
+def _all() -> None:
+    from . import reviewed  # noqa: F401  it registers its queries here
+
+
 def queries() -> dict[str, Query]:
+    _all()
     return dict(_Q)
 
 
 def oracle_sql() -> dict[str, str]:
+    _all()
     return dict(_SQL)
 
 

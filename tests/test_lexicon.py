@@ -201,3 +201,39 @@ def test_hash(spark):
     df = spark.createDataFrame([("a\r\nb", "a\nb")], "x string, y string")
     r = df.select(sinks.content_hash(F.col("x"), True), sinks.content_hash(F.col("y"))).first()
     assert r[0] == r[1]
+
+
+def test_first_sense_is_supplied(spark):
+    rows = [("Entry", "e"), ("Variant", "v"), ("Homograph", "II"), ("Roman", "x"), ("Sense", "2"), ("Sense", "3")]
+    once = rewrite.sense_boundaries(lines_of(spark, *rows))
+    assert shown(once) == [*rows[:3], ("Sense", "1"), *rows[3:]]
+    assert shown(rewrite.sense_boundaries(once)) == shown(once)
+
+
+def test_archive_is_read_back(tmp_path):
+    import zipfile
+
+    import pytest
+
+    from lexiforge.operators import sinks
+
+    def archive(text):
+        with zipfile.ZipFile(tmp_path / "a.zip", "w") as z:
+            z.writestr("index.json", "{}")
+            z.writestr("term_bank_1.json", text)
+        return str(tmp_path / "a.zip")
+
+    row = '["a","","","",0,["x"],1,""]'
+    assert sinks.check_archive(archive(f"[{row},{row}]"), 1000) == 2
+    for bad, limit in (('[["a"]]', 1000), (f"[{row}]", 10), ('{"a":1}', 1000), ("[", 1000)):
+        with pytest.raises(ValueError):
+            sinks.check_archive(archive(bad), limit)
+
+
+def test_links_of_json(spark):
+    from lexiforge.operators import validate
+
+    rows = spark.createDataFrame([('[{"tag":"a","href":"?query=b%20c&wildcards=off"},{"href":"?query=d&wildcards=off"}]',)], "g string")
+    links = validate.hrefs(rows, "g", validate.JSON_HREF)
+    assert links.count() == 2
+    assert [r["query"] for r in validate.dangling(links, spark.createDataFrame([("d",)], "expression string")).collect()] == ["b c"]
