@@ -27,6 +27,7 @@ ignored by :func:`find` and pass through :func:`redact`.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -147,14 +148,21 @@ def _of_value(v: Column) -> Column:
     return F.xxhash64(F.lit("value"), v)
 
 
-def _with_patterns(tokens: DataFrame, *keep: str, values: bool = False) -> DataFrame:
-    """A row for each pattern (its hash ``p``) of each token; with ``values`` an identifier-like token is one more."""
+def _with_patterns(tokens: DataFrame, *keep: str, values: bool = False, few: list[int] | None = None) -> DataFrame:
+    """A row for each pattern (its hash ``p``) of each token; with ``values`` an identifier-like token is one more.
+
+    Tokens without any of the ``few`` patterns may be left out.
+    """
     left = F.xxhash64(F.lower("prev"), "before")
     right = F.xxhash64("after", F.lower(F.coalesce("next", F.lit(""))))
     own = [F.when(F.col("value").rlike(_IDENTIFIER), _of_value(F.col("v"))).alias("_v")] if values else []
     t = tokens.select(*keep, left.alias("_l"), right.alias("_r"), F.xxhash64(_shape(F.col("value"))).alias("_s"), *own)
     kinds = [("_s",), ("_l",), ("_r",), ("_l", "_s"), ("_s", "_r"), ("_l", "_r")]
     keys = [F.xxhash64(F.lit(k), *cols) for k, cols in enumerate(kinds)] + [F.col("_v")] * values
+    t = t.select(*keep, *[key.alias(f"_p{i}") for i, key in enumerate(keys)])
+    keys = [F.col(f"_p{i}") for i in range(len(keys))]
+    if few is not None:
+        t = t.filter(reduce(lambda a, b: a | b, [key.isin(few) for key in keys]))
     return t.select(*keep, F.explode(F.array(*keys)).alias("p"))
 
 
@@ -226,14 +234,16 @@ def bootstrap(texts: DataFrame, seeds: DataFrame, rounds: int = 3, min_support:
             else:
                 new, able = able, None
             if new.count() > FEW_PATTERNS:
-                seen = _with_patterns(_tokens(texts), "v").join(_small(new), "p").groupBy("p").agg(F.approx_count_distinct("v", 0.1).alias("all"))
+                seen = _with_patterns(_tokens(texts), "v").join(_small(new.select("p")), "p", "left_semi").groupBy("p").agg(F.approx_count_distinct("v", 0.1).alias("all"))
                 seen = materialize(seen, "pii-sizes")
                 new = new.join(seen, "p").filter(_hopeful(min_confidence)).select("p", "n")
                 sizes = seen if sizes is None else sizes.unionByName(seen)
             able = new if able is None else able.unionByName(new)
             able = materialize(able.select("p"), "pii-able")
         if not i or (fresh is not None and able.head(1)):
-            more = _with_patterns(_tokens(texts), "v").join(_small(able), "p", "left_semi").select("p", "v").distinct()
+            first = [r["p"] for r in able.limit(FEW_PATTERNS + 1).collect()]
+            few = first if len(first) <= FEW_PATTERNS else None  # all of them
+            more = _with_patterns(_tokens(texts), "v", few=few).join(_small(able), "p", "left_semi").select("p", "v").distinct()
             edges = materialize(more if edges is None else edges.unionByName(more), "pii-graph")
         known = scores
         support = F.count("*")
