@@ -23,10 +23,10 @@ an empty table gives an empty result; extra columns are ignored.
 
 from __future__ import annotations
 
+import itertools
 import math
-from collections import Counter
+from collections import defaultdict
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .blocks import Table, blocked, bucket_count, bucket_of, mix, sorted_docs, split_by, utf8
-from .common import materialize, tidied, tidy
+from .common import materialize, tidied
 
 ORDER = 5
 SHARED = 3  # bytes of the strings that all reducers know
@@ -189,9 +189,11 @@ def _block(table: pa.Table) -> tuple[pa.Table, list[bytes], list[list[bytes]]]:
     return table, texts, [t.split() for t in texts]
 
 
-def _distinct(words: list[list[bytes]]) -> list[bytes]:
-    """In order of appearance, the same whenever a block is read."""
-    return list(dict.fromkeys(chain.from_iterable(words)))
+def _indexed(words: list[list[bytes]]) -> tuple[list[bytes], np.ndarray]:
+    """The distinct words in order of appearance, the same whenever a block is read, and each word's index."""
+    index: defaultdict[bytes, int] = defaultdict(itertools.count().__next__)
+    ids = np.fromiter(map(index.__getitem__, itertools.chain.from_iterable(words)), np.int64, sum(map(len, words)))
+    return list(index), ids
 
 
 def short_strings(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -246,7 +248,6 @@ def score(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", he
     names = ["kind", "block", "bucket", "keys", "counts"]
 
     def rows_of(out: list[tuple]) -> pa.Table:
-        tidy()
         return pa.table([pa.array([r[k] for r in out], t) for k, t in enumerate(types)], names=names)
 
     keys3, n3 = short_strings(rows)
@@ -260,14 +261,13 @@ def score(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", he
         table, texts, words = _block(table)
         block = table["block"][0].as_py()
         train = [not h for h in table["held_out"].to_pylist()]
-        counts = Counter(chain.from_iterable(ws for ws, t in zip(words, train, strict=True) if t))
-        every = _distinct(words)
+        every, ids = _indexed(words)
         out = []
         if every:
-            n = np.array([counts.get(w, 0) for w in every], np.int32)
+            n = np.bincount(ids[np.repeat(train, [len(ws) for ws in words])], minlength=len(every)).astype(np.int32)
             for b, i in split_by(bucket_of(_hash_words(every), buckets), buckets):
                 out.append(("word", block, b, b"\n".join([every[j] for j in i]), n[i].tobytes()))
-        del words, every, counts
+        del words, every, ids
         mine, n_mine = count_keys(coded_keys([t for t, keep in zip(texts, train, strict=True) if keep]))
         others, _ = count_keys(coded_keys([t for t, keep in zip(texts, train, strict=True) if not keep]))
         keys = np.union1d(mine, others)
@@ -316,21 +316,20 @@ def score(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", he
     def judge(table: pa.Table, replies: pa.Table) -> pa.Table:
         table, texts, words = _block(table)
         answer = {(k, b): c for k, b, c in zip(replies["kind"].to_pylist(), replies["bucket"].to_pylist(), replies["counts"].to_pylist(), strict=True)}
-        every = _distinct(words)
+        every, own = _indexed(words)
         c = np.zeros(len(every) + 1, np.int64)
         if every:
             for b, i in split_by(bucket_of(_hash_words(every), buckets), buckets):
                 c[i] = np.frombuffer(answer["word", b], np.int64)
         c[-1] = n_docs
-        index = {w: i for i, w in enumerate(every)}
         logs = np.log10(c + 0.5) - below
         n_tokens = np.array([len(ws) + 1 for ws in words], np.int64)
         starts = np.cumsum(n_tokens) - n_tokens
         ids = np.full(int(n_tokens.sum()), len(every), np.int64)  # every text closes with the end
         inner = np.ones(len(ids), bool)
         inner[starts + n_tokens - 1] = False
-        ids[inner] = np.fromiter(map(index.__getitem__, chain.from_iterable(words)), np.int64, len(ids) - len(words))
-        del words, every, index, inner
+        ids[inner] = own
+        del words, every, own, inner
         keys = coded_keys(texts)
         distinct, _ = count_keys(keys)
         p = np.zeros(len(distinct), np.float64)
@@ -351,8 +350,6 @@ def score(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", he
                 "score": np.add.reduceat(values, first) / math.log(10),
             }
         )
-        del keys, values, ids, find
-        tidy()
         return out
 
     replies = added.filter("kind <> 'vocabulary'").select("kind", "block", "bucket", "counts")
