@@ -11,8 +11,10 @@ where a confident pattern extracts it becomes a span of kind ``id``; so does an
 identifier-like value, if extracted once, wherever it stands.
 
 A pattern below ``min_support * min_confidence`` scored instances can't become
-confident, nor one with far more instances than scored ones, which a sketch of
-distinct instances tells before any are shuffled; a pass over the texts only gathers
+confident, nor one with far more instances than scored ones.  A sketch of distinct
+instances tells most of these before any are shuffled, from one text in
+``BOUND_TEXTS`` (by hash): what is too many there is too many in all; the others are
+counted in full.  A pass over the texts only gathers
 instances of the other patterns, and passes after the first are made only if a
 round scored new instances (dropped patterns are then tried again).  Everything
 is a built-in expression.
@@ -27,6 +29,8 @@ ignored by :func:`find` and pass through :func:`redact`.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -48,12 +52,14 @@ _OCTET = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
 KINDS = ("email", "ip", "card", "phone", "id")
 #: Rows of (pattern, number) that a broadcast may have.
 BROADCAST_ROWS = 1_000_000
-#: So few patterns are gathered without a pass that drops the hopeless ones.
-FEW_PATTERNS = 1000
+#: One text in so many bounds a pattern's instances from below, which drops most hopeless ones; no result depends on it.
+BOUND_TEXTS = 8
 _SPANS = "array<struct<s:int,e:int,m:string>>"
 #: Keys whose assigned identifier-like value seeds the bootstrapping besides the base spans.
 SEED_KEYS = ("password", "passwd", "pwd", "token", "secret", "api_key", "api-key", "apikey", "access_token", "auth_token", "secret_key", "access_key", "client_secret", "private_key")
 _KEYS = "(?i)(?:" + "|".join(SEED_KEYS) + r")[\x22']?\s*+[=:]"
+#: Parts of the keys, for a quick look before that pattern is tried.
+_KEY_PARTS = ("passw", "pwd", "token", "secret", "key")
 _ASSIGNS = r"^[\x22']?\s*[=:]\s*[\x22']?$"
 
 
@@ -178,7 +184,9 @@ def _covered(tokens: DataFrame, spans: DataFrame) -> DataFrame:
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: key, base spans, and the text where it may hold seeds."""
     found = _texts(docs, id_col, text_col).select("doc_id", "_key", "_t", base_spans(F.col("_t")).alias("base"))
-    return found.select("doc_id", "_key", "base", F.when((F.size("base") > 0) | F.col("_t").rlike(_KEYS), F.col("_t")).alias("_t"))
+    lower = F.lower("_t")
+    keyed = reduce(or_, [lower.contains(k) for k in _KEY_PARTS]) & F.col("_t").rlike(_KEYS)
+    return found.select("doc_id", "_key", "base", F.when((F.size("base") > 0) | keyed, F.col("_t")).alias("_t"))
 
 
 def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -219,15 +227,16 @@ def bootstrap(texts: DataFrame, seeds: DataFrame, rounds: int = 3, min_support:
         if not i or fresh is not None:
             able = links.groupBy("p").agg(F.count("*").alias("n")).filter(F.col("n") > min_support * min_confidence)
             able = materialize(able if edges is None else able.join(edges.select("p").distinct(), "p", "left_anti"), "pii-able")
-            # with n scored instances of N, confidence is at most n / (N + 1); the estimate of N, made once, may be off by half
+            # with n scored instances of N, confidence is at most n / (N + 1); N in some of the texts is less than in all, and its estimate, made once, may be off by half
             if sizes is not None:
                 new = able.join(sizes, "p", "left_anti")
                 able = able.join(sizes, "p").filter(_hopeful(min_confidence)).select("p", "n")
             else:
                 new, able = able, None
-            if new.count() > FEW_PATTERNS:
-                seen = _with_patterns(_tokens(texts), "v").join(_small(new.select("p")), "p", "left_semi").groupBy("p").agg(F.approx_count_distinct("v", 0.1).alias("all"))
-                seen = materialize(seen, "pii-sizes")
+            if new.head(1):
+                some = _with_patterns(_tokens(texts.filter(F.pmod("_key", F.lit(BOUND_TEXTS)) == 0)), "v")
+                seen = some.join(_small(new.select("p")), "p", "left_semi").groupBy("p").agg(F.approx_count_distinct("v", 0.1).alias("all"))
+                seen = materialize(new.select("p").join(seen, "p", "left").select("p", F.coalesce("all", F.lit(0)).alias("all")), "pii-sizes")
                 new = new.join(seen, "p").filter(_hopeful(min_confidence)).select("p", "n")
                 sizes = seen if sizes is None else sizes.unionByName(seen)
             able = new if able is None else able.unionByName(new)

@@ -405,9 +405,9 @@ def test_pii_base(spark, empty):
     assert pii.op9_pii(empty).count() == 0
 
 
-@pytest.mark.parametrize("few", [0, 1000])
-def test_pii_bootstrap_and_redaction(spark, few, monkeypatch):
-    monkeypatch.setattr(pii, "FEW_PATTERNS", few)
+@pytest.mark.parametrize("texts", [1, 8, 1000])
+def test_pii_bootstrap_and_redaction(spark, texts, monkeypatch):
+    monkeypatch.setattr(pii, "BOUND_TEXTS", texts)
     h = lambda k: hashlib.md5(str(k).encode()).hexdigest()
     rows = [(i, f"so password={h(i)} here") for i in range(40)] + [(100 + i, f'my token = "{h(i + 900)}" then {i} and word{i}') for i in range(30)] + [(200, "room 12345 of 1999 is clean"), (201, None)]
     d = frame(spark, rows)
