@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexiforge.functions.text import LETTER, casefold_latin, clean_text, expand_optional, fold_key, let, lookup_candidates, reference_base, spacing_variants
@@ -145,3 +145,19 @@ def report(rendered: DataFrame) -> DataFrame:
     done = rendered.filter("method is not null").groupBy(F.lit("resolved").alias("kind"), F.col("method").alias("name")).agg(F.count("*").alias("n"))
     lost = rendered.filter("method is null").groupBy(F.lit("unresolved").alias("kind"), clean_text(F.col("text")).alias("name")).agg(F.count("*").alias("n"))
     return done.unionAll(lost)
+
+
+def unresolved_targets(lost: DataFrame, n_examples: int = 5) -> DataFrame:
+    """(target, n, examples) of unresolved (ord, target, example): most first, then by folded name, then first seen.
+
+    Examples are a target's first distinct ones; a null one is counted but not shown,
+    and a null target is a target.
+    """
+    pairs = lost.groupBy("target", "example").agg(F.min("ord").alias("ord"), F.count("*").alias("n"))
+    totals = pairs.groupBy("target").agg(F.sum("n").alias("n"), F.min("ord").alias("ord"))
+    place = F.row_number().over(Window.partitionBy("target").orderBy("ord", "example"))
+    top = pairs.filter("example is not null").withColumn("_k", place).filter(F.col("_k") <= n_examples)
+    shown = top.groupBy(F.col("target").alias("_t")).agg(F.sort_array(F.collect_list(F.struct("_k", "example"))).alias("_x"))
+    rows = totals.join(shown, F.col("target").eqNullSafe(F.col("_t")), "left")
+    examples = F.coalesce(F.col("_x.example"), F.array().cast("array<string>"))
+    return rows.orderBy(F.desc("n"), casefold_latin(F.col("target")), "ord").select("target", "n", examples.alias("examples"))

@@ -359,6 +359,15 @@ def xref_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _cascade(spark, sf_dir)[1]
 
 
+@query("""WITH p AS (SELECT p_brand AS target, split_part(p_name, ' ', 1) AS e, min(p_partkey) AS o, count(*) AS c FROM part GROUP BY ALL),
+r AS (SELECT *, row_number() OVER (PARTITION BY target ORDER BY o) AS k FROM p)
+SELECT target, CAST(sum(c) AS BIGINT) AS n, string_agg(e, '|' ORDER BY o) FILTER (WHERE k <= 5) AS examples FROM r GROUP BY target""")
+def unresolved_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Brands as targets nothing resolves, the first words of their parts' names as examples."""
+    lost = t(spark, sf_dir, "part").select(F.col("p_partkey").alias("ord"), F.col("p_brand").alias("target"), F.substring_index("p_name", " ", 1).alias("example"))
+    return resolve.unresolved_targets(lost).withColumn("examples", F.array_join("examples", "|"))
+
+
 @query(f"WITH {_DICT} SELECT coalesce(method, 'unresolved') AS method, count(*) AS n FROM r LEFT JOIN best USING (ref_id) GROUP BY 1")
 def xref_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     refs, found = _cascade(spark, sf_dir)
