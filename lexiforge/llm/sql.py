@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from .quality import RULES, STOP_WORDS
 
 _SPACE = r"[\x20\x09-\x0D]+"
@@ -71,5 +73,43 @@ q AS (SELECT doc_id, item_id, start, n, lo / (an.tot + itn.tot - lo) AS sim FROM
 SELECT doc_id, item_id, CAST(arg_max(start, (sim, -start)) AS BIGINT) AS start, CAST(arg_max(n, (sim, -start)) AS BIGINT) AS n_words, round(max(sim), 6) AS similarity FROM q WHERE sim >= 0.8 GROUP BY doc_id, item_id"""
 
 
+#: Costs are 18 digits before the audit, so that strings compare as (cost, audit); crc32 is computed bit by bit.
+_REPAIR = r"""WITH RECURSIVE h AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS k FROM conversations),
+c AS (SELECT conv_id, turn, role, text, xor(list_reduce(list_transform(range(0, length(k) + 1), lambda i: CASE WHEN i = 0 THEN 4294967295 ELSE CAST(ascii(substr(k, i, 1)) AS BIGINT) END),
+  lambda x, y: list_reduce([xor(x, y), 0, 0, 0, 0, 0, 0, 0, 0], lambda b, z: xor(b >> 1, (b & 1) * 3988292384))), 4294967295) % 20 AS h FROM h),
+d AS (SELECT conv_id, turn, CASE WHEN h = 4 THEN 'user' ELSE role END AS role, CASE WHEN h = 1 THEN '' WHEN h = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text, unnest(range(0, CASE WHEN h = 3 THEN 2 ELSE 1 END)) AS again FROM c WHERE h <> 0),
+o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, again) AS i FROM d),
+f AS (SELECT *, left(role, 1) AS r, lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS p, NOT regexp_matches(text, '[^\x20\x09-\x0D]') AS blank,
+  row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS rep, NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') AS cut FROM o),
+g AS (SELECT conv_id, i, role, text, turn, r, p, blank OR rep AS dead, blank, rep AND NOT blank AS dup, cut AND NOT blank AND NOT rep AS cut FROM f),
+s(conv_id, i, e, s, u, a) AS (SELECT DISTINCT conv_id, CAST(0 AS BIGINT), lpad('0', 18, '0'), '9', '9', '9' FROM g
+  UNION ALL SELECT conv_id, i, de, least(ds, ks), least(du, ku, ru), least(da, ka, ra) FROM (
+    SELECT conv_id, i, COST(e, 4, 'D0') AS de, COST(s, 4, 'D1') AS ds, COST(u, 4, 'D2') AS du, COST(a, 4, 'D3') AS da,
+      CASE WHEN NOT dead AND r = 's' THEN COST(e, x, 'K1') ELSE '9' END AS ks, CASE WHEN NOT dead AND r = 'u' THEN COST(least(e, s, a), x, 'K2') ELSE '9' END AS ku,
+      CASE WHEN NOT dead THEN COST(least(e, s, a), x + 3, 'R2') ELSE '9' END AS ru, CASE WHEN NOT dead AND r = 'a' THEN COST(u, x, 'K3') ELSE '9' END AS ka, CASE WHEN NOT dead THEN COST(u, x + 3, 'R3') ELSE '9' END AS ra
+    FROM (SELECT conv_id, i, r, dead, x, e, s, u, least(a, COST(u, 3, 'I')) AS a FROM (
+      SELECT s.conv_id, g.i, g.r, g.dead, CASE WHEN g.cut THEN 3 ELSE 0 END AS x, e, s, a, least(u, COST(e, 3, 'I'), COST(s, 3, 'I'), COST(a, 3, 'I')) AS u
+      FROM s JOIN g ON g.conv_id = s.conv_id AND g.i = s.i + 1)))),
+z AS (SELECT conv_id, least(e, COST(u, 3, 'I'), COST(e, 6, 'II'), COST(s, 6, 'II'), a) AS best FROM (SELECT *, max(i) OVER (PARTITION BY conv_id) AS n FROM s) WHERE i = n),
+w AS (SELECT conv_id, CAST(left(best, 18) AS BIGINT) AS cost, substr(best, 19) AS marked FROM z),
+t AS (SELECT conv_id, unnest(regexp_extract_all(marked, '[DIKR]*[0-3]')) AS m, generate_subscripts(regexp_extract_all(marked, '[DIKR]*[0-3]'), 1) AS i FROM w),
+v AS (SELECT conv_id, i, m, CASE WHEN i = 1 THEN '0' ELSE right(lag(m) OVER (PARTITION BY conv_id ORDER BY i), 1) END AS b FROM t),
+l AS (SELECT conv_id, i, CASE WHEN m LIKE 'II%' THEN CASE WHEN b = '2' THEN ['assistant:', 'user:'] ELSE ['user:', 'assistant:'] END WHEN m LIKE 'I%' THEN CASE WHEN b = '2' THEN ['assistant:'] ELSE ['user:'] END ELSE [] END
+    || CASE WHEN m LIKE '%K_' THEN [role || ':' || text] WHEN m LIKE '%R2' THEN ['user:' || text] WHEN m LIKE '%R3' THEN ['assistant:' || text] ELSE [] END AS lines FROM v JOIN g USING (conv_id, i)
+  UNION ALL SELECT conv_id, 1000000000, CASE WHEN marked LIKE '%II' THEN ['user:', 'assistant:'] WHEN marked LIKE '%I' THEN ['assistant:'] ELSE [] END FROM w),
+b AS (SELECT conv_id, array_to_string(flatten(list(lines ORDER BY i)), chr(10)) AS body FROM l GROUP BY conv_id),
+n AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (blank) AS blank, count(*) FILTER (dup) AS duplicate, count(*) FILTER (cut) AS truncated,
+  count(*) FILTER (p IS NOT NULL AND p || r NOT IN ('su', 'ua', 'au')) AS illegal FROM g GROUP BY conv_id)
+SELECT q.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(cost, 0) AS cost,
+  coalesce(regexp_replace(marked, '[0-3]', '', 'g'), '') AS audit, sha256(coalesce(body, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) q LEFT JOIN n USING (conv_id) LEFT JOIN w USING (conv_id) LEFT JOIN b USING (conv_id)"""
+
+
+def _repair() -> str:
+    """COST(x, n, t) stands for: ``n`` more on the cost before the string ``x``, ``t`` after it; '9' is never."""
+    cost = re.compile(r"COST\(((?:[^(),]|\([^()]*\))+), ([^,]+), ('[^']*')\)")
+    return cost.sub(lambda m: f"(CASE WHEN {m[1]} = '9' THEN '9' ELSE lpad(CAST(CAST(left({m[1]}, 18) AS BIGINT) + {m[2]} AS VARCHAR), 18, '0') || substr({m[1]}, 19) || {m[3]} END)", _REPAIR)
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_quality_rules": _quality(), "op6_suffix_dedup": _SUFFIX, "op7_jaccard_join": _JACCARD, "op8_decontamination": _LEAKS}
+    return {"op1_quality_rules": _quality(), "op6_suffix_dedup": _SUFFIX, "op7_jaccard_join": _JACCARD, "op8_decontamination": _LEAKS, "op13_conversation_repair": _repair()}
