@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import conversations, decontaminate, jaccard, langid, licenses, packing, pii, quality, scoring, sharding, sql, suffix
+from . import conversations, decontaminate, jaccard, langid, licenses, packing, phrases, pii, quality, scoring, sharding, sql, substrings, suffix
 from .common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -59,12 +59,20 @@ def language_of_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.language_of_pages(spark.read.parquet(f"{sf_dir}/pages.parquet"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.op11_collocations(documents(spark, sf_dir))
+
+
+def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.op12_substring_dedup(documents(spark, sf_dir))
+
+
 def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversations.op13_conversation_repair(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
 
 
 def queries() -> dict[str, Query]:
-    found = [op1_quality_rules, op2_lm_scoring, op3_packing, op4_license_scan, op5_sharding, op6_suffix_dedup, op7_jaccard_join, op8_decontamination, op9_pii, op10_language_id, language_of_pages, op13_conversation_repair]
+    found = [op1_quality_rules, op2_lm_scoring, op3_packing, op4_license_scan, op5_sharding, op6_suffix_dedup, op7_jaccard_join, op8_decontamination, op9_pii, op10_language_id, language_of_pages, op11_collocations, op12_substring_dedup, op13_conversation_repair]
     return {f.__name__: f for f in found}
 
 

@@ -73,6 +73,27 @@ q AS (SELECT doc_id, item_id, start, n, lo / (an.tot + itn.tot - lo) AS sim FROM
 SELECT doc_id, item_id, CAST(arg_max(start, (sim, -start)) AS BIGINT) AS start, CAST(arg_max(n, (sim, -start)) AS BIGINT) AS n_words, round(max(sim), 6) AS similarity FROM q WHERE sim >= 0.8 GROUP BY doc_id, item_id"""
 
 
+_PHRASES = r"""WITH d AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS p FROM documents),
+w AS (SELECT lang, list_filter(string_split_regex(p, '[\x20\x09]+'), lambda x: x <> '') AS w FROM d),
+t AS (SELECT lang, sum(len(w)) AS n FROM w GROUP BY lang),
+g AS (SELECT lang, k, array_to_string(w[i:i+k-1], ' ') AS phrase FROM (SELECT lang, w, k, unnest(generate_series(1, len(w) - k + 1)) AS i FROM w, (SELECT unnest([1, 2, 3, 4, 5]) AS k) WHERE len(w) >= k)),
+f AS (SELECT lang, k, phrase, count(*) AS a FROM g GROUP BY ALL HAVING count(*) >= 100),
+c AS (SELECT *, string_split(phrase, ' ') AS w FROM f WHERE k >= 2),
+i AS (SELECT lang, array_to_string(w[b:b+m-1], ' ') AS phrase, max(a) AS most FROM (SELECT lang, w, a, m, unnest(generate_series(1, k - m + 1)) AS b FROM c, (SELECT unnest([2, 3, 4]) AS m) WHERE m < k) GROUP BY ALL),
+o AS (SELECT c.* FROM c LEFT JOIN i USING (lang, phrase) WHERE most IS NULL OR 100 * most < 100 * a),
+s AS (SELECT o.lang, o.phrase, o.a, x.a AS l, y.a AS r, n, j, (1000::HUGEINT * o.a * n) // (x.a::HUGEINT * y.a) AS score FROM (SELECT *, unnest(generate_series(1, k - 1)) AS j FROM o) o
+  JOIN t USING (lang) JOIN f x ON x.lang = o.lang AND x.phrase = array_to_string(o.w[1:j], ' ') JOIN f y ON y.lang = o.lang AND y.phrase = array_to_string(o.w[j+1:], ' ')),
+b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1)
+SELECT lang, rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM b) WHERE rank <= 2000"""
+
+_WINDOWS = r"""WITH d AS (SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+v AS (SELECT doc_id, i, md5(array_to_string(w[i:i+12], ' ')) AS g FROM (SELECT doc_id, w, unnest(generate_series(1, len(w) - 12)) AS i FROM d WHERE len(w) >= 13)),
+m AS (SELECT g, min(doc_id) AS first FROM v GROUP BY g HAVING min(doc_id) < max(doc_id)),
+c AS (SELECT DISTINCT doc_id, i + k AS i FROM v JOIN m USING (g), (SELECT unnest(range(13)) AS k) WHERE first < doc_id),
+t AS (SELECT doc_id, unnest(w) AS x, generate_subscripts(w, 1) AS i FROM d),
+k AS (SELECT t.doc_id, count(c.i) AS n_removed, string_agg(x, ' ' ORDER BY t.i) FILTER (c.i IS NULL) AS kept FROM t LEFT JOIN c ON c.doc_id = t.doc_id AND c.i = t.i GROUP BY t.doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM d LEFT JOIN k USING (doc_id)"""
+
 #: Costs are 18 digits before the audit, so that strings compare as (cost, audit); crc32 is computed bit by bit.
 _REPAIR = r"""WITH RECURSIVE h AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS k FROM conversations),
 c AS (SELECT conv_id, turn, role, text, xor(list_reduce(list_transform(range(0, length(k) + 1), lambda i: CASE WHEN i = 0 THEN 4294967295 ELSE CAST(ascii(substr(k, i, 1)) AS BIGINT) END),
@@ -112,4 +133,4 @@ def _repair() -> str:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_quality_rules": _quality(), "op6_suffix_dedup": _SUFFIX, "op7_jaccard_join": _JACCARD, "op8_decontamination": _LEAKS, "op13_conversation_repair": _repair()}
+    return {"op1_quality_rules": _quality(), "op6_suffix_dedup": _SUFFIX, "op7_jaccard_join": _JACCARD, "op8_decontamination": _LEAKS, "op11_collocations": _PHRASES, "op12_substring_dedup": _WINDOWS, "op13_conversation_repair": _repair()}
