@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lexiforge.functions.text import marker_parts, strip
+from lexiforge.sources.scratch import cut
 
 # The marker vocabulary and what each marker contributes.
 RUN_TYPES = {"Roman": "roman", "Italic": "italic", "Bold": "bold", "BoldItalic": "bold_italic", "SmallCaps": "small_caps", "Symbol": "symbol"}
@@ -17,10 +18,25 @@ FORM_KINDS = {"Entry": "entry", "Subentry": "subentry", "InlineSubentry": "inlin
 HEADERS = ("Variant", "Homograph")
 
 
+def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(line_no, line) of text files that are split anywhere; parts of a folder follow one another by name.
+
+    A split knows its file and where it begins, so a line's number is the count of lines in the splits before it plus its
+    place in its own: one row per split is summed in order, and no file is ever in one row or one task.
+    """
+    raw = spark.read.option("lineSep", "\n").text(path)
+    lines = raw.select(F.regexp_replace("value", "\r$", "").alias("line"), F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_from"))
+    lines = cut(lines.withColumn("_id", F.monotonically_increasing_id()), "marker-lines")
+    splits = lines.groupBy("_file", "_from").agg(F.count("*").alias("_n"), F.min("_id").alias("_first"))
+    before = Window.orderBy("_file", "_from").rowsBetween(Window.unboundedPreceding, -1)  # one row per split
+    base = splits.select(F.col("_file").alias("_f"), F.col("_from").alias("_s"), "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    placed = lines.join(F.broadcast(base), (F.col("_file") == F.col("_f")) & (F.col("_from") == F.col("_s")))
+    return placed.select((F.col("_before") + F.col("_id") - F.col("_first") + 1).alias("line_no"), "line")
+
+
 def read_markers(spark: SparkSession, path: str) -> DataFrame:
-    """(line_no, marker, value) of the non-blank lines of one document, in its own numbering."""
-    text = spark.read.text(path, wholetext=True)
-    return markers_of(text.select(F.posexplode(F.split("value", r"\r?\n")).alias("pos", "line")).select((F.col("pos") + 1).cast("long").alias("line_no"), "line"))
+    """(line_no, marker, value) of the non-blank lines of one document (a file or a folder of parts), in its own numbering."""
+    return markers_of(numbered_lines(spark, path))
 
 
 def markers_of(lines: DataFrame) -> DataFrame:
