@@ -27,12 +27,21 @@ SENSE = r"(?U)^\s*\d+\s*$"
 APPLIED = ("remove_hyphen", "preserve_hyphen")
 #: Boundary of an event that goes on its neighbour of another style without a blank.
 JOINED = "\u2060"
-_LINE = Window.partitionBy("form_id", "line_ord").orderBy("span_ord")
-_BACK = Window.partitionBy("form_id", "line_ord").orderBy(F.desc("span_ord"))
-_WHOLE = Window.partitionBy("form_id", "line_ord")
 _UPTO, _BEFORE = (Window.unboundedPreceding, 0), (Window.unboundedPreceding, -1)
 
 
+def _line() -> Window:
+    return Window.partitionBy("form_id", "line_ord").orderBy("span_ord")
+
+
+def _back() -> Window:
+    return Window.partitionBy("form_id", "line_ord").orderBy(F.desc("span_ord"))
+
+
+def _whole() -> Window:
+    return Window.partitionBy("form_id", "line_ord")
+
+
 def shown(c: Column) -> Column:
     return F.regexp_replace(c, r"(?U)\s", "") != ""
 
@@ -45,13 +54,13 @@ def _italic(c: Column) -> Column:
     return c.isin("italic", "bold_italic")
 
 
-def _previous(fields: list[str], frame: Window = _LINE) -> Column:
+def _previous(fields: list[str], frame: Window | None = None) -> Column:
     """The nearest span before that is not blank."""
-    return F.last(F.when(F.col("_shown"), F.struct(*fields)), ignorenulls=True).over(frame.rowsBetween(*_BEFORE))
+    return F.last(F.when(F.col("_shown"), F.struct(*fields)), ignorenulls=True).over((frame or _line()).rowsBetween(*_BEFORE))
 
 
 def _next(fields: list[str]) -> Column:
-    return F.last(F.when(F.col("_shown"), F.struct(*fields)), ignorenulls=True).over(_BACK.rowsBetween(*_BEFORE))
+    return F.last(F.when(F.col("_shown"), F.struct(*fields)), ignorenulls=True).over(_back().rowsBetween(*_BEFORE))
 
 
 def _prepared(spans: DataFrame) -> DataFrame:
@@ -67,7 +76,7 @@ def mark_zones(spans: DataFrame) -> DataFrame:
     """
     rows = _prepared(spans).withColumn("_bold", F.col("_shown") & _bold(F.col("style")))
     rows = rows.withColumn("_number", F.col("clean_text").rlike(SENSE)).withColumn("_after", _next(["_bold", "_number", "clean_text"]))
-    start = F.min(F.when(F.col("_bold"), F.col("span_ord"))).over(_WHOLE)
+    start = F.min(F.when(F.col("_bold"), F.col("span_ord"))).over(_whole())
     word = strip(F.col("_after.clean_text"))
     joins = strip(F.col("clean_text")).rlike(r"^[./'’\-]+$")
     roman = word.rlike("^[IVXLCDM]+$") & valid_roman(word)
@@ -75,9 +84,9 @@ def mark_zones(spans: DataFrame) -> DataFrame:
     accepted = (F.col("_bold") & ~F.col("_number")) | F.coalesce(bridge, F.lit(False))
     rows = rows.withColumn("_start", start)
     wrong = F.col("_shown") & (F.col("span_ord") > F.col("_start")) & ~accepted
-    rows = rows.withColumn("_wrong", F.sum(wrong.cast("int")).over(_LINE.rowsBetween(*_UPTO)))
+    rows = rows.withColumn("_wrong", F.sum(wrong.cast("int")).over(_line().rowsBetween(*_UPTO)))
     inside = F.col("_shown") & (F.col("span_ord") >= F.col("_start")) & (F.col("_wrong") == 0)
-    rows = rows.withColumn("_end", F.max(F.when(inside, F.col("span_ord"))).over(_WHOLE))
+    rows = rows.withColumn("_end", F.max(F.when(inside, F.col("span_ord"))).over(_whole()))
     zone = (
         F.when((F.col("line_ord") > 0) | F.col("_start").isNull() | (F.col("span_ord") > F.col("_end")), "rest")
         .when(F.col("span_ord") < F.col("_start"), "before")
@@ -95,8 +104,8 @@ def header_aliases(marked: DataFrame) -> DataFrame:
     bold = F.col("_shown") & _bold(F.col("style"))
     number = bold & F.col("clean_text").rlike(SENSE)
     prose = F.col("_shown") & (F.col("style") == "roman") & ~header_connector(F.col("clean_text"))
-    ended = F.max(number | prose).over(_LINE.rowsBetween(*_BEFORE))
-    after = F.concat_ws("", F.reverse(F.collect_list("clean_text").over(_BACK.rowsBetween(*_BEFORE))))
+    ended = F.max(number | prose).over(_line().rowsBetween(*_BEFORE))
+    after = F.concat_ws("", F.reverse(F.collect_list("clean_text").over(_back().rowsBetween(*_BEFORE))))
     found = bold & ~number & ~F.coalesce(ended, F.lit(False)) & ~strip(F.col("clean_text")).isin("–", "~")
     rows = rows.withColumn("_found", found).withColumn("_later", after).filter("_found")
     parsed = parse_expression(clean_layout(F.col("clean_text")), F.col("_later"), F.lit(False))
@@ -143,11 +152,11 @@ def merge_initials(spans: DataFrame) -> DataFrame:
     style, text = F.col("style"), F.col("clean_text")
     rows = rows.withColumn("_kind", F.when(_italic(style) & strip(text).rlike("^[A-Z]$"), "i").when((style == "roman") & text.rlike(r"(?U)^\s*\.\s*$"), "p").when((style == "roman") & text.rlike(r"(?U)^\s*\."), "s"))
     # neighbours among the spans that are not blank
-    seen = rows.filter("_shown").withColumn("_n", F.row_number().over(_LINE))
-    kind = lambda k: F.lead("_kind", k).over(_LINE)
+    seen = rows.filter("_shown").withColumn("_n", F.row_number().over(_line()))
+    kind = lambda k: F.lead("_kind", k).over(_line())
     seen = seen.withColumn("_link", F.coalesce((F.col("_kind") == "i") & (kind(1) == "p") & (kind(2) == "i"), F.lit(False)))
-    seen = seen.withColumn("_linked", F.coalesce(F.lag("_link", 2).over(_LINE), F.lit(False))).withColumn("_then", kind(1)).withColumn("_end", F.lead("span_ord").over(_LINE))
-    seen = seen.withColumn("_chain", F.sum((F.col("_link") & ~F.col("_linked")).cast("int")).over(_LINE.rowsBetween(*_UPTO)))
+    seen = seen.withColumn("_linked", F.coalesce(F.lag("_link", 2).over(_line()), F.lit(False))).withColumn("_then", kind(1)).withColumn("_end", F.lead("span_ord").over(_line()))
+    seen = seen.withColumn("_chain", F.sum((F.col("_link") & ~F.col("_linked")).cast("int")).over(_line().rowsBetween(*_UPTO)))
     closes = ~F.col("_link") & F.col("_linked") & F.col("_then").isin("p", "s")
     groups = (
         seen.groupBy("form_id", "line_ord", "_chain")

@@ -6,7 +6,7 @@ import json
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 STAMP = (1980, 1, 1, 0, 0, 0)
@@ -34,6 +34,17 @@ def write_json(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("ignoreNullFields", "false").json(path)
 
 
+def write_report(report: dict, path: str, spark: SparkSession) -> None:
+    """A small JSON file (totals, not rows) at a path of any file system that Spark knows."""
+    jvm = spark.sparkContext._jvm  # the session's own file system classes
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    out = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(target, True)
+    try:
+        out.write(bytearray((json.dumps(report, ensure_ascii=False, indent=1, sort_keys=True) + "\n").encode()))
+    finally:
+        out.close()
+
+
 def write_archive(components: DataFrame, index: dict, path: str) -> list[str]:
     """A ZIP with fixed stamps and order: equal input gives equal bytes. Returns the member names."""
     target = Path(path)
