@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexiforge.functions.text import font_style
-from lexiforge.operators import linewrap, sinks
+from lexiforge.operators import linewrap, normalize, sinks
 from lexiforge.plans import layer1 as plan
 from lexiforge.plans.build import build
 from lexiforge.sources import tables
@@ -27,6 +27,8 @@ def parser() -> argparse.ArgumentParser:
         c.add_argument("--tag-map", help="CSV: tag, tag_rename, type, color")
         c.add_argument("--resolutions", help="CSV of reviewed line wraps")
         c.add_argument("--joined-lines", help="CSV with the line_id of lines reviewed for missing blanks")
+        c.add_argument("--headwords", help="JSON lines of reviewed headwords: line_id, headword, variants")
+        c.add_argument("--rules", help="JSON of the reviewed tables of the normalisation")
         c.add_argument("--intermediate-dir", default="intermediate")
         c.add_argument("--archive-dir", default="archive")
         c.add_argument("--name", default="lexicon")
@@ -48,7 +50,9 @@ def layer1(spark: SparkSession, args: argparse.Namespace) -> dict:
     pages = tables.page_selection(spark, args.pages or tables.PROFILES[args.profile]["pages"], 1 << 20)
     resolutions = tables.read_resolutions(spark, args.resolutions) if args.resolutions else None
     joined = spark.read.csv(args.joined_lines, header=True) if args.joined_lines else None
-    found = plan.parse_pages(spans.withColumn("style", style), pages, plan.known_codes(_tags(spark, args)), resolutions, joined)
+    heads = spark.read.schema("line_id string, headword string, variants array<string>").json(args.headwords) if args.headwords else None
+    rules = normalize.read_rules(spark, args.rules) if args.rules else None
+    found = plan.parse_pages(spans.withColumn("style", style), pages, plan.known_codes(_tags(spark, args)), resolutions, joined, heads, rules)
     plan.write_text(spark, found.markers, paths["markers"])
     sinks.write_json(found.lines, paths["debug"])
     sinks.write_json(found.decisions, paths["audit"])

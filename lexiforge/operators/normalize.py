@@ -12,9 +12,10 @@ before it take part in that form's later passes.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+import json
+from dataclasses import dataclass, field, fields
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lexiforge.functions.text import marker_parts, replace_all, strip
@@ -45,6 +46,21 @@ class Rules:
     numbered_heads: tuple[tuple[str, int], ...] = ()  # a number after the expression that is no sense
 
 
+def read_rules(spark: SparkSession, path: str) -> Rules:
+    """The reviewed tables of a source from one JSON file: an object with the fields of ``Rules``, tables as lists of rows."""
+    found = json.loads("".join(r["value"] for r in spark.read.text(path, wholetext=True).collect()))  # reviewed by hand: small
+    shapes = {
+        "variant_repairs": "expression string, replaced array<string>, replacements array<string>", "inline_subentries": "root string, value string",
+        "merged_runs": "expression string, source array<string>, target array<string>", "roman_senses": "expression string, homograph string, numbers array<int>",
+    }
+    if unknown := sorted(set(found) - {f.name for f in fields(Rules)}):
+        raise ValueError(f"{path}: unknown tables {unknown}")
+    rules = Rules(**{k: spark.createDataFrame([tuple(r) for r in v], shapes[k]) if k in shapes else v for k, v in found.items()})
+    rules.sequences = [(tuple(a), tuple(b)) for a, b in rules.sequences]
+    rules.false_variants, rules.numbered_heads = tuple(rules.false_variants), tuple((a, n) for a, n in rules.numbered_heads)
+    return rules
+
+
 def line_text(marker: Column, value: Column) -> Column:
     return F.regexp_replace(F.concat(F.lit("["), marker, F.lit("] "), F.coalesce(value, F.lit(""))), r"(?U)\s+$", "")
 

@@ -58,6 +58,47 @@ def mark_joined_spans(spans: DataFrame, line_ids: DataFrame, gap: float = 0.8) -
     return reviewed.withColumn("join_previous", F.coalesce(joined, F.lit(False))).drop("_r")
 
 
+def repair_headwords(spans: DataFrame, table: DataFrame) -> DataFrame:
+    """The reviewed headword of a line is set in bold, cut out of the spans it crosses; adds reviewed_variants (null: none).
+
+    ``spans``: line_id, span_ord, style, clean_text, raw_text, x0, x1; ``table``: line_id, headword, variants, one row per
+    line.  The headword is the evidence: a line that does not begin with it raises with its name, and so does a line that the
+    table names twice.  Pieces keep their part of the raw text where it is as long, and of the box by their length.
+    """
+    rules = table.groupBy(F.col("line_id").alias("_id")).agg(F.first("headword").alias("_word"), F.first("variants").alias("reviewed_variants"), F.count("*").alias("_n"))
+    w = Window.partitionBy("line_id").orderBy("span_ord")
+    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    rows = spans.withColumn("clean_text", F.coalesce("clean_text", F.lit(""))).join(_rules(rules), F.col("line_id") == F.col("_id"), "left")
+    rows = rows.withColumn("_line", F.when(F.col("_id").isNotNull(), F.concat_ws("", F.collect_list("clean_text").over(whole))))
+    rows = rows.withColumn("_from", F.coalesce(F.sum(F.length("clean_text")).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    start = F.length(F.regexp_extract("_line", r"(?U)^\s*", 0))
+    found = F.substring(F.col("_line"), start + 1, F.length("_word"))
+    why = F.concat(F.lit("headword evidence changed for "), "line_id", F.lit(": expected "), "_word", F.lit(", got "), found)
+    twice = F.concat(F.lit("two headwords for "), "line_id")
+    checked = F.when(F.col("_id").isNull(), F.lit(None).cast("int")).when(F.col("_n") > 1, F.raise_error(twice).cast("int")).when(found != F.col("_word"), F.raise_error(why).cast("int")).otherwise(start)
+    rows = rows.withColumn("_start", checked).withColumn("_size", F.length("clean_text"))
+    # places inside the span where it is cut
+    inside = lambda c: F.least(F.greatest(c - F.col("_from"), F.lit(0)), F.col("_size")).cast("long")
+    ends = F.array(F.lit(0).cast("long"), inside(F.col("_start")), inside(F.col("_start") + F.length("_word")), F.col("_size").cast("long"))
+    cuts = F.array_distinct(F.when(F.col("_id").isNull(), F.array(F.lit(0).cast("long"), F.col("_size").cast("long"))).otherwise(ends))
+    rows = rows.withColumn("_cuts", F.when(F.col("_size") == 0, F.array(F.lit(0).cast("long"), F.lit(0).cast("long"))).otherwise(cuts))
+    pieces = F.transform(F.sequence(F.lit(1), F.size("_cuts") - 1), lambda k: F.struct(F.get("_cuts", k - 1).alias("a"), F.get("_cuts", k).alias("b")))
+    rows = rows.select("*", F.posexplode(pieces).alias("_k", "_p"))
+    part = lambda c: F.substring(F.col(c), F.col("_p.a") + 1, F.col("_p.b") - F.col("_p.a"))
+    bold = (F.col("_from") + F.col("_p.a") < F.col("_start") + F.length("_word")) & (F.col("_from") + F.col("_p.b") > F.col("_start")) & (F.col("_size") > 0)
+    at = lambda c: F.when(F.col("_size") == 0, F.when(c == F.col("_p.a"), F.col("x0"))).otherwise(F.round(F.col("x0") + (F.col("x1") - F.col("x0")) * c / F.col("_size"), 4))
+    touched = F.size("_cuts") > 2
+    new = {
+        "style": F.when(F.coalesce(bold, F.lit(False)), "bold").otherwise(F.col("style")),
+        "raw_text": F.when(touched & (F.length("raw_text") == F.col("_size")), part("raw_text")).otherwise(F.col("raw_text")),
+        "x0": F.when(touched, at(F.col("_p.a"))).otherwise(F.col("x0")),
+        "x1": F.when(touched, at(F.col("_p.b"))).otherwise(F.col("x1")),
+        "clean_text": part("clean_text"),
+        "span_ord": (F.col("span_ord") * 4 + F.col("_k")).cast("int"),
+    }
+    return rows.select(*[new[c].alias(c) if c in new else F.col(c) for c in spans.columns], "reviewed_variants")
+
+
 def repair_variants(lines: DataFrame, repairs: DataFrame, false_values: tuple[str, ...] = ()) -> DataFrame:
     """Variants replaced by form, and false ones removed.
 

@@ -92,6 +92,9 @@ def build(spark: SparkSession, markers_path: str, tags: DataFrame, out: str, nam
     rows = terms.select("expression", "reading", blank.alias("definition_tags"), blank.alias("rules"), F.lit(0).alias("score"), "glossary", "sequence", blank.alias("term_tags"))
     if wrong := validate.invalid_terms(rows).take(1):
         raise ValueError(f"invalid term row {wrong[0]['sequence']}: {wrong[0]['expression']!r}")
+    once = terms.groupBy("sequence").agg(F.first("glossary").alias("glossary"))  # aliases share it
+    if wrong := validate.invalid_nodes(once, "sequence", "glossary", "$[0].content").take(1):
+        raise ValueError(f"invalid node in term row {wrong[0]['key']}, {wrong[0]['path']}: {wrong[0]['problem']}")
     packed = pack.pack(terms, "ord", "bytes", limit).persist()
     sizes = pack.bank_sizes(packed, "bytes")
     if validate.oversized(sizes, limit).take(1):

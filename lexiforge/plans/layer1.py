@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from lexiforge.functions.text import clean_layout
 from lexiforge.operators import events as ev
 from lexiforge.operators import ingest, linewrap, rewrite
+from lexiforge.operators.normalize import Rules, normalize
 from lexiforge.operators.ordered import number_rows
+from lexiforge.operators.reviewed import repair_headwords
 from lexiforge.sources.markers import FORM_KINDS, RUN_TYPES
 from lexiforge.sources.scratch import cut
 from lexiforge.sources.tables import RESOLUTION_COLUMNS
@@ -101,25 +103,35 @@ def marker_lines(forms: DataFrame, events: DataFrame) -> DataFrame:
     return heads.unionByName(content)
 
 
-def parse_pages(spans: DataFrame, pages: DataFrame, known: Column, resolutions: DataFrame | None = None, joined_lines: DataFrame | None = None) -> Pages:
-    """From spans (``sources.tables.SPANS``) of the selected ``pages`` to marker lines, not yet normalised.
+def parse_pages(spans: DataFrame, pages: DataFrame, known: Column, resolutions: DataFrame | None = None, joined_lines: DataFrame | None = None, headwords: DataFrame | None = None, rules: Rules | None = None) -> Pages:
+    """From spans (``sources.tables.SPANS``) of the selected ``pages`` to normalised marker lines.
 
-    ``known``: the codes of the label map as an array; ``joined_lines``: line_id of lines reviewed for missing blanks.
+    ``known``: the codes of the label map as an array; ``joined_lines``: line_id of lines reviewed for missing blanks;
+    ``headwords``: line_id, headword, variants of lines whose headword was reviewed; ``rules``: tables of the normalisation.
     """
     spans = spans.join(F.broadcast(pages.select("page")), "page")  # one integer per selected page
+    variants = None
+    if headwords is not None:
+        spans = cut(repair_headwords(spans, headwords), "reviewed-spans")
+        variants = spans.filter("reviewed_variants is not null").groupBy("line_id").agg(F.first("reviewed_variants").alias("values"))
+        spans = spans.drop("reviewed_variants")
     lines = cut(placed_lines(spans, pages), "lines")
     own = cut(spans_of_forms(spans, lines), "spans")
     decisions = cut(wrap_decisions(own, resolutions), "wraps")
     marked = cut(ev.mark_zones(own), "zones")
     first = own.filter("line_ord = 0").groupBy("form_id").agg(F.concat_ws("", F.transform(F.array_sort(F.collect_list(F.struct("span_ord", "clean_text"))), lambda x: x["clean_text"])).alias("first_text"))
     meta = lines.groupBy("form_id").agg(F.first("entry_id").alias("entry_id"), F.first("entry_type").alias("entry_type"), F.first("form_type").alias("form_type"))
-    forms = cut(ev.parse_forms(marked).join(meta, "form_id").join(first, "form_id"), "headers")
+    if variants is not None:
+        heads = lines.filter("line_ord = 0").select("form_id", F.col("line_id").alias("_id"))
+        variants = heads.join(variants, F.col("_id") == F.col("line_id")).select("form_id", "values")
+    forms = cut(ev.parse_forms(marked, variants).join(meta, "form_id").join(first, "form_id"), "headers")
     if joined_lines is None:
         joined_lines = spans.sparkSession.createDataFrame([], "line_id string")
     content = marked.filter("zone = 'rest'").drop("zone")
     raw = ev.content_events(content, known, decisions.select("form_id", "line_ord", "action"), joined_lines, forms)
     events = cut(rewrite.rewrite_events(cut(raw, "events")), "content")
-    return Pages(lines, own, decisions, forms, events, number_rows(marker_lines(forms, events), ["form_id", "ord"], "line_no").select("line_no", "form_id", "marker", "value"))
+    raw_lines = number_rows(marker_lines(forms, events), ["form_id", "ord"], "line_no").select("line_no", "marker", "value")
+    return Pages(lines, own, decisions, forms, events, normalize(cut(raw_lines, "markers"), rules))
 
 
 def text_lines(markers: DataFrame) -> DataFrame:

@@ -102,7 +102,7 @@ PAGES = [
     (21, 1, 54.0, [(R, "spect. respect "), (Y, "→"), (S, " UNAKO"), (R, ".")]),
     (21, 2, 48.0, [(B, "mengabang"), (R, " [and "), (B, "ngabang"), (R, "] ("), (I, "coq"), (R, ") to call so.")]),
     (21, 3, 42.0, [(B, "unako"), (R, " small. – "), (I, "coq"), (R, " a name.")]),
-    (22, 0, 42.0, [(B, "zaman"), (R, " time.")]),
+    (22, 0, 42.0, [(B, "za"), (R, "man time.")]),
     (30, 0, 54.0, [(R, "an orphan.")]),
 ]
 GOLDEN = """[Entry] abang
@@ -125,9 +125,10 @@ GOLDEN = """[Entry] abang
 [Entry] unako
 [Roman] small.
 [Italic] – coq
-[Roman] a name.
+[Roman] one name.
 
 [Entry] zaman
+[Variant] jaman
 [Roman] time."""
 
 
@@ -142,13 +143,16 @@ def test_pages_to_marker_text_to_archive(spark, tmp_path):
 
     page(spark, PAGES).write.parquet(str(tmp_path / "spans"))
     (tmp_path / "tags.csv").write_text("tag,tag_rename,type,color\ncoq,colloquial,x,red\n")
-    args = ["--spans", str(tmp_path / "spans"), "--tag-map", str(tmp_path / "tags.csv"), "--pages", "21-22,30", "--intermediate-dir", str(tmp_path / "i"), "--archive-dir", str(tmp_path / "a"), "--name", "lex"]
+    (tmp_path / "heads.json").write_text(json.dumps({"line_id": "p0022-l0000", "headword": "zaman", "variants": ["jaman"]}) + "\n")
+    (tmp_path / "rules.json").write_text(json.dumps({"run_values": [["a name", "one name"]]}))
+    args = ["--headwords", str(tmp_path / "heads.json"), "--rules", str(tmp_path / "rules.json"), "--spans", str(tmp_path / "spans"), "--tag-map", str(tmp_path / "tags.csv"), "--pages", "21-22,30", "--intermediate-dir", str(tmp_path / "i"), "--archive-dir", str(tmp_path / "a"), "--name", "lex"]
     parsed = cli.parser().parse_args(["all", *args])
-    first, second = cli.run(spark, parsed)["layer1"], cli.run(spark, parsed)["layer2"]
+    summary = cli.run(spark, parsed)
+    first, second = summary["layer1"], summary["layer2"]
     assert written(spark, tmp_path / "i/small/markers.txt") == GOLDEN
     assert first["entries"] == 3 and first["wraps"]["n_remove_hyphen"] == 1
     with zipfile.ZipFile(tmp_path / "a/lex.zip") as z:
         rows = [r for name in z.namelist() if name.startswith("term_bank") for r in json.loads(z.read(name))]
-    assert {r[0] for r in rows} == {"abang", "mengabang", "ngabang", "unako", "zaman"} and second["terms"] == len(rows)
+    assert {r[0] for r in rows} == {"abang", "mengabang", "ngabang", "unako", "zaman", "jaman"} and second["terms"] == len(rows)
     assert any("query=unako" in json.dumps(r) for r in rows if r[0] == "abang")
     assert json.loads((tmp_path / "i/small/manifest.json").read_text())["markers"]["Entry"] == 3

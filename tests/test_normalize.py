@@ -141,3 +141,51 @@ def test_sequences_like_one_list(spark):
 def test_equation_without_a_form_raises(spark):
     with pytest.raises(Exception, match="without a form"):
         no.repair_heads(lines(spark, "[Entry] 4 = x\n[Roman] y")).collect()
+
+
+def test_headwords_need_their_evidence(spark):
+    from lexiforge.operators import reviewed
+
+    spans = spark.createDataFrame(
+        [("a", 0, "roman", " ab", " ab", 0.0, 30.0), ("a", 1, "italic", "cd rest", "cd rest", 30.0, 100.0), ("b", 0, "bold", "whole", "x", 0.0, 9.0), ("c", 0, "roman", "", None, 0.0, 1.0)],
+        "line_id string, span_ord int, style string, clean_text string, raw_text string, x0 double, x1 double",
+    )
+    shape = "line_id string, headword string, variants array<string>"
+    found = reviewed.repair_headwords(spans, spark.createDataFrame([("a", "abcd", ["x"])], shape)).orderBy("line_id", "span_ord").collect()
+    assert [(r["style"], r["clean_text"], r["raw_text"], r["x0"], r["x1"]) for r in found] == [
+        ("roman", " ", " ", 0.0, 10.0), ("bold", "ab", "ab", 10.0, 30.0), ("bold", "cd", "cd", 30.0, 50.0), ("italic", " rest", " rest", 50.0, 100.0), ("bold", "whole", "x", 0.0, 9.0), ("roman", "", None, 0.0, 1.0),
+    ]
+    assert [r["reviewed_variants"] for r in found] == [["x"]] * 4 + [None] * 2
+    with pytest.raises(Exception, match="headword evidence changed for a: expected abx, got abc"):
+        reviewed.repair_headwords(spans, spark.createDataFrame([("a", "abx", None)], shape)).collect()
+    with pytest.raises(Exception, match="two headwords for a"):
+        reviewed.repair_headwords(spans, spark.createDataFrame([("a", "ab", None), ("a", "abcd", None)], shape)).collect()
+
+
+def test_nodes_at_any_depth(spark):
+    import json
+
+    from lexiforge.operators import validate
+
+    deep = "text"
+    for _ in range(9):
+        deep = {"tag": "div", "content": [deep]}
+    bad = {"tag": "ul", "content": {"tag": "li", "style": {"wordBreak": "often", "color": "red"}, "content": [{"tag": "p"}, 3]}}
+    rows = spark.createDataFrame([(1, json.dumps(["x", deep])), (2, json.dumps([bad])), (3, "["), (4, None), (5, '"text"'), (6, '{"tag":"a","href":"https://x","style":{}}')], "id long, tree string")
+    got = {tuple(r) for r in validate.invalid_nodes(rows, "id", "tree").collect()}
+    assert got == {
+        (2, "content/0/content/style", "invalid wordBreak often"), (2, "content/0/content/content/0", "unknown tag p"), (2, "content/0/content/content/1", "a node is text, a list or an object"),
+        (3, "content", "no JSON"), (4, "content", "no JSON"), (6, "content", "unknown property style"),
+    }
+
+
+def test_rules_from_json(spark, tmp_path):
+    import json
+
+    path = tmp_path / "rules.json"
+    path.write_text(json.dumps({"sequences": [[["[Roman] a"], ["[Roman] b"]]], "false_variants": ["/"], "merged_runs": [["x", ["[Bold] A"], ["[Bold] B"]]], "numbered_heads": [["Super", 98]]}))
+    rules = no.read_rules(spark, str(path))
+    assert text(no.normalize(lines(spark, "[Entry] x\n[Variant] /\n[Roman] a\n[Bold] A\n[Bold] A"), rules)) == ["[Entry] x", "[Roman] b", "[Bold] B", "[Bold] A"]
+    path.write_text('{"odd": []}')
+    with pytest.raises(ValueError, match="unknown tables"):
+        no.read_rules(spark, str(path))
