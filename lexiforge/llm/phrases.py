@@ -10,7 +10,7 @@ Frequency is decided in two ways.  A sieve per length: blocks send 32 bits of a
 hash inside a bucket with the lengths of their lists (as far as they can matter),
 and buckets answer which sums reach the threshold; a collision only lets a phrase
 through.  Then the lists that passed every sieve are counted exactly, by their
-words, in a grouped sum over all blocks.
+words: a block sends them packed by bucket, and the bucket sums them.
 
 Everything is per language: a word carries its language in the vocabulary, so
 lists of two languages never meet.  Scores are exact in decimals of 38 digits
@@ -25,10 +25,12 @@ table gives an empty result; extra columns are ignored.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -38,10 +40,12 @@ from .coded import BLOCK, BUCKET, Coded, bits_of, bucket_count, coded_blocks, pa
 from .common import materialize, tidy
 
 LEAST, LONGEST, TOP, SCALE, COVERED = 100, 5, 2000, 1000, 100
+MOST_LANGS = 100_000  # rows of a broadcast
 _BREAK, _LANG = b"\xff", b"\xfe"  # bytes that UTF-8 never has
 _PIECES = bytes(0xFF if c in b".,;:!?\n\x0b\x0c\r" else c for c in range(256))
 _ASK = "block long, level int, bucket int, keys binary, counts binary"
 _REPLY = "block long, level int, bucket int, bits binary, survivors long"
+_SENT = "bucket int, lang array<string>, size array<int>, phrase array<string>, n array<long>"
 _FOUND = "lang string, size int, phrase string, n long"
 
 
@@ -63,7 +67,7 @@ class Lists:
         self.size = 1
         self.at = np.flatnonzero(words[coded.codes]) if len(coded.codes) else np.zeros(0, np.int64)
         self._number(coded.codes[self.at].astype(np.int64), lambda k: (self.hash[k], k, k))
-        self.levels: list[tuple[int, np.ndarray, np.ndarray]] = []
+        self.levels: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = []
 
     def _number(self, keys: np.ndarray, parts) -> None:
         distinct, self.phrase, self.length = np.unique(keys, return_inverse=True, return_counts=True)
@@ -93,7 +97,7 @@ class Lists:
             self.word_at = np.full(len(self.coded.codes) + LONGEST + 1, -1, np.int64)
             self.word_at[self.at] = self.phrase
             self.words = self.head
-        self.levels.append((self.head, self.last, self.length))
+        self.levels.append((self.head, self.last, self.length, bucket_of(self.key, self.buckets)))
 
     def extend(self) -> None:
         """Lists joined with the postings one phrase further on."""
@@ -108,17 +112,17 @@ class Lists:
         self._number(keys, lambda k: (pair_hash(key[k // base], words[k % base]), k // base, k % base))
         self.size += 1
 
-    def found(self) -> Iterator[tuple[int, bytes, bytes, int]]:
-        """(size, language, phrase, length) of the lists kept."""
+    def found(self) -> Iterator[tuple[int, int, bytes, bytes, int]]:
+        """(bucket, size, language, phrase, length) of the lists kept."""
         before: list[tuple[bytes, bytes]] = []
         lexicon = [tuple(self.coded.words[c].split(_LANG, 1)) for c in self.words.tolist()] if self.levels else []
-        for size, (head, last, length) in enumerate(self.levels, 1):
+        for size, (head, last, length, bucket) in enumerate(self.levels, 1):
             if size == 1:
                 texts = [(lang, w) for w, lang in lexicon]
             else:
                 texts = [(before[h][0], before[h][1] + b" " + lexicon[w][0]) for h, w in zip(head.tolist(), last.tolist(), strict=True)]
-            for (lang, text), n in zip(texts, length.tolist(), strict=True):
-                yield size, lang, text, n
+            for k, (lang, text), n in zip(bucket.tolist(), texts, length.tolist(), strict=True):
+                yield k, size, lang, text, n
             before = texts
 
     def totals(self) -> dict[bytes, int]:
@@ -188,19 +192,31 @@ def phrase_counts(docs: DataFrame, *, lang_col: str = "lang", text_col: str = "t
             break
 
     def count(table: pa.Table, replies: pa.Table) -> pa.Table:
-        if not table.num_rows:
-            return table_of([], _FOUND)
-        found = lists(table, replies, size)
-        found.keep(replies_of(replies).get(size, {}))
-        rows = [(lang.decode(), 0, "", n) for lang, n in found.totals().items()]
-        rows += [(lang.decode(), k, text.decode(errors="replace"), n) for k, lang, text, n in found.found()]
-        out = table_of(rows, _FOUND)
+        """The exact lengths of the block's lists, packed by bucket; all words of a language go to bucket 0."""
+        sent: dict[int, tuple[list, list, list, list]] = {}
+        if table.num_rows:
+            found = lists(table, replies, size)
+            found.keep(replies_of(replies).get(size, {}))
+            rows = itertools.chain(((0, 0, lang, b"", n) for lang, n in found.totals().items()), found.found())
+            for bucket, k, lang, text, n in rows:
+                for column, value in zip(sent.setdefault(bucket, ([], [], [], [])), (lang, k, text, n), strict=True):
+                    column.append(value)
+        parts = [[bucket, *columns] for bucket, columns in sent.items()]
+        kinds = (pa.int32(), pa.list_(pa.binary()), pa.list_(pa.int32()), pa.list_(pa.binary()), pa.list_(pa.int64()))
+        columns = [pa.array([p[k] for p in parts], kind) for k, kind in enumerate(kinds)]
+        for k in (1, 3):
+            columns[k] = columns[k].cast(pa.list_(pa.string()))
         tidy()
-        return out
+        return pa.table(columns, names=["bucket", "lang", "size", "phrase", "n"])
+
+    def total(table: pa.Table) -> pa.Table:
+        """A bucket's lengths summed over the blocks."""
+        flat = pa.table({c: pa.chunked_array([x.flatten() for x in table[c].chunks], table.schema.field(c).type.value_type) for c in ("lang", "size", "phrase", "n")})
+        summed = flat.group_by(["lang", "size", "phrase"]).aggregate([("n", "sum")]).rename_columns({"n_sum": "n"})
+        return summed.filter((pc.field("size") == 0) | (pc.field("n") >= least)).select(["lang", "size", "phrase", "n"])
 
-    each = states.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(count, _FOUND)
-    total = each.groupBy("lang", "size", "phrase").agg(F.sum("n").alias("n"))
-    return materialize(total.filter((F.col("size") == 0) | (F.col("n") >= least)), "phrases-counted")
+    each = states.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(count, _SENT)
+    return materialize(each.groupBy("bucket").applyInArrow(total, _FOUND), "phrases-counted")
 
 
 def _spans(size: str, least: int, proper: bool) -> F.Column:
@@ -229,6 +245,8 @@ def collocations(counts: DataFrame, *, covered: int = COVERED, scale: int = SCAL
     cuts = cuts.join(side("l", "l"), (F.col("lang") == F.col("_langl")) & (F.col("_left") == F.col("_phrasel")))
     cuts = cuts.join(side("r", "r"), (F.col("lang") == F.col("_langr")) & (F.col("_right") == F.col("_phraser")))
     totals = counts.filter("size = 0").select(F.col("lang").alias("_langn"), "n")
+    if totals.count() <= MOST_LANGS:  # one short row a language: a broadcast of known size; more are joined by shuffle
+        totals = F.broadcast(totals)
     cuts = cuts.join(totals, F.col("lang") == F.col("_langn"))
     big = lambda c: F.col(c).cast("decimal(17,0)")
     cuts = cuts.select("lang", "phrase", "a", "k", "l", "r", "n", (F.lit(scale).cast("decimal(4,0)") * big("a") * big("n")).alias("_x"), (big("l") * big("r")).alias("_y"))
