@@ -114,3 +114,33 @@ def nested_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     tree = F.concat(F.lit('[{"tag":"div","style":{"fontStyle":"italic"},"content":["'), "lang", F.lit('",'), inner, F.lit("]}]"))
     found = validate.invalid_nodes(t(spark, sf_dir, "documents").select("doc_id", tree.alias("tree")), "doc_id", "tree")
     return found.select(F.col("key").alias("doc_id"), F.concat_ws("|", "path", "problem").alias("found"))
+
+
+_DOTS = r"'(^|[^.])\.\.([^.]|$)', '\1.\2', 'g'"
+
+
+@query(rf"""WITH d AS (SELECT doc_id AS line_no, CASE doc_id % 3 WHEN 0 THEN 'Roman' WHEN 1 THEN 'See' ELSE 'Label' END AS marker, replace(replace(text, '. ', '.. '), ' ', ' (x ) ') AS x FROM documents)
+SELECT line_no, marker, CASE marker WHEN 'Roman' THEN regexp_replace(regexp_replace(replace(regexp_replace(x, '\s+\)', ')', 'g'), 'the', 'THE'), {_DOTS}), {_DOTS}) WHEN 'See' THEN replace(x, 'de', 'D') ELSE x END AS value FROM d""")
+def value_repairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """reviewed replacements by the kind of line, and the general ones of runs."""
+    k = F.col("doc_id") % 3
+    x = F.replace(F.replace("text", F.lit(". "), F.lit(".. ")), F.lit(" "), F.lit(" (x ) "))
+    lines = t(spark, sf_dir, "documents").select(F.col("doc_id").alias("line_no"), F.when(k == 0, "Roman").when(k == 1, "See").otherwise("Label").alias("marker"), x.alias("value"))
+    return no.repair_values(lines, [("the", "THE")], [("de", "D")])
+
+
+@query("""WITH l AS (SELECT conv_id, turn + 1 AS place, 'Roman:' || role AS s FROM conversations UNION ALL SELECT DISTINCT conv_id, 0, 'Entry:e' || (conv_id % 3) FROM conversations),
+g AS (SELECT conv_id, string_agg('<' || s || '>', '' ORDER BY place) AS x FROM l GROUP BY conv_id),
+i AS (SELECT conv_id, x, CASE conv_id % 3 WHEN 0 THEN '<Roman:user><Roman:assistant>' WHEN 1 THEN '<Roman:assistant><Roman:user><Roman:assistant>' END AS s, CASE conv_id % 3 WHEN 0 THEN '<Bold:both>' ELSE '<Bold:a><Bold:b>' END AS r FROM g),
+m AS (SELECT conv_id, CASE WHEN s IS NOT NULL AND strpos(x, s) > 0 THEN left(x, strpos(x, s) - 1) || r || substr(x, strpos(x, s) + length(s)) ELSE x END AS x FROM i)
+SELECT row_number() OVER (ORDER BY conv_id) AS form_id, replace(substr(x, 2, length(x) - 2), '><', '|') AS lines FROM m""")
+def merged_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """In forms that a table names, the first place of a sequence of lines is replaced."""
+    c = t(spark, sf_dir, "conversations")
+    rows = c.select("conv_id", (F.col("turn") + 1).alias("place"), F.lit("Roman").alias("marker"), F.col("role").alias("value"))
+    heads = c.select("conv_id").distinct().select("conv_id", F.lit(0).cast("long").alias("place"), F.lit("Entry").alias("marker"), F.concat(F.lit("e"), (F.col("conv_id") % 3).cast("string")).alias("value"))
+    lines = cut(number_rows(rows.unionAll(heads), ["conv_id", "place"], "line_no").select("line_no", "marker", "value"), "lines")
+    rules = [("e0", ["[Roman] user", "[Roman] assistant"], ["[Bold] both"]), ("e1", ["[Roman] assistant", "[Roman] user", "[Roman] assistant"], ["[Bold] a", "[Bold] b"])]
+    found = no.with_forms(no.merge_runs(lines, spark.createDataFrame(rules, "expression string, source array<string>, target array<string>")))
+    own = F.transform(F.array_sort(F.collect_list(F.struct("line_no", F.concat_ws(":", "marker", "value").alias("x")))), lambda x: x["x"])
+    return found.groupBy("form_id").agg(F.array_join(own, "|").alias("lines"))

@@ -257,7 +257,18 @@ def embedded_promotion(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rewrite.promote_embedded_senses(lines).groupBy("form_id", "marker").agg(F.count("*").alias("n"))
 
 
-@query(None)
+# the state machine as a walk over the lines of each form; a first number above 1 gets a first sense after the first line
+@query(r"""WITH RECURSIVE l AS (SELECT conv_id AS form_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn) * 2 AS o, CASE WHEN role = 'user' THEN turn % 3 + 1 END AS n, text, regexp_matches(text, '\p{L}') AS letter FROM conversations),
+b AS (SELECT * FROM l UNION ALL SELECT form_id, 3, 1, NULL, NULL FROM (SELECT form_id, arg_min(n, o) FILTER (n IS NOT NULL) AS n FROM l GROUP BY form_id) WHERE n > 1),
+q AS (SELECT *, row_number() OVER (PARTITION BY form_id ORDER BY o) AS i FROM b),
+s(form_id, i, prev, bold, local, last, marker, value) AS (SELECT DISTINCT form_id, CAST(0 AS BIGINT), CAST(NULL AS BIGINT), false, false, CAST(NULL AS BIGINT), CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR) FROM q
+  UNION ALL SELECT form_id, i, CASE WHEN n IS NULL THEN prev WHEN first OR resumes THEN n WHEN grows THEN least(n, prev + 1) ELSE prev END, CASE WHEN n IS NULL THEN bold OR letter ELSE bold AND NOT (first OR resumes OR grows OR restart) END,
+    CASE WHEN n IS NULL THEN local ELSE (local OR restart) AND NOT resumes END, CASE WHEN n IS NULL THEN last WHEN resumes THEN NULL WHEN restart OR local THEN n ELSE last END,
+    CASE WHEN n IS NULL THEN 'Bold' WHEN first OR resumes THEN 'Sense' WHEN local OR restart OR n < prev THEN 'Bold' WHEN n > prev THEN 'Sense' END,
+    CASE WHEN n IS NULL THEN text WHEN first OR resumes OR local OR restart OR n < prev THEN CAST(n AS VARCHAR) ELSE CAST(least(n, prev + 1) AS VARCHAR) END
+  FROM (SELECT *, NOT local AND NOT restart AND coalesce(n > prev, false) AS grows FROM (SELECT s.form_id, q.i, s.prev, s.bold, s.local, s.last, q.n, q.text, q.letter, q.n IS NOT NULL AND s.prev IS NULL AS first,
+    coalesce(s.local AND q.n = s.prev + 1 AND (s.last IS NULL OR q.n <> s.last + 1), false) AS resumes, coalesce(NOT s.local AND q.n <= s.prev AND s.bold, false) AS restart FROM s JOIN q ON q.form_id = s.form_id AND q.i = s.i + 1)))
+SELECT form_id, row_number() OVER (PARTITION BY form_id ORDER BY i) - 1 AS ord, marker, value FROM s WHERE marker IS NOT NULL""")
 def sense_boundaries(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = t(spark, sf_dir, "conversations")
     value = F.when(F.col("role") == "user", F.col("turn") % 3 + 1).cast("string")
