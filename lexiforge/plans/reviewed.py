@@ -181,3 +181,32 @@ def reviewed_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
     text, target = refs.agg(F.min("text")).first()[0], index.filter("idx = 'lookup'").agg(F.min("query")).first()[0]
     key = refs.select(tx.fold_key(F.lit(text))).first()[0] if text else ""
     return resolve.resolve(refs, index, {key: target} if key else None).select("ref_id", "method")
+
+
+_U = "'w' || translate(CAST(p_partkey AS VARCHAR), '0123456789', 'abcdefghij') || 'z'"
+
+
+@query(f"""SELECT p_partkey AS ref_id, CASE p_partkey % 12 WHEN 0 THEN 'exact' WHEN 1 THEN 'reviewed-source-target' WHEN 2 THEN 'exact' WHEN 3 THEN 'source-notation' WHEN 4 THEN 'optional' WHEN 5 THEN 'optional' WHEN 6 THEN 'spacing'
+  WHEN 7 THEN 'embedded-form' WHEN 8 THEN 'unique-prefix' WHEN 9 THEN 'source-phrase' WHEN 10 THEN 'source-phrase-spacing' ELSE 'unresolved' END AS method,
+  CASE p_partkey % 12 WHEN 1 THEN 'goal' WHEN 3 THEN u WHEN 4 THEN u || 's' WHEN 5 THEN u || 's' WHEN 6 THEN u || '-kota' WHEN 7 THEN u || ' ' || u || 'an' WHEN 8 THEN u || ' satu dua' WHEN 11 THEN '' ELSE u END AS query FROM (SELECT *, {_U} AS u FROM part)""")
+def cascade_methods(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages of the cascade: every part is an entry and a reference that one stage, and no earlier one, resolves."""
+    p = t(spark, sf_dir, "part")
+    u = F.concat(F.lit("w"), F.translate(F.col("p_partkey").cast("string"), "0123456789", "abcdefghij"), F.lit("z"))
+    rows = p.select(F.col("p_partkey").alias("i"), (F.col("p_partkey") % 12).alias("c"), u.alias("u"))
+    plus = lambda text: F.concat("u", F.lit(text))
+    pick = lambda cases, other: F.coalesce(*[F.when(F.col("c") == k, v) for k, v in cases.items()], other)
+    twin = F.concat("u", F.lit(" "), "u", F.lit("an"))
+    entry = pick({3: plus(" (baru)"), 4: plus("s"), 6: plus("-kota"), 7: twin, 8: plus(" satu dua"), 11: plus("-other")}, F.col("u"))
+    asked = pick({1: F.lit("Odd name"), 2: F.concat(F.upper("u"), F.lit(" II.")), 3: plus(" (baru)"), 4: plus("(s)"), 5: plus("(s)"), 6: plus(" - kota"), 8: plus(" satu"), 9: plus(" besar"), 10: plus(" bulat - lonjong")}, F.col("u"))
+    goal = spark.range(1).select(F.lit(-1).cast("long").alias("sequence"), F.array(F.lit("goal")).alias("spellings"))
+    both = rows.filter("c = 5").select((-F.col("i") - 2).alias("sequence"), F.array(plus("s")).alias("spellings"))
+    entries = rows.select(F.col("i").cast("long").alias("sequence"), F.array(entry).alias("spellings")).unionAll(both).unionAll(goal)
+    item = rows.filter("c in (9, 10)").select(
+        F.col("i").cast("long").alias("sequence"), F.col("u").alias("canonical"), F.col("u").alias("expression"), F.col("u").alias("root"), F.lit("italic").alias("type"),
+        F.when(F.col("c") == 9, "~ besar").otherwise("– bulat-lonjong").alias("value"), F.lit(None).cast("string").alias("prev_type"), F.lit(None).cast("string").alias("prev_value"),
+    )
+    index = cut(resolve.spellings_index(entries).unionAll(resolve.content_index(item)), "index")
+    refs = rows.select(F.col("i").alias("ref_id"), asked.alias("text"))
+    found = resolve.resolve(refs, index, {"odd name": "goal"})
+    return refs.join(found, "ref_id", "left").select("ref_id", F.coalesce("method", F.lit("unresolved")).alias("method"), F.coalesce("query", F.lit("")).alias("query"))
