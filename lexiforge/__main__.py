@@ -23,6 +23,7 @@ def parser() -> argparse.ArgumentParser:
         c.add_argument("--profile", choices=sorted(tables.PROFILES), default="small")
         c.add_argument("--pages", help="pages such as 21-30,70; default: the profile's")
         c.add_argument("--spans", help="Parquet table of text spans")
+        c.add_argument("--source-sha256", help="pin of the span table's files")
         c.add_argument("--input", help="marker text")
         c.add_argument("--tag-map", help="CSV: tag, tag_rename, type, color")
         c.add_argument("--resolutions", help="CSV of reviewed line wraps")
@@ -45,9 +46,9 @@ def _tags(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
 def layer1(spark: SparkSession, args: argparse.Namespace) -> dict:
     """Spans to marker text, with the lines and line-wrap decisions as JSON evidence and a manifest."""
     paths = tables.profile_paths(args.profile, args.intermediate_dir)
-    spans = spark.read.parquet(args.spans)
-    style = F.coalesce("style", font_style(F.col("font"))) if "style" in spans.columns else font_style(F.col("font"))
     pages = tables.page_selection(spark, args.pages or tables.PROFILES[args.profile]["pages"], 1 << 20)
+    spans = tables.check_source(spark, args.spans, pages, args.source_sha256)
+    style = F.coalesce("style", font_style(F.col("font"))) if "style" in spans.columns else font_style(F.col("font"))
     resolutions = tables.read_resolutions(spark, args.resolutions) if args.resolutions else None
     joined = spark.read.csv(args.joined_lines, header=True) if args.joined_lines else None
     heads = spark.read.schema("line_id string, headword string, variants array<string>").json(args.headwords) if args.headwords else None

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lexiforge.functions.text import lookup_candidates
+from lexiforge.functions.text import clean_text, lookup_candidates
 from lexiforge.functions.unicode import nfc
 from lexiforge.operators import forms as fo
 from lexiforge.operators import groups as gr
@@ -106,5 +106,21 @@ def build(spark: SparkSession, markers_path: str, tags: DataFrame, out: str, nam
     written = sinks.check_archive(f"{out}/{name}.zip", limit)
     if written != (n_terms := terms.count()):
         raise ValueError(f"{written} rows were written of {n_terms}")
-    counts = resolve.report(lex.rendered).groupBy("kind").agg(F.sum("n").alias("n")).collect()
-    return {"terms": n_terms, "groups": lex.groups.count(), "members": members} | {r["kind"]: r["n"] for r in counts}
+    found = resolve.report(lex.rendered)
+    counts = found.groupBy("kind").agg(F.sum("n").alias("n"), F.count("*").alias("names")).collect()
+    summary = {"terms": n_terms, "groups": lex.groups.count(), "members": members} | {r["kind"]: r["n"] for r in counts}
+    methods = {r["name"]: r["n"] for r in found.filter("kind = 'resolved'").collect()}  # one row per method
+    targets = {r["kind"]: r["names"] for r in counts}.get("unresolved", 0)
+    sinks.write_report(summary | {"methods": methods, "unresolved_targets": targets}, f"{out}/{name}-report.json", spark)
+    sinks.write_json(resolve.unresolved_targets(lost_references(lex)), f"{out}/{name}-unresolved")
+    return summary
+
+
+def lost_references(lex: Lexicon) -> DataFrame:
+    """(ord, target, example) of references that nothing resolves; the example is the form's expression, ``ord`` the place of the rendering."""
+    shown = F.split(F.split("ref_id", "@")[0], ":")
+    rows = lex.rendered.filter("method is null").select(
+        (shown[0].cast("long") * (1 << 20) + F.split("ref_id", "@")[1].cast("long")).alias("ord"), shown[1].cast("long").alias("_form"), clean_text(F.col("text")).alias("target")
+    )
+    names = lex.forms.select(F.col("form_id").alias("_f"), F.col("expression").alias("example"))
+    return rows.join(names, F.col("_form") == F.col("_f"), "left").select("ord", "target", "example")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -64,6 +66,25 @@ def approved(df: DataFrame) -> DataFrame:
     return df.filter(_is_approved()).withColumn("approved_resolution", F.trim("approved_resolution"))
 
 
+def source_hash(spark: SparkSession, path: str) -> str:
+    """SHA-256 over the hashes of a source's files in order of their names; the files are hashed in tasks."""
+    files = spark.read.format("binaryFile").load(path).select("path", F.sha2("content", 256).alias("h"))
+    return hashlib.sha256("".join(r["h"] for r in files.orderBy("path").collect()).encode()).hexdigest()  # one row per file
+
+
+def check_source(spark: SparkSession, path: str, pages: DataFrame, pin: str | None = None) -> DataFrame:
+    """The spans of ``path``; raises if the file is not the pinned one, lacks a column, or has no span on a selected page."""
+    if pin and (found := source_hash(spark, path)) != pin.lower():
+        raise ValueError(f"{path}: expected the source {pin}, found {found}")
+    spans = spark.read.parquet(path)
+    needed = [c.split()[0] for c in SPANS.split(", ")]
+    if missing := [c for c in needed if c not in spans.columns and c not in ("style", "y0", "y1")]:
+        raise ValueError(f"{path}: missing columns {missing}")
+    if spans.join(F.broadcast(pages.select("page")), "page", "left_semi").isEmpty():  # one integer per selected page
+        raise ValueError(f"{path}: no span on the selected pages")
+    return spans
+
+
 def page_selection(spark: SparkSession, spec: str, page_count: int) -> DataFrame:
     """Distinct pages of ``"21-30,70"`` within the document, ascending; none is an error."""
     part = F.explode(F.split(F.lit(spec), ",")).alias("part")

@@ -102,7 +102,7 @@ PAGES = [
     (21, 1, 54.0, [(R, "spect. respect "), (Y, "→"), (S, " UNAKO"), (R, ".")]),
     (21, 2, 48.0, [(B, "mengabang"), (R, " [and "), (B, "ngabang"), (R, "] ("), (I, "coq"), (R, ") to call so.")]),
     (21, 3, 42.0, [(B, "unako"), (R, " small. – "), (I, "coq"), (R, " a name.")]),
-    (22, 0, 42.0, [(B, "za"), (R, "man time.")]),
+    (22, 0, 42.0, [(B, "za"), (R, "man time. "), (Y, "→"), (S, " NOWHERE")]),
     (30, 0, 54.0, [(R, "an orphan.")]),
 ]
 GOLDEN = """[Entry] abang
@@ -129,7 +129,8 @@ GOLDEN = """[Entry] abang
 
 [Entry] zaman
 [Variant] jaman
-[Roman] time."""
+[Roman] time.
+[See] NOWHERE"""
 
 
 def written(spark, path):
@@ -155,4 +156,23 @@ def test_pages_to_marker_text_to_archive(spark, tmp_path):
         rows = [r for name in z.namelist() if name.startswith("term_bank") for r in json.loads(z.read(name))]
     assert {r[0] for r in rows} == {"abang", "mengabang", "ngabang", "unako", "zaman", "jaman"} and second["terms"] == len(rows)
     assert any("query=unako" in json.dumps(r) for r in rows if r[0] == "abang")
+    report = json.loads((tmp_path / "a/lex-report.json").read_text())
+    assert report["methods"] == {"exact": second["resolved"]} and report["unresolved_targets"] == 1
+    lost = [json.loads(x) for p in (tmp_path / "a/lex-unresolved").glob("part-*") for x in p.read_text().splitlines()]
+    assert [(r["target"], r["examples"]) for r in lost] == [("NOWHERE", ["zaman"])] and lost[0]["n"] == second["unresolved"]
     assert json.loads((tmp_path / "i/small/manifest.json").read_text())["markers"]["Entry"] == 3
+
+
+def test_source_checks(spark, tmp_path):
+    path = str(tmp_path / "spans")
+    page(spark, PAGES).coalesce(1).write.parquet(path)
+    pages = tables.page_selection(spark, "21-22", 100)
+    pin = tables.source_hash(spark, path)
+    assert tables.check_source(spark, path, pages, pin.upper()).count() > 20
+    with pytest.raises(ValueError, match="expected the source"):
+        tables.check_source(spark, path, pages, "0" * 64)
+    with pytest.raises(ValueError, match="no span on the selected pages"):
+        tables.check_source(spark, path, tables.page_selection(spark, "90", 100))
+    spark.read.parquet(path).drop("x1").write.parquet(str(tmp_path / "less"))
+    with pytest.raises(ValueError, match=r"missing columns \['x1'\]"):
+        tables.check_source(spark, str(tmp_path / "less"), pages)
