@@ -441,7 +441,7 @@ def fixed_banks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _all() -> None:
-    from . import normal, reviewed, spans  # noqa: F401  they register their queries here
+    from . import normal, reviewed, spans, structure  # noqa: F401  they register their queries here
 
 
 def queries() -> dict[str, Query]:
