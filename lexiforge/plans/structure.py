@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexiforge.operators import ingest, render, resolve
+from lexiforge.functions.unicode import nfc
+from lexiforge.operators import groups, ingest, render, resolve, rewrite
 from lexiforge.operators.ordered import number_rows
 from lexiforge.plans.registry import query, t
 from lexiforge.sources.scratch import cut
@@ -106,3 +107,51 @@ def reference_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     refs = t(spark, sf_dir, "part").select(F.col("p_partkey").alias("ref_id"), text.alias("text"))
     return resolve.segments(refs, refs.filter("ref_id % 4 = 3").select("ref_id")).select("ref_id", F.col("seg").cast("long").alias("seg"), "text", "is_target")
+
+
+@query("""WITH f AS (SELECT p_partkey + 1 AS form_id, p_partkey // 4 + 1 AS entry_id, p_partkey % 4 AS k, p_partkey // 12 AS b, p_size FROM part),
+g AS (SELECT *, CASE WHEN b % 2 = 0 THEN b * 3 + 1 ELSE entry_id END AS g, CASE WHEN b % 2 = 0 THEN 'e' || b || ' H' || entry_id ELSE 'e' || b END AS parent FROM f),
+s AS (SELECT *, CASE WHEN k = 1 THEN 'd' ELSE 'h' END || (p_size % 2) AS x, CASE WHEN k = 1 THEN 'f' || form_id ELSE 'h' || (p_size % 2) END AS key FROM g WHERE k > 0),
+u AS (SELECT g, key, min(x) AS x, min(form_id) AS first, string_agg(CAST(form_id AS VARCHAR), ',' ORDER BY form_id) AS ids FROM s GROUP BY g, key),
+pa AS (SELECT g, key, string_agg(parent, '|' ORDER BY o) AS parents FROM (SELECT g, key, parent, min(form_id) AS o FROM s GROUP BY ALL) GROUP BY g, key),
+n AS (SELECT g, x, min(first) AS o FROM u GROUP BY g, x),
+c AS (SELECT g, string_agg(x, '|' ORDER BY o) AS children FROM n GROUP BY g),
+e AS (SELECT g, min(b) AS b, string_agg(CAST(form_id AS VARCHAR), ',' ORDER BY form_id) FILTER (k = 0) AS ids, string_agg(CAST(form_id AS VARCHAR), ',' ORDER BY form_id) FILTER (k = 0 OR entry_id % 5 = 0) AS shown FROM g GROUP BY g),
+r AS (SELECT g, -1 AS first, 'root' AS kind, 'e' || b AS root_expression, ids AS form_ids, shown AS display_ids, '' AS parents, coalesce(children, '') AS children, '' AS related FROM e LEFT JOIN c USING (g)
+  UNION ALL SELECT u.g, first, 'subentry', 'e' || b, u.ids, u.ids, parents, '', coalesce((SELECT string_agg(n.x, '|' ORDER BY n.o) FROM n WHERE n.g = u.g AND n.x <> u.x), '') FROM u JOIN e ON e.g = u.g JOIN pa ON pa.g = u.g AND pa.key = u.key)
+SELECT row_number() OVER (ORDER BY g, first) AS sequence, kind, root_expression, form_ids, display_ids, parents, children, related FROM r""")
+def row_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Numbered rows of roots and their derived groups, with parents, children and siblings; an empty root shows its derived forms."""
+    p, i = t(spark, sf_dir, "part"), F.col("p_partkey")
+    entry, k, block = F.floor(i / 4).cast("long") + 1, i % 4, F.floor(i / 12).cast("long")
+    size = (F.col("p_size") % 2).cast("string")
+    expression = F.when(k == 0, F.concat(F.lit("e"), block.cast("string"))).when(k == 1, F.concat(F.lit("d"), size)).otherwise(F.concat(F.lit("h"), size))
+    homograph = F.when((k == 0) & (block % 2 == 0), F.concat(F.lit("H"), entry.cast("string"))).when(k == 2, "I").when(k == 3, "II")
+    forms = p.select(
+        entry.alias("entry_id"), (i + 1).alias("form_id"), F.when(k == 0, "entry").otherwise("subentry").alias("kind"), expression.alias("expression"), homograph.alias("homograph"),
+        ((k > 0) | (entry % 5 != 0)).alias("has_content"),
+    )
+    ids = lambda c: F.array_join(F.transform(c, lambda x: x.cast("string")), ",").alias(c)
+    names = lambda c: F.array_join(c, "|").alias(c)
+    return groups.row_groups(cut(forms, "forms"), nfc).select("sequence", "kind", "root_expression", ids("form_ids"), ids("display_ids"), names("parents"), names("children"), names("related"))
+
+
+_STYLES = "CASE h WHEN 0 THEN 'italic' WHEN 1 THEN 'italic' WHEN 2 THEN 'bold' ELSE 'roman' END"
+
+
+@query(rf"""WITH {_ITEMS},
+s AS (SELECT form_id, i, {_STYLES} AS st, CASE h WHEN 0 THEN w || ')' WHEN 3 THEN w || ' ~ (' WHEN 4 THEN '– (' WHEN 5 THEN ') ' || w ELSE w END AS v FROM h),
+n AS (SELECT *, lead(st) OVER x AS st1, lead(v) OVER x AS v1, lead(st, 2) OVER x AS st2, lead(v, 2) OVER x AS v2 FROM s WINDOW x AS (PARTITION BY form_id ORDER BY i)),
+m AS (SELECT *, coalesce(st = 'roman' AND regexp_matches(v, '[~–]\s*\(\s*$') AND st1 = 'italic' AND (contains(v1, ')') OR coalesce(st2 = 'roman' AND regexp_matches(v2, '^\s*\)'), false)), false) AS hit FROM n),
+z AS (SELECT form_id, i * 4 AS i, st AS k, v FROM m WHERE NOT hit UNION ALL SELECT form_id, i * 4, 'roman', trim(regexp_replace(v, '[~–]\s*\(\s*$', '')) FROM m WHERE hit AND trim(regexp_replace(v, '[~–]\s*\(\s*$', '')) <> ''
+  UNION ALL SELECT form_id, i * 4 + 1, 'italic', regexp_extract(v, '([~–])\s*\(\s*$', 1) FROM m WHERE hit UNION ALL SELECT form_id, i * 4 + 2, 'roman', '(' FROM m WHERE hit)
+SELECT form_id, {_SUM} FROM z GROUP BY form_id""")
+def parenthesized_operators(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An operator before an opening bracket and a closed italic phrase is a run of its own."""
+    h = F.col("h")
+    style = F.when(h < 2, "italic").when(h == 2, "bold").otherwise("roman")
+    value = F.when(h == 0, F.concat("w", F.lit(")"))).when(h == 3, F.concat("w", F.lit(" ~ ("))).when(h == 4, "– (").when(h == 5, F.concat(F.lit(") "), "w")).otherwise(F.col("w"))
+    items = _items(spark, sf_dir, style, value)
+    events = items.select("form_id", F.col("item_ord").alias("ord"), F.lit("run").alias("kind"), F.col("type").alias("style"), "value", F.lit("").alias("boundary"))
+    found = rewrite.split_parenthesized_operators(events)
+    return _digest(found.select("form_id", F.col("ord").alias("item_ord"), F.col("style").alias("type"), "value"))
