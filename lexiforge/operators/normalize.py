@@ -165,8 +165,8 @@ def repair_values(lines: DataFrame, run_values: list[tuple[str, str]], reference
 
 
 def _arrays(rows: DataFrame, table: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
-    """Forms that the table names, as (line_no, table's row, lines a), and the lines of all others."""
-    names = _rules(table.select(*[F.col(k).alias(f"_{k}") for k in keys], F.struct(*[c for c in table.columns if c not in keys]).alias("_r")))
+    """Forms that the table names, as (line_no, table's row, lines a), and the lines of all others; of rows with one key the least counts."""
+    names = _rules(table.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(F.min(F.struct(*[c for c in table.columns if c not in keys])).alias("_r")))
     heads = rows.groupBy("form_id").agg(F.min_by("value", "line_no").alias("expression"), F.min_by(F.when(F.col("marker") == "Homograph", F.col("value")), F.when(F.col("marker") == "Homograph", F.col("line_no"))).alias("homograph"))
     same = F.lit(True)
     for k in keys:

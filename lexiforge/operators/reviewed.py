@@ -104,12 +104,12 @@ def repair_variants(lines: DataFrame, repairs: DataFrame, false_values: tuple[st
 
     ``repairs``: expression, replaced (array), replacements (array).  Replacements
     that the form lacks come where its first replaced variant stood, else after its
-    variants and homograph number.
+    variants and homograph number.  Of rules with one expression the least counts.
     """
     w = Window.partitionBy("form_id").orderBy("ord")
     whole = Window.partitionBy("form_id")
     variant = F.col("marker") == "Variant"
-    table = repairs.select(F.col("expression").alias("_e"), "replaced", "replacements")
+    table = repairs.groupBy(F.col("expression").alias("_e")).agg(F.min(F.struct("replaced", "replacements")).alias("r")).select("_e", "r.replaced", "r.replacements")
     body = F.sum((~F.col("marker").isin(*HEADERS)).cast("int")).over(w)  # 1 for the header and the lines that describe it
     rows = lines.withColumn("_head", F.first("value").over(w)).withColumn("_body", body)
     rows = rows.join(_rules(table), F.col("_head") == F.col("_e"), "left")

@@ -189,3 +189,12 @@ def test_rules_from_json(spark, tmp_path):
     path.write_text('{"odd": []}')
     with pytest.raises(ValueError, match="unknown tables"):
         no.read_rules(spark, str(path))
+
+
+def test_repeated_rules_do_not_repeat_lines(spark):
+    rules = no.Rules(
+        variant_repairs=spark.createDataFrame([("x", ["a"], ["c"]), ("x", ["a"], ["b"]), ("x", ["a"], ["b"])], "expression string, replaced array<string>, replacements array<string>"),
+        merged_runs=spark.createDataFrame([("x", ["[Bold] A"], ["[Bold] C"]), ("x", ["[Bold] A"], ["[Bold] B"])], "expression string, source array<string>, target array<string>"),
+        roman_senses=spark.createDataFrame([("x", None, [1]), ("x", None, [1])], "expression string, homograph string, numbers array<int>"),
+    )
+    assert text(no.normalize(lines(spark, "[Entry] x\n[Variant] a\n[Bold] A\n[Roman] 1 one"), rules)) == ["[Entry] x", "[Variant] b", "[Bold] B", "[Sense] 1", "[Roman] one"]
