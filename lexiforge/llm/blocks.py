@@ -60,12 +60,12 @@ def utf8(table: pa.Table, column: str = "text") -> list[bytes]:
 
 
 def split_by(order: np.ndarray, buckets: int) -> Iterator[tuple[int, np.ndarray]]:
-    """Indices of each bucket, in their order, without the empty buckets."""
+    """Indices of each bucket, in their order; buckets without any cost nothing, however many there are."""
     index = np.argsort(order, kind="stable")
-    cuts = np.searchsorted(order[index], np.arange(buckets + 1))
-    for k in range(buckets):
-        if cuts[k] < cuts[k + 1]:
-            yield k, index[cuts[k] : cuts[k + 1]]
+    found = order[index]
+    edges = np.flatnonzero(np.concatenate(([True], found[1:] != found[:-1], [True]))) if len(found) else np.zeros(1, np.int64)
+    for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+        yield int(found[a]), index[a:b]
 
 
 class Table:
