@@ -21,9 +21,8 @@ Edge cases: null, empty and blank texts have empty sets and no links; a row with
 an id joins only documents with an equal set; a text of
 fewer than ``n`` words has one member, the whole sequence; equal rows are linked;
 rows that share an id are one document, linked to all that any of its texts is
-linked to, and kept or dropped together; ties of ids stay, as the smallest id of a
-component stays with all its rows; an empty table gives an empty result; extra
-columns are ignored.
+linked to (but :func:`deduplicate` judges each row by itself); an empty table gives an
+empty result; extra columns are ignored, and pass through :func:`deduplicate`.
 """
 
 from __future__ import annotations
@@ -36,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .blocks import bucket_of, mix, split_by
-from .common import materialize, tidied, tidy
+from .common import fresh_names, materialize, tidied, tidy
 from .components import components
 
 TILE = 1024
@@ -363,10 +362,20 @@ def jaccard_components(docs: DataFrame, *, n: int = 3, p: int = 90, q: int = 100
 
 
 def deduplicate(docs: DataFrame, *, n: int = 5, p: int = 80, q: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with one document of each component: the smallest id."""
-    found = jaccard_components(docs, n=n, p=p, q=q, id_col=id_col, text_col=text_col)
-    gone = materialize(found.filter("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct(), "jaccard-gone")
-    return docs.join(gone, F.col(id_col) == F.col("_gone"), "left_anti")
+    """``docs`` with one row of each component: the smallest id (rows without one come last), then the first row.
+
+    Rows are numbered in a written table and linked by number, so each row stands for itself
+    whatever its id: null and repeated ids, and repeated rows, lose and keep nothing wrongly.
+    """
+    number, node, label = fresh_names(docs, 3)
+    rows = materialize(docs.withColumn(number, F.monotonically_increasing_id()), "jaccard-rows")
+    found = jaccard_components(rows, n=n, p=p, q=q, id_col=number, text_col=text_col).filter("doc_id <> component_id")
+    found = materialize(found.select(F.col("doc_id").alias(node), F.col("component_id").alias(label)), "jaccard-copies")
+    found = found.union(found.select(label, label).distinct())
+    named = found.join(rows.select(number, F.col(id_col).alias("id")), F.col(node) == F.col(number))
+    kept = named.groupBy(label).agg(F.min(F.struct(F.col("id").isNull(), "id", number))[number].alias("kept"))
+    gone = materialize(found.join(kept, label).filter(F.col(node) != F.col("kept")).select(node), "jaccard-gone")
+    return rows.join(gone, F.col(number) == F.col(node), "left_anti").drop(number)
 
 
 def op7_jaccard_join(docs: DataFrame) -> DataFrame:

@@ -63,7 +63,9 @@ bi AS (SELECT DISTINCT id, w, len(w) AS n, least(len(w), 5) AS k FROM w WHERE t
 ks AS (SELECT DISTINCT k FROM bi),
 b AS (SELECT id AS item_id, w AS bw, n, k, i - 1 AS off, array_to_string(w[i:i+k-1], ' ') AS g FROM (SELECT *, unnest(generate_series(1, n - k + 1)) AS i FROM bi)),
 s AS (SELECT id, w, k, i - 1 AS i, array_to_string(w[i:i+k-1], ' ') AS g FROM (SELECT id, w, k, unnest(generate_series(1, len(w) - k + 1)) AS i FROM w, ks WHERE t = 0 AND len(w) >= k)),
-win AS (SELECT DISTINCT s.id AS doc_id, item_id, greatest(s.i - off, 0) AS start, n, k, s.w, bw FROM s JOIN b USING (k, g)),
+hit AS (SELECT s.id AS doc_id, item_id, s.i, off, n, k, s.w, bw, greatest(len(s.w) - n, 0) AS top FROM s JOIN b USING (k, g)),
+win AS (SELECT DISTINCT doc_id, item_id, start, n, k, w, bw FROM (SELECT *, unnest(generate_series(greatest(i - n + k, 0), i)) AS start FROM hit) WHERE start <= top
+  UNION SELECT doc_id, item_id, i - off, n, k, w, bw FROM hit WHERE i - off > top),
 x AS (SELECT doc_id, item_id, start, n, k, w[start+1:start+n] AS x, bw FROM win),
 a AS (SELECT doc_id, item_id, start, n, bw, g, count(*) AS c FROM (SELECT doc_id, item_id, start, n, bw, array_to_string(x[j:j+k-1], ' ') AS g FROM (SELECT *, unnest(generate_series(1, greatest(len(x) - k + 1, 1))) AS j FROM x)) GROUP BY ALL),
 an AS (SELECT doc_id, item_id, start, n, bw, sum(c) AS tot FROM a GROUP BY ALL),

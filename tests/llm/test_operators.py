@@ -548,21 +548,58 @@ def test_licence_recall_and_denials():
     assert len(wrong) <= 0.05 * len(denied) * len(licenses.NAMES), wrong
 
 
+def test_decontamination_all_windows(spark):
+    """Edited, reordered, cut and repeated items against every window of an item's size: recall 1 on 150 texts."""
+    r = random.Random(12)
+    items = [[f"v{r.randint(0, 400)}" for _ in range(n)] for n in (15, 16, 22, 31, 40, 58)] + [["a"] * 17, ["x", "y"], ["solo"]]
+    rows = []
+    for k in range(150):
+        item = list(items[k % len(items)])
+        for _ in range(r.randint(0, 2) if len(item) > 2 else 0):
+            at = r.randrange(len(item))
+            item[at : at + r.randint(0, 1)] = [f"e{k}"] * r.randint(0, 1)
+        if k % 7 == 0:  # halves swapped
+            item = item[len(item) // 2 :] + item[: len(item) // 2]
+        if k % 11 == 0:
+            item = item + item
+        rows.append((k, " ".join([f"h{r.randint(0, 50)}" for _ in range(r.choice((0, 3, 30)))] + item + [f"h{r.randint(0, 50)}" for _ in range(r.choice((0, 2, 30)))])))
+
+    def shingled(w):
+        return Counter(tuple(w[i : i + 5]) for i in range(max(len(w) - 4, 1)))
+
+    want = {}
+    for k, t in rows:
+        w = t.split()
+        for j, item in enumerate(items):
+            b, n = shingled(item), len(item)
+            for s in range(max(len(w) - n, 0) + 1):
+                a = shingled(w[s : s + n])
+                sim = sum((a & b).values()) / sum((a | b).values())
+                if sim >= 0.8 and sim > want.get((k, j), (0, 0))[0]:
+                    want[k, j] = (sim, s)
+    bench = spark.createDataFrame([(j, " ".join(x)) for j, x in enumerate(items)], "item_id long, text string")
+    for limit in (1_000_000, 0):
+        got = {(x["doc_id"], x["item_id"]): (x["similarity"], x["start"]) for x in decontaminate.leaks(frame(spark, rows), bench, broadcast_rows=limit).collect()}
+        assert len(want) > 60 and set(want) <= set(got)
+        assert all(got[p][0] >= want[p][0] - 1e-9 for p in want) and all(got[p] == pytest.approx(want[p]) for p in want if got[p][0] <= want[p][0] + 1e-9)
+
+
 def test_hamming_blocks_and_radius(spark):
     """All pairs within the radius pass the blocks, as brute force has them; similar windows are hardly ever further away."""
     r = random.Random(3)
     near = []
-    for _ in range(4000):
+    for _ in range(600):
         a = r.getrandbits(64)
         b = a
         for bit in r.sample(range(64), r.randint(0, 40)):
             b ^= 1 << bit
         near.append((a, b))
     signed = lambda x: x - (1 << 64) if x >> 63 else x
-    for radius in (0, 7, 15, 24):
-        rows = spark.createDataFrame([(signed(a), signed(b)) for a, b in near], "a long, b long")
-        got = [x[0] for x in rows.select(decontaminate.within(F.col("a"), F.col("b"), radius)).collect()]
-        assert got == [(a ^ b).bit_count() <= radius for a, b in near]
+    for radius in (0, 7, 15, decontaminate.RADIUS):
+        left = spark.createDataFrame([(k % 3, signed(a)) for k, (a, _) in enumerate(near)], "n int, fp long")
+        right = spark.createDataFrame([(k % 3, signed(b)) for k, (_, b) in enumerate(near)], "n int, item_fp long")
+        got = {tuple(x) for x in decontaminate.near_fingerprints(left, right, radius).collect()}
+        assert got == {(k % 3, signed(a), signed(b)) for k, (a, _) in enumerate(near) for j, (_, b) in enumerate(near) if k % 3 == j % 3 and (a ^ b).bit_count() <= radius}
     rng, far, tried = np.random.default_rng(5), 0, 0
     for n in (14, 20, 30, 40, 60):  # words changed at both ends, where a change costs the fewest shingles
         lost = max(k for k in range(n) if (n - 4 - k) / (n - 4 + k) >= 0.8)
@@ -570,4 +607,4 @@ def test_hamming_blocks_and_radius(spark):
         one, two = (2 * bits[:, i : i + n].sum(1) > n for i in (0, lost))
         far += int(((one != two).sum(1) > decontaminate.RADIUS).sum())
         tried += 4000
-    assert far <= tried / 10_000, far / tried
+    assert far <= 3 * tried / 10_000, far / tried  # 1 in 12,000 over 120,000 windows

@@ -3,7 +3,7 @@ import os
 import pytest
 
 import corpus_pipeline
-from lexiforge.llm import registry
+from lexiforge.llm import decontaminate, jaccard, registry
 from lexiforge.llm.common import documents, materialize
 
 SF = "/root/testdata/sf0.001"
@@ -35,5 +35,25 @@ def test_like_sql(spark, name):
     assert sorted(tuple(map(str, r)) for r in df.select(*cols).collect()) == sorted(tuple(map(str, r)) for r in rel.select(*cols).fetchall())
 
 
+def test_rows_by_content(spark):
+    """Null and repeated ids, and columns with the names of helpers: only the rows at fault go."""
+    schema = "doc_id long, text string, lang string, source string, n_chars long, _gone int, _rejected int, _c0 int"
+    prose = " ".join(f"river{k} stone" for k in range(40))
+    item = " ".join(f"question{k}" for k in range(20))
+    rows = [(None, item), (7, item), (7, prose), (None, prose), (None, prose), (3, prose + " end"), (8, None)]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t or ""), 1, 2, 3) for i, t in rows], schema)
+    bench = spark.createDataFrame([(1, item, 5)], "item_id long, text string, n int")
+    left = decontaminate.decontaminate(docs, bench)
+    assert left.columns == docs.columns
+    assert sorted(map(str, ((r["doc_id"], r["text"]) for r in left.collect()))) == sorted(map(str, rows[2:]))
+    left = jaccard.deduplicate(docs)
+    assert left.columns == docs.columns
+    got = sorted(((r["doc_id"], r["text"]) for r in left.collect()), key=str)
+    assert got == sorted([(7, item), (3, prose + " end"), (8, None)], key=str)
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t or ""), 1, 2, 3) for i, t in [(7, prose), (7, "1 2 3"), (None, "4 5"), (None, prose)]], schema)
+    left = corpus_pipeline.language_id(spark, docs, SF)
+    assert left.columns == docs.columns and {r["text"] for r in left.collect()} <= {prose}
+
+
 def test_names():
-    assert [n.split("_")[0] for n in registry.queries() if n.startswith("op")] == [f"op{k}" for k in range(1, 11)]
+    assert [n.split("_")[0] for n in registry.queries() if n.startswith("op")] == [f"op{k}" for k in range(1, 14)]
