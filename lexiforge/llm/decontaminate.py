@@ -16,7 +16,8 @@ Of worst-case windows (similarity just 0.8, the words changed at the ends), abou
 words; an item of fewer words is one shingle, so it is matched whole.
 
 The benchmark's shingle hashes (28 bytes each) are broadcast only up to
-``broadcast_rows``; beyond, the join shuffles both sides.  The positions that one
+``broadcast_rows``, and so are the hashes of the texts with windows; beyond, the
+joins shuffle both sides.  The positions that one
 item's shingles have in one text are one array; very long texts cost time in
 proportion to their words.  Edge cases: null and empty texts have no windows, nor
 have items without words; the best window of a document and item is the most
@@ -143,8 +144,10 @@ def _windows(docs: DataFrame, items: DataFrame, threshold: float, broadcast_rows
     late = F.filter("cut", lambda s: F.size(F.filter("ps", lambda x: x >= s)) >= F.col("need"))
     found = found.select("doc_id", "key", "n", F.explode(F.concat(_starts(F.col("need"), reach), late)).alias("start")).distinct()
     found = found.groupBy("doc_id", "key").agg(F.collect_list(F.struct("start", "n")).alias("at"))
-    # only texts with such windows are read again
+    # only texts with such windows are read again; only these meet the lists of starts
     found = materialize(found, "bench-starts").withColumnsRenamed({"doc_id": "d", "key": "t"})
+    if found.count() <= broadcast_rows:  # 8 bytes each
+        docs = docs.join(F.broadcast(found.select("t")), F.col("key") == F.col("t"), "left_semi")
     placed = docs.join(found, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("key") == F.col("t"))).dropDuplicates(["doc_id", "key"])
     placed = placed.select("doc_id", "key", normal_words(F.col("text")).alias("words"), "at")
     cut = F.transform("at", lambda x: F.struct(x["start"].alias("start"), x["n"].alias("n"), F.array_join(F.slice("words", x["start"] + 1, x["n"]), " ").alias("w")))
