@@ -201,7 +201,16 @@ def test_sharding(docs, empty, spark, rows):
     assert set(by) <= set(range(40)) and all(sorted(s for s, _ in v) == list(range(len(v))) for v in by.values())
     heavy = max(s for v in by.values() for _, s in v)
     sums = [sum(s for _, s in by.get(k, [])) for k in range(40)]
-    assert max(sums) - min(sums) <= 2 * heavy
+    assert max(sums) - min(sums) <= heavy + sum(sums) / 40 / 16
+    r = random.Random(4)
+    mixed = [(i, "x" * r.choice((10, 50, 400))) for i in range(4000)] + [(9000 + i, "y" * 30_000) for i in range(3)] + [(9000, "y" * 30_000), (None, "z" * 9_000), (None, "z" * 9_000)]
+    placed = sharding.shard(spark.createDataFrame(mixed, "doc_id long, text string"), 10).collect()
+    sums, slots = Counter(), defaultdict(list)
+    for x in placed:
+        sums[x["shard"]] += x["size"]
+        slots[x["shard"]].append(x["slot"])
+    assert Counter((x["doc_id"], x["text"]) for x in placed) == Counter(mixed) and all(sorted(v) == list(range(len(v))) for v in slots.values())
+    assert len(sums) == 10 and max(sums.values()) - min(sums.values()) <= 2 * 416
     same = spark.createDataFrame([(i, "copy") for i in range(3000)], "doc_id long, text string")  # one hot group
     counts = [r["count"] for r in sharding.shard(same, 8, ranges=16).groupBy("shard").count().collect()]
     assert len(counts) == 8 and max(counts) - min(counts) <= 1
