@@ -42,6 +42,7 @@ TILE = 1024
 LOT = 500_000  # set members that one comparison holds, besides those of its centre
 FLUSH = 300_000  # signatures that a task holds before it sends them
 BUCKET = 1_000_000  # signatures a reducer gets, about
+NEAR = 1_000_000  # pairs to verify that are broadcast (32 bytes each)
 WORDS = 8  # of 64 bits in a bitmap
 _BREAK = np.zeros(256, bool)
 _BREAK[[32, 9, 10, 11, 12, 13]] = True
@@ -195,10 +196,30 @@ def features(docs: DataFrame, n: int, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col)).mapInArrow(read, ", ".join(f"{c} long" for c in names))
 
 
+def _packed(sigs: np.ndarray, ids: np.ndarray) -> tuple[int, bytes, bytes]:
+    """A message: the least id, 48 bits of each signature, and the ids above the least in 32 bits where they fit.
+
+    Buckets go by the high bits of a signature, so the low ones tell those of a bucket apart; where they do
+    not (odds of 0.002 in a bucket), a group has members that verification parts.
+    """
+    base, top = int(ids.min()), int(ids.max())
+    own = (ids - base).astype(np.uint32) if top - base < 1 << 32 else ids
+    return base, sigs.view(np.uint8).reshape(-1, 8)[:, :6].tobytes(), own.tobytes()
+
+
+def _unpacked(base: int, sigs: bytes, docs: bytes) -> tuple[np.ndarray, np.ndarray]:
+    low = np.frombuffer(sigs, np.uint8).reshape(-1, 6)
+    wide = np.zeros((len(low), 8), np.uint8)
+    wide[:, :6] = low
+    short = len(docs) == 4 * len(low)
+    ids = np.frombuffer(docs, np.uint32).astype(np.int64) + base if short else np.frombuffer(docs, np.int64)
+    return wide.view(np.uint64).ravel(), ids
+
+
 def _groups(docs: DataFrame, n: int, p: int, q: int, id_col: str, text_col: str, buckets: int) -> DataFrame:
     """(gid, doc): groups of documents that agree in a part of a tile."""
-    sent = "bucket int, sigs binary, docs binary"
-    types = [pa.int32(), pa.binary(), pa.binary()]
+    sent = "bucket int, base long, sigs binary, docs binary"
+    types = [pa.int32(), pa.int64(), pa.binary(), pa.binary()]
 
     @tidied
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -208,9 +229,9 @@ def _groups(docs: DataFrame, n: int, p: int, q: int, id_col: str, text_col: str,
             if held:
                 sigs = np.concatenate([s for s, _ in held])
                 ids = np.repeat(np.array([d for _, d in held], np.int64), [len(s) for s, _ in held])
-                rows = [(b, sigs[i].tobytes(), ids[i].tobytes()) for b, i in split_by(bucket_of(sigs, buckets), buckets)]
+                rows = [(b, *_packed(sigs[i], ids[i])) for b, i in split_by(bucket_of(sigs, buckets), buckets)]
                 for k in range(0, len(rows), 1024):
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows[k : k + 1024], strict=True), types, strict=True)], ["bucket", "sigs", "docs"])
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows[k : k + 1024], strict=True), types, strict=True)], ["bucket", "base", "sigs", "docs"])
 
         for batch in _few(batches):
             for doc, s in zip(batch.column(0).to_pylist(), shingle_sets(batch.column(1).to_pylist(), n), strict=True):
@@ -228,8 +249,9 @@ def _groups(docs: DataFrame, n: int, p: int, q: int, id_col: str, text_col: str,
         yield from flush()
 
     def meet(table: pa.Table) -> pa.Table:
-        sigs = np.concatenate([np.frombuffer(x, np.uint64) for x in table["sigs"].to_pylist()])
-        ids = np.concatenate([np.frombuffer(x, np.int64) for x in table["docs"].to_pylist()])
+        parts = [_unpacked(*x) for x in zip(*(table[c].to_pylist() for c in ("base", "sigs", "docs")), strict=True)]
+        sigs, ids = (np.concatenate(x) for x in zip(*parts, strict=True))
+        del parts
         order = np.lexsort((ids, sigs))
         sigs, ids = sigs[order], ids[order]
         del order
@@ -251,46 +273,52 @@ def _groups(docs: DataFrame, n: int, p: int, q: int, id_col: str, text_col: str,
     return slim.mapInArrow(sign, sent).groupBy("bucket").applyInArrow(meet, "gid long, doc long").distinct()
 
 
-def _sets(docs: DataFrame, wanted: DataFrame, n: int, id_col: str, text_col: str) -> DataFrame:
-    """(d, m, s): the sorted sets of the wanted documents (column w), as bytes of 64-bit hashes."""
+def _sets(docs: DataFrame, wanted: DataFrame, n: int, id_col: str, text_col: str, unique: bool) -> DataFrame:
+    """(d, s): the sorted sets of the wanted documents (column w), as bytes of 64-bit hashes."""
 
     @tidied
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _few(batches, 128):
             sets = shingle_sets(batch.column(1).to_pylist(), n)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], ["d", "m", "s"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([s.tobytes() for s in sets], pa.binary())], ["d", "s"])
 
     slim = docs.select(F.col(id_col).cast("long").alias("d"), F.col(text_col).alias("t"))
-    own = slim.join(wanted, F.col("d") == F.col("w"), "left_semi").mapInArrow(read, "d long, m long, s binary")
-    return own.filter("m > 0").withColumn("f", F.xxhash64("s")).dropDuplicates(["d", "m", "f"]).drop("f")
+    own = slim.join(wanted, F.col("d") == F.col("w"), "left_semi").mapInArrow(read, "d long, s binary").filter("length(s) > 0")
+    if unique:
+        return own
+    return own.withColumn("f", F.xxhash64("s")).withColumn("m", F.length("s")).dropDuplicates(["d", "m", "f"]).select("d", "s")
 
 
-def _verify(pairs: DataFrame, docs: DataFrame, n: int, p: int, q: int, id_col: str, text_col: str) -> DataFrame:
-    """The pairs (a, b) that are linked, by intersecting the sorted sets."""
-    if pairs.isEmpty():
+def _verify(pairs: DataFrame, docs: DataFrame, sizes: DataFrame, n: int, p: int, q: int, id_col: str, text_col: str, unique: bool) -> DataFrame:
+    """The pairs (a, b) that are linked, by intersecting the sorted sets.
+
+    Up to ``NEAR`` pairs go to every executor, so that the texts stay where they are and a set moves
+    only to the pairs it is in; more are joined by shuffle.  ``sizes``: d, m of each document.
+    """
+    count = pairs.count()
+    if not count:
         return pairs.select("a", "b")
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("w")).distinct()
-    sets = materialize(_sets(docs, wanted, n, id_col, text_col), "jaccard-hashes")
+    near = F.broadcast if count <= NEAR else (lambda df: df)
     # a hot document a is spread: the sets of its partners come in lots of about LOT members
-    size = sets.groupBy("d").agg(F.sum("m").alias("m"))
-    lots = pairs.join(size, F.col("b") == F.col("d")).groupBy("a").agg(F.ceil(F.sum("m") / LOT).cast("long").alias("lots"))
-    dealt = pairs.join(lots, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.col("lots")).alias("lot"))
-    left = dealt.join(sets, F.col("b") == F.col("d")).select("a", "lot", "b", "s")
-    right = dealt.select("a", "lot").distinct().join(sets, F.col("a") == F.col("d")).select(F.col("a").alias("c"), F.col("lot").alias("l"), F.col("s").alias("t"))
-
-    def intersect(members: pa.Table, center: pa.Table) -> pa.Table:
-        found = set()
-        for own in [np.frombuffer(t.as_py(), np.uint64) for t in center["t"]]:
-            for doc, raw in zip(members["b"].to_pylist(), members["s"], strict=True):
-                s = np.frombuffer(raw.as_buffer(), np.uint64)
-                if q * min(len(own), len(s)) >= p * max(len(own), len(s)):
+    lots = pairs.join(sizes, F.col("b") == F.col("d")).groupBy("a").agg(F.ceil(F.sum("m") / LOT).cast("long").alias("lots"))
+    dealt = pairs.join(lots, "a").select("a", F.pmod(F.xxhash64("b"), F.col("lots")).alias("lot"), F.explode(F.array("a", "b")).alias("w"))
+    dealt = materialize(dealt.distinct(), "jaccard-dealt")
+    sets = _sets(docs, near(dealt.select("w").distinct()), n, id_col, text_col, unique)
+    placed = sets.join(near(dealt), F.col("d") == F.col("w")).select("a", "lot", "d", "s")
+
+    def intersect(table: pa.Table) -> pa.Table:
+        a, found = table["a"][0].as_py(), set()
+        ids = table["d"].to_pylist()
+        sets = [np.frombuffer(s.as_buffer(), np.uint64) for s in table["s"]]
+        for own in [s for d, s in zip(ids, sets, strict=True) if d == a]:
+            for doc, s in zip(ids, sets, strict=True):
+                if doc != a and q * min(len(own), len(s)) >= p * max(len(own), len(s)):
                     at = np.minimum(np.searchsorted(own, s), len(own) - 1)
                     if _linked(len(own), len(s), int((own[at] == s).sum()), p, q):
                         found.add(doc)
-        own_id = center["c"][0].as_py() if center.num_rows else None
-        return pa.table([pa.array([own_id] * len(found), pa.int64()), pa.array(sorted(found), pa.int64())], names=["a", "b"])
+        return pa.table([pa.array([a] * len(found), pa.int64()), pa.array(sorted(found), pa.int64())], names=["a", "b"])
 
-    return left.groupBy("a", "lot").cogroup(right.groupBy("c", "l")).applyInArrow(intersect, "a long, b long")
+    return placed.groupBy("a", "lot").applyInArrow(intersect, "a long, b long")
 
 
 def _bounded(pairs: DataFrame, reps: DataFrame, p: int, q: int) -> DataFrame:
@@ -322,7 +350,11 @@ def jaccard_components(docs: DataFrame, *, n: int = 3, p: int = 90, q: int = 100
     groups = materialize(groups.select("gid", F.coalesce("rep", "doc").alias("doc")).distinct(), "jaccard-groups")
     center = groups.groupBy("gid").agg(F.min("doc").alias("a"))
     stars = groups.join(center, "gid").filter("doc <> a").select("a", F.col("doc").alias("b")).distinct()
-    links = _verify(materialize(_bounded(stars, reps, p, q), "jaccard-stars"), docs, n, p, q, id_col, text_col)
+    # where no id is repeated, no set has to be looked for twice
+    unique = every.filter("n > 0 and doc_id is not null").groupBy("doc_id").count().filter("count > 1").isEmpty()
+    sizes = every if unique else every.dropDuplicates(["doc_id", "n", "f0", "f1"])
+    sizes = sizes.groupBy(F.col("doc_id").alias("d")).agg(F.sum("n").alias("m"))
+    links = _verify(materialize(_bounded(stars, reps, p, q), "jaccard-stars"), docs, sizes, n, p, q, id_col, text_col, unique)
     links = materialize(links.union(several), "jaccard-links")
     comp = materialize(components(links), "jaccard-components")
 
@@ -355,7 +387,7 @@ def jaccard_components(docs: DataFrame, *, n: int = 3, p: int = 90, q: int = 100
 
     more = materialize(rest.groupBy("gid", "x", "y").applyInArrow(across, "a long, b long").distinct(), "jaccard-across")
     if not more.isEmpty():
-        links = links.union(_verify(more, docs, n, p, q, id_col, text_col))
+        links = links.union(_verify(more, docs, sizes, n, p, q, id_col, text_col, unique))
         comp = materialize(components(links), "jaccard-components")
     out = member.join(comp, F.col("rep") == F.col("node"), "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "rep").alias("component_id"))

@@ -319,6 +319,29 @@ def test_jaccard_across_and_hot(spark, empty):
     assert kept.columns == frame(spark, rows).columns and kept.count() == len({c for _, c in brute_jaccard(rows, 3, 90, 100).values()})
 
 
+def test_jaccard_moves_little(spark, monkeypatch):
+    """A pair's check sends sets to pairs only, texts and sets to no join, and gives the same by shuffle."""
+    rows = [(i * 2**40 - 7, t) for i, t in corpus(40)]
+    docs, pairs = frame(spark, rows), spark.createDataFrame([(rows[3][0], rows[2][0]), (rows[0][0], rows[1][0]), (rows[0][0], rows[4][0])], "a long, b long")
+    sizes = docs.selectExpr("doc_id as d", "1L as m")
+    found = {}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as if the tables were large
+    for near in (jaccard.NEAR, 0):
+        monkeypatch.setattr(jaccard, "NEAR", near)
+        links = jaccard._verify(pairs, docs, sizes, 3, 90, 100, "doc_id", "text", True)
+        plan = links._jdf.queryExecution().executedPlan().toString()
+        found[near] = sorted(map(tuple, links.collect())), plan.count("Exchange hashpartitioning")
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    (links, moves), (same, more) = found.values()
+    assert links == same and (rows[0][0], rows[1][0]) in links and (rows[0][0], rows[4][0]) not in links
+    assert moves <= 2 < more  # the pairs' distinct documents and the groups of pairs
+    ids = np.array([5, -(2**62), 2**62, 5], np.int64)
+    sigs = np.arange(4, dtype=np.uint64)
+    for own in (ids, ids[[0, 3]], ids[:1] + 2**31):
+        s, d = jaccard._unpacked(*jaccard._packed(sigs[: len(own)], own))
+        assert (s == sigs[: len(own)]).all() and (d == own).all()
+
+
 def test_signatures_guarantee():
     """Linked sets share a signature, whatever their sizes."""
     r = np.random.default_rng(4)
