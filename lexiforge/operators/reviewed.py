@@ -69,10 +69,15 @@ def repair_headwords(spans: DataFrame, table: DataFrame) -> DataFrame:
     w = Window.partitionBy("line_id").orderBy("span_ord")
     whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     rows = spans.withColumn("clean_text", F.coalesce("clean_text", F.lit(""))).join(_rules(rules), F.col("line_id") == F.col("_id"), "left")
-    rows = rows.withColumn("_line", F.when(F.col("_id").isNotNull(), F.concat_ws("", F.collect_list("clean_text").over(whole))))
     rows = rows.withColumn("_from", F.coalesce(F.sum(F.length("clean_text")).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    start = F.length(F.regexp_extract("_line", r"(?U)^\s*", 0))
-    found = F.substring(F.col("_line"), start + 1, F.length("_word"))
+    # only what stands at the headword's place is gathered, so a line's spans never hold the whole line each
+    lead = F.length(F.regexp_extract("clean_text", r"(?U)^\s*", 0))
+    rows = rows.withColumn("_lead", F.min(F.when(lead < F.length("clean_text"), F.col("_from") + lead)).over(whole)).withColumn("_all", F.sum(F.length("clean_text")).over(whole))
+    start = F.coalesce("_lead", "_all")
+    skip = F.greatest(start - F.col("_from"), F.lit(0))
+    own = F.substring(F.col("clean_text"), (skip + 1).cast("int"), (start + F.length("_word") - F.col("_from") - skip).cast("int"))
+    rows = rows.withColumn("_found", F.collect_list(F.when(F.col("_id").isNotNull() & (own != ""), own)).over(whole))
+    found = F.concat_ws("", "_found")
     why = F.concat(F.lit("headword evidence changed for "), "line_id", F.lit(": expected "), "_word", F.lit(", got "), found)
     twice = F.concat(F.lit("two headwords for "), "line_id")
     checked = F.when(F.col("_id").isNull(), F.lit(None).cast("int")).when(F.col("_n") > 1, F.raise_error(twice).cast("int")).when(found != F.col("_word"), F.raise_error(why).cast("int")).otherwise(start)
