@@ -105,7 +105,11 @@ def header_aliases(marked: DataFrame) -> DataFrame:
     number = bold & F.col("clean_text").rlike(SENSE)
     prose = F.col("_shown") & (F.col("style") == "roman") & ~header_connector(F.col("clean_text"))
     ended = F.max(number | prose).over(_line().rowsBetween(*_BEFORE))
-    after = F.concat_ws("", F.reverse(F.collect_list("clean_text").over(_back().rowsBetween(*_BEFORE))))
+    # of what follows, the grammar asks only how it begins and whether a slash comes: no span holds the rest of its line
+    later = _back().rowsBetween(*_BEFORE)
+    begins = F.last(F.when(F.col("clean_text") != "", F.left("clean_text", F.lit(1))), ignorenulls=True).over(later)
+    slash = F.max(F.when(F.contains("clean_text", F.lit("/")), "/")).over(later)
+    after = F.concat_ws("", begins, slash)
     found = bold & ~number & ~F.coalesce(ended, F.lit(False)) & ~strip(F.col("clean_text")).isin("–", "~")
     rows = rows.withColumn("_found", found).withColumn("_later", after).filter("_found")
     parsed = parse_expression(clean_layout(F.col("clean_text")), F.col("_later"), F.lit(False))

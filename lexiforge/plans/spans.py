@@ -74,7 +74,8 @@ g(form_id, n) AS (SELECT form_id, 1 FROM p UNION ALL SELECT g.form_id, g.n + 1 F
 SELECT form_id, n AS place, trim(x) AS alias FROM g JOIN r USING (form_id, n) WHERE style = 'bold' AND NOT regexp_full_match(trim(x), '[0-9]+') AND trim(x) <> 'II'""")
 def header_aliases(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bold forms of the header until prose starts; a lone Roman number names no form."""
-    marked = cut(ev.mark_zones(span_table(spark, sf_dir)), "zones")
+    # headers are first lines: what the zones of other lines are has no part in them
+    marked = cut(ev.mark_zones(span_table(spark, sf_dir).filter("line_ord = 0")), "zones")
     rest = marked.filter("line_ord = 0 and zone = 'rest'").filter(ev.shown(F.col("clean_text")))
     place = F.row_number().over(ev.Window.partitionBy("form_id").orderBy("span_ord"))
     numbered = rest.select(F.col("form_id").alias("_f"), F.col("span_ord").alias("_s"), place.cast("long").alias("place"))

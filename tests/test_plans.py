@@ -48,3 +48,9 @@ def test_reference_suffixes_move_once(large):
     found = render.collapse_reference_suffixes(items(large))
     assert plan(found)[1].count("Exchange hashpartitioning") == 1
     assert [r["value"] for r in found.orderBy("item_ord").collect()][4:] == ["z II 4"]
+
+
+def test_aliases_gather_no_line(large):
+    line = [("bold", "oco"), ("roman", " ("), ("bold", "mongo/"), ("roman", "ab/ prose"), ("bold", "later")]
+    found = ev.header_aliases(ev.mark_zones(spans(large, line)))
+    assert "collect_list" not in plan(found)[0] and [r["alias"] for r in found.collect()] == ["mongo"]
