@@ -225,7 +225,7 @@ def content_events(spans: DataFrame, known: Column, decisions: DataFrame, joined
         F.when(text == "", F.slice(run, 1, 0))
         .when(~shown(text), run)
         .when(F.size("_codes") > 0, F.transform("_codes", lambda c: event("label", c)))
-        .when(_bold(style) & text.rlike(SENSE), F.array(event("sense", strip(text).try_cast("long").cast("string"))))
+        .when(_bold(style) & text.rlike(SENSE), F.array(event("sense", strip(text))))
         .when((style == "symbol") & (strip(text) == "→"), F.array(event("arrow", F.lit("→"))))
         .otherwise(run)
     )

@@ -129,6 +129,8 @@ def parse_pages(spans: DataFrame, pages: DataFrame, known: Column, resolutions:
         joined_lines = spans.sparkSession.createDataFrame([], "line_id string")
     content = marked.filter("zone = 'rest'").drop("zone")
     raw = ev.content_events(content, known, decisions.select("form_id", "line_ord", "action"), joined_lines, forms)
+    # marker text has a sense's number, however it was printed
+    raw = raw.withColumn("value", F.when(F.col("kind") == "sense", F.regexp_replace("value", r"^0+(?=\d)", "")).otherwise(F.col("value")))
     events = cut(rewrite.rewrite_events(cut(raw, "events")), "content")
     raw_lines = number_rows(marker_lines(forms, events), ["form_id", "ord"], "line_no").select("line_no", "marker", "value")
     return Pages(lines, own, decisions, forms, events, normalize(cut(raw_lines, "markers"), rules))

@@ -176,3 +176,9 @@ def test_source_checks(spark, tmp_path):
     spark.read.parquet(path).drop("x1").write.parquet(str(tmp_path / "less"))
     with pytest.raises(ValueError, match=r"missing columns \['x1'\]"):
         tables.check_source(spark, str(tmp_path / "less"), pages)
+
+
+def test_sense_numbers_as_printed(spark):
+    """Leading zeros stay, and no number is too long to be one."""
+    _, found, _ = parse(spark, [[[("bold", "kata"), ("roman", " word "), ("bold", " 007 "), ("roman", " spy "), ("bold", "12345678901234567890123")]]])
+    assert [v for k, _, v in found[0] if k == "sense"] == ["007", "12345678901234567890123"]
