@@ -63,9 +63,11 @@ def _next(fields: list[str]) -> Column:
     return F.last(F.when(F.col("_shown"), F.struct(*fields)), ignorenulls=True).over(_back().rowsBetween(*_BEFORE))
 
 
-def _prepared(spans: DataFrame) -> DataFrame:
+def _prepared(spans: DataFrame, placed: bool = True) -> DataFrame:
+    """Texts without nulls; ``placed``: exchanged by form, unless the first window to come does it."""
     text = F.coalesce("clean_text", F.lit(""))
-    return spans.withColumn("clean_text", text).withColumn("_shown", shown(text)).repartition("form_id")
+    rows = spans.withColumn("clean_text", text).withColumn("_shown", shown(text))
+    return rows.repartition("form_id") if placed else rows
 
 
 def mark_zones(spans: DataFrame) -> DataFrame:
@@ -155,21 +157,20 @@ def merge_initials(spans: DataFrame) -> DataFrame:
     rows = _prepared(spans)
     style, text = F.col("style"), F.col("clean_text")
     rows = rows.withColumn("_kind", F.when(_italic(style) & strip(text).rlike("^[A-Z]$"), "i").when((style == "roman") & text.rlike(r"(?U)^\s*\.\s*$"), "p").when((style == "roman") & text.rlike(r"(?U)^\s*\."), "s"))
-    # neighbours among the spans that are not blank
-    seen = rows.filter("_shown").withColumn("_n", F.row_number().over(_line()))
-    kind = lambda k: F.lead("_kind", k).over(_line())
+    # neighbours among the spans that are not blank; windows only, so that no join exchanges the spans again
+    line = Window.partitionBy("form_id", "line_ord", "_shown").orderBy("span_ord")
+    kind = lambda k: F.lead("_kind", k).over(line)
+    seen = rows
     seen = seen.withColumn("_link", F.coalesce((F.col("_kind") == "i") & (kind(1) == "p") & (kind(2) == "i"), F.lit(False)))
-    seen = seen.withColumn("_linked", F.coalesce(F.lag("_link", 2).over(_line()), F.lit(False))).withColumn("_then", kind(1)).withColumn("_end", F.lead("span_ord").over(_line()))
-    seen = seen.withColumn("_chain", F.sum((F.col("_link") & ~F.col("_linked")).cast("int")).over(_line().rowsBetween(*_UPTO)))
+    seen = seen.withColumn("_linked", F.coalesce(F.lag("_link", 2).over(line), F.lit(False))).withColumn("_then", kind(1)).withColumn("_end", F.lead("span_ord").over(line))
     closes = ~F.col("_link") & F.col("_linked") & F.col("_then").isin("p", "s")
-    groups = (
-        seen.groupBy("form_id", "line_ord", "_chain")
-        .agg(F.min(F.when(F.col("_link") & ~F.col("_linked"), F.col("span_ord"))).alias("_from"), F.max(F.when(closes, F.col("_end"))).alias("_to"))
-        .filter("_from is not null and _to is not null")
-        .select(F.col("form_id").alias("_f"), F.col("line_ord").alias("_l"), "_from", "_to")
-    )
-    within = (F.col("form_id") == F.col("_f")) & (F.col("line_ord") == F.col("_l")) & F.col("span_ord").between(F.col("_from"), F.col("_to"))
-    joined = rows.join(groups, within, "left")
+    # chains do not overlap: a span's chain is the last that began, and the chain's end the first last initial from there
+    begins = F.when(F.col("_shown") & F.col("_link") & ~F.col("_linked"), F.col("span_ord"))
+    ends = F.when(F.col("_shown") & ~F.col("_link") & F.col("_linked"), F.struct(F.when(closes, F.col("_end")).alias("to")))
+    seen = seen.withColumn("_last", F.last(ends, ignorenulls=True).over(_back().rowsBetween(*_UPTO)))
+    chain = F.last(F.when(begins.isNotNull(), F.struct(F.col("span_ord").alias("a"), F.col("_last.to").alias("b"))), ignorenulls=True).over(_line().rowsBetween(*_UPTO))
+    joined = seen.withColumn("_c", chain).withColumn("_in", F.coalesce(F.col("span_ord") <= F.col("_c.b"), F.lit(False)))
+    joined = joined.withColumn("_from", F.when(F.col("_in"), F.col("_c.a"))).withColumn("_to", F.when(F.col("_in"), F.col("_c.b")))
     dot = F.regexp_extract("clean_text", r"(?U)^\s*\.", 0)
     piece = lambda at, part, value: F.struct(at.alias("at"), F.lit(part).alias("part"), value.alias("value"))
     tail = F.array(piece(F.col("_from"), 0, dot), piece(F.col("span_ord"), 1, F.substring("clean_text", F.length(dot) + 1, F.length("clean_text"))))
@@ -189,10 +190,10 @@ def protect_labels(spans: DataFrame) -> DataFrame:
     An operand follows roman text that ends in an operator, on its line or at the end of the line before; a name's part has
     a period before or after it on its line.
     """
-    rows = _prepared(spans)
+    rows = _prepared(spans, placed=False)
     form = Window.partitionBy("form_id").orderBy("line_ord", "span_ord")
-    rows = rows.withColumn("_left", _previous(["style", "clean_text"])).withColumn("_right", _next(["style", "clean_text"]))
     rows = rows.withColumn("_ahead", _previous(["line_ord", "style", "clean_text"], form))
+    rows = rows.withColumn("_left", _previous(["style", "clean_text"])).withColumn("_right", _next(["style", "clean_text"]))
     roman = lambda side, pattern: (F.col(f"{side}.style") == "roman") & F.col(f"{side}.clean_text").rlike(pattern)
     near = F.col("_ahead.line_ord") >= F.col("line_ord") - 1
     operand = near & roman("_ahead", r"(?U)[~–]\s*$")

@@ -50,6 +50,13 @@ def test_reference_suffixes_move_once(large):
     assert [r["value"] for r in found.orderBy("item_ord").collect()][4:] == ["z II 4"]
 
 
+def test_labels_move_once(large):
+    chain = [("italic", "A"), ("roman", "."), ("roman", " "), ("italic", "S"), ("roman", ". of "), ("italic", "B"), ("roman", "."), ("italic", "C"), ("roman", "x"), ("italic", "D"), ("roman", "."), ("italic", "E"), ("roman", ". ")]
+    found = ev.protect_labels(ev.merge_initials(spans(large, chain)))
+    assert plan(found)[1].count("Exchange hashpartitioning") == 1
+    assert [r["clean_text"] for r in found.orderBy("span_ord").collect()] == ["A. S.", " of ", "B", ".", "C", "x", "D.E.", " "]
+
+
 def test_aliases_gather_no_line(large):
     line = [("bold", "oco"), ("roman", " ("), ("bold", "mongo/"), ("roman", "ab/ prose"), ("bold", "later")]
     found = ev.header_aliases(ev.mark_zones(spans(large, line)))
