@@ -2,7 +2,9 @@
 
 All stages are computed by one long join of (ref_id, stage, key) with a table of
 (index, key, query); the first stage whose queries are unique wins.  Nothing is
-collected and no index is a map: every index is rows.
+collected and no index is a map: every index is rows.  The joins are hinted to
+shuffle: requests are many small rows from few columns, so their size is estimated
+too low, and what was broadcast by it would pass through the driver.
 """
 
 from __future__ import annotations
@@ -95,8 +97,8 @@ def resolve(refs: DataFrame, index: DataFrame, overrides: dict[str, str] | None
     index = index.select("idx", "key", "query", "sequence")
     goals = index.filter("idx = 'lookup'").groupBy("key").agg(F.sort_array(F.collect_set("sequence")).alias("goal"))
     entries = index.select("idx", "key", "query").distinct().withColumn("_fq", casefold_latin(F.col("query")))
-    entries = entries.join(goals.withColumnRenamed("key", "_fq"), "_fq", "left")
-    met = requests(refs, overrides, key).distinct().join(entries, ["idx", "key"])
+    entries = entries.join(goals.withColumnRenamed("key", "_fq").hint("merge"), "_fq", "left")
+    met = requests(refs, overrides, key).distinct().join(entries.hint("merge"), ["idx", "key"])
     stages = met.groupBy("ref_id", "stage").agg(
         F.countDistinct("_fq").alias("n"),
         F.countDistinct(F.coalesce(F.array_join(F.transform("goal", lambda g: g.cast("string")), ","), F.lit(""))).alias("goals"),
@@ -137,7 +139,7 @@ def resolve_rendered(refs: DataFrame, index: DataFrame, overrides: dict[str, str
     whole = parts.join(found, "pid", "left").groupBy("ref_id").agg(F.bool_and(F.coalesce("ok", F.lit(False))).alias("all")).filter("all")
     segs = segments(refs, whole).filter("is_target").withColumn("sid", F.concat_ws("#", F.col("ref_id").cast("string"), F.col("seg").cast("string")))
     solved = resolve(segs.select(F.col("sid").alias("ref_id"), "text"), index, overrides, key).withColumnRenamed("ref_id", "sid")
-    return segs.join(solved, "sid", "left").select("ref_id", "seg", "text", "method", "query")
+    return segs.join(solved.hint("merge"), "sid", "left").select("ref_id", "seg", "text", "method", "query")
 
 
 def report(rendered: DataFrame) -> DataFrame:

@@ -209,4 +209,4 @@ def cascade_methods(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = cut(resolve.spellings_index(entries).unionAll(resolve.content_index(item)), "index")
     refs = rows.select(F.col("i").alias("ref_id"), asked.alias("text"))
     found = resolve.resolve(refs, index, {"odd name": "goal"})
-    return refs.join(found, "ref_id", "left").select("ref_id", F.coalesce("method", F.lit("unresolved")).alias("method"), F.coalesce("query", F.lit("")).alias("query"))
+    return refs.join(found.hint("merge"), "ref_id", "left").select("ref_id", F.coalesce("method", F.lit("unresolved")).alias("method"), F.coalesce("query", F.lit("")).alias("query"))

@@ -26,6 +26,12 @@ def spans(spark, texts):
     return spark.createDataFrame(rows, SPANS)
 
 
+def test_resolution_broadcasts_nothing(spark):
+    groups = spark.createDataFrame([(1, ["rumah"])], "sequence long, spellings array<string>")
+    found = resolve.resolve(spark.createDataFrame([(5, "rumah")], "ref_id long, text string"), resolve.spellings_index(groups))
+    assert "Broadcast" not in plan(found)[1] and [r["query"] for r in found.collect()] == ["rumah"]
+
+
 def test_headwords_gather_no_line(large):
     words = spans(large, [("roman", " "), ("roman", " ab"), ("roman", ""), ("roman", "c de"), ("roman", "f")]).withColumn("raw_text", F.col("clean_text"))
     found = reviewed.repair_headwords(words, large.createDataFrame([("a", "abc d", ["v"])], "line_id string, headword string, variants array<string>"))
