@@ -27,8 +27,8 @@ def spans(spark, texts):
 
 
 def test_resolution_broadcasts_nothing(spark):
-    groups = spark.createDataFrame([(1, ["rumah"])], "sequence long, spellings array<string>")
-    found = resolve.resolve(spark.createDataFrame([(5, "rumah")], "ref_id long, text string"), resolve.spellings_index(groups))
+    groups = spark.range(1).selectExpr("id as sequence", "array('rumah') as spellings")  # of known, small size
+    found = resolve.resolve(spark.range(1).selectExpr("id as ref_id", "'rumah' as text"), resolve.spellings_index(groups))
     assert "Broadcast" not in plan(found)[1] and [r["query"] for r in found.collect()] == ["rumah"]
 
 
