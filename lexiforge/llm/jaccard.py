@@ -9,7 +9,8 @@ and no linked pair is missed.
 
 Documents with equal sets are one class from the start (the smallest id stands for
 it).  Candidates are checked first on 512-bit parity bitmaps, whose differing bits
-bound the overlap from above, then on the sorted sets themselves.  In each group
+bound the overlap from above, then on wider ones where sets have more than 512
+members (these would fill the first), then on the sorted sets themselves.  In each group
 of equal signatures all members are first tested against the smallest; only where
 the links found leave a group in several components are the pairs across these
 compared, in tiles of at most ``TILE`` members, bitmaps first.
@@ -27,11 +28,12 @@ empty result; extra columns are ignored, and pass through :func:`deduplicate`.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .blocks import bucket_of, mix, split_by
@@ -44,6 +46,7 @@ FLUSH = 300_000  # signatures that a task holds before it sends them
 BUCKET = 1_000_000  # signatures a reducer gets, about
 NEAR = 1_000_000  # pairs to verify that are broadcast (32 bytes each)
 WORDS = 8  # of 64 bits in a bitmap
+MOST_BITS = 1 << 22  # in a wide one, for memory; larger sets are ruled out less often before the sets meet
 _BREAK = np.zeros(256, bool)
 _BREAK[[32, 9, 10, 11, 12, 13]] = True
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -169,6 +172,25 @@ def bitmap(s: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
+def wide_bitmap(s: np.ndarray) -> bytes | None:
+    """Parity bitmap of two to four bits a member, ``MOST_BITS`` at most; none where the other has a bit a member."""
+    if len(s) <= 64 * WORDS:
+        return None
+    bits = min(1 << (2 * len(s) - 1).bit_length(), MOST_BITS)
+    return np.packbits((np.bincount((s >> np.uint64(20)).astype(np.int64) & (bits - 1), minlength=bits) & 1).astype(np.uint8), bitorder="little").tobytes()
+
+
+def _bits(words: np.ndarray) -> np.ndarray:
+    """Bits set in each row of 64-bit words; unsigned, as bitwise_count() takes the absolute value of signed ones."""
+    return np.bitwise_count(words.view(np.uint64)).sum(-1).astype(np.int64)
+
+
+def _differ(a: bytes, b: bytes) -> int:
+    """Differing bits of two wide bitmaps; the longer one is folded, which keeps parities."""
+    x, y = sorted((np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)), key=len)
+    return int(_bits(np.bitwise_xor.reduce(y.reshape(-1, len(x))) ^ x))
+
+
 def _linked(na: np.ndarray, nb: np.ndarray, common: np.ndarray, p: int, q: int) -> np.ndarray:
     return q * common >= p * (na + nb - common)
 
@@ -181,7 +203,7 @@ def _few(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.Reco
 
 
 def features(docs: DataFrame, n: int, id_col: str, text_col: str) -> DataFrame:
-    """doc_id, n, f0, f1 (128 bits of the set) and the bitmap's words."""
+    """doc_id, n, f0, f1 (128 bits of the set), the bitmap's words and the wide bitmap."""
 
     @tidied
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -190,10 +212,10 @@ def features(docs: DataFrame, n: int, id_col: str, text_col: str) -> DataFrame:
             size = np.array([len(s) for s in sets], np.int64)
             prints = np.array([(np.bitwise_xor.reduce(mix(s)), np.add.reduce(mix(s ^ _BASE))) for s in sets], np.uint64).reshape(-1, 2).view(np.int64)
             maps = np.array([bitmap(s) for s in sets], np.int64).reshape(-1, WORDS)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(size), *[pa.array(c) for c in prints.T], *[pa.array(c) for c in maps.T]], names)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(size), *[pa.array(c) for c in prints.T], *[pa.array(c) for c in maps.T], pa.array([wide_bitmap(s) for s in sets], pa.binary())], [*names, "wide"])
 
     names = ["doc_id", "n", "f0", "f1", *[f"m{k}" for k in range(WORDS)]]
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col)).mapInArrow(read, ", ".join(f"{c} long" for c in names))
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col)).mapInArrow(read, ", ".join(f"{c} long" for c in names) + ", wide binary")
 
 
 def _packed(sigs: np.ndarray, ids: np.ndarray) -> tuple[int, bytes, bytes]:
@@ -289,20 +311,56 @@ def _sets(docs: DataFrame, wanted: DataFrame, n: int, id_col: str, text_col: str
     return own.withColumn("f", F.xxhash64("s")).withColumn("m", F.length("s")).dropDuplicates(["d", "m", "f"]).select("d", "s")
 
 
-def _verify(pairs: DataFrame, docs: DataFrame, sizes: DataFrame, n: int, p: int, q: int, id_col: str, text_col: str, unique: bool) -> DataFrame:
+def _dealt(pairs: DataFrame, sizes: DataFrame) -> DataFrame:
+    """(a, lot, w): the documents w of the pairs, in lots of about LOT members beside a, so a hot a is spread."""
+    lots = pairs.join(sizes, F.col("b") == F.col("d")).groupBy("a").agg(F.ceil(F.sum("m") / LOT).cast("long").alias("lots"))
+    dealt = pairs.join(lots, "a").select("a", F.pmod(F.xxhash64("b"), F.col("lots")).alias("lot"), F.explode(F.array("a", "b")).alias("w"))
+    return materialize(dealt.distinct(), "jaccard-dealt")
+
+
+def _near(count: int) -> Callable[[DataFrame], DataFrame]:
+    return F.broadcast if count <= NEAR else (lambda df: df)
+
+
+def _narrowed(pairs: DataFrame, dealt: DataFrame, every: DataFrame, count: int, p: int, q: int, unique: bool) -> DataFrame:
+    """The pairs that wide bitmaps do not rule out, for any of the texts of their ids; sets without one stay."""
+    own = every.filter("n > 0").select(F.col("doc_id").alias("d"), "n", "f0", "f1", "wide")
+    placed = own.join(_near(count)(dealt), F.col("d") == F.col("w"))
+    placed = (placed if unique else placed.dropDuplicates(["a", "lot", "d", "n", "f0", "f1"])).select("a", "lot", "d", "n", "wide")
+
+    def rule_out(table: pa.Table) -> pa.Table:
+        a = table["a"][0].as_py()
+        rows = list(zip(*(table[c].to_pylist() for c in ("d", "n", "wide")), strict=True))
+        centre, far, close = [x for x in rows if x[0] == a], set(), set()
+        for doc, n, wide in rows:
+            for _, m, other in centre if doc != a else []:
+                most = (n + m - _differ(wide, other)) // 2 if wide and other else n  # of the overlap
+                (close if _linked(n, m, min(most, n, m), p, q) else far).add(doc)
+        far -= close
+        return pa.table([pa.array([a] * len(far), pa.int64()), pa.array(sorted(far), pa.int64())], names=["a", "b"])
+
+    far = placed.groupBy("a", "lot").applyInArrow(rule_out, "a long, b long")
+    return pairs.select("a", "b").join(far, ["a", "b"], "left_anti")
+
+
+def _verify(pairs: DataFrame, docs: DataFrame, every: DataFrame, n: int, p: int, q: int, id_col: str, text_col: str, unique: bool) -> DataFrame:
     """The pairs (a, b) that are linked, by intersecting the sorted sets.
 
-    Up to ``NEAR`` pairs go to every executor, so that the texts stay where they are and a set moves
-    only to the pairs it is in; more are joined by shuffle.  ``sizes``: d, m of each document.
+    Wide bitmaps go first: a set has 16 to 32 times their bytes, and most pairs of large sets end
+    there.  Up to ``NEAR`` pairs go to every executor, so that the texts stay where they are and a set moves
+    only to the pairs it is in; more are joined by shuffle.  ``every``: the rows of :func:`features`.
     """
     count = pairs.count()
     if not count:
         return pairs.select("a", "b")
-    near = F.broadcast if count <= NEAR else (lambda df: df)
-    # a hot document a is spread: the sets of its partners come in lots of about LOT members
-    lots = pairs.join(sizes, F.col("b") == F.col("d")).groupBy("a").agg(F.ceil(F.sum("m") / LOT).cast("long").alias("lots"))
-    dealt = pairs.join(lots, "a").select("a", F.pmod(F.xxhash64("b"), F.col("lots")).alias("lot"), F.explode(F.array("a", "b")).alias("w"))
-    dealt = materialize(dealt.distinct(), "jaccard-dealt")
+    rows = every if unique else every.dropDuplicates(["doc_id", "n", "f0", "f1"])
+    sizes = rows.groupBy(F.col("doc_id").alias("d")).agg(F.sum("n").alias("m"))
+    pairs = materialize(_narrowed(pairs, _dealt(pairs, sizes), every, count, p, q, unique), "jaccard-narrowed")
+    count = pairs.count()
+    if not count:
+        return pairs
+    near = _near(count)
+    dealt = _dealt(pairs, sizes)
     sets = _sets(docs, near(dealt.select("w").distinct()), n, id_col, text_col, unique)
     placed = sets.join(near(dealt), F.col("d") == F.col("w")).select("a", "lot", "d", "s")
 
@@ -352,9 +410,7 @@ def jaccard_components(docs: DataFrame, *, n: int = 3, p: int = 90, q: int = 100
     stars = groups.join(center, "gid").filter("doc <> a").select("a", F.col("doc").alias("b")).distinct()
     # where no id is repeated, no set has to be looked for twice
     unique = every.filter("n > 0 and doc_id is not null").groupBy("doc_id").count().filter("count > 1").isEmpty()
-    sizes = every if unique else every.dropDuplicates(["doc_id", "n", "f0", "f1"])
-    sizes = sizes.groupBy(F.col("doc_id").alias("d")).agg(F.sum("n").alias("m"))
-    links = _verify(materialize(_bounded(stars, reps, p, q), "jaccard-stars"), docs, sizes, n, p, q, id_col, text_col, unique)
+    links = _verify(materialize(_bounded(stars, reps, p, q), "jaccard-stars"), docs, every, n, p, q, id_col, text_col, unique)
     links = materialize(links.union(several), "jaccard-links")
     comp = materialize(components(links), "jaccard-components")
 
@@ -375,7 +431,7 @@ def jaccard_components(docs: DataFrame, *, n: int = 3, p: int = 90, q: int = 100
         a, b = [], []
         for i in np.flatnonzero((t == x) & (doc != star)):
             j = np.flatnonzero((t == y) & (comp_ != comp_[i]) & (doc != star) & ((doc > doc[i]) if x == y else True))
-            differ = np.bitwise_count(maps[j] ^ maps[i]).sum(1).astype(np.int64)
+            differ = _bits(maps[j] ^ maps[i])
             both = size[j] + size[i]
             most = np.minimum((both - differ) // 2, np.minimum(size[j], size[i]))
             j = j[q * most >= p * (both - most)]
@@ -387,20 +443,38 @@ def jaccard_components(docs: DataFrame, *, n: int = 3, p: int = 90, q: int = 100
 
     more = materialize(rest.groupBy("gid", "x", "y").applyInArrow(across, "a long, b long").distinct(), "jaccard-across")
     if not more.isEmpty():
-        links = links.union(_verify(more, docs, sizes, n, p, q, id_col, text_col, unique))
+        links = links.union(_verify(more, docs, every, n, p, q, id_col, text_col, unique))
         comp = materialize(components(links), "jaccard-components")
     out = member.join(comp, F.col("rep") == F.col("node"), "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "rep").alias("component_id"))
 
 
-def deduplicate(docs: DataFrame, *, n: int = 5, p: int = 80, q: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def _placed(docs: DataFrame, number: str) -> DataFrame | None:
+    """``docs`` with a number of each row by its place in its file, or None where rows have no places of their own."""
+    path, index, file, base, many = fresh_names(docs.withColumn(number, F.lit(0)), 5)
+    try:
+        placed = docs.withColumns({path: F.col("_metadata.file_path"), index: F.col("_metadata.row_index")})
+    except AnalysisException:  # no files, or of a kind without places
+        return None
+    files = placed.groupBy(F.col(path).alias(file)).agg((F.max(index) + 1).alias(many))
+    before = Window.orderBy(file).rowsBetween(Window.unboundedPreceding, -1)  # one row for each file
+    files = materialize(files.select(file, F.coalesce(F.sum(many).over(before), F.lit(0)).alias(base)), "jaccard-files")
+    rows = placed.join(F.broadcast(files), F.col(path) == F.col(file)).select(*docs.columns, (F.col(base) + F.col(index)).alias(number))
+    # a join or explode() before may have made several rows of one
+    return rows if rows.groupBy(number).count().filter("count > 1").isEmpty() else None
+
+
+def deduplicate(docs: DataFrame, *, n: int = 5, p: int = 80, q: int = 100, id_col: str = "doc_id", text_col: str = "text", lasting: bool = False) -> DataFrame:
     """``docs`` with one row of each component: the smallest id (rows without one come last), then the first row.
 
-    Rows are numbered in a written table and linked by number, so each row stands for itself
-    whatever its id: null and repeated ids, and repeated rows, lose and keep nothing wrongly.
+    Rows are numbered and linked by number, so each row stands for itself whatever its id:
+    null and repeated ids, and repeated rows, lose and keep nothing wrongly.  ``lasting``: the
+    same rows come whenever ``docs`` is read, as from a written table, so no copy is needed.
     """
     number, node, label = fresh_names(docs, 3)
-    rows = materialize(docs.withColumn(number, F.monotonically_increasing_id()), "jaccard-rows")
+    rows = _placed(docs, number) if lasting else None
+    if rows is None:
+        rows = materialize(docs.withColumn(number, F.monotonically_increasing_id()), "jaccard-rows")
     found = jaccard_components(rows, n=n, p=p, q=q, id_col=number, text_col=text_col).filter("doc_id <> component_id")
     found = materialize(found.select(F.col("doc_id").alias(node), F.col("component_id").alias(label)), "jaccard-copies")
     found = found.union(found.select(label, label).distinct())
