@@ -322,8 +322,16 @@ def _near(count: int) -> Callable[[DataFrame], DataFrame]:
     return F.broadcast if count <= NEAR else (lambda df: df)
 
 
-def _narrowed(pairs: DataFrame, dealt: DataFrame, every: DataFrame, count: int, p: int, q: int, unique: bool) -> DataFrame:
-    """The pairs that wide bitmaps do not rule out, for any of the texts of their ids; sets without one stay."""
+def _narrowed(pairs: DataFrame, every: DataFrame, sizes: DataFrame, p: int, q: int, unique: bool) -> DataFrame:
+    """The pairs that wide bitmaps do not rule out, for any of the texts of their ids; sets without one stay.
+
+    A set has 16 to 32 times the bytes of its bitmap, and most pairs of large sets end here.
+    ``every``: the rows of :func:`features`.
+    """
+    count = pairs.count()
+    if not count:
+        return pairs.select("a", "b")
+    dealt = _dealt(pairs, sizes)
     own = every.filter("n > 0").select(F.col("doc_id").alias("d"), "n", "f0", "f1", "wide")
     placed = own.join(_near(count)(dealt), F.col("d") == F.col("w"))
     placed = (placed if unique else placed.dropDuplicates(["a", "lot", "d", "n", "f0", "f1"])).select("a", "lot", "d", "n", "wide")
@@ -340,25 +348,18 @@ def _narrowed(pairs: DataFrame, dealt: DataFrame, every: DataFrame, count: int,
         return pa.table([pa.array([a] * len(far), pa.int64()), pa.array(sorted(far), pa.int64())], names=["a", "b"])
 
     far = placed.groupBy("a", "lot").applyInArrow(rule_out, "a long, b long")
-    return pairs.select("a", "b").join(far, ["a", "b"], "left_anti")
+    return materialize(pairs.select("a", "b").join(far, ["a", "b"], "left_anti"), "jaccard-narrowed")
 
 
-def _verify(pairs: DataFrame, docs: DataFrame, every: DataFrame, n: int, p: int, q: int, id_col: str, text_col: str, unique: bool) -> DataFrame:
+def _verify(pairs: DataFrame, docs: DataFrame, sizes: DataFrame, n: int, p: int, q: int, id_col: str, text_col: str, unique: bool) -> DataFrame:
     """The pairs (a, b) that are linked, by intersecting the sorted sets.
 
-    Wide bitmaps go first: a set has 16 to 32 times their bytes, and most pairs of large sets end
-    there.  Up to ``NEAR`` pairs go to every executor, so that the texts stay where they are and a set moves
-    only to the pairs it is in; more are joined by shuffle.  ``every``: the rows of :func:`features`.
+    Up to ``NEAR`` pairs go to every executor, so that the texts stay where they are and a set moves
+    only to the pairs it is in; more are joined by shuffle.  ``sizes``: d, m of each document.
     """
     count = pairs.count()
     if not count:
         return pairs.select("a", "b")
-    rows = every if unique else every.dropDuplicates(["doc_id", "n", "f0", "f1"])
-    sizes = rows.groupBy(F.col("doc_id").alias("d")).agg(F.sum("n").alias("m"))
-    pairs = materialize(_narrowed(pairs, _dealt(pairs, sizes), every, count, p, q, unique), "jaccard-narrowed")
-    count = pairs.count()
-    if not count:
-        return pairs
     near = _near(count)
     dealt = _dealt(pairs, sizes)
     sets = _sets(docs, near(dealt.select("w").distinct()), n, id_col, text_col, unique)
@@ -410,7 +411,10 @@ def jaccard_components(docs: DataFrame, *, n: int = 3, p: int = 90, q: int = 100
     stars = groups.join(center, "gid").filter("doc <> a").select("a", F.col("doc").alias("b")).distinct()
     # where no id is repeated, no set has to be looked for twice
     unique = every.filter("n > 0 and doc_id is not null").groupBy("doc_id").count().filter("count > 1").isEmpty()
-    links = _verify(materialize(_bounded(stars, reps, p, q), "jaccard-stars"), docs, every, n, p, q, id_col, text_col, unique)
+    sizes = every if unique else every.dropDuplicates(["doc_id", "n", "f0", "f1"])
+    sizes = sizes.groupBy(F.col("doc_id").alias("d")).agg(F.sum("n").alias("m"))
+    stars = _narrowed(materialize(_bounded(stars, reps, p, q), "jaccard-stars"), every, sizes, p, q, unique)
+    links = _verify(stars, docs, sizes, n, p, q, id_col, text_col, unique)
     links = materialize(links.union(several), "jaccard-links")
     comp = materialize(components(links), "jaccard-components")
 
@@ -443,7 +447,8 @@ def jaccard_components(docs: DataFrame, *, n: int = 3, p: int = 90, q: int = 100
 
     more = materialize(rest.groupBy("gid", "x", "y").applyInArrow(across, "a long, b long").distinct(), "jaccard-across")
     if not more.isEmpty():
-        links = links.union(_verify(more, docs, every, n, p, q, id_col, text_col, unique))
+        more = _narrowed(more, every, sizes, p, q, unique)
+        links = links.union(_verify(more, docs, sizes, n, p, q, id_col, text_col, unique))
         comp = materialize(components(links), "jaccard-components")
     out = member.join(comp, F.col("rep") == F.col("node"), "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "rep").alias("component_id"))

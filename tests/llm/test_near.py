@@ -62,9 +62,9 @@ def test_large_unlinked_sets_do_not_meet(spark):
     pairs = spark.createDataFrame([(0, 1), (0, 2), (3, 4)], "a long, b long")
     sizes = every.select(every.doc_id.alias("d"), every.n.alias("m"))
     for unique in (True, False):
-        left = jaccard._narrowed(pairs, jaccard._dealt(pairs, sizes), every, 3, 80, 100, unique)
+        left = jaccard._narrowed(pairs, every, sizes, 80, 100, unique)
         assert sorted(map(tuple, left.collect())) == [(0, 2), (3, 4)]
-    got = jaccard._verify(pairs, docs, every, 1, 80, 100, "doc_id", "text", True)
+    got = jaccard._verify(left, docs, sizes, 1, 80, 100, "doc_id", "text", True)
     assert sorted(map(tuple, got.collect())) == [(0, 2), (3, 4)]
 
 
