@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from lexiforge.functions.text import clean_layout, parse_expression, strip, valid_roman
 
-from .reviewed import header_connector, mark_joined_spans, tag_codes
+from .reviewed import header_connector, joins_previous, reviewed_lines, tag_codes
 
 SENSE = r"(?U)^\s*\d+\s*$"
 APPLIED = ("remove_hyphen", "preserve_hyphen")
@@ -70,13 +70,14 @@ def _prepared(spans: DataFrame, placed: bool = True) -> DataFrame:
     return rows.repartition("form_id") if placed else rows
 
 
-def mark_zones(spans: DataFrame) -> DataFrame:
+def mark_zones(spans: DataFrame, parts: int | None = None) -> DataFrame:
     """Adds ``zone``: whether a span is before (before), in (zone) or after (rest) the leading bold form of its form's first line.
 
     The form goes on over bold spans that are no sense number, and over a roman span between two of them if the
     second is a Roman number or the span is a mark that joins words.  It ends with the last span accepted.
+    ``parts``: ``spans`` are exchanged by form already.
     """
-    rows = _prepared(spans).withColumn("_bold", F.col("_shown") & _bold(F.col("style")))
+    rows = _prepared(spans, parts is None).withColumn("_bold", F.col("_shown") & _bold(F.col("style")))
     rows = rows.withColumn("_number", F.col("clean_text").rlike(SENSE)).withColumn("_after", _next(["_bold", "_number", "clean_text"]))
     start = F.min(F.when(F.col("_bold"), F.col("span_ord"))).over(_whole())
     word = strip(F.col("_after.clean_text"))
@@ -148,13 +149,13 @@ def parse_forms(marked: DataFrame, reviewed_variants: DataFrame | None = None) -
     )
 
 
-def merge_initials(spans: DataFrame) -> DataFrame:
+def merge_initials(spans: DataFrame, parts: int | None = None) -> DataFrame:
     """Dotted initials of a line, printed as italic letters and roman periods, become one italic span.
 
     Two or more initials linked by periods are a chain; it counts if roman text beginning with a period follows its last
-    initial, and takes that period with it.
+    initial, and takes that period with it.  ``parts``: ``spans`` are exchanged by form already.
     """
-    rows = _prepared(spans)
+    rows = _prepared(spans, parts is None)
     style, text = F.col("style"), F.col("clean_text")
     rows = rows.withColumn("_kind", F.when(_italic(style) & strip(text).rlike("^[A-Z]$"), "i").when((style == "roman") & text.rlike(r"(?U)^\s*\.\s*$"), "p").when((style == "roman") & text.rlike(r"(?U)^\s*\."), "s"))
     # neighbours among the spans that are not blank; windows only, so that no join exchanges the spans again
@@ -174,14 +175,15 @@ def merge_initials(spans: DataFrame) -> DataFrame:
     dot = F.regexp_extract("clean_text", r"(?U)^\s*\.", 0)
     piece = lambda at, part, value: F.struct(at.alias("at"), F.lit(part).alias("part"), value.alias("value"))
     tail = F.array(piece(F.col("_from"), 0, dot), piece(F.col("span_ord"), 1, F.substring("clean_text", F.length(dot) + 1, F.length("clean_text"))))
-    parts = F.when(F.col("_to") == F.col("span_ord"), F.filter(tail, lambda p: p["value"] != "")).otherwise(F.array(piece(F.coalesce("_from", "span_ord"), 0, F.col("clean_text"))))
+    pieces = F.when(F.col("_to") == F.col("span_ord"), F.filter(tail, lambda p: p["value"] != "")).otherwise(F.array(piece(F.coalesce("_from", "span_ord"), 0, F.col("clean_text"))))
     rest = [c for c in spans.columns if c not in ("form_id", "line_ord", "span_ord", "clean_text")]
-    made = joined.withColumn("_p", F.explode(parts)).groupBy("form_id", "line_ord", "_p.at", "_p.part").agg(
-        F.concat_ws("", F.transform(F.array_sort(F.collect_list(F.struct("span_ord", "_p.value"))), lambda x: x["value"])).alias("_text"), F.max(F.col("_to").isNotNull() & (F.col("_p.part") == 0)).alias("_merged"),
-        F.min_by(F.struct(*rest), "span_ord").alias("_rest"),
-    )
-    text = F.when(F.col("_merged"), clean_layout(F.col("_text"))).otherwise(F.col("_text"))
-    return made.select("form_id", "line_ord", (F.col("at") * 2 + F.col("part")).alias("span_ord"), text.alias("clean_text"), *[F.col(f"_rest.{c}").alias(c) for c in rest]).select(*spans.columns)
+    # a chain's pieces meet in a window: an aggregation would sort and copy all other spans as groups of one
+    piece = Window.partitionBy("form_id", "line_ord", "_at", "_part").orderBy("span_ord")
+    made = joined.select("*", F.explode(pieces).alias("_p")).select("*", F.col("_p.at").alias("_at"), F.col("_p.part").alias("_part"))
+    made = made.withColumn("_text", F.array_join(F.collect_list("_p.value").over(piece.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)), ""))
+    made = made.withColumn("_n", F.row_number().over(piece)).filter("_n = 1")
+    text = F.when(F.col("_to").isNotNull() & (F.col("_part") == 0), clean_layout(F.col("_text"))).otherwise(F.col("_text"))
+    return made.select("form_id", "line_ord", (F.col("_at") * 2 + F.col("_part")).alias("span_ord"), text.alias("clean_text"), *rest).select(*spans.columns)
 
 
 def protect_labels(spans: DataFrame) -> DataFrame:
@@ -201,23 +203,34 @@ def protect_labels(spans: DataFrame) -> DataFrame:
     return rows.withColumn("protected", F.col("_shown") & _italic(F.col("style")) & (F.coalesce(operand, F.lit(False)) | named)).select(*spans.columns, "protected")
 
 
-def content_events(spans: DataFrame, known: Column, decisions: DataFrame, joined_lines: DataFrame, forms: DataFrame | None = None) -> DataFrame:
+def content_events(spans: DataFrame, known: Column, decisions: DataFrame, joined_lines: DataFrame, forms: DataFrame | None = None, parts: int | None = None) -> DataFrame:
     """form_id, ord, kind, style, value, boundary of the content of forms.
 
     ``spans`` without header zones; ``known``: the labels' codes; ``decisions``: form_id, line_ord (of the line that wraps),
     action; ``joined_lines``: line_id of lines reviewed for missing blanks; ``forms``: headers whose marks, sense, operator
-    and opening slash come before the content.
+    and opening slash come before the content; ``parts``: ``spans`` are exchanged by form already, into so many partitions.
     """
-    acts = decisions.select(F.col("form_id").alias("_f"), F.col("line_ord").alias("_l"), F.col("action").alias("_action"))
-    rows = _prepared(spans)
+    if parts is None:
+        parts = int(spans.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        spans = spans.repartition(parts, "form_id")
+    rows = _prepared(spans, placed=False)
+    # rows exchanged alike are put together where they are
+    among = lambda these, others: these.unionByName(others.repartition(parts, "form_id"), allowMissingColumns=True)
+    # what is known of lines comes as rows among their spans, and windows spread it: a join by line would exchange the spans again
+    lines = rows.groupBy("form_id", "line_ord").agg(F.min("line_id").alias("line_id"))
+    reviewed = reviewed_lines(lines, joined_lines).select("form_id", "line_ord", F.lit(True).alias("_reviewed"))
+    facts = decisions.select("form_id", "line_ord", F.col("action").alias("_action")).unionByName(reviewed, allowMissingColumns=True).withColumn("_fact", F.lit(True))
+    rows = among(rows.withColumn("_fact", F.lit(False)), facts).sortWithinPartitions("form_id", "line_ord", "span_ord")
+    rows = rows.withColumn("_action", F.max("_action").over(_whole())).withColumn("_reviewed", F.max("_reviewed").over(_whole()))
     # the end of a line decides what its last span and the next line's first event look like
-    ends = rows.groupBy("form_id", "line_ord").agg(F.max(F.coalesce("join_next", F.lit(False))).alias("_open"), F.max(F.when(F.col("_shown"), F.col("span_ord"))).alias("_last"))
-    ends = ends.join(acts, (F.col("form_id") == F.col("_f")) & (F.col("line_ord") == F.col("_l")), "left").drop("_f", "_l")
-    ends = ends.select(F.col("form_id").alias("_f"), F.col("line_ord").alias("_l"), "_last", "_action", (F.col("_open") | F.coalesce(F.col("_action").isin(*APPLIED), F.lit(False))).alias("_tight"))
-    rows = rows.join(ends, (F.col("form_id") == F.col("_f")) & (F.col("line_ord") == F.col("_l")))
+    rows = rows.withColumn("_last", F.max(F.when(F.col("_shown"), F.col("span_ord"))).over(_whole()))
+    tight = F.coalesce("join_next", F.lit(False)) | F.coalesce(F.col("_action").isin(*APPLIED), F.lit(False))
+    before = Window.partitionBy("form_id").orderBy("line_ord").rangeBetween(-1, -1)
+    rows = rows.withColumn("_tight", F.max(F.when(~F.col("_fact"), tight)).over(before)).filter(~F.col("_fact"))
     cut = (F.col("_action") == "remove_hyphen") & (F.col("span_ord") == F.col("_last"))
-    rows = rows.withColumn("clean_text", F.when(cut, F.regexp_replace("clean_text", r"(?U)-\s*$", "")).otherwise(F.col("clean_text"))).select(*spans.columns)
-    rows = protect_labels(mark_joined_spans(merge_initials(rows), joined_lines))
+    rows = rows.withColumn("clean_text", F.when(cut, F.regexp_replace("clean_text", r"(?U)-\s*$", "")).otherwise(F.col("clean_text"))).select(*spans.columns, "_reviewed", "_tight")
+    rows = merge_initials(rows, parts)
+    rows = protect_labels(rows.withColumn("join_previous", joins_previous(F.col("_reviewed"), _line())))
     style, text = F.col("style"), F.col("clean_text")
     event = lambda kind, value, of=F.lit(None): F.struct(F.lit(kind).alias("kind"), of.cast("string").alias("style"), value.alias("value"))
     codes = F.when(_italic(style) & ~F.col("protected"), tag_codes(text, known)).otherwise(F.array().cast("array<string>"))
@@ -230,17 +243,15 @@ def content_events(spans: DataFrame, known: Column, decisions: DataFrame, joined
         .when((style == "symbol") & (strip(text) == "→"), F.array(event("arrow", F.lit("→"))))
         .otherwise(run)
     )
-    listed = rows.withColumn("_codes", codes).select("form_id", "line_ord", "span_ord", "join_previous", F.posexplode(made).alias("k", "e"))
+    listed = rows.withColumn("_codes", codes).select("form_id", "line_ord", "span_ord", "join_previous", "_tight", F.posexplode(made).alias("k", "e"))
     first = Window.partitionBy("form_id", "line_ord").orderBy("span_ord", "k")
     listed = listed.withColumn("_first", F.row_number().over(first) == 1)
     form = Window.partitionBy("form_id").orderBy("line_ord", "span_ord", "k")
     listed = listed.withColumn("_same", (F.lag("e.kind").over(form) == "run") & (F.col("e.kind") == "run") & (F.lag("e.style").over(form) == F.col("e.style")))
-    before = ends.select(F.col("_f"), (F.col("_l") + 1).alias("_l"), "_tight")
-    listed = listed.join(before, (F.col("form_id") == F.col("_f")) & (F.col("line_ord") == F.col("_l")), "left")
     opening = F.when((F.col("line_ord") == 0) | F.coalesce("_tight", F.lit(False)), "").otherwise(" ")
     joined = F.col("join_previous") & (F.col("k") == 0) & ~F.coalesce("_same", F.lit(False))
     boundary = F.when(joined, JOINED).when(F.col("_first"), opening).otherwise("")
-    parts = listed.select("form_id", (F.col("line_ord") + 1).alias("_a"), F.col("span_ord").cast("long").alias("_b"), "k", "e.kind", "e.style", "e.value", boundary.alias("boundary"))
+    pieces = listed.select("form_id", (F.col("line_ord") + 1).alias("_a"), F.col("span_ord").cast("long").alias("_b"), "k", "e.kind", "e.style", "e.value", boundary.alias("boundary"))
     if forms is not None:
         empty = F.lit("").alias("boundary")
         heads = F.array(
@@ -248,6 +259,6 @@ def content_events(spans: DataFrame, known: Column, decisions: DataFrame, joined
             F.when(F.col("template_operator").isNotNull(), event("run", F.col("template_operator"), F.lit("bold"))), F.when(F.col("pronunciation_prefix") != "", event("run", F.col("pronunciation_prefix"), F.lit("roman"))),
         )
         lead = forms.select("form_id", F.posexplode(F.array_compact(heads)).alias("k", "e"))
-        parts = parts.unionByName(lead.select("form_id", F.lit(0).alias("_a"), F.lit(0).cast("long").alias("_b"), "k", "e.kind", "e.style", "e.value", empty))
+        pieces = among(pieces, lead.select("form_id", F.lit(0).alias("_a"), F.lit(0).cast("long").alias("_b"), "k", "e.kind", "e.style", "e.value", empty))
     number = F.row_number().over(Window.partitionBy("form_id").orderBy("_a", "_b", "k")).cast("long")
-    return parts.select("form_id", number.alias("ord"), "kind", "style", "value", "boundary")
+    return pieces.select("form_id", number.alias("ord"), "kind", "style", "value", "boundary")

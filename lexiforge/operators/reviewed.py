@@ -51,11 +51,21 @@ def mark_joined_spans(spans: DataFrame, line_ids: DataFrame, gap: float = 0.8) -
     """
     w = Window.partitionBy("line_id").orderBy("span_ord")
     reviewed = spans.join(_rules(line_ids.select("line_id", F.lit(True).alias("_r")).distinct()), "line_id", "left")
-    left, right = F.lag("clean_text").over(w), F.col("clean_text")
+    return reviewed.withColumn("join_previous", joins_previous(F.col("_r"), w, gap)).drop("_r")
+
+
+def joins_previous(reviewed: Column, line: Window, gap: float = 0.8) -> Column:
+    """Whether a span of a reviewed line (a window in its order) goes on a word or number without a blank."""
+    left, right = F.lag("clean_text").over(line), F.col("clean_text")
     last, first = F.right(left, F.lit(1)), F.left(right, F.lit(1))
     lexical = F.when(last == ".", first.rlike(r"\p{Nd}")).otherwise(last.rlike(r"[\p{L}\p{N}'’]"))
-    joined = F.col("_r") & (F.col("x0") - F.lag("x1").over(w) <= gap) & first.rlike(r"[\p{L}\p{N}]") & lexical
-    return reviewed.withColumn("join_previous", F.coalesce(joined, F.lit(False))).drop("_r")
+    joined = reviewed & (F.col("x0") - F.lag("x1").over(line) <= gap) & first.rlike(r"[\p{L}\p{N}]") & lexical
+    return F.coalesce(joined, F.lit(False))
+
+
+def reviewed_lines(lines: DataFrame, line_ids: DataFrame) -> DataFrame:
+    """The rows of ``lines`` (one a line) that ``line_ids`` lists."""
+    return lines.join(_rules(line_ids.select("line_id").distinct()), "line_id", "left_semi")
 
 
 def repair_headwords(spans: DataFrame, table: DataFrame) -> DataFrame:

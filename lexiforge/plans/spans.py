@@ -6,13 +6,15 @@ and place of a word gives style and text, so that all states are met.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexiforge.operators import events as ev
 from lexiforge.plans.registry import query, t
 from lexiforge.sources.scratch import cut
 
+#: Bytes of text whose spans one task sorts (about 150,000 rows), so that sorts and the buffers of windows fit together.
+TASK_BYTES = 1 << 20
 KNOWN = ("T", "S", "D", "the", "de", "la", "of", "and", "der", "und")
 
 #: (styles of 18 kinds of spans, their texts in Spark's and in DuckDB's words): fixed values of the carrier.
@@ -29,13 +31,29 @@ def _case(kind: str, of: int) -> str:
     return f"CASE {kind} " + " ".join(f"WHEN {k} THEN {v[of] if of else repr(v[0])}" for k, v in enumerate(_KINDS)) + " END"
 
 
-def span_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = t(spark, sf_dir, "documents").select(F.col("doc_id").alias("form_id"), F.posexplode(F.split("text", "\n")).alias("line_ord", "line"))
+def texts_by(texts: DataFrame, key: str, text: str = "text") -> tuple[DataFrame, int]:
+    """``texts`` exchanged by ``key`` before words become rows, so that the rows need no exchange; into how many partitions."""
+    size = texts.agg(F.sum(F.octet_length(text))).first()[0] or 0
+    parts = 1 + size // TASK_BYTES
+    return texts.repartition(parts, key), parts
+
+
+def line_table(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, int]:
+    """form_id, line_ord, line; exchanged by form into so many partitions."""
+    texts, parts = texts_by(t(spark, sf_dir, "documents").select(F.col("doc_id").alias("form_id"), "text"), "form_id")
+    return texts.select("form_id", F.posexplode(F.split("text", "\n")).alias("line_ord", "line")), parts
+
+
+def _line_id() -> Column:
+    return F.concat_ws("-", "form_id", "line_ord")
+
+
+def span_table(lines: DataFrame) -> DataFrame:
     words = lines.select("form_id", "line_ord", (F.length("line") % 2 == 1).alias("join_next"), F.posexplode(F.split("line", " ")).alias("span_ord", "w"))
     words = words.withColumn("h", (F.length("w") * 7 + F.col("span_ord") * 5 + F.col("line_ord") * 3) % len(_KINDS))
     x = F.col("span_ord") * 10.0
     return words.select(
-        "form_id", "line_ord", F.concat_ws("-", "form_id", "line_ord").alias("line_id"), "span_ord", F.expr(_case("h", 0)).alias("style"), F.expr(_case("h", 1)).alias("clean_text"),
+        "form_id", "line_ord", _line_id().alias("line_id"), "span_ord", F.expr(_case("h", 0)).alias("style"), F.expr(_case("h", 1)).alias("clean_text"),
         x.alias("x0"), (x + F.when(F.length("w") % 2 == 0, 9.5).otherwise(8.0)).alias("x1"), "join_next",
     )
 
@@ -62,7 +80,8 @@ SELECT s.form_id, coalesce(string_agg(x, '' ORDER BY i) FILTER (j = 0 AND i BETW
   count(*) FILTER (j > 0 OR a IS NULL OR i > c) AS n_rest FROM s LEFT JOIN p USING (form_id) GROUP BY s.form_id""")
 def leading_zone(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The longest accepted prefix of a form's first line."""
-    rows = ev.mark_zones(span_table(spark, sf_dir))
+    lines, parts = line_table(spark, sf_dir)
+    rows = ev.mark_zones(span_table(lines), parts)
     zone = F.transform(F.array_sort(F.collect_list(F.when(F.col("zone") == "zone", F.struct("span_ord", "clean_text")))), lambda x: x["clean_text"])
     return rows.groupBy("form_id").agg(F.concat_ws("", zone).alias("zone_text"), F.count_if(F.col("zone") == "before").alias("n_before"), F.count_if(F.col("zone") == "rest").alias("n_rest"))
 
@@ -75,7 +94,8 @@ SELECT form_id, n AS place, trim(x) AS alias FROM g JOIN r USING (form_id, n) WH
 def header_aliases(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bold forms of the header until prose starts; a lone Roman number names no form."""
     # headers are first lines: what the zones of other lines are has no part in them
-    marked = cut(ev.mark_zones(span_table(spark, sf_dir).filter("line_ord = 0")), "zones")
+    lines, parts = line_table(spark, sf_dir)
+    marked = cut(ev.mark_zones(span_table(lines.filter("line_ord = 0")), parts), "zones")
     rest = marked.filter("line_ord = 0 and zone = 'rest'").filter(ev.shown(F.col("clean_text")))
     place = F.row_number().over(ev.Window.partitionBy("form_id").orderBy("span_ord"))
     numbered = rest.select(F.col("form_id").alias("_f"), F.col("span_ord").alias("_s"), place.cast("long").alias("place"))
@@ -107,7 +127,8 @@ SELECT form_id, j AS line_ord, count(*) AS n_spans, count(*) FILTER (protected)
 FROM pr GROUP BY form_id, j HAVING count(*) FILTER (protected) > 0 OR count(*) FILTER (regexp_matches(x, '[A-Z]\.')) > 0""")
 def label_protection(spark: SparkSession, sf_dir: str) -> DataFrame:
     """P5: dotted initials merged, operands of templates (also over the end of a line) and parts of names protected."""
-    rows = ev.protect_labels(ev.merge_initials(span_table(spark, sf_dir)))
+    lines, parts = line_table(spark, sf_dir)
+    rows = ev.protect_labels(ev.merge_initials(span_table(lines), parts))
     rows = rows.filter(ev.shown(F.col("clean_text")))
     dotted = F.col("clean_text").rlike(r"[A-Z]\.")
     found = F.when(F.col("protected"), F.concat(F.lit("<"), "clean_text", F.lit(">"))).when(dotted, F.col("clean_text"))
@@ -120,7 +141,7 @@ def label_protection(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _decisions(lines: DataFrame) -> DataFrame:
     action = F.when(F.col("line_ord") % 3 == 0, "remove_hyphen").when(F.col("line_ord") % 3 == 1, "ambiguous").otherwise("preserve_hyphen")
-    return lines.select("form_id", "line_ord").distinct().filter("line_ord % 5 < 4").withColumn("action", action)
+    return lines.select("form_id", "line_ord").filter("line_ord % 5 < 4").withColumn("action", action)
 
 
 _KNOWN_SQL = ", ".join(f"'{k}'" for k in KNOWN)
@@ -145,14 +166,14 @@ SELECT form_id, count(*) AS n_events, count(*) FILTER (kind = 'label') AS n_labe
   sha256(string_agg(b || kind || ':' || coalesce(style, '') || ':' || value, chr(10) ORDER BY j, i)) AS digest FROM eb GROUP BY form_id""")
 def content_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ordered events of each form, with boundaries from the line before, wraps and reviewed joins."""
-    spans = span_table(spark, sf_dir)
-    odd = spans.filter("line_ord % 2 = 1").select("line_id").distinct()
+    lines, parts = line_table(spark, sf_dir)
+    odd = lines.filter("line_ord % 2 = 1").select(_line_id().alias("line_id"))
     known = F.array(*[F.lit(k) for k in KNOWN])
-    events = ev.content_events(spans, known, _decisions(spans), odd)
+    events = ev.content_events(span_table(lines), known, _decisions(lines), odd, parts=parts)
     sign = F.when(F.col("boundary") == ev.JOINED, "+").when(F.col("boundary") == " ", "_").otherwise("")
     text = F.concat(sign, "kind", F.lit(":"), F.coalesce("style", F.lit("")), F.lit(":"), "value")
-    lines = F.transform(F.array_sort(F.collect_list(F.struct("ord", text.alias("x")))), lambda e: e["x"])
+    listed = F.transform(F.array_sort(F.collect_list(F.struct("ord", text.alias("x")))), lambda e: e["x"])
     kind = lambda k: F.count_if(F.col("kind") == k)
     return events.groupBy("form_id").agg(
-        F.count("*").alias("n_events"), kind("label").alias("n_labels"), kind("sense").alias("n_senses"), F.count_if(F.col("boundary") == ev.JOINED).alias("n_joined"), F.sha2(F.array_join(lines, "\n"), 256).alias("digest")
+        F.count("*").alias("n_events"), kind("label").alias("n_labels"), kind("sense").alias("n_senses"), F.count_if(F.col("boundary") == ev.JOINED).alias("n_joined"), F.sha2(F.array_join(listed, "\n"), 256).alias("digest")
     )

@@ -1,10 +1,13 @@
 """What operators must not do on large tables, read from their plans."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
 from lexiforge.operators import events as ev
 from lexiforge.operators import render, resolve, reviewed
+from lexiforge.plans import spans as span_plans
 
 SPANS = "form_id long, line_ord int, line_id string, span_ord int, style string, clean_text string, x0 double, x1 double, join_next boolean"
 
@@ -67,3 +70,34 @@ def test_aliases_gather_no_line(large):
     line = [("bold", "oco"), ("roman", " ("), ("bold", "mongo/"), ("roman", "ab/ prose"), ("bold", "later")]
     found = ev.header_aliases(ev.mark_zones(spans(large, line)))
     assert "collect_list" not in plan(found)[0] and [r["alias"] for r in found.collect()] == ["mongo"]
+
+
+def above(text, node):
+    """For each ``node`` of a plan the names of what stands above it, nearest first."""
+    path = []
+    for line in text.splitlines():
+        at = re.search(r"\w", line.replace("+-", "  ").replace(":-", "  "))
+        if at:
+            path = [p for p in path if p[0] < at.start()] + [(at.start(), line[at.start() :])]
+            if path[-1][1].startswith(node):
+                yield [p[1] for p in path[-2::-1]]
+
+
+@pytest.mark.parametrize("name", ["content_events"])
+def test_words_stay_where_they_are(large, tmp_path, name):
+    texts = [(1, "ab c\nthe 12 end of it"), (2, None), (3, ""), (4, "x " * 9000)]
+    large.createDataFrame(texts, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    found = getattr(span_plans, name)(large, str(tmp_path))
+    paths = list(above(plan(found)[1], "Generate posexplode(split(line#"))
+    moved = [next((p for p in path if "Exchange" in p or "Aggregate" in p), "") for path in paths]
+    assert paths and not [m for m in moved if "Exchange" in m]  # only what is one row a line or a form moves
+    assert {r["form_id"] for r in found.collect()} <= {1, 3, 4}
+
+
+def test_facts_of_lines_reach_their_spans(large):
+    rows = [(7, 0, "a", 0, "roman", "x-", 0.0, 1.0, False), (7, 1, "b", 0, "bold", "y.", 0.0, 1.0, False), (7, 1, "b", 1, "roman", "4", 1.5, 2.0, True), (7, 2, "c", 0, "roman", "z", 0.0, 1.0, False), (7, 4, "d", 0, "roman", "w", 0.0, 1.0, False)]
+    acts = large.createDataFrame([(7, 0, "remove_hyphen"), (7, 3, "preserve_hyphen"), (8, 0, "remove_hyphen")], "form_id long, line_ord int, action string")
+    lines = large.createDataFrame([("b",), ("b",), ("none",)], "line_id string")
+    found = ev.content_events(large.createDataFrame(rows, SPANS), F.array(F.lit("K")), acts, lines).orderBy("ord").collect()
+    # a line without spans (3) has no end that could be tight
+    assert [(r["value"], r["boundary"]) for r in found] == [("x", ""), ("y.", ""), ("4", ev.JOINED), ("z", ""), ("w", " ")]
