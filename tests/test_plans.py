@@ -83,7 +83,7 @@ def above(text, node):
                 yield [p[1] for p in path[-2::-1]]
 
 
-@pytest.mark.parametrize("name", ["content_events", "label_protection"])
+@pytest.mark.parametrize("name", ["content_events", "label_protection", "leading_zone"])
 def test_words_stay_where_they_are(large, tmp_path, name):
     texts = [(1, "ab c\nthe 12 end of it"), (2, None), (3, ""), (4, "x " * 9000)]
     large.createDataFrame(texts, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
