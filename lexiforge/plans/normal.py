@@ -9,6 +9,7 @@ from lexiforge.operators import normalize as no
 from lexiforge.operators import reviewed, validate
 from lexiforge.operators.ordered import number_rows
 from lexiforge.plans.registry import query, t
+from lexiforge.plans.spans import texts_by
 from lexiforge.sources.scratch import cut
 
 _RULES = [(("[Roman] user", "[Roman] assistant"), ("[Roman] pair",)), (("[Roman] pair", "[Entry] c"), ("[Entry] joined", "[Roman] user")), (("[Roman] pair", "[Roman] pair"), ("[Roman] two",))]
@@ -89,12 +90,13 @@ def roman_senses(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT doc_id, len(w) + CASE WHEN hit THEN 1 ELSE 0 END AS n_spans, CASE WHEN hit THEN w[1] || ' ' || left(w[2], 2) ELSE '' END AS bold, CAST(size AS BIGINT) AS n_chars, CASE WHEN hit THEN w[1] ELSE '' END AS variant FROM r""")
 def headword_repairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reviewed headwords, checked against their lines, are cut out of the spans they cross."""
-    words = t(spark, sf_dir, "documents").select("doc_id", F.split(F.replace("text", F.lit("\n"), F.lit(" ")), " ").alias("w"))
-    one = words.select(F.col("doc_id").cast("string").alias("line_id"), F.posexplode("w").alias("span_ord", "x")).withColumn("x", F.concat("x", F.lit(" ")))
+    texts, _ = texts_by(t(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("line_id"), "doc_id", "text"), "line_id")
+    words = texts.select("line_id", "doc_id", F.split(F.replace("text", F.lit("\n"), F.lit(" ")), " ").alias("w"))
+    one = words.select("line_id", F.posexplode("w").alias("span_ord", "x")).withColumn("x", F.concat("x", F.lit(" ")))
     spans = one.select("line_id", "span_ord", F.lit("roman").alias("style"), F.col("x").alias("clean_text"), F.col("x").alias("raw_text"), F.lit(0.0).alias("x0"), F.lit(10.0).alias("x1"))
     a, b = F.get("w", F.lit(0)), F.get("w", F.lit(1))
     hit = words.filter((F.col("doc_id") % 2 == 0) & (F.length(a) > 0) & (F.length(b) > 2))
-    table = hit.select(F.col("doc_id").cast("string").alias("line_id"), F.concat(a, F.lit(" "), F.left(b, F.lit(2))).alias("headword"), F.array(a).alias("variants"))
+    table = hit.select("line_id", F.concat(a, F.lit(" "), F.left(b, F.lit(2))).alias("headword"), F.array(a).alias("variants"))
     found = reviewed.repair_headwords(spans, table)
     bold = F.transform(F.array_sort(F.collect_list(F.when(F.col("style") == "bold", F.struct("span_ord", "clean_text")))), lambda x: x["clean_text"])
     variant = F.coalesce(F.max(F.get("reviewed_variants", F.lit(0))), F.lit(""))

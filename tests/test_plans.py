@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lexiforge.operators import events as ev
 from lexiforge.operators import render, resolve, reviewed
+from lexiforge.plans import normal
 from lexiforge.plans import spans as span_plans
 
 SPANS = "form_id long, line_ord int, line_id string, span_ord int, style string, clean_text string, x0 double, x1 double, join_next boolean"
@@ -101,3 +102,13 @@ def test_facts_of_lines_reach_their_spans(large):
     found = ev.content_events(large.createDataFrame(rows, SPANS), F.array(F.lit("K")), acts, lines).orderBy("ord").collect()
     # a line without spans (3) has no end that could be tight
     assert [(r["value"], r["boundary"]) for r in found] == [("x", ""), ("y.", ""), ("4", ev.JOINED), ("z", ""), ("w", " ")]
+
+
+def test_headwords_find_words_where_they_are(large, tmp_path):
+    texts = [(2, "ab cde f"), (4, None), (6, "ab\ncde"), (7, "x " * 9000)]
+    large.createDataFrame(texts, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    found = normal.headword_repairs(large, str(tmp_path))
+    paths = list(above(plan(found)[1], "Generate posexplode(w#"))
+    moved = [next((p for p in path if "Exchange" in p or "Aggregate" in p), "") for path in paths]
+    assert paths and not [m for m in moved if "Exchange" in m]
+    assert {r["doc_id"]: r["bold"] for r in found.collect()} == {2: "ab cd", 6: "ab cd", 7: ""}
