@@ -7,6 +7,8 @@ import functools
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,6 +20,11 @@ SPACE_CLASS = r"[\x20\x09-\x0D]+"
 WORD_CLASS = r"[^\x20\x09-\x0D]+"
 
 
+#: Shuffle files go when the write that needed them ends, not when the driver next collects garbage.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_written: ContextVar[list[str] | None] = ContextVar("written", default=None)
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder for checkpoints and scratch tables.
 
@@ -38,17 +45,48 @@ def scratch_root(spark: SparkSession) -> str:
 def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
     """Write ``df`` as Parquet below the shared scratch folder and read it back.
 
-    Cuts lineage with files that outlive any executor.
+    Cuts lineage with files that outlive any executor; the shuffle files of the write are removed with its end.
     """
     spark = df.sparkSession
     path = f"{scratch_root(spark)}/lexiforge/{name}-{uuid.uuid4().hex}"
     writer = df.write
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        writer.parquet(path)
+    finally:
+        spark.conf.unset(SHUFFLE_CLEANUP) if before is None else spark.conf.set(SHUFFLE_CLEANUP, before)
+    if (paths := _written.get()) is not None:
+        paths.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release_shuffles(spark: SparkSession) -> None:
+    """From here on, the session's queries remove their shuffle files when they end, also the write of a result by its caller."""
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+
+
+@contextmanager
+def written() -> Iterator[list[str]]:
+    """The paths of the scratch tables that are written inside, in order."""
+    paths: list[str] = []
+    token = _written.set(paths)
+    try:
+        yield paths
+    finally:
+        _written.reset(token)
+
+
+def remove(spark: SparkSession, paths: list[str]) -> None:
+    """Deletes scratch tables that nothing reads any more."""
+    context = spark.sparkContext
+    for p in paths:
+        path = context._jvm.org.apache.hadoop.fs.Path(p)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def tidy() -> None:
     """Gives freed memory back to the system, so that idle Python workers stay small."""
     pa.default_memory_pool().release_unused()

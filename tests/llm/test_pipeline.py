@@ -1,10 +1,12 @@
 import os
+import time
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from lexiforge.llm import decontaminate, jaccard, registry
-from lexiforge.llm.common import documents, materialize
+from lexiforge.llm.common import SHUFFLE_CLEANUP, documents, materialize, scratch_root
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="needs the test tables")
@@ -57,3 +59,30 @@ def test_rows_by_content(spark):
 
 def test_names():
     assert [n.split("_")[0] for n in registry.queries() if n.startswith("op")] == [f"op{k}" for k in range(1, 14)]
+
+
+def shuffle_files(spark):
+    files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {f.getName() for f in (files.apply(i) for i in range(files.size())) if f.getName().startswith("shuffle_")}
+
+
+def test_scratch_leaves_no_shuffle_files(spark):
+    spark.conf.unset(SHUFFLE_CLEANUP)
+    before = shuffle_files(spark)
+    rows = materialize(spark.range(1000).repartition(3, "id").groupBy((F.col("id") % 10).alias("k")).count(), "swept")
+    end = time.time() + 20
+    while shuffle_files(spark) - before and time.time() < end:
+        time.sleep(0.2)
+    assert not shuffle_files(spark) - before and rows.count() == 10
+    assert spark.conf.get(SHUFFLE_CLEANUP, None) is None
+
+
+def test_pipeline_removes_tables_of_finished_stages(spark, monkeypatch):
+    step = lambda spark, docs, sf_dir: materialize(docs.withColumn("n_chars", F.col("n_chars") + 1), "swept-step")
+    last = lambda spark, docs, sf_dir: docs.agg(F.count("*").alias("n"), F.sum("n_chars").alias("s"))
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [("swept-a", step), ("swept-b", step), ("swept-c", last)])
+    found = corpus_pipeline.run(spark, SF)
+    left = [f.rsplit("-", 1)[0] for f in os.listdir(f"{scratch_root(spark).removeprefix('file://')}/lexiforge") if "swept-step" in f or "pipeline-swept" in f]
+    assert left == ["pipeline-swept-b"]
+    docs = documents(spark, SF)
+    assert found.first() == docs.agg(F.count("*"), F.sum(F.col("n_chars") + 2)).first()
